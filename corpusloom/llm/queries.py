@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, sharding
+from pyspark.sql import functions as F
+
+from . import exact_dedup, knn_join, language_id, line_dedup, mixing, near_dedup, packing, sharding, token_counts, url_filter
 from ._common import table
 
 
@@ -13,6 +15,32 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: The rules that the query fixes.
+RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"), url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow")]
+
+
+def op1(spark, d):
+    """URLs that a rule decides are the labelled ones that the trees learn from."""
+    pages = table(spark, d, "pages")
+    host, path = url_filter.url_parts(F.col("url"))
+    labelled = pages.select("url", url_filter.rule_column(host, path, RULES)["verdict"].alias("v")).where("v is not null").select("url", (F.col("v") == "block").cast("int").alias("blocked"))
+    return url_filter.filter_urls(pages, RULES, url_filter.fit(labelled))
+
+
+def op2(spark, d):
+    return token_counts.count_tokens(table(spark, d, "documents"), token_counts.read_vocabulary(vocabulary("piece_bpe_32k.model")))
+
+
+def op3(spark, d):
+    return knn_join.top_products(table(spark, d, "embeddings"))
+
+
+def op4(spark, d):
+    """The cleaned texts as digests."""
+    out = line_dedup.dedup_lines(table(spark, d, "documents"))
+    return out.select("doc_id", "n_lines", "removed_lines", F.to_json("spans").alias("spans"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5(spark, d):
     return sharding.shard_documents(table(spark, d, "documents"))
 
@@ -21,17 +49,42 @@ def op6(spark, d):
     return mixing.mix_sources(table(spark, d, "documents"))
 
 
+def op7(spark, d):
+    return near_dedup.near_duplicates(table(spark, d, "documents"), k=2)
+
+
 def op8(spark, d):
     return exact_dedup.content_sort(table(spark, d, "documents")).drop("n_codepoints")
 
 
+def op9(spark, d):
+    return language_id.languages(table(spark, d, "documents"))
+
+
 def op10(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {"op5_kk_sharding": op5, "op6_sainte_lague_mix": op6, "op8_content_sort_dedup": op8, "op10_ffd_packing": op10}
+QUERIES = {
+    "op1_url_filter": op1,
+    "op2_token_counts": op2,
+    "op3_voronoi_knn": op3,
+    "op4_line_dedup": op4,
+    "op5_kk_sharding": op5,
+    "op6_sainte_lague_mix": op6,
+    "op7_minhash": op7,
+    "op8_content_sort_dedup": op8,
+    "op9_kneser_ney_langid": op9,
+    "op10_ffd_packing": op10,
+}
 
 ORACLES = {
+    "op3_voronoi_knn": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op8_content_sort_dedup": r"""
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256, length(coalesce(text, '')) AS len FROM documents),
 r AS (SELECT *, row_number() OVER w AS rn, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM n WINDOW w AS (PARTITION BY text_sha256 ORDER BY len DESC, doc_id))
