@@ -15,8 +15,9 @@ from ._common import cut
 #: Universal hash functions, and how many of their minima make a band. A pair of similarity 0.8 shares none of the 32 bands with probability (1 - 0.8^5)^32 = 3e-6.
 HASHES, ROWS = 160, 5
 BANDS = HASHES // ROWS
-#: Of the signature bits of a pair of similarity s, (1 + s) / 2 agree; 0.8 misses this share with probability 1e-9.
-AGREE = 0.75
+#: The signature is a byte of each minimum, eight to a long. Of a pair of similarity 0.8 fewer than this share of the minima agree with probability 2e-6.
+AGREE = 0.65
+SIGNS = tuple(f"s{i}" for i in range(HASHES // 8))
 #: Rows of an open bucket that one join key takes.
 BLOCK = 1024
 _WORDS = 400_000
@@ -86,7 +87,7 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def _signatures(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("s0", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), *((c, pa.int64()) for c in SIGNS), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -99,16 +100,16 @@ def _signatures(k: int):
                 key = np.zeros((len(sets), 2), np.uint64)
                 for i in full:
                     key[i] = sets[i].sum(), mixed(sets[i] + _FOLD).sum()
-                bits = np.zeros((len(sets), 192), np.uint8)
-                bits[full, :HASHES] = (mixed(m) & np.uint64(1)).astype(np.uint8)
-                signs = np.packbits(bits, axis=1).view(">i8").astype(np.int64)
+                signs = np.zeros((len(sets), HASHES), np.uint8)
+                signs[full] = (mixed(m) & np.uint64(255)).astype(np.uint8)
+                signs = signs.view(np.int64)
                 bands = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(full), 0)
                 for r in range(ROWS):
                     bands = mixed(bands * _FOLD + m[:, r::ROWS])
                 flat = bands.astype(np.int64).ravel()
                 counts = np.where(n > 0, BANDS, 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), _binary(key.view(np.uint8).reshape(len(sets), 16)), *(pa.array(signs[:, c].copy()) for c in range(3)), lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), _binary(key.view(np.uint8).reshape(len(sets), 16)), *(pa.array(signs[:, c].copy()) for c in range(len(SIGNS))), lists], schema=schema)
 
     return run
 
@@ -158,9 +159,19 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def agreement(left: str, right: str) -> Column:
-    """Signature bits in which two sides agree."""
-    return F.lit(HASHES) - sum(F.bit_count(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))) for s in ("s0", "s1", "s2"))
+def alike(left: str, right: str, percent: int) -> Column:
+    """Sizes and signatures of two sides allow the similarity. Bytes that differ leave their lowest bit set."""
+    one = F.lit(0x0101010101010101)
+
+    def differing(c: str) -> Column:
+        v = F.col(f"{left}.{c}").bitwiseXOR(F.col(f"{right}.{c}"))
+        for shift in (4, 2, 1):
+            v = v.bitwiseOR(F.shiftrightunsigned(v, shift))
+        return F.bit_count(v.bitwiseAND(one))
+
+    a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
+    sizes = (100 * a >= percent * b) & (100 * b >= percent * a)
+    return sizes & (sum((differing(c) for c in SIGNS), F.lit(0)) <= int((1 - AGREE) * HASHES))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,7 +180,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     Documents whose sets of `k`-word shingles (of the lower-cased whole text) have `percent` % of their union in
     common are linked; component_id is the smallest doc_id reachable over links. Documents with equal sets are
     one class from the start. A class meets others in the buckets of its bands. First each class is confirmed
-    against the bucket leader that its signature agrees with most; then, in buckets whose classes are still in
+    against the bucket leader that it shares most bands with; then, in buckets whose classes are still in
     different components, every pair across components whose signatures agree is confirmed too, in blocks,
     so nothing within a bucket is skipped. Confirmation compares full sets. Only links leave a bucket.
 
@@ -178,19 +189,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     empty result. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = cut(rows.mapInArrow(_signatures(k), "doc_id long, n long, key binary, s0 long, s1 long, s2 long, bands array<long>"))
+    signed = cut(rows.mapInArrow(_signatures(k), f"doc_id long, n long, key binary, {', '.join(f'{c} long' for c in SIGNS)}, bands array<long>"))
     classes = signed.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("id"))
     chosen = signed.join(classes, (signed["key"] == classes["key"]) & (signed["doc_id"] == classes["id"]), "left_semi").dropDuplicates(["key", "doc_id"])
-    chosen = cut(chosen.select(F.col("doc_id").alias("id"), "key", "s0", "s1", "s2", "bands"))
+    chosen = cut(chosen.select(F.col("doc_id").alias("id"), "n", *SIGNS, "bands"))
     banded = chosen.select(F.explode("bands").alias("h"), "id")
     leaders = banded.groupBy("h").agg(F.min("id").alias("lead"), F.count("*").alias("c")).where("c > 1").drop("c")
-    members = cut(banded.join(leaders, "h"))
-    signs = chosen.select("id", "s0", "s1", "s2")
-
-    stars = members.where("id <> lead").select("lead", "id").distinct()
-    scored = stars.join(signs.alias("x"), F.col("lead") == F.col("x.id")).select("lead", stars["id"].alias("b"), *(F.col(f"x.{s}").alias(s) for s in ("s0", "s1", "s2"))).alias("y").join(signs.alias("x"), F.col("y.b") == F.col("x.id"))
-    scored = scored.select(F.col("y.lead").alias("a"), F.col("y.b").alias("b"), agreement("x", "y").alias("agree")).where(F.col("agree") >= AGREE * HASHES)
-    best = cut(scored.groupBy("b").agg(F.max_by("a", "agree").alias("a")).select("a", "b"))
+    members = cut(banded.join(cut(leaders), "h", "left").where("lead is not null"))
+    signs = chosen.select("id", "n", *SIGNS)
+
+    # the leader that a class shares most bands with
+    bands = members.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("c"))
+    best = bands.groupBy("id").agg(F.max_by("lead", "c").alias("lead")).withColumnRenamed("id", "b")
+    best = best.join(signs.alias("x"), F.col("lead") == F.col("x.id")).select("b", *(F.col(f"x.{c}").alias(c) for c in ("id", "n", *SIGNS))).alias("y").join(signs.alias("x"), F.col("y.b") == F.col("x.id"))
+    best = cut(best.where(alike("x", "y", percent)).select(F.col("y.id").alias("a"), F.col("y.b").alias("b")))
     links = cut(confirm(best, rows, k, percent))
     labels = components(links)
 
@@ -206,7 +218,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     other = inside.select("*", own[1].alias("j"), F.explode(F.sequence(F.lit(0), few - 1)).alias("i")).alias("y")
     across = (F.col("x.h") == F.col("y.h")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j")) & (F.col("x.comp") != F.col("y.comp"))
     once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    pairs = minor.join(other, across & once & (agreement("x", "y") >= AGREE * HASHES)).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    pairs = minor.join(other, across & once & alike("x", "y", percent)).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     pairs = cut(pairs.join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
     more = cut(confirm(pairs, rows, k, percent))
     if more.count():
