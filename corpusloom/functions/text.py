@@ -270,7 +270,7 @@ def _joined(base: pd.Series, links: pd.Series) -> pd.Series:
 def html_links(base: Column | str, c: Column | str) -> Column:
     """resolved targets of links, without fragments, mail and script targets."""
     found = F.regexp_extract_all(text_or_empty(c), F.lit(r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"'#]*)"))
-    found = F.filter(F.transform(found, F.trim), lambda x: (x != "") & ~F.lower(x).rlike("^(mailto|javascript|tel):"))
+    found = F.filter(F.transform(found, lambda x: F.trim(x)), lambda x: (x != "") & ~F.lower(x).rlike("^(mailto|javascript|tel):"))
     return F.array_distinct(_joined(text_or_empty(base), found))
 
 
@@ -352,7 +352,7 @@ def looks_blocked(body: Column | str, title: Column | str, marks: Sequence[str]
 
 def sentences(c: Column | str) -> Column:
     """F36."""
-    return F.filter(F.transform(F.split(text_or_empty(c), r"(?<=[.!?])(?U)\s+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text_or_empty(c), r"(?<=[.!?])(?U)\s+"), lambda x: F.trim(x)), lambda s: s != "")
 
 
 def sentence_ends(c: Column | str) -> Column:

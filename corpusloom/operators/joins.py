@@ -84,7 +84,7 @@ def reconcile(a: DataFrame, b: DataFrame, key: str, value: str, tolerance: float
 def containing(texts: DataFrame, phrases: DataFrame, text_col: str, phrase_col: str) -> DataFrame:
     """(text row, phrase row) of phrases that stand in a text, a phrase bank being at most a few thousand
     rows: each text is compared with an array of them, so that nothing is crossed or shuffled. Larger banks
-    (over 100,000 characters) meet the texts through their first word instead."""
+    (over 100,000 characters) meet the texts through a word inside the phrase instead."""
     bank = phrases.where(F.length(phrase_col) > 0)
     size = bank.agg(F.sum(F.length(phrase_col)).alias("n")).first()["n"] or 0
     if size <= 100_000:
@@ -94,11 +94,10 @@ def containing(texts: DataFrame, phrases: DataFrame, text_col: str, phrase_col:
             return texts.crossJoin(bank.limit(0))
         hit = F.explode(F.filter(values, lambda p: F.contains(F.col(text_col), p[phrase_col])))
         return texts.select("*", hit.alias("_p")).select(*texts.columns, *(F.col(f"_p.{c}").alias(c) for c in bank.columns))
-    first = F.regexp_extract(F.col(phrase_col), r"(?U)(\w+)", 1)
+    # a word inside the phrase is a whole word of the text; a phrase without one is met by every text
+    inner = F.regexp_extract(F.col(phrase_col), r"(?U)\W(\w+)\W", 1)
     keyed = texts.withColumn("_w", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(F.col(text_col), F.lit(r"(?U)(\w+)"))))))
-    # a phrase may start inside a word: those are met by every text
-    edge = F.when(F.col(phrase_col).rlike(r"(?U)^\W*\w+\W"), first).otherwise("")
-    return keyed.join(bank.withColumn("_w", edge), "_w").where(F.contains(F.col(text_col), F.col(phrase_col))).drop("_w").distinct()
+    return keyed.join(bank.withColumn("_w", inner), "_w").where(F.contains(F.col(text_col), F.col(phrase_col))).drop("_w").distinct()
 
 
 def deal(left: DataFrame, right: DataFrame, seed: int, left_id: str, right_id: str) -> DataFrame:
