@@ -18,9 +18,9 @@ BANDS = HASHES // ROWS
 #: The signature is a byte of each minimum, eight to a long. Of a pair of similarity 0.8 fewer than this share of the minima agree with probability 2e-6.
 AGREE = 0.65
 SIGNS = tuple(f"s{i}" for i in range(HASHES // 8))
-#: Rows of an open bucket that one join key takes.
-BLOCK = 1024
-_WORDS = 400_000
+#: Members of an open bucket that stand on either side of a block.
+BLOCK = 512
+_WORDS = 150_000
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -181,8 +181,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     common are linked; component_id is the smallest doc_id reachable over links. Documents with equal sets are
     one class from the start. A class meets others in the buckets of its bands. First each class is confirmed
     against the bucket leader that it shares most bands with; then, in buckets whose classes are still in
-    different components, every pair across components whose signatures agree is confirmed too, in blocks,
-    so nothing within a bucket is skipped. Confirmation compares full sets. Only links leave a bucket.
+    different components, every pair across components that sizes and signatures do not rule out is confirmed
+    too, in blocks, so nothing within a bucket is skipped. Confirmation compares full sets. Only links leave a bucket.
 
     A null or blank text has no shingles, is its own component and is kept. Rows without a doc_id are returned
     kept, with a null component. Rows that share a doc_id are one document as to links. An empty table gives an
@@ -210,17 +210,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     placed = cut(placed)
     per = placed.groupBy("h", "comp").agg(F.count("*").alias("c"))
     open_ = per.groupBy("h").agg(F.max_by("comp", "c").alias("main"), F.max("c").alias("most"), F.sum("c").alias("all"), F.count("*").alias("comps")).where("comps > 1")
-    inside = placed.join(open_, "h").join(signs, "id")
-    few = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
-    many = F.ceil(F.col("all") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), few).cast("int"), F.pmod(F.xxhash64("id", "h"), many).cast("int")
-    minor = inside.where("comp <> main").select("*", own[0].alias("i"), F.explode(F.sequence(F.lit(0), many - 1)).alias("j")).alias("x")
-    other = inside.select("*", own[1].alias("j"), F.explode(F.sequence(F.lit(0), few - 1)).alias("i")).alias("y")
-    across = (F.col("x.h") == F.col("y.h")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j")) & (F.col("x.comp") != F.col("y.comp"))
-    once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    pairs = minor.join(other, across & once & alike("x", "y", percent)).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    pairs = cut(pairs.join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    more = cut(confirm(pairs, rows, k, percent))
+    more = cut(across_components(placed.join(cut(open_), "h"), rows, chosen, k, percent))
     if more.count():
         labels = components(links.union(more))
 
@@ -230,6 +220,68 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     return out.select("doc_id", "n_shingles", own_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _block_links(percent: int):
+    """Links between the minor members (not of the bucket's main component) of a block and its other members.
+    Rows come sorted by block; sizes and signatures are compared first, then full sets. A pair is left to the
+    first band that it shares: that bucket is open too."""
+    most = int((1 - AGREE) * HASHES)
+
+    def links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        asks, ids, comps, mains, n = (np.array(x) for x in list(zip(*rows, strict=True))[:5])
+        sign, bands = np.stack([r[5] for r in rows]), np.stack([r[6] for r in rows])
+        other = np.flatnonzero(~asks)
+        minor = np.flatnonzero(asks) if asks.any() else np.flatnonzero(comps != mains)
+        band = rows[0][8]
+        for x in minor:
+            ok = (comps[other] != comps[x]) & ((comps[other] == mains[other]) | (ids[x] < ids[other])) & (100 * n[other] >= percent * n[x]) & (100 * n[x] >= percent * n[other])
+            left = other[ok]
+            left = left[(sign[left] != sign[x]).sum(1) <= most]
+            if len(left):
+                same = bands[left] == bands[x]
+                left = left[same.argmax(1) == np.flatnonzero(bands[x] == band)[0]]
+            mine = np.frombuffer(rows[x][7], np.uint64)
+            for y in left:
+                theirs = np.frombuffer(rows[y][7], np.uint64)
+                both = len(np.intersect1d(mine, theirs, assume_unique=True))
+                if 100 * both >= percent * (len(mine) + len(theirs) - both):
+                    yield int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            sign = np.stack([batch.column(c).to_numpy() for c in SIGNS], 1).view(np.uint8).reshape(-1, HASHES)
+            bands = batch.column("bands").flatten().to_numpy().reshape(-1, BANDS)
+            columns = (batch.column(c).to_pylist() for c in ("h", "i", "j", "asks", "id", "comp", "main", "n", "members"))
+            for at, (h, i, j, asks, id_, comp, main, n, members) in enumerate(zip(*columns, strict=True)):
+                if (h, i, j) != now:
+                    out += links(held) if len(held) > 1 else []
+                    now, held = (h, i, j), []
+                held.append((asks, id_, comp, main, n, sign[at], bands[at], members, h))
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], names=["a", "b"])
+        out = list(links(held)) if len(held) > 1 else []
+        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def across_components(inside: DataFrame, rows: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFrame:
+    """All links between different components within open buckets. `inside` has h, id, comp and the bucket's main
+    component, its size and that of the bucket. Large buckets are cut into blocks of minor members against blocks of
+    all members; each member's set goes to a block once, not to every pair, and only links leave a block."""
+    few = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
+    many = F.ceil(F.col("all") / BLOCK).cast("int")
+    keyed = inside.select("*", few.alias("few"), many.alias("many"), F.pmod(F.xxhash64("id"), few).cast("int").alias("mi"), F.pmod(F.xxhash64("id", "h"), many).cast("int").alias("mj"))
+    other = keyed.select("h", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"), F.col("mj").alias("j"), F.lit(False).alias("asks"), "id", "comp", "main")
+    minor = keyed.where("comp <> main and few * many > 1").select("h", F.col("mi").alias("i"), F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("j"), F.lit(True).alias("asks"), "id", "comp", "main")
+    texts = rows.join(inside.select("id").distinct(), rows["doc_id"] == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), "text")
+    sets = cut(texts.mapInArrow(_sets(k), "id long, members binary").distinct())
+    # the size tells apart several texts of one id
+    full = sets.withColumn("n", (F.length("members") / 8).cast("long")).join(chosen.select("id", "n", "bands", *SIGNS), ["id", "n"])
+    dealt = minor.unionByName(other).join(cut(full), "id").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+    return dealt.mapInArrow(_block_links(percent), "a long, b long").distinct()
+
+
 def confirm(pairs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. Sets are made anew from the texts of just the
     documents that the pairs name."""

@@ -16,7 +16,7 @@ from ._common import cut
 #: Rows of pieces that one packing task holds; groups are random by document.
 GROUP_ROWS = 50_000
 #: Chunks whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _tokenizers: dict[str, Tokens] = {}
 
