@@ -68,7 +68,11 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if edges.where("a <> b").count():
         raise ValueError("two different texts share one SHA-256 digest")
     groups = seen.groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.min("pos").alias("first_pos"), F.min_by("doc_id", "pos").alias("keep_id"))
-    return seen.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", (F.col("pos") == F.col("first_pos")).alias("kept"), "text_sha256", "n_codepoints")
+    # only true groups are joined back, from a table, so that a huge group's rows can be split over tasks
+    groups = cut(groups.where("group_size > 1"))
+    alone = F.col("first_pos").isNull()
+    keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
+    return seen.join(groups, "text_sha256", "left").select("doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), (alone | (F.col("pos") == F.col("first_pos"))).alias("kept"), "text_sha256", "n_codepoints")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
