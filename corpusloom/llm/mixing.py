@@ -13,7 +13,7 @@ BLOCK = 16
 #: A document is taken at most so many times.
 REPEATS = 3
 #: Rows whose positions one task sums up.
-SPAN_ROWS = 100_000
+SPAN_ROWS = 2_000
 
 
 def cyclic_weight(rank: Column) -> Column:
