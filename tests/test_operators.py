@@ -274,7 +274,7 @@ def test_sinks(spark, tmp_path):
     (root / "three").write_text("3")
     (root / "sub" / "two").unlink()
     assert {(r.file, r.status) for r in sinks.verify_manifest(spark, str(root), want).collect()} == {("one", "changed"), ("three", "extra"), ("sub/two", "missing")}
-    assert G.package_issues(spark, str(tmp_path / "d"), ["_state.json"], {"split=train": ["text", "gone"]}) == ["split=train lacks gone"]
+    assert G.package_issues(spark, str(tmp_path / "d"), ["nothing.json"], {"split=train": ["text", "gone"]}) == ["missing nothing.json", "split=train lacks gone"]
     assert "| a |" in sinks.markdown("T", {"s": [{"a": 1}]})
     sinks.write_csv(df, str(tmp_path / "c"))
     assert readers.read_csv(spark, str(tmp_path / "c")).count() == 2
