@@ -19,12 +19,13 @@ def vocabulary(name: str) -> str:
 RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"), url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow")]
 
 
+#: Words of hosts that count as labelled bad; the trees learn what such URLs look like.
+BAD_HOST_WORDS = ("adult", "ads", "bets", "casino", "pills", "porn", "spam", "viagra")
+
+
 def op1(spark, d):
-    """URLs that a rule decides are the labelled ones that the trees learn from."""
     pages = table(spark, d, "pages")
-    host, path = url_filter.url_parts(F.col("url"))
-    labelled = pages.select("url", url_filter.rule_column(host, path, RULES)["verdict"].alias("v")).where("v is not null").select("url", (F.col("v") == "block").cast("int").alias("blocked"))
-    return url_filter.filter_urls(pages, RULES, url_filter.fit(labelled))
+    return url_filter.filter_urls(pages, RULES, url_filter.fit(url_filter.weak_labels(pages, RULES, BAD_HOST_WORDS)))
 
 
 def op2(spark, d):

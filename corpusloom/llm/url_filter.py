@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: Labelled URLs that the trees are fitted on, at most about so many; chosen by hash of the URL.
 FITTED = 20_000
-FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "entropy", "params", "query_length", "is_https", "has_extension", "suffix1", "suffix2", "longest_label", "first_dir")
+FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "entropy", "params", "query_length", "is_https", "has_extension", "suffix1", "suffix2", "longest_label", "first_dir", "host_hyphens")
 
 
 @dataclass(frozen=True)
@@ -59,10 +59,19 @@ def features(url: Column, host: Column, path: Column) -> list[Column]:
         length, F.length(host), F.length(path), F.size(F.filter(F.split(path, "/"), lambda x: x != "")), F.size(labels),
         F.regexp_count(url, F.lit("[0-9]")) / F.greatest(length, F.lit(1)), F.regexp_count(url, F.lit("-")), entropy,
         F.when(query == "", 0).otherwise(F.size(F.split(query, "&"))), F.length(query), url.startswith("https"), path.rlike(r"\.[A-Za-z0-9]{1,5}$"),
-        F.element_at(labels, -1), F.substring_index(host, ".", -2), F.array_max(F.transform(labels, F.length)), F.regexp_extract(path, "^/([^/]*)", 1),
+        F.element_at(labels, -1), F.substring_index(host, ".", -2), F.array_max(F.transform(labels, F.length)), F.regexp_extract(path, "^/([^/]*)", 1), F.regexp_count(host, F.lit("-")),
     ]
 
 
+def weak_labels(urls: DataFrame, rules: Sequence[Rule], words: Sequence[str], url_col: str = "url") -> DataFrame:
+    """(url, blocked): a rule's verdict where one fits, else block if a word of the host is on the list of bad
+    host words, else allow."""
+    host, path = url_parts(F.col(url_col))
+    ruled = rule_column(host, path, rules)["verdict"]
+    bad = F.arrays_overlap(F.split(host, "[.-]"), F.array(*map(F.lit, words))) if words else F.lit(False)
+    return urls.select(F.col(url_col).alias("url"), F.coalesce((ruled == "block").cast("int"), bad.cast("int")).alias("blocked"))
+
+
 NAMED = ("suffix1", "suffix2", "first_dir")
 
 
