@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_WORDS = 400_000
+_WORDS = 300_000
 #: Fixed values of the unigram tokenizer: what an unknown character costs below the lowest score, and the sign for a space.
 UNKNOWN_PENALTY, SPACE = 10.0, "▁"
 
@@ -47,30 +47,39 @@ class Counter:
     def best(self, word: str) -> tuple[int, float]:
         """(pieces, score) of a word."""
         n = len(word)
-        ends: list[list] = [[] for _ in range(n + 1)]
-        single = [False] * n
+        # at each end: score, pieces, whether the path ends in an unknown piece
+        total, pieces, open_ = [0.0], [0], [False]
+        top, of, single, end = None, 0, False, 1
+
+        def close(upto: int) -> None:
+            """Settle the ends before `upto`; an unknown character is tried last, as it starts last."""
+            nonlocal top, of, single, end
+            while end < upto:
+                unknown = False
+                if not single:
+                    value = self.unknown + total[end - 1]
+                    if top is None or value > top:
+                        top, of, unknown = value, end - 1, True
+                total.append(top)
+                open_.append(unknown)
+                if not unknown:
+                    pieces.append(pieces[of] + 1)
+                elif self.bytes:
+                    pieces.append(pieces[of] + len(word[of:end].encode()))
+                else:
+                    pieces.append(pieces[of] + (not open_[of]))
+                top, single, end = None, False, end + 1
+
+        # matches come by rising end, and of one end the longest first, so by rising start
         for last, (length, score) in self.automaton.iter(word):
-            ends[last + 1].append((last + 1 - length, score))
+            if last >= end:
+                close(last + 1)
+            value = score + total[last + 1 - length]
+            if top is None or value > top:
+                top, of = value, last + 1 - length
             if length == 1:
-                single[last] = True
-        # at each end: score, pieces, whether the path ends in an unknown piece
-        total, pieces, open_ = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        for end in range(1, n + 1):
-            found = sorted(ends[end])
-            if not single[end - 1]:
-                found.append((end - 1, None))
-            top = None
-            for start, score in found:
-                value = (self.unknown if score is None else score) + total[start]
-                if top is None or value > top:
-                    top, of, unknown = value, start, score is None
-            total[end], open_[end] = top, unknown
-            if not unknown:
-                pieces[end] = pieces[of] + 1
-            elif self.bytes:
-                pieces[end] = pieces[of] + len(word[of:end].encode())
-            else:
-                pieces[end] = pieces[of] + (not open_[of])
+                single = True
+        close(n + 1)
         return pieces[n], total[n]
 
     def word(self, word: str) -> tuple[int, float]:
