@@ -80,6 +80,35 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op6_sainte_lague_mix": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, CAST('0x' || substr(sha256(concat_ws(':', 'mix', coalesce(CAST(doc_id AS VARCHAR), 'null'))), 1, 15) AS BIGINT) AS h FROM documents),
+t AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM t),
+r AS (SELECT *, coalesce(sum(cap) OVER x, 0) AS capped, sum(weight) OVER () - coalesce(sum(weight) OVER x, 0) AS open FROM w WINDOW x AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT *, (total - capped) / open AS level FROM r),
+g AS (SELECT source, source_size, total, least((SELECT level FROM l WHERE level * weight <= cap ORDER BY capped, level LIMIT 1) * weight, CAST(cap AS DOUBLE)) AS target FROM l),
+a0 AS (SELECT *, CAST(floor(target / 16.0::DOUBLE + 0.5) AS BIGINT) AS first, CAST(ceil(3 * source_size / 16) AS BIGINT) AS most FROM g),
+a1 AS (SELECT *, CAST(round(total / 16) AS BIGINT) - CAST(sum(first) OVER () AS BIGINT) AS miss FROM a0),
+a2 AS (SELECT *, CAST(ceil(abs(miss) * target / greatest(total, 1)) AS BIGINT) + 2 AS offers FROM a1),
+s0 AS (SELECT source, target, miss, first, most, unnest(CASE WHEN miss > 0 THEN range(first, first + offers + 1) ELSE range(greatest(first - offers, 0), greatest(first - 1, 0) + 1) END) AS seat FROM a2 WHERE miss <> 0),
+s1 AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN miss > 0 THEN -(target / (2 * seat + 1)) ELSE target / (2 * seat + 1) END, source NULLS LAST, seat) AS place FROM s0 WHERE (miss > 0 AND seat < most) OR (miss < 0 AND seat < first)),
+m AS (SELECT source, CAST(sum(sign(miss)) AS BIGINT) AS extra FROM s1 WHERE place <= abs(miss) GROUP BY source),
+q0 AS (SELECT a2.source, source_size, target, least(first + coalesce(extra, 0), most) AS quota, greatest(source_size // 16, 1) AS blocks FROM a2 LEFT JOIN m ON a2.source IS NOT DISTINCT FROM m.source),
+q1 AS (SELECT *, least(quota * 16, 3 * source_size) AS words, CAST('0x' || substr(sha256(concat_ws('/', 'mix', coalesce(source, 'null'))), 1, 15) AS BIGINT) % blocks * 16 AS lo FROM q0),
+q AS (SELECT *, coalesce(words // nullif(source_size, 0), 0) AS rounds FROM q1),
+p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM d),
+j AS (SELECT p.doc_id, p.size, q.source_size, q.target, q.rounds, p.pos, q.lo, least(q.lo + q.words - q.rounds * q.source_size, q.source_size) AS hi1, greatest(q.lo + q.words - q.rounds * q.source_size - q.source_size, 0) AS hi2 FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target, CAST(rounds * size + greatest(least(greatest(hi1 - pos, 0), size) - least(greatest(lo - pos, 0), size), 0) + least(greatest(hi2 - pos, 0), size) AS BIGINT) AS taken FROM j""",
+    "op7_minhash": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+x AS (SELECT doc_id, n, hash(g) AS g FROM s JOIN n USING (doc_id)),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS i, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.i WHERE r.c < l.b),
+c AS (SELECT i, min(c) AS component_id FROM r GROUP BY i)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.i = d.doc_id""",
     "op3_voronoi_knn": r"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
