@@ -18,7 +18,7 @@ from ._common import cut
 PIVOTS = 128
 #: Queries of a block, and data rows that one local search holds.
 QUERY_BLOCK, DATA_SLICE = 512, 20_000
-#: Vectors whose summary rows the k nearest of a cell keep.
+#: Slack of the bounds, as a share of the largest norm, for rounding.
 _EPS = 1e-6
 
 
@@ -50,9 +50,9 @@ def top_products(vectors: DataFrame, k: int = 10, every: int = 100, scale: int =
 
     A further coordinate sqrt(M^2 - |x|^2), M the largest norm, turns inner products into distances, and the join
     is a Voronoi kNN join: rows fall to their nearest pivot; each cell's summary has its count, its radii and its
-    k + 1 smallest distances to the pivot. From the summaries alone comes, for each block of queries of one cell,
+    k + 1 smallest distances to the pivot. From the summaries alone comes, for each cell of queries,
     an upper bound on the k-th distance, and by the triangle inequality which data can be nearer; only those are
-    sent to the block, in slices, each searched locally; slices' winners are merged.
+    sent, to groups of query cells that make a block, in slices, each searched locally; slices' winners are merged.
 
     Vectors of different length cannot be compared: those of the most frequent length take part. Fewer than k
     other rows give fewer results. Repeated ids: each row is a candidate, rows with the query's id are its own
@@ -111,30 +111,39 @@ def top_products(vectors: DataFrame, k: int = 10, every: int = 100, scale: int =
     summary = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi")).toPandas().set_index("cell")
     queries = cells.where(F.col("id") % every == 0)
     queries = queries.groupBy("id").agg(F.min(F.struct("vec", "qcell", "qdist")).alias("q")).select("id", "q.*")
-    # queries of one cell in blocks of near equal distance to the pivot: a block's radius is that of its farthest
     per = {r["qcell"]: r for r in queries.groupBy("qcell").agg(F.count("*").alias("n"), F.max("qdist").alias("hi")).collect()}
-    between = np.sqrt(np.maximum(p2[:, None] + p2[None, :] - 2 * px @ px.T, 0))
-    blocks = F.create_map(*(F.lit(x) for c, r in per.items() for x in (c, max(1, -(-r["n"] // QUERY_BLOCK))))) if per else None
-    if blocks is None:
+    if not per:
         return spark.createDataFrame([], schema)
+    between = np.sqrt(np.maximum(p2[:, None] + p2[None, :] - 2 * px @ px.T, 0))
+    # small query cells near to one another make a group of about a block of queries; large ones are cut into blocks
+    order = sorted(per, key=lambda c: (between[min(per), c], c))
+    group_of, group, have = {}, 0, 0
+    for c in order:
+        if have and have + per[c]["n"] > QUERY_BLOCK:
+            group, have = group + 1, 0
+        group_of[c], have = group, have + per[c]["n"]
+    asked = [sum(per[c]["n"] for c in per if group_of[c] == g) for g in range(group + 1)]
     scale_by = top**0.5 + 1.0
     slack = _EPS * scale_by
-    ranges = []  # (query cell, data cell, least distance to the data pivot, most, slices)
+    ranges: dict[tuple[int, int], tuple[float, float]] = {}  # (query group, data cell): least and most distance to the data pivot
     for c, r in per.items():
         reach = float(r["hi"])
         bound = np.sort(between[c, near["cell"].to_numpy()] + near["dist"].to_numpy() + reach)
         theta = float(bound[k]) if len(bound) > k else math.inf
         for s, cell in summary.iterrows():
-            low = between[c, s] - reach - theta - slack
-            high = between[c, s] + reach + theta + slack
+            low = float(between[c, s] - reach - theta - slack)
+            high = float(between[c, s] + reach + theta + slack)
             if cell["hi"] >= low and cell["lo"] <= high:
-                ranges.append((int(c), int(s), float(low), float(high)))
-    rows = {c: sum(int(summary.loc[s, "n"]) for q, s, *_ in ranges if q == c) for c in per}
-    plan = F.broadcast(spark.createDataFrame([(*x, max(1, -(-rows[x[0]] // DATA_SLICE))) for x in ranges], "qcell int, cell int, low double, high double, slices int"))
-    size = F.broadcast(spark.createDataFrame([(int(c), int(max(1, -(-r["n"] // QUERY_BLOCK))), max(1, -(-rows[c] // DATA_SLICE))) for c, r in per.items()], "qcell int, blocks int, slices int"))
+                was = ranges.get((group_of[c], int(s)), (low, high))
+                ranges[group_of[c], int(s)] = (min(was[0], low), max(was[1], high))
+    rows = [sum(int(summary.loc[s, "n"]) for h, s in ranges if h == g) for g in range(group + 1)]
+    blocks = [max(1, -(-x // QUERY_BLOCK)) for x in asked]
+    slices = [max(1, -(-x // DATA_SLICE)) for x in rows]
+    plan = F.broadcast(spark.createDataFrame([(g, s, *x, blocks[g], slices[g]) for (g, s), x in ranges.items()], "g int, cell int, low double, high double, blocks int, slices int"))
+    groups = F.broadcast(spark.createDataFrame([(int(c), g, blocks[g], slices[g]) for c, g in group_of.items()], "qcell int, g int, blocks int, slices int"))
     sent = cells.select("id", "vec", "cell", "dist").join(plan, "cell").where("dist between low and high")
-    sent = sent.join(size.select("qcell", "blocks"), "qcell").select("qcell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("id"), F.col("slices")).cast("int").alias("slice"), "id", "vec", F.lit(False).alias("asks"))
-    asking = queries.join(size, "qcell").select("qcell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "id", "vec", F.lit(True).alias("asks"))
+    sent = sent.select("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("id"), F.col("slices")).cast("int").alias("slice"), "id", "vec", F.lit(False).alias("asks"))
+    asking = queries.join(groups, "qcell").select("g", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "id", "vec", F.lit(True).alias("asks"))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         q, d = pdf[pdf["asks"]], pdf[~pdf["asks"]].sort_values("id")
@@ -152,6 +161,6 @@ def top_products(vectors: DataFrame, k: int = 10, every: int = 100, scale: int =
                     out += [(query, ids[j], int(s[j])) for j in few if s[j] > -np.inf]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
-    found = sent.unionByName(asking).groupBy("qcell", "block", "slice").applyInPandas(search, "query_id long, vec_id long, score long")
+    found = sent.unionByName(asking).groupBy("g", "block", "slice").applyInPandas(search, "query_id long, vec_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
