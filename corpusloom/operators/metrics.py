@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import as_column, safe_div
+from ..functions.text import safe_div
 
 #: Fixed value: the normal quantile of a 95 % interval.
 Z95 = 1.959963984540054
@@ -89,11 +89,10 @@ def prefix_sums(df: DataFrame, order: Column, columns: Sequence[str], parts: int
 def ranking_metrics(results: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row: positives, negatives, roc_auc (ties count half), average_precision."""
     t = prefix_sums(_by_score(results, label, score), -F.col("s"), ["pos", "n"])
-    neg, cum_neg = F.col("n") - F.col("pos"), F.col("cum_n") - F.col("cum_pos")
+    neg = F.col("n") - F.col("pos")
     # positives that outrank a negative, ties half
     wins = neg.cast("double") * (F.col("cum_pos") - F.col("pos") / 2.0)
     out = t.agg(F.sum("pos").alias("positives"), F.sum(neg).alias("negatives"), F.sum(wins).alias("w"), F.sum(F.col("pos") * (F.col("cum_pos") / F.col("cum_n"))).alias("p"))
-    del cum_neg
     return out.select("positives", "negatives", safe_div(F.col("w"), F.col("positives") * F.col("negatives")).alias("roc_auc"), safe_div(F.col("p"), F.col("positives")).alias("average_precision"))
 
 
@@ -147,6 +146,3 @@ def detection_pattern(*detected: tuple[str, Column]) -> Column:
     """Which models detect a document, as 'a+b', or 'none'."""
     return F.coalesce(F.nullif(F.concat_ws("+", *(F.when(c, n) for n, c in detected)), F.lit("")), F.lit("none"))
 
-
-def as_label(c: Column | str) -> Column:
-    return as_column(c).cast("int")

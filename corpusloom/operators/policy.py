@@ -9,7 +9,6 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.features import anchored, any_pattern
@@ -288,6 +287,3 @@ def positive_class(names: Mapping[int, str]) -> int:
         raise ValueError("the positive class is not clear from the names")
     return found[0]
 
-
-def best_by_priority(df: DataFrame, key: str, *order: Column) -> DataFrame:
-    return df.withColumn("_r", F.row_number().over(W.partitionBy(key).orderBy(*order))).where("_r = 1").drop("_r")

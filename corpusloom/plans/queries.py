@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import features as B
@@ -767,6 +766,3 @@ def revenue_grouping_sets(spark, d):
     revenue = F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2)
     return j.groupingSets([[F.col("n_name"), F.col("r_name")], [F.col("r_name")], []], F.col("n_name"), F.col("r_name")).agg(F.count("*").alias("orders"), revenue.alias("revenue"))
 
-
-def top_rank(df, by, order):
-    return df.withColumn("_r", F.row_number().over(W.partitionBy(by).orderBy(*order))).where("_r = 1").drop("_r")
