@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import CYRILLIC, LATIN, as_column, hash_form, mojibake_score, normalize, text_or_empty, words
+from .text import CYRILLIC, LATIN, as_column, char_count, hash_form, mojibake_score, normalize, text_or_empty, words
 
 # Edges and names of buckets.
 LENGTH_BINS = ((128, "0000-0128"), (256, "0129-0256"), (512, "0257-0512"), (1024, "0513-1024"), (2048, "1025-2048"), (None, "2049+"))
@@ -147,8 +147,8 @@ def quality_score(text: Column | str) -> Column:
     """B15."""
     t = normalize(text)
     n = F.greatest(F.length(t), F.lit(1))
-    alpha = F.regexp_count(t, F.lit(r"\p{L}")) / n
-    printable = 1 - F.regexp_count(t, F.lit(r"[\p{C}\p{Zl}\p{Zp}[\p{Zs}&&[^ ]]]")) / n
+    alpha = char_count(t, r"\p{L}") / n
+    printable = 1 - char_count(t, r"[\p{C}\p{Zl}\p{Zp}[\p{Zs}&&[^ ]]]") / n
     tokens = F.regexp_extract_all(F.lower(t), F.lit(r"(?U)(\w{2,})"))
     many = F.greatest(F.size(tokens), F.lit(1))
     unique = F.size(F.array_distinct(tokens)) / many
@@ -161,7 +161,7 @@ def quality_score(text: Column | str) -> Column:
 def quality_flags(text: Column | str, language: Column | str, short: int = 20) -> Column:
     """Array of the flags raised."""
     t, lang = text_or_empty(text), F.lower(text_or_empty(language))
-    cyr, lat = F.regexp_count(t, F.lit(CYRILLIC)), F.regexp_count(t, F.lit(LATIN))
+    cyr, lat = char_count(t, CYRILLIC), char_count(t, LATIN)
     total = F.greatest(cyr + lat, F.lit(1))
     flags = {
         "empty": F.trim(t) == "", "too_short": (F.trim(t) != "") & (F.length(F.trim(t)) < short), "mojibake": mojibake_score(t) > 0, "zero_width": t.rlike(ZERO_WIDTH),
@@ -247,14 +247,14 @@ def artifacts(text: Column | str) -> Column:
     """struct(digit_share, symbol_density, urls)."""
     t = text_or_empty(text)
     n = F.greatest(F.length(t), F.lit(1))
-    return F.struct((F.regexp_count(t, F.lit("[0-9]")) / n).alias("digit_share"), (F.regexp_count(t, F.lit(r"[{}\[\]<>=:/\\_#|`]")) / n).alias("symbol_density"), F.regexp_count(t, F.lit(r"https?://\S+")).alias("urls"))
+    return F.struct((char_count(t, "[0-9]") / n).alias("digit_share"), (char_count(t, r"[{}\[\]<>=:/\\_#|`]") / n).alias("symbol_density"), F.regexp_count(t, F.lit(r"https?://\S+")).alias("urls"))
 
 
 def language_mismatch(language: Column | str, text: Column | str) -> Column:
     """B29."""
     t, lang = text_or_empty(text), F.lower(text_or_empty(language))
-    n = F.greatest(F.regexp_count(t, F.lit(r"\p{L}")), F.lit(1))
-    cyr, lat = F.regexp_count(t, F.lit(CYRILLIC)) / n, F.regexp_count(t, F.lit(LATIN)) / n
+    n = F.greatest(char_count(t, r"\p{L}"), F.lit(1))
+    cyr, lat = char_count(t, CYRILLIC) / n, char_count(t, LATIN) / n
     return ((lang == "ru") & (lat > 0.55) & (cyr < 0.30)) | ((lang == "en") & (cyr > 0.40)) | ((lang == "mixed") & ((lat < 0.05) | (cyr < 0.05)))
 
 

@@ -35,6 +35,11 @@ def text_or_empty(c: Column | str) -> Column:
     return F.coalesce(as_column(c).cast("string"), F.lit(""))
 
 
+def char_count(t: Column, chars: str) -> Column:
+    """How many characters of a class a text has, without an array of them."""
+    return F.length(t) - F.length(F.regexp_replace(t, f"{chars}+", ""))
+
+
 def normalize(c: Column | str) -> Column:
     """every run of Unicode white space becomes one space, ends stripped; null becomes empty."""
     return F.trim(F.regexp_replace(text_or_empty(c), SPACES, " "))
@@ -193,7 +198,7 @@ def infer_language(c: Column | str, dialect: str = "ratio") -> Column:
     t = text_or_empty(c)
     if dialect == "head":
         t = F.left(t, F.lit(2000))
-    cyr, lat = F.regexp_count(t, F.lit(CYRILLIC)), F.regexp_count(t, F.lit(LATIN))
+    cyr, lat = char_count(t, CYRILLIC), char_count(t, LATIN)
     least, most = F.least(cyr, lat), F.greatest(cyr, lat)
     if dialect == "ratio":
         return F.when((least > 0) & (least / most >= 0.12), "mixed").when(cyr > lat, "ru").when(lat > 0, "en").otherwise("unknown")
@@ -216,8 +221,8 @@ def canonical_language(value: Column | str, text: Column | str) -> Column:
 def script_counts(c: Column | str) -> Column:
     """F25."""
     t = text_or_empty(c)
-    cyr, lat = F.regexp_count(t, F.lit("[Ѐ-ԯ]")), F.regexp_count(t, F.lit(LATIN))
-    return F.struct(cyr.alias("cyrillic"), lat.alias("latin"), F.regexp_count(t, F.lit(r"[\p{L}&&[^A-Za-zЀ-ԯ]]")).alias("other_alpha"))
+    cyr, lat = char_count(t, "[Ѐ-ԯ]"), char_count(t, LATIN)
+    return F.struct(cyr.alias("cyrillic"), lat.alias("latin"), char_count(t, r"[\p{L}&&[^A-Za-zЀ-ԯ]]").alias("other_alpha"))
 
 
 def char_entropy(c: Column | str) -> Column:
