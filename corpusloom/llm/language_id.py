@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Characters of the longest n-gram, and about how many labelled documents of a language teach it. The bound keeps the models' tables (broadcast) under about 50 MB for ten languages.
 ORDER, TAUGHT = 4, 800
 #: A document is rejected if its best cross-entropy exceeds that of taught documents by so many deviations, and by so many nats.
-DEVIATIONS, SLACK = 8.0, 0.5
+DEVIATIONS, SLACK = 8.0, 1.5
 #: Sharpness of the score over cross-entropies in nats a character.
 SHARP = 12.0
 _WORDS = 100_000
