@@ -1,4 +1,4 @@
-"""Line deduplication by pairwise alignment of documents that share lines."""
+"""Line deduplication: blocks of equal lines that stand in an earlier document too."""
 
 from __future__ import annotations
 
@@ -14,36 +14,62 @@ from ._common import cut
 
 #: Words of an aligned block that is deleted, at least.
 MIN_WORDS = 10
-_PRIME = (1 << 61) - 1
-_BASE = 1_000_003
 
 
 def split_lines(text: str) -> list[str]:
     return text.split("\n")
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the lines with words: doc_id, place, hash, the rolling hash of all lines before it, its words, those
-    of all lines before it, and whether the document has it once."""
-    schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int32()), ("h", pa.int64()), ("before", pa.int64()), ("words", pa.int32()), ("words_before", pa.int64()), ("once", pa.bool_())])
-    for whole in batches:
-        for at in range(0, whole.num_rows, 1000):
-            batch = whole.slice(at, 1000)
-            out: tuple[list, ...] = ([], [], [], [], [], [], [])
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                rolling, total, seen, rows = 0, 0, {}, []
-                for place, line in enumerate(split_lines(text)):
-                    words = line.split()
-                    h = xxhash.xxh3_64_intdigest(" ".join(words))
-                    if words:
-                        seen[h] = seen.get(h, 0) + 1
-                        rows.append((doc_id, place, h - (1 << 63), rolling, len(words), total))
-                        total += len(words)
-                    rolling = (rolling * _BASE + h) % _PRIME
-                for r in rows:
-                    for column, value in zip(out, (*r, seen[r[2] + (1 << 63)] == 1), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema, strict=True)], schema=schema)
+def windows_of(text: str, min_words: int) -> list[tuple[int, int, bytes]]:
+    """(start, stop, digest) of the shortest runs of lines with `min_words` words that start or end at each line with
+    words, and of those that lead over blank lines after a line that has them alone.
+
+    Each line of a block of equal lines with so many words, and each blank line in it, lies in such a run inside the
+    block: one that starts at the line (or at the last line with words before it), or, where the rest of the block
+    has too few words, the one that ends with the block.
+    """
+    places, sums, records = [], [0], []
+    for place, line in enumerate(split_lines(text)):
+        words = line.split()
+        if words:
+            records.append((place - places[-1] if places else 0).to_bytes(4, "little") + xxhash.xxh3_128_digest(" ".join(words)))
+            places.append(place)
+            sums.append(sums[-1] + len(words))
+    if not places or sums[-1] < min_words:
+        return []
+    size, n, whole = len(records[0]), len(places), memoryview(b"".join(records))
+    runs: set[tuple[int, int]] = set()
+    j = 0
+    for i in range(n):  # forward: from line i to the first j that completes it
+        j = max(j, i)
+        while j < n and sums[j + 1] - sums[i] < min_words:
+            j += 1
+        if j == n:
+            break
+        runs.add((i, j))
+        if j == i and i + 1 < n and places[i + 1] > places[i] + 1:
+            runs.add((i, i + 1))
+    i = 0
+    for j in range(n):  # backward: from the last i that completes it to line j
+        while i < j and sums[j + 1] - sums[i + 1] >= min_words:
+            i += 1
+        if sums[j + 1] - sums[i] >= min_words:
+            runs.add((i, j))
+    # the distance to the line before counts, but for the first line of a run
+    return [(places[i], places[j] + 1, xxhash.xxh3_128_digest(whole[i * size + 4 : (j + 1) * size])) for i, j in runs]
+
+
+def _windows(min_words: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("h", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
+                out = [(doc_id, *x) for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for x in windows_of(text, min_words)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    return run
 
 
 def patience(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -64,76 +90,36 @@ def patience(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-#: A line both have once: its place, rolling hash before it, words and words before it; place and rolling hash in the earlier document.
-Shared = tuple[int, int, int, int, int, int]
-
-
-def blocks_of(shared: list[Shared], min_words: int) -> list[tuple[int, int, int]]:
-    """Aligned blocks (start, stop, words) of one later document against one earlier document."""
-    rows = {(r[0], r[4]): r for r in shared}
-    out: list[tuple[int, int, int]] = []
-    block: list[Shared] = []
-
-    def close() -> None:
-        if block:
-            words = block[-1][3] + block[-1][2] - block[0][3]
-            if words >= min_words:
-                out.append((block[0][0], block[-1][0] + 1, words))
-
-    for at in patience(list(rows)):
-        r = rows[at]
-        if block:
-            last = block[-1]
-            gap = r[0] - last[0]
-            same = gap == r[4] - last[4]
-            if same and gap > 1:  # the lines between are equal if the rolling hashes say so
-                shift = pow(_BASE, gap, _PRIME)
-                same = (r[1] - last[1] * shift - r[5] + last[5] * shift) % _PRIME == 0
-            if not same:
-                close()
-                block = []
-        block.append(r)
-    close()
-    return out
-
-
-def _aligned(min_words: int):
-    names = ("place", "before", "words", "words_before", "other", "other_before")
-    schema = pa.schema([("doc_id", pa.int64()), ("first_id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by pair of documents; a pair's rows may go on in the next batch."""
-        now, held = None, []
-        for batch in batches:
-            out: list[tuple] = []
-            for doc_id, first_id, *r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "first_id", *names)), strict=True):
-                if (doc_id, first_id) != now:
-                    out += [(*now, *x) for x in blocks_of(held, min_words)] if now else []
-                    now, held = (doc_id, first_id), []
-                held.append(tuple(r))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(schema)], schema=schema)
-        out = [(*now, *x) for x in blocks_of(held, min_words)] if now else []
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by document and start; a document's rows may go on in the next batch."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
+    now: tuple[int, int, int] | None = None
+    for batch in batches:
+        out = []
+        for doc_id, start, stop in zip(*(batch.column(c).to_pylist() for c in schema.names), strict=True):
+            if now and now[0] == doc_id and start <= now[2]:
+                now = (doc_id, now[1], max(now[2], stop))
+            else:
+                out += [now] if now else []
+                now = (doc_id, start, stop)
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(schema)], schema=schema)
-
-    return run
+    yield pa.RecordBatch.from_arrays([pa.array([x] if now else [], f.type) for x, f in zip(now or (0, 0, 0), schema, strict=True)], schema=schema)
 
 
 def aligned_blocks(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, first_id, start, stop, words: blocks of lines [start, stop) of a document that stand, aligned, in an
-    earlier document (smaller id) too.
+    """doc_id, start, stop: the lines [start, stop) of a document that lie in blocks which stand, line by line and of
+    `min_words` words or more, in an earlier document (smaller id) too; blocks that meet are one.
 
-    Each line links a document to just the earliest one that has it, so a line in many documents costs no more
-    than its occurrences, and no line is left out for being frequent. The lines that two documents both have once
-    are aligned by patience sorting; neighbours in the alignment that are as far apart in both documents, with
-    equal lines between, make a block.
+    Every earlier document counts, not a chosen partner: of any block that aligning two documents could find, each
+    line lies in one of the block's shortest runs of lines with so many words (`windows_of`), and a document with
+    an equal run holds it whole. So the runs' digests are grouped, with their smallest doc_id, in place of pairs of
+    documents; a frequent or repeated line costs its occurrences, and none is left out.
     """
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    lines = cut(rows.mapInArrow(_lines, "doc_id long, place int, h long, before long, words int, words_before long, once boolean"))
-    shared = lines.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id").select("h", "first_id")
-    found = cut(lines.where("once").join(cut(shared), "h"))
-    firsts = found.where("doc_id = first_id").groupBy("h").agg(F.min("place").alias("other"), F.min_by("before", "place").alias("other_before"))
-    pairs = found.where("doc_id > first_id").join(cut(firsts), "h").repartition("doc_id", "first_id").sortWithinPartitions("doc_id", "first_id", "place")
-    return pairs.mapInArrow(_aligned(min_words), "doc_id long, first_id long, start int, stop int, words long")
+    runs = cut(rows.mapInArrow(_windows(min_words), "doc_id long, start int, stop int, h binary"))
+    shared = runs.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id").select("h", "first_id")
+    found = runs.join(cut(shared), "h").where("doc_id > first_id").select("doc_id", "start", "stop")
+    return found.repartition("doc_id").sortWithinPartitions("doc_id", "start").mapInArrow(_merged, "doc_id long, start int, stop int")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,7 +131,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     rows with one id against each other (they are one document). An empty table gives an empty result. Other
     columns are ignored.
     """
-    blocks = aligned_blocks(docs, min_words, id_col, text_col).distinct()
+    blocks = aligned_blocks(docs, min_words, id_col, text_col)
     spans = blocks.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = rows.alias("d").join(spans.select(F.col("doc_id").alias("_id"), "spans"), F.col("d.doc_id") == F.col("_id"), "left").drop("_id")

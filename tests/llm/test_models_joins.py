@@ -232,3 +232,37 @@ def test_line_dedup_finds_shared_passages(docs):
         lines = before[r.doc_id].split("\n")
         gone = [lines[i] for s in r.spans for i in range(s.start, s.stop)]
         assert len(gone) == r.removed_lines and all(first[" ".join(x.split())] < r.doc_id or not x.split() for x in gone)
+
+
+def test_line_dedup_deletes_copies_whose_lines_stand_first_elsewhere(spark):
+    """A copy goes whole though each of its lines has its first occurrence in a document of its own."""
+    names = [f"n{i}" for i in range(12)]
+    rows = [(i, lines_of(n, f"own{i}")) for i, n in enumerate(names)] + [(50, lines_of(*names)), (60, lines_of(*names)), (61, lines_of("p", *names[3:9], "q"))]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].removed_lines == 0 for i in (*range(12), 50))
+    assert got[60].text == "" and got[60].removed_lines == 12 and got[61].text == lines_of("p", "q")
+
+
+def brute_shared_lines(texts, min_words):
+    """Per document the places in runs of equal lines, at least `min_words` words, that an earlier document holds too."""
+    lines = {i: [" ".join(x.split()) for x in t.split("\n")] for i, t in texts.items()}
+    out = {i: set() for i in texts}
+    for i, a in lines.items():
+        for b in (lines[j] for j in texts if j < i):
+            for x in range(len(a)):
+                for y in range(len(b)):
+                    n = 0
+                    while x + n < len(a) and y + n < len(b) and a[x + n] == b[y + n]:
+                        n += 1
+                        if a[x] and a[x + n - 1] and sum(len(w.split()) for w in a[x : x + n]) >= min_words:
+                            out[i] |= set(range(x, x + n))
+    return out
+
+
+def test_line_dedup_equals_brute_force(spark):
+    rng = random.Random(5)
+    pool = ["", "", "a", "b b", "c c c c", "d " * 9, "e " * 10, "f " * 14]
+    texts = {i: "\n".join(rng.choice(pool) for _ in range(rng.randrange(14))) for i in range(60)}
+    want = brute_shared_lines(texts, 10)
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: {i for s in r.spans for i in range(s.start, s.stop)} for r in got} == want and sum(map(len, want.values())) > 100
