@@ -266,3 +266,13 @@ def test_line_dedup_equals_brute_force(spark):
     want = brute_shared_lines(texts, 10)
     got = line_dedup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
     assert {r.doc_id: {i for s in r.spans for i in range(s.start, s.stop)} for r in got} == want and sum(map(len, want.values())) > 100
+
+
+def test_line_dedup_links_repeated_passages(spark):
+    """A passage goes from later documents though the first one, or the later one itself, has it twice or each line is repeated."""
+    passage = "\n".join(" ".join(f"{n}{i}" for i in range(10)) for n in "abcde")
+    hum = "la la la la\n\nla la la la\n\nla la la la"
+    rows = [(1, f"{passage}\none\n{passage}"), (2, f"two\n{passage}\nthree"), (3, f"{passage}\nfour\n{passage}"), (4, f"five\n{hum}"), (5, f"{hum}\nsix"), (6, f"{passage}\n\n{passage}")]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].removed_lines == got[4].removed_lines == 0
+    assert [got[i].text for i in (2, 3, 5, 6)] == ["two\nthree", "four", "six", ""]
