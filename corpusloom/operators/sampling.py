@@ -161,6 +161,22 @@ def band_mix(df: DataFrame, band: str, shares: Mapping[str, float], total: int,
     return quota_with_refill(capped(df, caps, key, seed), quotas, [band], key, total, seed)
 
 
+def bundle_counts(a: int, b: int, got_a: int, got_b: int, want_a: int, want_b: int, least_benign: int = 2) -> tuple[int, int]:
+    """The counts (attack, benign) of at most (a, b) and of what the targets still lack that bring the ratio nearest to
+    the targets', the most rows of equal ones. For each attack count the error falls, then rises with the benign count, so
+    that only the counts beside the exact one, and the ends of the range and of its penalty, can be best."""
+    most_a, most_b, least = max(min(a, want_a - got_a), 0), max(min(b, want_b - got_b), 0), min(least_benign, b)
+    best = (math.inf, 0, 0)
+    for x in range(most_a + 1):
+        level = (got_a + x) * want_b
+        exact = level // want_a - got_b if want_a else most_b
+        for y in {min(max(y, 0), most_b) for y in (exact, exact + 1, least - 1, least, 0, 1, most_b)}:
+            if x + y:
+                error = abs(level - (got_b + y) * want_a) + (want_a + want_b) * (y < least) - 1e-6 * (x + y)
+                best = min(best, (error, x, y))
+    return best[1], best[2]
+
+
 def carrier_bundles(df: DataFrame, carrier: str, label: str, targets: tuple[int, int], key: str, seed: int = 42, least_benign: int = 2) -> DataFrame:
     """Q14: whole bundles of a carrier, in seeded order, each cut to the counts (attack, benign) that bring the
     running ratio nearest to the targets' ratio, with at least two benign rows where it has them."""
@@ -172,14 +188,9 @@ def carrier_bundles(df: DataFrame, carrier: str, label: str, targets: tuple[int,
         for pdf in parts:
             out = []
             for c, a, b in pdf[[carrier, "a", "b"]].itertuples(index=False, name=None):
-                best = (math.inf, 0, 0)
-                for x in range(min(a, 8, want_a - got_a) + 1):
-                    for y in range(min(b, 8, want_b - got_b) + 1):
-                        if x + y:
-                            error = abs((got_a + x) * want_b - (got_b + y) * want_a) + (want_a + want_b) * (y < min(least_benign, b)) - 1e-6 * (x + y)
-                            best = min(best, (error, x, y))
-                got_a, got_b = got_a + best[1], got_b + best[2]
-                out.append((c, best[1], best[2]))
+                best = bundle_counts(a, b, got_a, got_b, want_a, want_b, least_benign)
+                got_a, got_b = got_a + best[0], got_b + best[1]
+                out.append((c, *best))
             yield pd.DataFrame(out, columns=[carrier, "take_a", "take_b"])
 
     kind = df.schema[carrier].dataType.simpleString()

@@ -148,6 +148,27 @@ def test_selection(spark):
     assert mix.count() == 20
 
 
+def grid_counts(a, b, got_a, got_b, want_a, want_b, least):
+    best = (math.inf, 0, 0)
+    for x in range(min(a, want_a - got_a) + 1):
+        for y in range(min(b, want_b - got_b) + 1):
+            if x + y:
+                error = abs((got_a + x) * want_b - (got_b + y) * want_a) + (want_a + want_b) * (y < min(least, b)) - 1e-6 * (x + y)
+                best = min(best, (error, x, y))
+    return best[1:]
+
+
+def test_carrier_bundles_of_any_size(spark):
+    rng = random.Random(3)
+    for _ in range(1500):
+        want_a, want_b = rng.randrange(40), rng.randrange(40)
+        case = (rng.randrange(30), rng.randrange(30), rng.randint(0, want_a), rng.randint(0, want_b), want_a, want_b, rng.randrange(4))
+        assert Q.bundle_counts(*case) == grid_counts(*case), case
+    df = spark.createDataFrame([(i, i // 100, i % 2) for i in range(200)], "id long, c long, label int")
+    got = {r.label: r["count"] for r in Q.carrier_bundles(df, "c", "label", (40, 60), "id").groupBy("label").count().collect()}
+    assert got == {0: 60, 1: 40}
+
+
 def test_splits(spark):
     df = spark.createDataFrame([(i, f"s{i % 4}", i % 2, f"k{i // 3}", None if i % 5 else "train") for i in range(120)], "id long, s string, label int, k string, hint string")
     assert S.random_split(df, "id", 30).where("split = 'validation'").count() == 30
