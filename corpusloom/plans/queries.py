@@ -322,7 +322,7 @@ def fragment_visibility(spark, d):
 
 @query()
 def injected_windows(spark, d):
-    payloads = read(spark, d, "benchmark").select(F.col("item_id").alias("payload_id"), F.substring("text", 1, 200).alias("payload"))
+    payloads = read(spark, d, "benchmark").select(F.col("item_id").alias("payload_id"), F.col("text").alias("payload"))
     return V.inject(read(spark, d, "documents"), payloads).drop("window_text")
 
 
