@@ -208,6 +208,11 @@ def short_previews(spark, d):
     return t.where("n <= 60")
 
 
+@query(f"""SELECT doc_id, CASE WHEN length({norm()}) <= 60 THEN {norm()} ELSE rtrim(left({norm()}, 57)) || '...' END AS preview, length({norm()}) AS n FROM documents""")
+def previews(spark, d):
+    return read(spark, d, "documents").select("doc_id", T.preview("text", 60).alias("preview"), F.length(T.normalize("text")).alias("n"))
+
+
 @query("""SELECT doc_id, substr(text, 1 + CAST(('0x' || substr(sha256(concat_ws(':', '42', text)), 1, 8))::BIGINT % (greatest(length(text) - 200, 0) + 1) AS INT), 200) AS crop FROM documents""")
 def random_crop(spark, d):
     return read(spark, d, "documents").select("doc_id", T.crop_random("text", 200).alias("crop"))
