@@ -379,6 +379,14 @@ def exclusion_reason_counts(spark, d):
     return t.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("rows"))
 
 
+@query(f"""WITH i AS (SELECT DISTINCT sha256({hform()}) AS h FROM benchmark), s AS (SELECT DISTINCT sha256(concat(left({hform()}, 200), ' ... ', right({hform()}, 200))) AS h FROM benchmark), e AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS h FROM benchmark)
+SELECT CASE WHEN sha256({hform()}) IN (SELECT h FROM i) THEN 'text_hash' WHEN CAST(doc_id AS VARCHAR) IN (SELECT h FROM e) THEN 'document_id' WHEN sha256(concat(left({hform()}, 200), ' ... ', right({hform()}, 200))) IN (SELECT h FROM s) THEN 'long_signature' ELSE 'kept' END AS reason, count(*) AS rows FROM documents GROUP BY 1""")
+def exclusion_all_reason_counts(spark, d):
+    index = X.exclusion_index({"benchmark": read(spark, d, "benchmark")}, "item_id")
+    t = X.exclusion_reasons(read(spark, d, "documents"), index)
+    return t.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("rows"))
+
+
 SPLIT = f"CASE WHEN CAST('0x' || substr({rkey('doc_id')}, 1, 13) AS BIGINT) / pow(16.0, 13) < 0.2 THEN 'validation' ELSE 'train' END"
 
 
@@ -419,6 +427,18 @@ def any_key_match(spark, d):
     return J.any_key_match(*pools, "doc_id", ["source", "prefix"]).select("doc_id", F.array_join("kinds", ",").alias("kinds"))
 
 
+@query(f"""WITH t AS (SELECT doc_id, unnest([{{'kind': 'document_id', 'v': CAST(doc_id AS VARCHAR)}}, {{'kind': 'prefix', 'v': left({hform()}, 40)}}, {{'kind': 'text_hash', 'v': sha256({hform()})}}], recursive := true) FROM documents),
+l AS (SELECT 'document_id' AS kind, CAST(doc_id AS VARCHAR) AS v FROM labels UNION SELECT 'prefix', left({hform()}, 40) FROM benchmark UNION SELECT 'text_hash', sha256({hform()}) FROM benchmark)
+SELECT doc_id, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds FROM t JOIN l USING (kind, v) WHERE v <> '' GROUP BY doc_id""")
+def any_key_match_locked(spark, d):
+    """All documents against all texts of the benchmark and all ids of the labels."""
+    keys = lambda i: [i.alias("document_id"), F.left(T.hash_form("text"), F.lit(40)).alias("prefix"), T.text_hash("text", 64).alias("text_hash")]
+    docs = read(spark, d, "documents").select("doc_id", *keys(F.col("doc_id").cast("string")))
+    locked = read(spark, d, "benchmark").select(F.lit(None).cast("long").alias("doc_id"), *keys(F.lit(None).cast("string")))
+    locked = locked.unionByName(read(spark, d, "labels").select("doc_id", F.col("doc_id").cast("string").alias("document_id")), allowMissingColumns=True)
+    return J.any_key_match(docs, locked, "doc_id", ["document_id", "prefix", "text_hash"]).select("doc_id", F.array_join("kinds", ",").alias("kinds"))
+
+
 # --- metrics
 @query(f"WITH {DOC}, c AS (SELECT threshold, {counts_sql('label', 'score >= threshold')} FROM dl, {ALL_T} GROUP BY threshold) SELECT threshold, {rates_sql()} FROM c")
 def threshold_sweep(spark, d):
@@ -486,6 +506,14 @@ def reconcile_full_outer(spark, d):
     return J.reconcile(b.where("doc_id % 7 <> 0"), b.where("doc_id % 11 <> 0").withColumn("best_score", F.when(F.col("doc_id") % 5 == 0, F.col("best_score") + 0.001).otherwise(F.col("best_score"))), "doc_id", "best_score")
 
 
+@query(f"""WITH a AS (WITH {BEST} SELECT doc_id, best_score AS x FROM best), b AS (WITH {BEST.replace(windows_sql(), windows_sql(127, 64))} SELECT doc_id, best_score AS y FROM best JOIN labels USING (doc_id)),
+j AS (SELECT a.doc_id AS i, b.doc_id AS k, x, y FROM a FULL JOIN b USING (doc_id)) SELECT count(*) FILTER (k IS NULL) AS missing, count(*) FILTER (i IS NULL) AS extra, count(*) FILTER (i IS NOT NULL AND k IS NOT NULL AND abs(x - y) > 1e-8) AS mismatching, count(*) FILTER (i IS NOT NULL AND k IS NOT NULL AND abs(x - y) <= 1e-8) AS matching FROM j""")
+def reconcile_windowings(spark, d):
+    """Best scores of all documents against those of all labelled ones in windows of half the length."""
+    w = V.explode_windows(read(spark, d, "documents").select("doc_id", "text"), "text", 127, 64).withColumn("score", T.unit(F.concat_ws(":", "doc_id", "window_index")))
+    return J.reconcile(best_windows(spark, d), V.best_window(w).join(read(spark, d, "labels"), "doc_id"), "doc_id", "best_score")
+
+
 # --- reports
 @query("""WITH p AS (SELECT lang AS k, count(*) / (SELECT count(*) FROM documents WHERE source = 'src0') AS p FROM documents WHERE source = 'src0' GROUP BY 1), q AS (SELECT lang AS k, count(*) / (SELECT count(*) FROM documents WHERE source <> 'src0') AS q FROM documents WHERE source <> 'src0' GROUP BY 1),
 j AS (SELECT coalesce(p, 0.0) AS p, coalesce(q, 0.0) AS q FROM p FULL JOIN q USING (k)) SELECT round(0.5 * sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) + 0.5 * sum(CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END), 10) AS jsd FROM j""")
