@@ -50,7 +50,7 @@ def top_products(vectors: DataFrame, k: int = 10, every: int = 100, scale: int =
 
     A further coordinate sqrt(M^2 - |x|^2), M the largest norm, turns inner products into distances, and the join
     is a Voronoi kNN join: rows fall to their nearest pivot; each cell's summary has its count, its radii and its
-    k + 1 smallest distances to the pivot. From the summaries alone comes, for each cell of queries,
+    k + 1 smallest distances to the pivot, of different ids. From the summaries alone comes, for each cell of queries,
     an upper bound on the k-th distance, and by the triangle inequality which data can be nearer; only those are
     sent, to groups of query cells that make a block, in slices, each searched locally; slices' winners are merged.
 
@@ -99,15 +99,15 @@ def top_products(vectors: DataFrame, k: int = 10, every: int = 100, scale: int =
     cells = cut(data.mapInArrow(assign, "id long, vec binary, cell int, dist double, qcell int, qdist double"))
 
     def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, list[float]] = {}
+        best = pd.DataFrame({"cell": np.zeros(0, np.int32), "id": np.zeros(0, np.int64), "dist": np.zeros(0)})
         for batch in batches:
-            for c, part in pd.DataFrame({"c": batch.column("cell").to_numpy(), "d": batch.column("dist").to_numpy()}).groupby("c")["d"]:
-                best[c] = sorted(best.get(c, []) + part.nsmallest(k + 1).tolist())[: k + 1]
-        flat = [(c, d) for c, ds in best.items() for d in ds]
-        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in flat], pa.int32()), pa.array([d for _, d in flat], pa.float64())], names=["cell", "dist"])
+            rows = pd.concat([best, pd.DataFrame({c: batch.column(c).to_numpy() for c in best.columns})])
+            best = rows.sort_values(["cell", "dist", "id"]).drop_duplicates(["cell", "id"]).groupby("cell").head(k + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(best["cell"], pa.int32()), pa.array(best["id"], pa.int64()), pa.array(best["dist"], pa.float64())], names=["cell", "id", "dist"])
 
-    near = cells.select("cell", "dist").mapInArrow(smallest, "cell int, dist double")
-    near = near.withColumn("r", F.row_number().over(W.partitionBy("cell").orderBy("dist"))).where(F.col("r") <= k + 1).drop("r").toPandas()
+    # a row of each id: of k + 1 ids, one at most is the query's own
+    near = cells.select("cell", "id", "dist").mapInArrow(smallest, "cell int, id long, dist double").groupBy("cell", "id").agg(F.min("dist").alias("dist"))
+    near = near.withColumn("r", F.row_number().over(W.partitionBy("cell").orderBy("dist", "id"))).where(F.col("r") <= k + 1).drop("r").toPandas()
     summary = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi")).toPandas().set_index("cell")
     queries = cells.where(F.col("id") % every == 0)
     queries = queries.groupBy("id").agg(F.min(F.struct("vec", "qcell", "qdist")).alias("q")).select("id", "q.*")
@@ -128,7 +128,7 @@ def top_products(vectors: DataFrame, k: int = 10, every: int = 100, scale: int =
     ranges: dict[tuple[int, int], tuple[float, float]] = {}  # (query group, data cell): least and most distance to the data pivot
     for c, r in per.items():
         reach = float(r["hi"])
-        bound = np.sort(between[c, near["cell"].to_numpy()] + near["dist"].to_numpy() + reach)
+        bound = np.sort(pd.Series(between[c, near["cell"].to_numpy()] + near["dist"].to_numpy() + reach).groupby(near["id"].to_numpy()).min())
         theta = float(bound[k]) if len(bound) > k else math.inf
         for s, cell in summary.iterrows():
             low = float(between[c, s] - reach - theta - slack)

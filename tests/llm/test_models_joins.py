@@ -198,6 +198,21 @@ def test_knn_against_brute_force(spark):
     assert knn_join.top_products(df.where("vec_id in (0, 1, 2)")).count() == 2
 
 
+def test_knn_bounds_ignore_repeated_rows_of_the_query(spark):
+    """Twelve rows with the query's id, all on a pivot, are no neighbours and bound nothing."""
+    rng = np.random.default_rng(4)
+    units = rng.normal(size=(1001, 8))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    own = [float(x) for x in 2 * units[0]]
+    ids = spark.createDataFrame([(100 * i, own) for i in range(1, 3000)], "vec_id long, embedding array<float>")
+    query = knn_join.quantised(ids, "vec_id", "embedding", 1024).orderBy(F.xxhash64("id", "vec")).first()["id"]  # among the pivots
+    vectors = [(query, own)] * 12 + [(100 * i + 1, units[i].tolist()) for i in range(1, 1001)]
+    got = sorted(tuple(r) for r in knn_join.top_products(spark.createDataFrame(vectors, "vec_id long, embedding array<float>")).collect())
+    q = {i: np.floor(1024 * np.array(v, np.float32).astype(float)) for i, v in vectors}
+    best = sorted((-int(q[query] @ v), i) for i, v in q.items() if i != query)[:10]
+    assert got == [(query, r + 1, i, -x) for r, (x, i) in enumerate(best)]
+
+
 def test_patience_and_blocks():
     assert line_dedup.patience([(0, 5), (1, 0), (2, 1), (3, 2), (4, 9)]) == [(1, 0), (2, 1), (3, 2), (4, 9)]
     assert line_dedup.patience([]) == []
