@@ -1,4 +1,4 @@
-"""Gates and audits: assertions over aggregates."""
+"""Gates and audits: assertions over aggregates."""
 
 from __future__ import annotations
 

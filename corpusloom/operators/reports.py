@@ -1,4 +1,4 @@
-"""Reports over labelled corpora."""
+"""Reports over labelled corpora."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Seeded sampling, quotas and capped selection."""
+"""Seeded sampling, quotas and capped selection."""
 
 from __future__ import annotations
 
@@ -221,6 +221,42 @@ def take_until(df: DataFrame, units: str, target: int, by: Sequence[str], *order
     return df.withColumn("_u", F.coalesce(F.sum(units).over(w), F.lit(0))).where(F.col("_u") < target).drop("_u")
 
 
+def hard_examples(windows: DataFrame, target: int, per_document: int = 2, per_source: int | None = None, unsafe: str | None = None, unsafe_cap: int = 0, gap: int = 128, id_col: str = "doc_id", source: str = "source_name", seed: int = 42) -> DataFrame:
+    """T5, exact: windows (id, window_index, token_start, score, source), documents in seeded order, each one's by
+    falling score: one is taken if its document, its source and, where the column `unsafe` is true, all unsafe
+    sources have room, and if it starts `gap` tokens or more from those taken of the document; `target` at most."""
+    most = target if per_source is None else per_source
+
+    def accept() -> Callable[..., bool]:
+        sources: dict = {}
+        doc, starts, n, n_unsafe = None, [], 0, 0
+
+        def decide(d: object, s: object, start: int, risky: bool) -> bool:
+            nonlocal doc, starts, n, n_unsafe
+            if d != doc:
+                doc, starts = d, []
+            if n >= target or len(starts) >= per_document or sources.get(s, 0) >= most or (risky and n_unsafe >= unsafe_cap) or any(abs(start - x) < gap for x in starts):
+                return False
+            starts.append(start)
+            sources[s], n, n_unsafe = sources.get(s, 0) + 1, n + 1, n_unsafe + bool(risky)
+            return True
+
+        return decide
+
+    risky = F.coalesce(F.col(unsafe).cast("boolean"), F.lit(False)) if unsafe else F.lit(False)
+    t = windows.withColumn("_risky", risky).withColumn("_id", F.concat_ws(":", F.col(id_col).cast("string"), F.col("window_index").cast("string")))
+    return ordered_fold(t, [id_col, source, "token_start", "_risky"], [random_key(seed, id_col), F.col(id_col), F.desc("score"), F.col("window_index")], accept, "_id").drop("_id", "_risky")
+
+
+def scan_until(df: DataFrame, accept: Column, most: int, scan: int, *order: Column | str, distinct: str | None = None) -> DataFrame:
+    """The first `most` accepted rows among the first `scan` rows in order, each value of `distinct` once; what
+    follows is not looked at."""
+    t = df.orderBy(*order).limit(scan).where(accept)
+    if distinct:
+        t = t.withColumn("_r", F.row_number().over(W.partitionBy(distinct).orderBy(*order))).where("_r = 1").drop("_r")
+    return t.orderBy(*order).limit(most)
+
+
 def unique_rendered(spark, most: int, template: str, seed: int = 42, tries: int = 4, **options: Sequence[str]) -> DataFrame:
     """Q20: up to `most` different texts from a template, in seeded order."""
     from ..functions.text import render

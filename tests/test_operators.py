@@ -9,6 +9,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import random_key
 from corpusloom.operators import dedupe as N
 from corpusloom.operators import gates as G
 from corpusloom.operators import identity as X
@@ -169,6 +170,28 @@ def test_carrier_bundles_of_any_size(spark):
     assert got == {0: 60, 1: 40}
 
 
+def test_hard_examples_and_early_stop(spark):
+    rng = random.Random(8)
+    rows = [(d, w, w * 64, rng.random(), f"s{d % 3}", d % 3 == 0) for d in range(40) for w in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, window_index int, token_start int, score double, source_name string, risky boolean")
+    order = [r.doc_id for r in df.select("doc_id").distinct().orderBy(random_key(42, "doc_id")).collect()]
+    for target, per_source, unsafe_cap in ((30, 20, 4), (1000, 1000, 7), (1000, 9, 1000)):
+        want, by_source = [], {}
+        for d in order:
+            kept = []
+            for r in sorted((r for r in rows if r[0] == d), key=lambda r: -r[3]):
+                full = len(kept) == 2 or by_source.get(r[4], 0) >= per_source or (r[5] and by_source.get("unsafe", 0) >= unsafe_cap)
+                if not full and all(abs(r[2] - x[2]) >= 128 for x in kept):
+                    kept.append(r)
+                    for k in [r[4]] + ["unsafe"] * r[5]:
+                        by_source[k] = by_source.get(k, 0) + 1
+            want += kept
+        got = Q.hard_examples(df, target, 2, per_source, "risky", unsafe_cap).collect()
+        assert sorted(map(tuple, got)) == sorted(want[:target]) and len(got) > 15
+    scan = lambda *a, **k: [r.id for r in Q.scan_until(spark.range(100).withColumn("h", F.col("id") % 8), F.col("id") % 2 == 0, *a, "id", **k).collect()]
+    assert scan(3, 50) == [0, 2, 4] and scan(50, 7) == [0, 2, 4, 6] and scan(9, 50, distinct="h") == [0, 2, 4, 6]
+
+
 def test_splits(spark):
     df = spark.createDataFrame([(i, f"s{i % 4}", i % 2, f"k{i // 3}", None if i % 5 else "train") for i in range(120)], "id long, s string, label int, k string, hint string")
     assert S.random_split(df, "id", 30).where("split = 'validation'").count() == 30
