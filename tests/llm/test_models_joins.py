@@ -274,12 +274,17 @@ def brute_shared_lines(texts, min_words):
     return out
 
 
-def test_line_dedup_equals_brute_force(spark):
+@pytest.mark.parametrize("segment", [3, 256])
+@pytest.mark.parametrize("rare", [0, 4])
+def test_line_dedup_equals_brute_force(spark, segment, rare):
+    """Also where documents have several segments, no line counts as rare, and runs go over partition borders."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rng = random.Random(5)
     pool = ["", "", "a", "b b", "c c c c", "d " * 9, "e " * 10, "f " * 14]
     texts = {i: "\n".join(rng.choice(pool) for _ in range(rng.randrange(14))) for i in range(60)}
     want = brute_shared_lines(texts, 10)
-    got = line_dedup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), segment=segment, rare=rare).collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert {r.doc_id: {i for s in r.spans for i in range(s.start, s.stop)} for r in got} == want and sum(map(len, want.values())) > 100
 
 
@@ -291,3 +296,32 @@ def test_line_dedup_links_repeated_passages(spark):
     got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1].removed_lines == got[4].removed_lines == 0
     assert [got[i].text for i in (2, 3, 5, 6)] == ["two\nthree", "four", "six", ""]
+
+
+def test_line_dedup_equals_brute_force_on_the_table(spark, docs):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = line_dedup.dedup_lines(docs).collect()
+    assert {r.doc_id: {i for s in r.spans for i in range(s.start, s.stop)} for r in got} == brute_shared_lines(texts, 10)
+
+
+def test_line_dedup_partners_and_rows_of_one_id(spark):
+    """Lines that stand first in two documents, and together in a third; rows with one id are told apart by text."""
+    rows = [(1, lines_of("x", "p")), (2, lines_of("q", "y")), (3, lines_of("x", "y")), (4, lines_of("u", "x", "y", "v"))]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict(rows), 4: lines_of("u", "v")}
+    same = [(5, lines_of("a", "b", "c", "d")), (5, lines_of("e", "f", "g", "h")), (5, lines_of("e", "f", "g", "h")), (4, lines_of("a", "b"))]
+    got = sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(same, "doc_id long, text string")).collect())
+    assert got == sorted([(4, lines_of("a", "b")), (5, lines_of("c", "d")), (5, lines_of("e", "f", "g", "h")), (5, lines_of("e", "f", "g", "h"))])
+
+
+def test_patience_diff_anchors_grow_and_recur():
+    a, b = list("abcxdefy"), list("abczdefw")
+    far = [1] * 8
+    assert sorted(line_dedup.patience_diff(a, b, far, far)) == [(0, 0, 3), (4, 4, 3)]
+    a, b = list("rruss"), list("qruts")  # r stands twice in a: it joins the block of u
+    assert sorted(line_dedup.patience_diff(a, b, [1] * 5, [1] * 5)) == [(1, 1, 2)]
+
+
+def test_line_dedup_reads_invalid_bytes(spark):
+    df = spark.sql("select 1L doc_id, cast(unhex('61FF62') as string) text union all select 2L, 'x'")
+    assert line_dedup.dedup_lines(df).count() == 2
