@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut
+from ._common import claim, clean_text, cut, discard, remembers
 
 #: Universal hash functions, and how many of their minima make a band. A pair of similarity 0.8 shares none of the 32 bands with probability (1 - 0.8^5)^32 = 3e-6.
 HASHES, ROWS = 160, 5
@@ -19,7 +19,7 @@ BANDS = HASHES // ROWS
 AGREE = 0.65
 SIGNS = tuple(f"s{i}" for i in range(HASHES // 8))
 #: Members of an open bucket that stand on either side of a block.
-BLOCK = 512
+BLOCK = 1024
 _WORDS = 150_000
 
 _rng = np.random.default_rng(20240229)
@@ -46,6 +46,7 @@ class WordHashes(dict):
 
 
 _hashes = WordHashes()
+remembers("near_dedup", _hashes.clear)
 
 
 def shingles(text: str, k: int) -> np.ndarray:
@@ -90,6 +91,7 @@ def _signatures(k: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), *((c, pa.int64()) for c in SIGNS), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near_dedup")
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
@@ -152,8 +154,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        edges = cut(small.distinct())
+        old, edges = edges, cut(small.distinct())
         was, now = now, mark(edges)
+        discard(old)
         if was == now:
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -184,11 +187,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     different components, every pair across components that sizes and signatures do not rule out is confirmed
     too, in blocks, so nothing within a bucket is skipped. Confirmation compares full sets. Only links leave a bucket.
 
-    A null or blank text has no shingles, is its own component and is kept. Rows without a doc_id are returned
+    Texts of any length are read whole; invalid bytes are read as U+FFFD. A null or blank text has no shingles, is its own component and is kept. Rows without a doc_id are returned
     kept, with a null component. Rows that share a doc_id are one document as to links. An empty table gives an
     empty result. Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
     signed = cut(rows.mapInArrow(_signatures(k), f"doc_id long, n long, key binary, {', '.join(f'{c} long' for c in SIGNS)}, bands array<long>"))
     classes = signed.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("id"))
     chosen = signed.join(classes, (signed["key"] == classes["key"]) & (signed["doc_id"] == classes["id"]), "left_semi").dropDuplicates(["key", "doc_id"])
@@ -220,47 +223,74 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     return out.select("doc_id", "n_shingles", own_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _block_links(percent: int):
-    """Links between the minor members (not of the bucket's main component) of a block and its other members.
-    Rows come sorted by block; sizes and signatures are compared first, then full sets. A pair is left to the
-    first band that it shares: that bucket is open too."""
+def _candidates(rows: list[tuple], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each minor member (not of the bucket's main component) of a block: its number, and those of the other members
+    that components, sizes and signatures let it be linked with. A pair is left to the first band that it shares:
+    that bucket is open too."""
     most = int((1 - AGREE) * HASHES)
+    asks, ids, comps, mains, n = (np.array(x) for x in list(zip(*rows, strict=True))[:5])
+    sign, bands, band = np.stack([r[5] for r in rows]), np.stack([r[6] for r in rows]), rows[0][7]
+    other = np.flatnonzero(~asks)
+    for x in np.flatnonzero(asks) if asks.any() else np.flatnonzero(comps != mains):
+        ok = (comps[other] != comps[x]) & ((comps[other] == mains[other]) | (ids[x] < ids[other])) & (100 * n[other] >= percent * n[x]) & (100 * n[x] >= percent * n[other])
+        left = other[ok]
+        left = left[(sign[left] != sign[x]).sum(1) <= most]
+        if len(left):
+            same = bands[left] == bands[x]
+            left = left[same.argmax(1) == np.flatnonzero(bands[x] == band)[0]]
+        if len(left):
+            yield x, left
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], extra: tuple[str, ...] = ()) -> Iterator[list[tuple]]:
+    """Rows of one block after another; they come sorted by block, and a block may go on in the next batch."""
+    now, held = None, []
+    for batch in batches:
+        sign = np.stack([batch.column(c).to_numpy() for c in SIGNS], 1).view(np.uint8).reshape(-1, HASHES)
+        bands = batch.column("bands").flatten().to_numpy().reshape(-1, BANDS)
+        columns = (batch.column(c).to_pylist() for c in ("h", "i", "j", "asks", "id", "comp", "main", "n", *extra))
+        for at, (h, i, j, asks, id_, comp, main, n, *more) in enumerate(zip(*columns, strict=True)):
+            if (h, i, j) != now:
+                if len(held) > 1:
+                    yield held
+                now, held = (h, i, j), []
+            held.append((asks, id_, comp, main, n, sign[at], bands[at], h, i, j, *more))
+    if len(held) > 1:
+        yield held
+
+
+def _concerned(percent: int):
+    """Members of a block that have a candidate in it, by signatures alone."""
+    names = ["h", "i", "j", "asks", "id", "comp", "main"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches):
+            found = list(_candidates(rows, percent))
+            if found:
+                use = np.unique(np.concatenate([np.r_[x, left] for x, left in found]))
+                out = [(rows[u][7], rows[u][8], rows[u][9], *rows[u][:4]) for u in use]
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], kind) for c, kind in enumerate(kinds)], names=names)
+
+    return run
+
+
+def _block_links(percent: int):
+    """Links of a block, confirmed on full sets."""
 
     def links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        asks, ids, comps, mains, n = (np.array(x) for x in list(zip(*rows, strict=True))[:5])
-        sign, bands = np.stack([r[5] for r in rows]), np.stack([r[6] for r in rows])
-        other = np.flatnonzero(~asks)
-        minor = np.flatnonzero(asks) if asks.any() else np.flatnonzero(comps != mains)
-        band = rows[0][8]
-        for x in minor:
-            ok = (comps[other] != comps[x]) & ((comps[other] == mains[other]) | (ids[x] < ids[other])) & (100 * n[other] >= percent * n[x]) & (100 * n[x] >= percent * n[other])
-            left = other[ok]
-            left = left[(sign[left] != sign[x]).sum(1) <= most]
-            if len(left):
-                same = bands[left] == bands[x]
-                left = left[same.argmax(1) == np.flatnonzero(bands[x] == band)[0]]
-            mine = np.frombuffer(rows[x][7], np.uint64)
+        sets = [np.frombuffer(r[10], np.uint64) for r in rows]
+        for x, left in _candidates(rows, percent):
             for y in left:
-                theirs = np.frombuffer(rows[y][7], np.uint64)
-                both = len(np.intersect1d(mine, theirs, assume_unique=True))
-                if 100 * both >= percent * (len(mine) + len(theirs) - both):
-                    yield int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                    yield min(rows[x][1], rows[y][1]), max(rows[x][1], rows[y][1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
-        for batch in batches:
-            out: list[tuple[int, int]] = []
-            sign = np.stack([batch.column(c).to_numpy() for c in SIGNS], 1).view(np.uint8).reshape(-1, HASHES)
-            bands = batch.column("bands").flatten().to_numpy().reshape(-1, BANDS)
-            columns = (batch.column(c).to_pylist() for c in ("h", "i", "j", "asks", "id", "comp", "main", "n", "members"))
-            for at, (h, i, j, asks, id_, comp, main, n, members) in enumerate(zip(*columns, strict=True)):
-                if (h, i, j) != now:
-                    out += links(held) if len(held) > 1 else []
-                    now, held = (h, i, j), []
-                held.append((asks, id_, comp, main, n, sign[at], bands[at], members, h))
-            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], names=["a", "b"])
-        out = list(links(held)) if len(held) > 1 else []
-        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], names=["a", "b"])
+        for rows in _blocks(batches, ("members",)):
+            out = list(links(rows))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], names=["a", "b"])
 
     return run
 
@@ -268,18 +298,24 @@ def _block_links(percent: int):
 def across_components(inside: DataFrame, rows: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFrame:
     """All links between different components within open buckets. `inside` has h, id, comp and the bucket's main
     component, its size and that of the bucket. Large buckets are cut into blocks of minor members against blocks of
-    all members; each member's set goes to a block once, not to every pair, and only links leave a block."""
+    all members. A block first gets its members' signatures alone; full sets go only to blocks, and there to members,
+    where signatures leave a candidate, each once, and only links leave a block."""
     few = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
     many = F.ceil(F.col("all") / BLOCK).cast("int")
     keyed = inside.select("*", few.alias("few"), many.alias("many"), F.pmod(F.xxhash64("id"), few).cast("int").alias("mi"), F.pmod(F.xxhash64("id", "h"), many).cast("int").alias("mj"))
     other = keyed.select("h", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"), F.col("mj").alias("j"), F.lit(False).alias("asks"), "id", "comp", "main")
     minor = keyed.where("comp <> main and few * many > 1").select("h", F.col("mi").alias("i"), F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("j"), F.lit(True).alias("asks"), "id", "comp", "main")
-    texts = rows.join(inside.select("id").distinct(), rows["doc_id"] == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), "text")
-    sets = cut(texts.mapInArrow(_sets(k), "id long, members binary").distinct())
+    signs = chosen.select("id", "n", "bands", *SIGNS)
+
+    def blocked(members: DataFrame) -> DataFrame:
+        return members.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+
+    named = cut(blocked(minor.unionByName(other).join(signs, "id")).mapInArrow(_concerned(percent), "h long, i int, j int, asks boolean, id long, comp long, main long").distinct())
+    texts = rows.join(named.select("id").distinct(), rows["doc_id"] == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), "text")
+    sets = texts.mapInArrow(_sets(k), "id long, members binary").distinct()
     # the size tells apart several texts of one id
-    full = sets.withColumn("n", (F.length("members") / 8).cast("long")).join(chosen.select("id", "n", "bands", *SIGNS), ["id", "n"])
-    dealt = minor.unionByName(other).join(cut(full), "id").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
-    return dealt.mapInArrow(_block_links(percent), "a long, b long").distinct()
+    full = cut(sets.withColumn("n", (F.length("members") / 8).cast("long")).join(signs, ["id", "n"]))
+    return blocked(named.join(full, "id")).mapInArrow(_block_links(percent), "a long, b long").distinct()
 
 
 def confirm(pairs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
@@ -294,6 +330,7 @@ def confirm(pairs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFram
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """`docs` without the documents that are not kept, all columns unchanged."""
+    """`docs` without the documents that are not kept (see `near_duplicates`), all columns unchanged. Rows with a null
+    doc_id, and those without words, stay; rows that share a doc_id stay or go together."""
     gone = near_duplicates(docs, k, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
