@@ -9,12 +9,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Characters of the longest n-gram, and about how many labelled documents of a language teach it. The bound keeps the models' tables (broadcast) under about 50 MB for ten languages.
-ORDER, TAUGHT = 4, 800
-#: A document is rejected if its best cross-entropy exceeds that of taught documents by so many deviations, and by so many nats.
-DEVIATIONS, SLACK = 8.0, 1.5
+from ._common import claim, clean_text, remembers
+
+#: Characters of the longest n-gram; about how many labelled documents of a language are learned from, and how many of its distinct words, the most frequent, at most.
+ORDER, TAUGHT, MOST_WORDS = 4, 800, 150_000
+#: Bytes of the models' tables, which are broadcast; more is an error that asks for a smaller sample.
+MOST_BYTES = 512 << 20
+#: One in so many of those documents is held out to calibrate rejection: a document is rejected if its best cross-entropy lies so many spreads above the language's median. A spread is the distance from the median that 1 % of the held-out documents, of all languages, exceed.
+CALIBRATES, SPREADS, TAIL = 5, 5.0, 0.99
 #: Sharpness of the score over cross-entropies in nats a character.
 SHARP = 12.0
 _WORDS = 100_000
@@ -124,6 +129,10 @@ class Models:
             out.append((keys, contexts[n][at], count))
         return out
 
+    @property
+    def bytes(self) -> int:
+        return sum(t.keys.nbytes + t.values.nbytes for t in self.grams + self.backoff)
+
     def costs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Nats of each word (closing edge included) in each language, and its characters."""
         grams, owner = gram_hashes(words, self.order)
@@ -179,10 +188,12 @@ class Scorer:
 
 
 _last: list[Scorer] = []
+remembers("language_id", _last.clear)
 
 
 def scorer_of(models: Models) -> Scorer:
     """A worker's scorer, kept from task to task while the models are the same."""
+    claim("language_id")
     if not _last or _last[0].models is not models:
         _last[:] = [Scorer(models)]
     return _last[0]
@@ -200,40 +211,50 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def labelled_sample(labelled: DataFrame, per_language: int) -> DataFrame:
     """About `per_language` documents of each language, by hash of the id; whole texts."""
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return labelled
-    share = F.create_map(*(x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))))
-    return labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    share = labelled.groupBy(F.col("lang").alias("_lang")).agg((F.lit(float(per_language)) / F.count("*")).alias("_share"))
+    taken = labelled.join(share, F.col("lang") == F.col("_lang"))
+    return taken.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)).drop("_lang", "_share")
 
 
-def learn(labelled: DataFrame, order: int = ORDER, per_language: int = TAUGHT) -> tuple[Models, dict[str, float]]:
+def learn(labelled: DataFrame, order: int = ORDER, per_language: int = TAUGHT, most_words: int = MOST_WORDS) -> tuple[Models, dict[str, float]]:
     """Models of the languages in `labelled` (doc_id, text, lang), and each one's rejection threshold.
 
-    Words are counted by executors and their counts summed there; the driver gets the distinct words of the
-    bounded sample. Thresholds come from the sample's own cross-entropies."""
-    sample = labelled_sample(labelled.where("lang is not null and text is not null"), per_language)
-    counted = sample.select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toPandas()
+    Words are counted by executors; the driver gets the most frequent distinct words of each language's bounded
+    sample. Thresholds come from the cross-entropies of sampled documents that no model has seen."""
+    sample = labelled_sample(labelled.where("lang is not null and text is not null").withColumn("text", clean_text("text")), per_language)
+    unseen = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(CALIBRATES)) == 0
+    counted = sample.where(~unseen).select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    counted = counted.withColumn("r", place).where(F.col("r") <= most_words).drop("r").toPandas()
     words: dict[str, Counter] = {}
     for lang, part in counted.groupby("lang"):
         words[str(lang)] = Counter(dict(zip(part["word"], part["n"].astype(int), strict=True)))
     models = Models(words, order)
+    if models.bytes > MOST_BYTES:
+        raise ValueError(f"models of {models.bytes} bytes for {len(words)} languages: lower per_language or most_words")
     if not words:
         return models, {}
     handed = sample.sparkSession.sparkContext.broadcast(models)
+    langs = models.langs
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(handed.value)
         for batch in batches:
             h = scorer.texts(batch.column("text").to_pylist())
             h = h[~np.isnan(h[:, 0])]
-            best = h.argmin(1)
-            yield pa.RecordBatch.from_arrays([pa.array([models_langs[i] for i in best], pa.string()), pa.array(h.min(1))], names=["lang", "h"])
+            yield pa.RecordBatch.from_arrays([pa.array([langs[i] for i in h.argmin(1)], pa.string()), pa.array(h.min(1))], names=["lang", "h"])
+
+    return models, limits_of(sample.where(unseen).select("text").mapInArrow(measure, "lang string, h double").toPandas(), langs)
+
 
-    models_langs = models.langs
-    stats = sample.select("text").mapInArrow(measure, "lang string, h double").groupBy("lang").agg(F.avg("h").alias("m"), F.stddev_pop("h").alias("d")).collect()
-    every = {r["lang"]: r["m"] + max(DEVIATIONS * r["d"], SLACK) for r in stats}
-    return models, {lang: every.get(lang, max(every.values(), default=np.inf)) for lang in models.langs}
+def limits_of(seen: pd.DataFrame, langs: list[str]) -> dict[str, float]:
+    """Rejection limits from the best cross-entropies (lang, h) of held-out documents. A language that none of them
+    fell to gets the highest limit of the others; without any, nothing is rejected."""
+    if not len(seen):
+        return {lang: float("inf") for lang in langs}
+    middle = seen.groupby("lang")["h"].median()
+    spread = float(np.quantile(seen["h"] - seen["lang"].map(middle), TAIL))
+    return {lang: float(middle.get(lang, middle.max())) + SPREADS * spread for lang in langs}
 
 
 def identify(docs: DataFrame, models: Models, limits: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,7 +262,8 @@ def identify(docs: DataFrame, models: Models, limits: dict[str, float], id_col:
 
     lang_pred is the language of the lowest cross-entropy a character, ties to the first in code-point order;
     'und' if the text is null or has no letter, or nothing was learned (score 0). rejected: 'und', or worse than
-    its language's calibrated limit. Whole texts are read. Other columns are ignored."""
+    its language's calibrated limit. Whole texts are read, invalid bytes as U+FFFD. Repeated rows are judged each; an
+    empty table gives an empty result. Other columns are ignored."""
     langs = models.langs
     limit = np.array([limits.get(x, np.inf) for x in langs])
     handed = docs.sparkSession.sparkContext.broadcast(models)
@@ -263,7 +285,7 @@ def identify(docs: DataFrame, models: Models, limits: dict[str, float], id_col:
                     out.append(bool(row[i] > limit[i])), best.append(float(row[i]))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(out, pa.bool_()), pa.array(best, pa.float64())], names=["doc_id", "lang_pred", "score", "rejected", "cross_entropy"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def held_out():
@@ -271,13 +293,16 @@ def held_out():
 
 
 def languages(docs: DataFrame, per_language: int = TAUGHT) -> DataFrame:
-    """doc_id, held_out, lang_pred, score and more for all of `docs`, learned from those not held out."""
+    """doc_id, held_out, lang_pred, score and more for each row of `docs`, learned from those not held out (rows
+    without text or lang teach nothing; a null doc_id is not held out). See `identify` for odd rows."""
     models, limits = learn(docs.where(~held_out()).select("doc_id", "text", "lang"), per_language=per_language)
     return identify(docs, models, limits).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
 
 
 def keep_identified(docs: DataFrame, per_language: int = TAUGHT) -> DataFrame:
-    """`docs` without the documents that language identification rejects, all columns unchanged."""
+    """`docs` without the documents that language identification rejects, all columns unchanged: those without a
+    letter (null and empty texts too), and those far from every language learned. Where nothing was learned, as in a
+    table without labels, none is kept. Repeated rows are judged each; an empty table gives an empty result."""
     models, limits = learn(docs.select("doc_id", "text", "lang"), per_language=per_language)
     handed = docs.sparkSession.sparkContext.broadcast((models, limits))
 
@@ -293,4 +318,4 @@ def keep_identified(docs: DataFrame, per_language: int = TAUGHT) -> DataFrame:
                 ok += [not np.isnan(r[0]) and bool(r.min() <= top[r.argmin()]) for r in h]
             yield pd.Series(ok, dtype="bool")
 
-    return docs.where(good(F.col("text")))
+    return docs.where(good(clean_text("text")))
