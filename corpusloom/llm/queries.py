@@ -19,13 +19,13 @@ def vocabulary(name: str) -> str:
 RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"), url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow")]
 
 
-#: Words of hosts that count as labelled bad; the trees learn what such URLs look like.
+#: Words of hosts that count as labelled bad. A host is judged by trees that were fitted on other hosts only.
 BAD_HOST_WORDS = ("adult", "ads", "bets", "casino", "pills", "porn", "spam", "viagra")
 
 
 def op1(spark, d):
     pages = table(spark, d, "pages")
-    return url_filter.filter_urls(pages, RULES, url_filter.fit(url_filter.weak_labels(pages, RULES, BAD_HOST_WORDS)))
+    return url_filter.filter_urls(pages, RULES, url_filter.cross_fit(url_filter.weak_labels(pages, RULES, BAD_HOST_WORDS)))
 
 
 def op2(spark, d):
@@ -81,24 +81,24 @@ QUERIES = {
 
 ORACLES = {
     "op6_sainte_lague_mix": r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, CAST('0x' || substr(sha256(concat_ws(':', 'mix', coalesce(CAST(doc_id AS VARCHAR), 'null'))), 1, 15) AS BIGINT) AS h FROM documents),
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, CAST('0x' || substr(sha256(concat_ws(':', 'mix', coalesce(CAST(doc_id AS VARCHAR), 'null'), coalesce(text, ''))), 1, 15) AS BIGINT) AS h FROM documents),
 t AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM t),
 r AS (SELECT *, coalesce(sum(cap) OVER x, 0) AS capped, sum(weight) OVER () - coalesce(sum(weight) OVER x, 0) AS open FROM w WINDOW x AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 l AS (SELECT *, (total - capped) / open AS level FROM r),
-g AS (SELECT source, source_size, total, least((SELECT level FROM l WHERE level * weight <= cap ORDER BY capped, level LIMIT 1) * weight, CAST(cap AS DOUBLE)) AS target FROM l),
-a0 AS (SELECT *, CAST(floor(target / 16.0::DOUBLE + 0.5) AS BIGINT) AS first, CAST(ceil(3 * source_size / 16) AS BIGINT) AS most FROM g),
-a1 AS (SELECT *, CAST(round(total / 16) AS BIGINT) - CAST(sum(first) OVER () AS BIGINT) AS miss FROM a0),
-a2 AS (SELECT *, CAST(ceil(abs(miss) * target / greatest(total, 1)) AS BIGINT) + 2 AS offers FROM a1),
-s0 AS (SELECT source, target, miss, first, most, unnest(CASE WHEN miss > 0 THEN range(first, first + offers + 1) ELSE range(greatest(first - offers, 0), greatest(first - 1, 0) + 1) END) AS seat FROM a2 WHERE miss <> 0),
-s1 AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN miss > 0 THEN -(target / (2 * seat + 1)) ELSE target / (2 * seat + 1) END, source NULLS LAST, seat) AS place FROM s0 WHERE (miss > 0 AND seat < most) OR (miss < 0 AND seat < first)),
-m AS (SELECT source, CAST(sum(sign(miss)) AS BIGINT) AS extra FROM s1 WHERE place <= abs(miss) GROUP BY source),
-q0 AS (SELECT a2.source, source_size, target, least(first + coalesce(extra, 0), most) AS quota, greatest(source_size // 16, 1) AS blocks FROM a2 LEFT JOIN m ON a2.source IS NOT DISTINCT FROM m.source),
-q1 AS (SELECT *, least(quota * 16, 3 * source_size) AS words, CAST('0x' || substr(sha256(concat_ws('/', 'mix', coalesce(source, 'null'))), 1, 15) AS BIGINT) % blocks * 16 AS lo FROM q0),
-q AS (SELECT *, coalesce(words // nullif(source_size, 0), 0) AS rounds FROM q1),
+g AS (SELECT source, source_size, total, CAST(round(total / 16) AS BIGINT) AS house, least((SELECT level FROM l WHERE level * weight <= cap ORDER BY capped, level LIMIT 1) * weight, CAST(cap AS DOUBLE)) AS target FROM l),
+a0 AS (SELECT *, house * shard // 16 AS seats, CAST(ceil(3 * source_size / 16) AS BIGINT) AS most FROM g, (SELECT unnest(range(1, 17)) AS shard)),
+a1 AS (SELECT *, CAST(floor(coalesce(target * seats / nullif(16.0::DOUBLE * house, 0), 0) + 0.5) AS BIGINT) AS first FROM a0),
+a2 AS (SELECT *, seats - CAST(sum(first) OVER (PARTITION BY shard) AS BIGINT) AS miss FROM a1),
+a3 AS (SELECT *, CAST(ceil(abs(miss) * target / greatest(total, 1)) AS BIGINT) + 2 AS offers FROM a2),
+s0 AS (SELECT shard, source, target, miss, first, most, unnest(CASE WHEN miss > 0 THEN range(first, first + offers + 1) ELSE range(greatest(first - offers, 0), greatest(first - 1, 0) + 1) END) AS seat FROM a3 WHERE miss <> 0),
+s1 AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY CASE WHEN miss > 0 THEN -(target / (2 * seat + 1)) ELSE target / (2 * seat + 1) END, source NULLS LAST, seat) AS place FROM s0 WHERE (miss > 0 AND seat < most) OR (miss < 0 AND seat < first)),
+m AS (SELECT shard, source, CAST(sum(sign(miss)) AS BIGINT) AS extra FROM s1 WHERE place <= abs(miss) GROUP BY shard, source),
+q0 AS (SELECT a3.source, source_size, target, greatest(source_size // 16, 1) AS blocks, list(least(first + coalesce(extra, 0), most) ORDER BY a3.shard) AS upto FROM a3 LEFT JOIN m ON a3.source IS NOT DISTINCT FROM m.source AND a3.shard = m.shard GROUP BY ALL),
+q AS (SELECT *, least(upto[16] * 16, 3 * source_size) AS words, CAST('0x' || substr(sha256(concat_ws('/', 'mix', coalesce(source, 'null'))), 1, 15) AS BIGINT) % blocks * 16 AS lo FROM q0),
 p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM d),
-j AS (SELECT p.doc_id, p.size, q.source_size, q.target, q.rounds, p.pos, q.lo, least(q.lo + q.words - q.rounds * q.source_size, q.source_size) AS hi1, greatest(q.lo + q.words - q.rounds * q.source_size - q.source_size, 0) AS hi2 FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source)
-SELECT doc_id, size, source_size, target, CAST(rounds * size + greatest(least(greatest(hi1 - pos, 0), size) - least(greatest(lo - pos, 0), size), 0) + least(greatest(hi2 - pos, 0), size) AS BIGINT) AS taken FROM j""",
+j AS (SELECT p.doc_id, p.size, q.source_size, q.target, pos, lo, words, upto, list_sum([greatest(0, least(lo + words, pos + k * source_size + size) - greatest(lo, pos + k * source_size)) for k in range(0, 4)]) AS taken FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken, CASE WHEN taken > 0 THEN CAST(len([x for x in upto if x * 16 <= CASE WHEN pos + size > lo THEN greatest(pos, lo) ELSE pos + source_size END - lo]) AS INT) END AS first_shard FROM j""",
     "op7_minhash": r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] END) AS g FROM w),

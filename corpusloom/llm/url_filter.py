@@ -10,6 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import char_entropy
+from ._common import clean_text
+
 #: Labelled URLs that the trees are fitted on, at most about so many; chosen by hash of the URL.
 FITTED = 20_000
 FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "entropy", "params", "query_length", "is_https", "has_extension", "suffix1", "suffix2", "longest_label", "first_dir", "host_hyphens")
@@ -50,22 +53,19 @@ def features(url: Column, host: Column, path: Column) -> list[Column]:
     """Lexical features; the suffixes and the first directory are strings, encoded by their labelled rates."""
     url = F.coalesce(url, F.lit(""))
     length = F.length(url)
-    chars = F.split(url, "")
-    counts = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda x: x == c)) / F.greatest(length, F.lit(1)))
-    entropy = F.aggregate(counts, F.lit(0.0), lambda a, p: a - p * F.log2(p))
     labels = F.split(host, r"\.")
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     return [
         length, F.length(host), F.length(path), F.size(F.filter(F.split(path, "/"), lambda x: x != "")), F.size(labels),
-        F.regexp_count(url, F.lit("[0-9]")) / F.greatest(length, F.lit(1)), F.regexp_count(url, F.lit("-")), entropy,
+        F.regexp_count(url, F.lit("[0-9]")) / F.greatest(length, F.lit(1)), F.regexp_count(url, F.lit("-")), char_entropy(url),
         F.when(query == "", 0).otherwise(F.size(F.split(query, "&"))), F.length(query), url.startswith("https"), path.rlike(r"\.[A-Za-z0-9]{1,5}$"),
         F.element_at(labels, -1), F.substring_index(host, ".", -2), F.array_max(F.transform(labels, F.length)), F.regexp_extract(path, "^/([^/]*)", 1), F.regexp_count(host, F.lit("-")),
     ]
 
 
 def weak_labels(urls: DataFrame, rules: Sequence[Rule], words: Sequence[str], url_col: str = "url") -> DataFrame:
-    """(url, blocked): a rule's verdict where one fits, else block if a word of the host is on the list of bad
-    host words, else allow."""
+    """(url, blocked): a rule's verdict where one fits, else block if a word of the host is on the list of known bad
+    host words, else allow: labels where no people labelled. The trees see none of the words, only lexical features."""
     host, path = url_parts(F.col(url_col))
     ruled = rule_column(host, path, rules)["verdict"]
     bad = F.arrays_overlap(F.split(host, "[.-]"), F.array(*map(F.lit, words))) if words else F.lit(False)
@@ -160,9 +160,9 @@ class UrlModel:
 def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked", most: int = FITTED) -> UrlModel:
     """Fit on about `most` of the `labelled` URLs (label 1: block), chosen by hash of the URL. Repeated URLs
     count once with each label. No rows: a model that blocks nothing."""
-    rows = labelled.where(F.col(url_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(url_col).alias("url"), F.col(label_col).cast("int").alias("y")).distinct()
+    rows = labelled.where(F.col(url_col).isNotNull() & F.col(label_col).isNotNull()).select(clean_text(url_col).alias("url"), F.col(label_col).cast("int").alias("y"))
     share = min(1.0, most / max(1, rows.count()))
-    rows = rows.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = rows.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
     host, path = url_parts(F.col("url"))
     got = rows.select("url", "y", *(c.alias(n) for c, n in zip(features(F.col("url"), host, path), FEATURES, strict=True))).toPandas()
     got = got.sort_values(["url", "y"]).reset_index(drop=True)
@@ -177,23 +177,46 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked", m
     return model
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[Rule], model: UrlModel, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
+#: Models of a cross-fit; each judges the hosts that it was not fitted on.
+FOLDS = 2
+
+
+def fold_of(host: Column, folds: int = FOLDS) -> Column:
+    """The fold of a host by its longest label, so that its subdomains (www, m, ...) share it."""
+    longest = F.array_max(F.transform(F.split(host, r"\."), lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+    return F.pmod(F.xxhash64(longest), F.lit(folds)).cast("int")
+
+
+def cross_fit(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked", folds: int = FOLDS, most: int = FITTED) -> list[UrlModel]:
+    """For each fold the model fitted on the hosts of the others, at most about `most` URLs each."""
+    host, _ = url_parts(F.col(url_col))
+    return [fit(labelled.where(fold_of(host, folds) != i), url_col, label_col, most) for i in range(folds)]
+
+
+def filter_urls(pages: DataFrame, rules: Sequence[Rule], models: UrlModel | Sequence[UrlModel], id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
     """page_id, host, path, rule, verdict, probability of each row of `pages`.
 
-    The longest fitting rule decides; else the trees: block at `threshold` or more. A null URL, or one without
-    `://`, has empty parts, fits no rule, and is judged by the trees on its (empty) parts. Repeated rows are
-    judged each; other columns are ignored."""
-    base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
+    The longest fitting rule decides; else the trees: block at `threshold` or more. With several `models`, of a
+    cross-fit, each URL is judged by the one that did not see its host. A null URL, or one without
+    `://`, has empty parts, fits no rule, and is judged by the trees on its (empty) parts. URLs of any length are
+    judged whole, invalid bytes as U+FFFD. Repeated rows are judged each; an empty table gives an empty result; other
+    columns are ignored."""
+    models = [models] if isinstance(models, UrlModel) else list(models)
+    base = pages.select(F.col(id_col).cast("long").alias("page_id"), clean_text(url_col).alias("url"))
     host, path = url_parts(F.col("url"))
     base = base.select("page_id", "url", host.alias("host"), path.alias("path"))
-    handed = pages.sparkSession.sparkContext.broadcast(model)
+    handed = pages.sparkSession.sparkContext.broadcast(models)
 
     def judge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in parts:
-            yield f[["page_id", "host", "path", "rule", "ruled"]].assign(probability=handed.value.trees.probability(handed.value.matrix(f)))
+            probability = np.zeros(len(f))
+            for i, model in enumerate(handed.value):
+                mine = (f["fold"] == i).to_numpy()
+                probability[mine] = model.trees.probability(model.matrix(f[mine]))
+            yield f[["page_id", "host", "path", "rule", "ruled"]].assign(probability=probability)
 
     cols = [c.alias(n) for c, n in zip(features(F.col("url"), F.col("host"), F.col("path")), FEATURES, strict=True)]
-    base = base.withColumn("r", rule_column(F.col("host"), F.col("path"), rules)).select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.col("r.verdict").alias("ruled"), *cols)
+    base = base.withColumn("r", rule_column(F.col("host"), F.col("path"), rules)).select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.col("r.verdict").alias("ruled"), fold_of(F.col("host"), len(models)).alias("fold"), *cols)
     judged = base.mapInPandas(judge, "page_id long, host string, path string, rule string, ruled string, probability double")
     own = F.when(F.col("probability") >= threshold, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "probability")
