@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut
+from ._common import claim, clean_text, cut, remembers
 
 #: Rows of pieces that one packing task holds; groups are random by document.
 GROUP_ROWS = 50_000
@@ -19,6 +19,7 @@ GROUP_ROWS = 50_000
 REMEMBERED = 200_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _tokenizers: dict[str, Tokens] = {}
+remembers("packing", _tokenizers.clear)
 
 
 class Tokens:
@@ -87,6 +88,7 @@ def cut_pieces(path: str, size: int, end_id: int):
     """Tokenise whole texts and cut each document into pieces of `size` ids and a rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("packing")
         encode, end = tokens(path), end_id.to_bytes(4, "little")
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
@@ -135,9 +137,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     are shuffled. Pieces fall at random into groups of about `group_rows`, each packed by first-fit decreasing; the
     pieces of one document may fall apart, so that a document of any length spreads over the groups.
     A null text counts as empty (one id, the end id). Rows with a null or repeated doc_id are packed as any
-    other. An empty table gives an empty result. Other columns are ignored.
+    other, and pieces of equal rows are dealt apart too. Invalid bytes of a text are read as U+FFFD. An empty table
+    gives an empty result. Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
     pieces = cut(rows.mapInArrow(cut_pieces(tokenizer_path, size, end_id), _PIECES))
     groups = max(1, round(pieces.count() / group_rows))
 
@@ -147,5 +150,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         base = int(pdf["bucket"].iloc[0]) << 32
         return pdf.drop(columns="bucket").assign(sequence_id=[base + b for b, _ in put], offset=[o for _, o in put])
 
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("bucket").applyInPandas(place, f"{_PIECES}, sequence_id long, offset long")

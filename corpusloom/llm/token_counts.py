@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import claim, clean_text, remembers
+
 _WORDS = 300_000
 #: Fixed values of the unigram tokenizer: what an unknown character costs below the lowest score, and the sign for a space.
 UNKNOWN_PENALTY, SPACE = 10.0, "▁"
@@ -101,14 +103,19 @@ class Counter:
 
 
 _counters: list[tuple[object, Counter]] = []
+remembers("token_counts", _counters.clear)
 
 
 def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], byte_fallback: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, score of each row of `docs`: pieces and log-score of the best segmentation of the whole
-    text. Null text: null counts; empty text: 0. Repeated rows are counted each. Other columns are ignored."""
+    text. Null text: null counts; empty text: 0. Repeated rows are counted each. Texts are read whole, word by word, so a
+    very long one needs memory for its longest word only. Pieces that spell special or byte tokens match as plain text, as in the tokenizer
+    without added tokens. Invalid bytes are read as U+FFFD. An empty table gives an empty result. Other columns are
+    ignored."""
     handed = docs.sparkSession.sparkContext.broadcast((vocabulary, byte_fallback))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("token_counts")
         value = handed.value
         if not _counters or _counters[0][0] is not value:
             _counters[:] = [(value, Counter(*value))]
@@ -119,4 +126,4 @@ def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], byte_fall
                 found = [None if t is None else counter.text(t) for t in (x.as_py() for x in batch.column("text"))]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([None if x is None else x[0] for x in found], pa.int64()), pa.array([None if x is None else x[1] for x in found], pa.float64())], names=["doc_id", "n_tokens", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, score double")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, score double")

@@ -112,6 +112,23 @@ def test_language_id_on_held_out_documents(spark, none, odd):
     assert language_id.keep_identified(docs).columns == docs.columns and language_id.keep_identified(odd).count() == 0
 
 
+def test_rejection_is_calibrated_on_held_out_documents(spark):
+    """Noise is rejected; of clean documents that nothing was learned from, none."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    models, limits = language_id.learn(docs.where(~language_id.held_out()).select("doc_id", "text", "lang"))
+    clean = language_id.identify(docs.where(language_id.held_out()), models, limits).where("lang_pred <> 'und'")
+    assert clean.where("rejected").count() <= 0.005 * clean.count()
+    rng = random.Random(2)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(60)) for _ in range(20)] + ["これは日本語の文章です", "Это русский текст для проверки"]
+    odd = spark.createDataFrame(list(enumerate(noise)), "doc_id long, text string")
+    assert language_id.identify(odd, models, limits).where("rejected").count() == len(noise)
+    import pandas as pd
+
+    seen = pd.DataFrame({"lang": ["a"] * 101 + ["b"], "h": [*np.linspace(1, 2, 101), 4.0]})
+    got = language_id.limits_of(seen, ["a", "b", "c"])
+    assert got["b"] - got["a"] == 2.5 and got["c"] == got["b"] and language_id.limits_of(seen[:0], ["a"]) == {"a": math.inf}
+
+
 def test_kneser_ney_sums_to_one():
     words = {"a": {"banana": 3, "bandana": 1, "nab": 2}, "b": {"xyz": 1}}
     models = language_id.Models({k: language_id.Counter(v) for k, v in words.items()}, 3)
@@ -173,6 +190,24 @@ def test_urls(spark):
     assert url_filter.filter_urls(pages.limit(0), RULES, url_filter.fit(labelled.limit(0))).count() == 0
 
 
+def test_hosts_are_judged_by_trees_that_did_not_see_them(spark):
+    """Held-out ranking of labelled hosts on the pages table, and no host in both a fold and its model's sample."""
+    from corpusloom.llm.queries import BAD_HOST_WORDS
+
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    labelled = url_filter.weak_labels(pages, RULES, BAD_HOST_WORDS)
+    judged = url_filter.filter_urls(pages, RULES, url_filter.cross_fit(labelled)).where("rule is null")
+    labels = pages.join(labelled.distinct(), "url").select("page_id", F.col("blocked").alias("y"))
+    rows = judged.join(labels, "page_id").select("y", "probability", "verdict").toPandas()
+    print("held-out AUC", (rows["probability"].rank()[rows["y"] == 1].sum() - (rows["y"] == 1).sum() * ((rows["y"] == 1).sum() + 1) / 2) / ((rows["y"] == 1).sum() * (rows["y"] == 0).sum()))
+    auc = rows["probability"].rank()[rows["y"] == 1].sum() - (n := (rows["y"] == 1).sum()) * (n + 1) / 2
+    assert n > 50 and auc / (n * (len(rows) - n)) > 0.9
+    assert (rows["verdict"] == "allow")[rows["y"] == 0].mean() > 0.97
+    url = lambda h: F.lit(f"http://{h}/")
+    folds = spark.range(1).select(*(url_filter.fold_of(url_filter.url_parts(url(h))[0]) for h in ("www.somewhere.net", "m.somewhere.net"))).first()
+    assert folds[0] == folds[1]
+
+
 def test_trees_learn_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.random((2000, 4))
@@ -195,7 +230,37 @@ def test_knn_against_brute_force(spark):
             want += [(i, r + 1, j, -x) for r, (x, j) in enumerate(s)]
     assert got == sorted(want)
     assert knn_join.top_products(df.limit(0)).count() == 0
-    assert knn_join.top_products(df.where("vec_id in (0, 1, 2)")).count() == 2
+
+
+def brute_products(vectors, k=10):
+    rows = [(i, [int(np.floor(1024 * np.float64(np.float32(x)))) for x in v]) for i, v in vectors]
+    out = []
+    for i, q in {i: min((np.array(v, "<i4").tobytes(), v) for j, v in rows if j == i)[1] if max(map(abs, dict(rows)[i])) < 2**31 else dict(rows)[i] for i, _ in rows if i % 100 == 0}.items():
+        s = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in rows if j != i and len(v) == len(q))[:k]
+        out += [(i, r + 1, j, max(1 - 2**63, min(2**63 - 1, -x))) for r, (x, j) in enumerate(s)]
+    return sorted(out)
+
+
+def test_knn_of_mixed_lengths_and_empty_vectors(spark):
+    rng = np.random.default_rng(6)
+    vectors = [(i, rng.normal(size=3 + i % 3).tolist()) for i in range(700)] + [(10_000 + i, []) for i in range(1500)]
+    got = sorted(tuple(r) for r in knn_join.top_products(spark.createDataFrame(vectors, "vec_id long, embedding array<float>")).collect())
+    assert got == brute_products([v for v in vectors if v[1]])
+
+
+@pytest.mark.parametrize("top", [3e6, 1e9, 3e30])
+def test_knn_of_large_components(spark, top):
+    """Products beyond 2^53 are exact, and beyond a long held at its end."""
+    rng = np.random.default_rng(7)
+    vectors = [(i, [float(np.float32(x)) for x in rng.normal(size=4) * rng.choice([1, 1, top])]) for i in range(400)]
+    vectors += [(2000 + i, v) for i, v in vectors[:30]]
+    got = sorted(tuple(r) for r in knn_join.top_products(spark.createDataFrame(vectors, "vec_id long, embedding array<float>")).collect())
+    assert got == brute_products(vectors)
+
+
+def test_knn_against_few_others(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in (0, 1, 2)], "vec_id long, embedding array<float>")
+    assert knn_join.top_products(df).count() == 2
 
 
 def test_knn_bounds_ignore_repeated_rows_of_the_query(spark):
@@ -205,7 +270,7 @@ def test_knn_bounds_ignore_repeated_rows_of_the_query(spark):
     units /= np.linalg.norm(units, axis=1)[:, None]
     own = [float(x) for x in 2 * units[0]]
     ids = spark.createDataFrame([(100 * i, own) for i in range(1, 3000)], "vec_id long, embedding array<float>")
-    query = knn_join.quantised(ids, "vec_id", "embedding", 1024).orderBy(F.xxhash64("id", "vec")).first()["id"]  # among the pivots
+    query = knn_join.quantised(ids, "vec_id", "embedding", 1024).orderBy(F.xxhash64("id", "q")).first()["id"]  # among the pivots
     vectors = [(query, own)] * 12 + [(100 * i + 1, units[i].tolist()) for i in range(1, 1001)]
     got = sorted(tuple(r) for r in knn_join.top_products(spark.createDataFrame(vectors, "vec_id long, embedding array<float>")).collect())
     q = {i: np.floor(1024 * np.array(v, np.float32).astype(float)) for i, v in vectors}

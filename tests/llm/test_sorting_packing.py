@@ -51,6 +51,33 @@ def test_group_over_many_partitions_is_one_group(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_drop_copies_over_many_partitions(spark):
+    """One row of each group stays, the longest original and then the smallest id, also where groups cross borders."""
+    rows = [(i, " " * (i % 5) + ("same text" if i % 3 else f"t{i % 90}"), i % 4) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra long").repartition(7)
+    want = {}
+    for i, text, extra in rows:
+        key = plain(text)
+        want[key] = min(want.get(key, (0, 0)), (-len(text), i)) if key in want else (-len(text), i)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = exact_dedup.drop_copies(docs).collect()
+        seen = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.content_sort(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(r.doc_id for r in got) == sorted(i for _, i in want.values()) and all(r.extra == r.doc_id % 4 for r in got)
+    size = defaultdict(int)
+    for _, text, _ in rows:
+        size[plain(text)] += 1
+    assert seen == {(i, want[plain(t)][1], size[plain(t)], i == want[plain(t)][1]) for i, t, _ in rows}
+
+
+def test_invalid_bytes_are_read_as_replacement(spark):
+    df = spark.sql("select 1L doc_id, cast(unhex('61FF62') as string) text, 'en' lang, 's' source, 1L n_chars union all select 2L, 'x y', 'en', 's', 1L")
+    assert exact_dedup.content_sort(df).where("kept").count() == exact_dedup.drop_copies(df).count() == 2
+    assert sum(r.length for r in packing.pack_documents(df, public_tokenizers.path("byte_bpe_50k.json")).collect()) > 5
+
+
 @pytest.mark.parametrize("chunk", [3, 20_000])
 def test_sharding_keeps_groups_and_balances(spark, odd, none, chunk):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.expr("repeat('ab', cast(1 + id % 997 as int))").alias("text"))
@@ -86,6 +113,29 @@ def test_apportionment_is_highest_quotients(spark, sizes):
     assert {r.source: r.quota for r in rows} == {r.source: sum(x[1] == r.source for x in ranked) for r in rows}
 
 
+def test_shards_have_integer_quotas_near_the_weights(spark):
+    totals = spark.createDataFrame([(f"s{i:02}", n) for i, n in enumerate([5000, 700, 12345, 90, 8000])], "source string, source_size long")
+    rows = mixing.apportion(mixing.source_targets(totals), 16, shards=7).collect()
+    house = round(sum(r.target for r in rows) / 16)
+    for r in rows:
+        assert len(r.upto) == 7 and r.upto[-1] == r.quota and all(x <= y for x, y in zip(r.upto, r.upto[1:]))
+        for s, n in enumerate(r.upto):
+            assert abs(n - r.target / 16 * (s + 1) / 7) <= 1.5
+    assert [sum(r.upto[s] for r in rows) for s in range(7)] == [house * (s + 1) // 7 for s in range(7)]
+
+
+def test_mix_deals_documents_to_shards(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    mixed = mixing.mixed_documents(docs, shard_col="shard").withColumn("n", F.regexp_count("text", F.lit(mixing.WORD)))
+    per = {r.shard: r.n for r in mixed.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+    assert sorted(per) == list(range(16)) and min(per.values()) > 0
+    same = spark.createDataFrame([(1, "a b c", "s")] * 50 + [(None, "d e f g", "s")] * 30 + [(None, "h", "t")], "doc_id long, text string, source string")
+    rows = mixing.mix_sources(same).collect()
+    assert len(rows) == 81 and abs(sum(r.taken for r in rows) - sum(r.size for r in rows)) <= 32
+    words = mixing.mixed_documents(same).select(F.sum(F.regexp_count("text", F.lit(mixing.WORD)))).first()[0]
+    assert words == sum(r.taken for r in rows)
+
+
 def test_targets_reshare_what_small_sources_cannot_give(spark):
     totals = spark.createDataFrame([("a", 900), ("b", 90), ("c", 10), (None, 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.source_targets(totals).collect()}
