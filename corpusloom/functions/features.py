@@ -7,19 +7,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import CYRILLIC, LATIN, as_column, char_count, hash_form, mojibake_score, normalize, text_or_empty, words
+from .text import CYRILLIC, LATIN, as_column, char_count, hash_form, mark_count, normalize, normalize_compatible, safe_double, text_or_empty, words
 
 # Edges and names of buckets.
 LENGTH_BINS = ((128, "0000-0128"), (256, "0129-0256"), (512, "0257-0512"), (1024, "0513-1024"), (2048, "1025-2048"), (None, "2049+"))
 WINDOW_BUCKETS = ((1, "1"), (4, "2-4"), (20, "5-20"), (50, "21-50"), (100, "51-100"), (None, "101+"))
 SIZE_BUCKETS = ((1, "short"), (4, "medium"), (20, "long"), (None, "very_long"))
-SMALL_COUNTS = ((0, "0"), (1, "1"), (2, "2"), (5, "3-5"), (10, "6-10"), (None, "11+"))
+SMALL_COUNTS = ((0, "0"), (1, "1"), (2, "2"), (5, "3-5"), (10, "6-10"), (25, "11-25"), (50, "26-50"), (None, "51+"))
+SHARES = ((0.01, "<=1%"), (0.05, "1-5%"), (0.10, "5-10%"), (0.25, "10-25%"), (0.50, "25-50%"))
+_EIGHT = (0.01, 0.10, 0.50, 0.82, 0.95, 0.99, 0.999)
+_EIGHT_NAMES = ("<0.01", "0.01-0.10", "0.10-0.50", "0.50-0.82", "0.82-0.95", "0.95-0.99", "0.99-0.999", ">=0.999")
 SCORE_BANDS: dict[str, tuple[tuple[float, ...], tuple[str, ...]]] = {
-    "eleven": ((0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95), ("<0.10", "0.10-0.20", "0.20-0.30", "0.30-0.40", "0.40-0.50", "0.50-0.60", "0.60-0.70", "0.70-0.80", "0.80-0.90", "0.90-0.95", ">=0.95")),
-    "mined": ((0.30, 0.50, 0.82, 0.95), ("<0.30", "0.30-0.50", "0.50-0.82", "0.82-0.95", ">=0.95")),
-    "boundary": ((0.50, 0.82, 0.95, 0.99), ("<0.50", "0.50-0.82", "0.82-0.95", "0.95-0.99", ">=0.99")),
-    "halves": ((0.5,), ("<0.50", ">=0.50")),
+    "eleven": ((0.001, 0.01, 0.10, 0.50, 0.82, 0.90, 0.95, 0.99, 0.999, 0.9995), ("<0.001", "0.001-0.01", "0.01-0.10", "0.10-0.50", "0.50-0.82", "0.82-0.90", "0.90-0.95", "0.95-0.99", "0.99-0.999", "0.999-0.9995", ">=0.9995")),
+    "mined": ((0.82, 0.95, 0.99), ("below_target", "medium_hard_score_0.82_0.95", "hard_score_0.95_0.99", "very_hard_score_ge_0.99")),
+    "critical": ((0.82, 0.95, 0.99, 0.999), ("score_lt_0.82", "score_0.82_0.95", "score_0.95_0.99", "score_0.99_0.999", "score_gte_0.999")),
+    "failures": (_EIGHT[:6], (*_EIGHT_NAMES[:6], ">=0.99")),
+    "regression": (_EIGHT, _EIGHT_NAMES),
+    "strategy": (_EIGHT[:6], ("lt_0_01", "0_01_to_0_10", "0_10_to_0_50", "0_50_to_0_82", "0_82_to_0_95", "0_95_to_0_99", "ge_0_99")),
+    "reviewer": (_EIGHT, _EIGHT_NAMES),
+    "missed": ((0.95, 0.99, 0.999), ("v15_miss_below_0.95", "v15_miss_below_0.99", "v15_miss_below_0.999", "v15_not_missed")),
 }
+MOJIBAKE = ("Ð", "Ñ", "Â", "â€™", "â€œ", "â€", "\ufffd")
 ZERO_WIDTH = "[​‌‍﻿⁠]"
 
 
@@ -67,16 +75,29 @@ def score_band(score: Column | str, preset: str = "eleven") -> Column:
     return out.otherwise(names[-1])
 
 
+def boundary_band(score: Column | str, thresholds: Sequence[float], missed: bool) -> Column:
+    """By a model's own thresholds: the lowest one that an attack misses, or the highest that a benign text reaches."""
+    s, rising = as_column(score), sorted(thresholds)
+    out = None
+    for t in rising if missed else rising[::-1]:
+        hit, name = (s < t, f"miss_below_{t:.3g}") if missed else (s >= t, f"fp_at_{t:.3g}")
+        out = F.when(hit, name) if out is None else out.when(hit, name)
+    return out.otherwise("not_missed" if missed else "not_fp")
+
+
 def score_weight(score: Column | str) -> Column:
     """B7."""
     s = as_column(score)
-    return F.when(s < 0.5, 220).when(s < 0.82, 180).when(s < 0.95, 120).when(s < 0.99, 70).otherwise(20)
+    return F.when(s < 0.82, 220).when(s < 0.95, 180).when(s < 0.99, 120).when(s < 0.999, 70).otherwise(20)
 
 
 def share_bucket(share: Column | str) -> Column:
     """B8."""
     s = as_column(share)
-    return F.when(s <= 0, "0%").when(s < 0.05, "<5%").when(s < 0.10, "5-10%").when(s < 0.25, "10-25%").when(s < 0.50, "25-50%").when(s < 1, "50-100%").otherwise("100%")
+    out = None
+    for top, name in SHARES:
+        out = F.when(s <= top, name) if out is None else out.when(s <= top, name)
+    return out.when(s < 1, "50-<100%").otherwise("100%")
 
 
 def hits(text: Column, phrases: Sequence[str]) -> Column:
@@ -93,17 +114,21 @@ def keyword_category(text: Column | str, table: Mapping[str, Sequence[str]], fal
     return best["c"]
 
 
-def word_category(text: Column | str, table: Mapping[str, Sequence[str]], fallback: str) -> Column:
-    """Whole-word hits, then total length of the phrases hit, then category name (descending)."""
-    t = F.lower(text_or_empty(text))
+def word_category(text: Column | str, table: Mapping[str, Sequence[str]], fallback: str | None = None) -> Column:
+    """Whole-word hits, then total length of the phrases hit, then category name (descending). A hyphen belongs to
+    a word; white space in a phrase matches any."""
     import re
 
+    t = F.lower(text_or_empty(text))
+
     def score(phrases: Sequence[str]) -> tuple[Column, Column]:
-        found = [t.rlike(rf"(?U)\b{re.escape(p.lower())}\b").cast("int") for p in phrases]
-        return sum(found, F.lit(0)), sum((f * len(p) for f, p in zip(found, phrases, strict=True)), F.lit(0))
+        flat = [" ".join(p.lower().split()) for p in phrases]
+        flat = [p for p in flat if p]
+        found = [t.rlike(rf"(?U)(^|[^\w-]){r'\s+'.join(map(re.escape, p.split()))}($|[^\w-])").cast("int") for p in flat]
+        return sum(found, F.lit(0)), sum((f * len(p) for f, p in zip(found, flat, strict=True)), F.lit(0))
 
     best = F.greatest(*(F.struct(n.alias("n"), w.alias("w"), F.lit(c).alias("c")) for c, p in table.items() for n, w in [score(p)]), F.struct(F.lit(0).alias("n"), F.lit(0).alias("w"), F.lit("").alias("c")))
-    return F.when(best["n"] > 0, best["c"]).otherwise(fallback)
+    return F.when(best["n"] > 0, best["c"]).otherwise(F.lit(fallback).cast("string"))
 
 
 def weighted_category(text: Column | str, table: Mapping[str, Mapping[str, int]], least: int, trusted: Column | None = None) -> Column:
@@ -143,32 +168,49 @@ def text_form(text: Column | str, control: str, keywords: Sequence[str], wrapper
     )
 
 
-def quality_score(text: Column | str) -> Column:
-    """B15."""
+def quality_parts(text: Column | str) -> Column:
+    """What B15 counts, each once: struct(n, alpha, odd, tokens, kinds, markup)."""
     t = normalize(text)
-    n = F.greatest(F.length(t), F.lit(1))
-    alpha = char_count(t, r"\p{L}") / n
-    printable = 1 - char_count(t, r"[\p{C}\p{Zl}\p{Zp}[\p{Zs}&&[^ ]]]") / n
-    tokens = F.regexp_extract_all(F.lower(t), F.lit(r"(?U)(\w{2,})"))
-    many = F.greatest(F.size(tokens), F.lit(1))
-    unique = F.size(F.array_distinct(tokens)) / many
-    markup = F.regexp_count(F.lower(t), F.lit(r"(?U)</?\w+|\{{2,}|\}{2,}|&[a-z]+;"))
-    score = 0.45 * alpha + 0.35 * printable + 0.20 * F.least(F.lit(1.0), unique * 4)
-    score = score - F.least(F.lit(0.35), markup / many * 3) - F.when((unique < 0.08) & (F.size(tokens) > 120), 0.25).otherwise(0.0)
-    return F.when(F.length(t) == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
-
-
-def quality_flags(text: Column | str, language: Column | str, short: int = 20) -> Column:
+    low = F.lower(t)
+    tokens = F.regexp_extract_all(low, F.lit(r"(?U)(\w{2,})"))
+    return F.struct(
+        F.length(t).alias("n"), char_count(t, r"\p{L}").alias("alpha"), char_count(t, r"[\p{C}\p{Zl}\p{Zp}[\p{Zs}&&[^ ]]]").alias("odd"),
+        F.size(tokens).alias("tokens"), F.size(F.array_distinct(tokens)).alias("kinds"), F.regexp_count(low, F.lit(r"(?U)</?\w+|\{{2,}|\}{2,}|&[a-z]+;")).alias("markup"),
+    )
+
+
+def quality_of(parts: Column) -> Column:
+    """B15 from `quality_parts`. The weights and limits."""
+    n, many = F.greatest(parts["n"], F.lit(1)), F.greatest(parts["tokens"], F.lit(1))
+    unique = parts["kinds"] / many
+    score = 0.45 * (parts["alpha"] / n) + 0.35 * (1 - parts["odd"] / n) + 0.20 * F.least(F.lit(1.0), unique * 4)
+    score = score - F.least(F.lit(0.35), parts["markup"] / many * 3) - F.when((unique < 0.08) & (parts["tokens"] > 120), 0.25).otherwise(0.0)
+    return F.when(parts["n"] == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
+
+
+def quality_score(text: Column | str) -> Column:
+    """B15. The parts pass through an array of one, so that each is counted once."""
+    return F.transform(F.array(quality_parts(text)), quality_of)[0]
+
+
+def script_letters(t: Column) -> tuple[Column, Column, Column]:
+    """Cyrillic, Latin and other letters."""
+    return char_count(t, "[\u0400-\u052f]"), char_count(t, LATIN), char_count(t, r"[\p{L}&&[^A-Za-z\u0400-\u052f]]")
+
+
+def quality_flags(text: Column | str, language: Column | str, short: int = 8) -> Column:
     """Array of the flags raised."""
     t, lang = text_or_empty(text), F.lower(text_or_empty(language))
-    cyr, lat = char_count(t, CYRILLIC), char_count(t, LATIN)
-    total = F.greatest(cyr + lat, F.lit(1))
+    bare = F.regexp_replace(t, r"(?U)^\s+|\s+$", "")
+    cyr, lat, other = script_letters(t)
+    letters, most = cyr + lat + other, F.greatest(cyr, lat)
+    share = lambda x: x / F.greatest(letters, F.lit(1))
     flags = {
-        "empty": F.trim(t) == "", "too_short": (F.trim(t) != "") & (F.length(F.trim(t)) < short), "mojibake": mojibake_score(t) > 0, "zero_width": t.rlike(ZERO_WIDTH),
-        "control_chars": t.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]"), "whitespace_run": t.rlike(r"[ \t]{8,}|\n{5,}"), "mixed_script": (cyr / total > 0.2) & (lat / total > 0.2),
-        "language_mismatch_ru": (lang == "ru") & (cyr + lat > 0) & (cyr / total < 0.3), "language_mismatch_en": (lang == "en") & (cyr + lat > 0) & (lat / total < 0.5),
+        "empty_text": bare == "", "very_short_text": (bare != "") & (F.length(bare) < short), "possible_mojibake": mark_count(t, MOJIBAKE) > 0, "zero_width_char": t.rlike(ZERO_WIDTH),
+        "control_char": t.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]"), "long_whitespace_run": t.rlike(r"(?U)\s{20,}"), "mixed_cyrillic_latin": (F.least(cyr, lat) > 0) & (F.least(cyr, lat) / F.greatest(most, F.lit(1)) >= 0.20),
+        "language_ru_low_cyrillic": (lang == "ru") & (letters >= 20) & (share(cyr) < 0.30), "language_en_low_latin": (lang == "en") & (letters >= 20) & (share(lat) < 0.50),
     }
-    return F.array_compact(F.array(*(F.when(c, name) for name, c in flags.items())))
+    return tags(**flags)
 
 
 def phrase_families(text: Column | str, table: Mapping[str, Sequence[str]]) -> Column:
@@ -177,14 +219,38 @@ def phrase_families(text: Column | str, table: Mapping[str, Sequence[str]]) -> C
     return F.array_compact(F.array(*(F.when(hits(t, p) > 0, c) for c, p in table.items())))
 
 
-def surface(text: Column | str, label: Column, phrases: Sequence[str]) -> Column:
-    """struct(strength, surface, position) of the phrases in a text."""
-    t = hash_form(text)
-    places = F.filter(F.array(*(F.instr(t, p.lower()) for p in phrases)), lambda p: p > 0)
-    n, at = F.size(places), F.coalesce(F.array_min(places), F.lit(0)) / F.greatest(F.length(t), F.lit(1))
-    strength = F.when(label != 1, "benign").when(n >= 2, "strong").when(n == 1, "medium").otherwise("weak")
-    form = F.when(F.length(t) <= 200, "direct_short").when(n > 0, "embedded").otherwise("long_text")
-    return F.struct(strength.alias("strength"), form.alias("surface"), F.when(n == 0, "none").when(at < 0.25, "early").when(at >= 0.75, "late").otherwise("middle").alias("position"))
+#: Fixed values of B18: marks of each surface, in order, and the names of the ends.
+STRUCTURED_FIELD = r"\b(metadata|instruction|system|assistant|developer)\s*[:=]"
+
+
+def strength(text: Column | str, label: Column, table: Mapping[str, Sequence[str]], override: str, exfiltration: Sequence[str]) -> Column:
+    """B18: 'benign_or_quoted' by label; else by the families of `table` that occur, `override` first, then any of
+    `exfiltration`; else by length. NFKC texts are compared."""
+    t = normalize_compatible(text)
+    bare = sum((hits(t, table[f]) for f in exfiltration), F.lit(0)) > 0
+    return (
+        F.when(label == 0, "benign_or_quoted").when(hits(t, table[override]) > 0, "explicit_override").when(bare, "bare_or_exfiltration_command")
+        .when(F.length(text_or_empty(text)) >= 1000, "long_jailbreak_or_document_attack").otherwise("other_attack")
+    )
+
+
+def surface(text: Column | str) -> Column:
+    """The form of the text around a phrase."""
+    t = F.regexp_replace(text_or_empty(text), r"(?U)^\s+|\s+$", "")
+    low = F.lower(t)
+    return (
+        F.when(t.contains("<!--") | t.contains("-->") | low.contains("<html"), "html_or_comment").when(t.contains("```") | t.contains("~~~"), "markdown_or_code_block")
+        .when(low.rlike(STRUCTURED_FIELD), "metadata_or_structured_field").when(t.startswith("{") | t.startswith("["), "json_like")
+        .when(t.contains("|") & t.contains("\n"), "table_like").when(low.contains("ocr") | low.contains("скан"), "ocr_like").otherwise("plain_text")
+    )
+
+
+def phrase_position(text: Column | str, phrases: Sequence[str]) -> Column:
+    """Where the first phrase stands: in the first or last fifth, or between."""
+    t = normalize_compatible(text)
+    places = F.filter(F.array(*(F.instr(t, p) for p in phrases)), lambda p: p > 0)
+    at = (F.array_min(places) - 1) / F.greatest(F.length(t), F.lit(1))
+    return F.when(F.size(places) == 0, "no_known_phrase").when(at < 0.20, "beginning").when(at > 0.80, "end").otherwise("middle")
 
 
 def quoted_or_discussed(text: Column | str, phrases: Sequence[str], markers: Sequence[str]) -> Column:
@@ -196,13 +262,15 @@ def quoted_or_discussed(text: Column | str, phrases: Sequence[str], markers: Seq
     return (hits(t, markers) > 0) | t.rlike(rf"[\"'«“„`].{{0,2}}({body})|({body}).{{0,2}}[\"'»”`]")
 
 
-def evidence(text: Column | str, groups: Mapping[str, tuple[str, int]], combos: Sequence[tuple[str, str, int]] = ()) -> Column:
-    """struct(score, reasons) of weighted pattern groups and pairs of groups."""
-    t = hash_form(text)
-    found = {name: t.rlike(p) for name, (p, _) in groups.items()}
-    score = sum((found[n].cast("int") * w for n, (_, w) in groups.items()), F.lit(0)) + sum(((found[a] & found[b]).cast("int") * w for a, b, w in combos), F.lit(0))
-    reasons = [F.when(c, n) for n, c in found.items()] + [F.when(found[a] & found[b], f"{a}+{b}") for a, b, _ in combos]
-    return F.struct(score.alias("score"), F.array_compact(F.array(*reasons)).alias("reasons"))
+def evidence(text: Column | str, groups: Mapping[str, tuple[str, int]], combos: Sequence[tuple[str, str, str]] = (), metadata: Column | str | None = None, several: str = "multiple_pi_signals") -> Column:
+    """struct(score, reasons): the weights of the pattern groups found, one more for two groups or more, and one for
+    each combination (reason, pattern, pattern) of which both are found. Metadata count as text."""
+    t = F.lower(F.concat_ws(" ", normalize(text), normalize(metadata) if metadata is not None else F.lit("")))
+    found = {name: t.rlike("(?is)" + p) for name, (p, _) in groups.items()}
+    many = sum((c.cast("int") for c in found.values()), F.lit(0)) >= 2
+    both = {name: t.rlike(a) & t.rlike(b) for name, a, b in combos}
+    score = sum((found[n].cast("int") * w for n, (_, w) in groups.items()), F.lit(0)) + many.cast("int") + sum((c.cast("int") for c in both.values()), F.lit(0))
+    return F.struct(score.alias("score"), tags(**found, **{several: many}, **both).alias("reasons"))
 
 
 def any_pattern(text: Column | str, patterns: Sequence[str]) -> Column:
@@ -218,10 +286,11 @@ def anchored(text: Column | str, positive: Sequence[str], negated: str, veto: bo
     return any_pattern(F.regexp_replace(t, "(?ius)" + negated, " "), positive)
 
 
-def target_and_frame(text: Column | str, target: str, verb: str, frame: str, structured: str = r"[{}\[\]<>=:/\\_#|`]", least: int = 3) -> Column:
-    """A target with a verb or a frame, or with some structured tokens."""
-    t = F.lower(text_or_empty(text))
-    return t.rlike(target) & (t.rlike(verb) | t.rlike(frame) | (F.regexp_count(t, F.lit(structured)) >= least))
+def target_and_frame(text: Column | str, target: str, verb: str, frame: str, fields: Sequence[str] = (), formats: Sequence[str] = ("json", "yaml", "internal"), least: int = 3) -> Column:
+    """A target with a verb or a frame, or some named fields with the name of a format."""
+    t = text_or_empty(text)
+    low = F.lower(t)
+    return (F.trim(t) != "") & ((t.rlike("(?iu)" + target) & (t.rlike("(?iu)" + verb) | t.rlike("(?iu)" + frame))) | ((hits(low, fields) >= least) & (hits(low, formats) > 0)))
 
 
 def first_match(text: Column | str, table: Mapping[str, str], fallback: str) -> Column:
@@ -243,11 +312,24 @@ def trigger_density(text: Column | str, patterns: Mapping[str, str]) -> Column:
     return F.struct(total.alias("count"), (total / F.greatest(F.size(words(t)), F.lit(1))).alias("density"), tags(**{n: c > 0 for n, c in counts.items()}).alias("names"))
 
 
-def artifacts(text: Column | str) -> Column:
-    """struct(digit_share, symbol_density, urls)."""
+#: What shows that a text is data or code rather than prose.
+ARTIFACTS = {
+    "hex_hash": r"\b[a-fA-F0-9]{16,}\b",
+    "float_sequence": r"\b\d+\.\d+(?:\s*,\s*\d+\.\d+){2,}\b",
+    "json_like": r"[{}\[\]]\s*['\"]?\w+['\"]?\s*:",
+    "route_like": r"\b(?:GET|POST|PUT|PATCH|DELETE)\s+/[A-Za-z0-9_./{}-]+",
+    "sql_like": r"\b(?:SELECT|INSERT|UPDATE|DELETE|DROP|UNION)\b.{0,80}\b(?:FROM|WHERE|TABLE|VALUES)\b",
+}
+
+
+def artifacts(text: Column | str, patterns: Mapping[str, str] = ARTIFACTS) -> Column:
+    """struct(score, hits, digit_share, symbol_density, urls): 1 for a pattern, over 20 % digits or over 12 % symbols of code."""
     t = text_or_empty(text)
     n = F.greatest(F.length(t), F.lit(1))
-    return F.struct((char_count(t, "[0-9]") / n).alias("digit_share"), (char_count(t, r"[{}\[\]<>=:/\\_#|`]") / n).alias("symbol_density"), F.regexp_count(t, F.lit(r"https?://\S+")).alias("urls"))
+    digits, symbols = char_count(t, r"\p{Nd}") / n, char_count(t, r"[{}\[\]();=<>|`]") / n
+    found = tags(**{name: t.rlike("(?isU)" + p) for name, p in patterns.items()})
+    score = ((F.size(found) > 0) | (digits > 0.20) | (symbols > 0.12)).cast("int")
+    return F.struct(score.alias("score"), found.alias("hits"), digits.alias("digit_share"), symbols.alias("symbol_density"), F.regexp_count(t, F.lit(r"(?iU)https?://\S+")).alias("urls"))
 
 
 def language_mismatch(language: Column | str, text: Column | str) -> Column:
@@ -258,17 +340,52 @@ def language_mismatch(language: Column | str, text: Column | str) -> Column:
     return ((lang == "ru") & (lat > 0.55) & (cyr < 0.30)) | ((lang == "en") & (cyr > 0.40)) | ((lang == "mixed") & ((lat < 0.05) | (cyr < 0.05)))
 
 
-def anomaly(**weighted: tuple[Column, float]) -> Column:
-    """struct(score, flags, bucket): a weighted sum of flags; the bucket is that of the first flag raised."""
-    score = sum((c.cast("int") * F.lit(float(w)) for c, w in weighted.values()), F.lit(0.0))
-    flags = tags(**{n: c for n, (c, _) in weighted.items()})
-    return F.struct(score.alias("score"), flags.alias("flags"), F.coalesce(F.try_element_at(flags, F.lit(1)), F.lit("clean")).alias("bucket"))
+#: Tokens that anomalies are counted by, marks of misread text, and the weights of the scores.
+ANOMALY_TOKEN = r"[A-Za-zА-Яа-яЁё<>@:/._-]+|\d+"
+ANOMALY_MOJIBAKE = ("Ð", "Ñ", "\ufffd", "Â", "Ã")
+ANOMALY_WEIGHTS = {
+    "template_repetition": 3, "trigger_density": 2, "benign_negation": 2, "mixed_language": 2, "metadata_scaffold": 2, "short_high_score": 2, "numeric_code": 2, "label_contamination": 5,
+}
 
 
-def source_family(source: Column | str) -> Column:
-    """owner/name of a hub path, else what stands before the first mark."""
-    s = text_or_empty(source)
-    return F.when(s == "", "unknown").when(s.contains("/"), F.array_join(F.slice(F.split(s, "/"), 1, 2), "/")).otherwise(F.regexp_extract(s, "^([^:#@]*)", 1))
+def anomaly_scores(text: Column | str, score: Column | str, repeats: Mapping[str, Column], patterns: Mapping[str, Mapping[str, str]]) -> Column:
+    """Struct of the component scores. `repeats` has the counts normalized, prefix and suffix of N5; `patterns` the
+    named patterns triggers, negations, scaffolds and contaminations."""
+    t = text_or_empty(text)
+    tokens = F.regexp_count(t, F.lit(ANOMALY_TOKEN))
+    letters = F.greatest(char_count(t, r"\p{L}"), F.lit(1))
+    count = lambda kind: sum((F.regexp_count(t, F.lit("(?is)" + p)) for p in patterns.get(kind, {}).values()), F.lit(0))
+    triggers = count("triggers")
+    mixed = (char_count(t, LATIN) / letters >= 0.10) & (char_count(t, CYRILLIC) / letters >= 0.10)
+    parts = {
+        "template_repetition": (repeats["normalized"] > 3).cast("int") + (repeats["prefix"] > 10).cast("int") + (repeats["suffix"] > 10).cast("int"),
+        "trigger_density": (triggers / F.greatest(tokens, F.lit(1)) >= 0.05).cast("int"), "benign_negation": (count("negations") > 0).cast("int"), "mixed_language": mixed.cast("int"),
+        "metadata_scaffold": F.least(F.lit(3), count("scaffolds")), "short_high_score": ((tokens < 20) & (safe_double(score) > 0.95) & (triggers == 0)).cast("int"),
+        "numeric_code": artifacts(t)["score"], "label_contamination": (count("contaminations") > 0).cast("int"),
+    }
+    return F.struct(*(c.alias(n) for n, c in parts.items()))
+
+
+def anomaly(parts: Column, text: Column | str, score: Column | str, language: Column | str, markers: Mapping[str, str] | None = None) -> Column:
+    """struct(score, bucket) from `anomaly_scores`: the weighted scores, the markers (phrases, 4 at most), misread text, a
+    language that the script belies, and a very high model score."""
+    t = text_or_empty(text)
+    marked = sum((F.contains(F.lower(t), F.lit(m.lower())).cast("int") for m in (markers or {}).values()), F.lit(0))
+    total = sum((parts[n] * w for n, w in ANOMALY_WEIGHTS.items()), F.lit(0)) + F.least(F.lit(4), marked)
+    total = total + F.when(mark_count(t, ANOMALY_MOJIBAKE) > 0, 3).otherwise(0) + F.when(language_mismatch(language, t), 2).otherwise(0) + (safe_double(score) >= 0.999).cast("int")
+    bucket = (
+        F.when(parts["label_contamination"] > 0, "label_contamination_candidate").when(parts["short_high_score"] > 0, "short_structured_high_score").when(parts["numeric_code"] > 0, "numeric_code_artifact")
+        .when((parts["template_repetition"] >= 2) & (parts["benign_negation"] > 0), "template_boilerplate_artifact").when(parts["benign_negation"] > 0, "prompt_security_negation_artifact")
+        .when((parts["mixed_language"] > 0) & (parts["trigger_density"] > 0), "mixed_language_template").when(parts["template_repetition"] >= 2, "template_boilerplate_artifact").otherwise("ordinary_false_positive")
+    )
+    return F.struct(total.alias("score"), bucket.alias("bucket"))
+
+
+def source_family(source: Column | str, origin: Column | str | None = None) -> Column:
+    """A name that names a document stands for itself; an origin on a hub gives its owner and name; else the source."""
+    named = F.coalesce(F.nullif(text_or_empty(source), F.lit("")), F.lit("unknown"))
+    from_ = F.coalesce(F.nullif(text_or_empty(origin), F.lit("")), named) if origin is not None else named
+    return F.when(named.contains(":doc:"), named).when(from_.startswith("hf://"), F.array_join(F.slice(F.split(from_, "/"), 1, 4), "/")).otherwise(named)
 
 
 def generated_reason(markers: Sequence[str], *metadata: Column | str) -> Column:

@@ -21,8 +21,12 @@ ENGLISH = ("en", "eng", "english", "en_us", "en_gb")
 SEVERAL = ("mixed", "multi", "multilingual")
 CYRILLIC, LATIN = "[А-Яа-яЁё]", "[A-Za-z]"
 MOJIBAKE = ("Ð", "Ñ", "Â", "â€™", "â€œ", "â€", "�")
-TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "gclid", "fbclid", "yclid")
-BLOCKED_PAGE = ("captcha", "access denied", "forbidden", "too many requests")
+#: How wrongly decoded pages and texts show.
+CRAWL_MOJIBAKE, TEXT_MOJIBAKE, AFTER_A = ("Ð", "Ñ", "Â", "â"), ("â", "\ufffd", "Ð", "Ñ"), ("€", "™", "“", "”", "–")
+#: A query parameter that begins so is dropped; paths that a crawl does not follow.
+TRACKING = ("utm_", "fbclid", "gclid", "yclid")
+SKIPPED_PATHS = ("/login", "/signin", "/auth", "/register", "/cart")
+BLOCKED_PAGE = ("are you not a robot", "captcha", "access denied", "доступ ограничен", "проверка безопасности", "подтвердите, что вы не робот")
 
 SPACES = r"(?U)\s+"
 
@@ -114,9 +118,9 @@ def unit(c: Column | str) -> Column:
 
 
 def long_signature(c: Column | str, n: int = 200) -> Column:
-    """hash of the two ends."""
+    """hash of the two ends; of the whole of a text of at most `n` characters."""
     t = hash_form(c)
-    return F.sha2(F.concat(F.left(t, F.lit(n)), F.lit(" ... "), F.right(t, F.lit(n))), 256)
+    return F.sha2(F.when(F.length(t) <= n, t).otherwise(F.concat(F.left(t, F.lit(n)), F.lit(" ... "), F.right(t, F.lit(n)))), 256)
 
 
 def bag_cluster_id(c: Column | str, words: int = 80) -> Column:
@@ -126,10 +130,16 @@ def bag_cluster_id(c: Column | str, words: int = 80) -> Column:
     return stable_hash(F.when(F.size(bag) > 0, F.array_join(bag, " ")).otherwise(t))
 
 
-def slug(c: Column | str) -> Column:
-    """F13."""
-    s = F.regexp_replace(F.lower(normalize(c)), "[^a-z0-9а-яё]+", "_")
-    return F.coalesce(F.nullif(F.regexp_replace(s, "^_+|_+$", ""), F.lit("")), F.lit("unknown"))
+#: What stays in names of each kind, what replaces the rest, and what an empty name becomes.
+SLUGS = {"name": (r"[^\p{L}\p{N}]+", "_", "unknown"), "file": (r"[^A-Za-z0-9_.-]+", "-", "source"), "id": (r"[^A-Za-z0-9_.-]+", "_", "unknown")}
+
+
+def slug(c: Column | str, kind: str = "name") -> Column:
+    """'name' (lower case, letters and digits of any script, 80 characters at most), 'file' or 'id'."""
+    drop, mark, empty = SLUGS[kind]
+    s = text_or_empty(c)
+    s = F.regexp_replace(F.regexp_replace(F.lower(s) if kind == "name" else s, drop, mark), f"^{mark}+|{mark}+$", "")
+    return F.coalesce(F.nullif(F.left(s, F.lit(80)) if kind == "name" else s, F.lit("")), F.lit(empty))
 
 
 def label_name(c: Column | str, attack: str = "attack", benign: str = "benign") -> Column:
@@ -186,10 +196,11 @@ def row_key(document_id: Column, attack_hash: Column, window_hash: Column) -> Co
     return F.coalesce(*(F.when(F.coalesce(c, F.lit("")) != "", F.struct(F.lit(k).alias("kind"), c.alias("value"))) for k, c in kinds))
 
 
-def preview(c: Column | str, limit: int = 200) -> Column:
-    """F22."""
+def preview(c: Column | str, limit: int = 160, form: str = "window") -> Column:
+    """'window' is `limit` characters at most, the mark included; 'compact' cuts at `limit` and adds the mark."""
     t = normalize(c)
-    return F.when(F.length(t) <= limit, t).otherwise(F.concat(F.rtrim(F.left(t, F.lit(limit - 3))), F.lit("...")))
+    cut = F.concat(F.left(t, F.lit(limit - 3)), F.lit("...")) if form == "window" else F.concat(F.rtrim(F.left(t, F.lit(limit))), F.lit(" ..."))
+    return F.when(F.length(t) <= limit, t).otherwise(cut)
 
 
 def infer_language(c: Column | str, dialect: str = "ratio") -> Column:
@@ -246,16 +257,17 @@ def unescape(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def html_text(c: Column | str, entities: bool = True) -> Column:
-    """visible text; block tags separate words."""
-    t = F.regexp_replace(text_or_empty(c), r"(?is)<(script|style|noscript|svg)\b[^>]*>.*?</\1\s*>", " ")
-    t = F.regexp_replace(t, r"(?i)</?(p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|section|article|header|footer)\b[^>]*>", " ")
-    t = F.regexp_replace(t, "(?s)<[^>]*>", " ")
-    return normalize(unescape(t) if entities else t)
+    """visible text: entities first, so that what they spell is markup too; block tags separate words."""
+    t = unescape(text_or_empty(c)) if entities else text_or_empty(c)
+    for tag in ("script", "style", "noscript", "svg"):
+        t = F.regexp_replace(t, rf"(?is)<{tag}\b.*?</{tag}>", " ")
+    t = F.regexp_replace(t, r"(?i)<(br|p|li|tr|td|th|h[1-6])\b[^>]*>", " ")
+    return normalize(F.regexp_replace(t, "<[^>]+>", " "))
 
 
 def html_title(c: Column | str) -> Column:
-    """F28."""
-    return normalize(F.regexp_extract(text_or_empty(c), "(?is)<title[^>]*>(.*?)</title>", 1))
+    """the first title's visible text."""
+    return html_text(F.regexp_extract(text_or_empty(c), "(?is)<title[^>]*>(.*?)</title>", 1))
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -263,6 +275,9 @@ def _joined(base: pd.Series, links: pd.Series) -> pd.Series:
     def one(b: str, hrefs: Sequence[str]) -> list[str]:
         out = []
         for h in hrefs:
+            h = html.unescape(h.strip())
+            if not h or h.startswith(("#", "mailto:", "tel:", "javascript:")):
+                continue
             try:
                 out.append(urljoin(b or "", h))
             except ValueError:
@@ -273,86 +288,116 @@ def _joined(base: pd.Series, links: pd.Series) -> pd.Series:
 
 
 def html_links(base: Column | str, c: Column | str) -> Column:
-    """resolved targets of links, without fragments, mail and script targets."""
-    found = F.regexp_extract_all(text_or_empty(c), F.lit(r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"'#]*)"))
-    found = F.filter(F.transform(found, lambda x: F.trim(x)), lambda x: (x != "") & ~F.lower(x).rlike("^(mailto|javascript|tel):"))
-    return F.array_distinct(_joined(text_or_empty(base), found))
+    """resolved targets of all hrefs in order, but fragments, mail, phone and script targets."""
+    found = F.regexp_extract_all(text_or_empty(c), F.lit(r"(?i)href\s*=\s*[\"']([^\"']+)[\"']"))
+    return _joined(text_or_empty(base), found)
+
+
+def url_parts(c: Column | str) -> dict[str, Column]:
+    """Scheme in lower case, authority, path and query of a URL without its fragment."""
+    u = F.regexp_replace(F.ltrim(text_or_empty(c)), "(?s)#.*$", "")
+    whole = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?]*))?([^?]*)(?:\?(.*))?$"
+    names = ("scheme", "netloc", "path", "query")
+    parts = {n: F.regexp_extract(u, whole, i + 1) for i, n in enumerate(names)}
+    return {**parts, "scheme": F.lower(parts["scheme"])}
+
+
+def reencoded(c: Column) -> Column:
+    """A query's key or value decoded and encoded again as in forms; broken escapes stay as they are."""
+    plain = F.coalesce(F.try_url_decode(c), F.translate(c, "+", " "))
+    return F.replace(F.replace(F.url_encode(plain), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
 def canonical_url(c: Column | str, drop: Sequence[str] = TRACKING) -> Column:
-    """scheme and host in lower case, no fragment, no tracking parameters; null unless http(s)."""
-    u = F.regexp_replace(F.trim(text_or_empty(c)), "#.*$", "")
-    scheme = F.lower(F.regexp_extract(u, "^([A-Za-z]+)://", 1))
-    host = F.lower(F.regexp_extract(u, "^[A-Za-z]+://([^/?]*)", 1))
-    path = F.regexp_extract(u, r"^[A-Za-z]+://[^/?]*([^?]*)", 1)
-    params = F.filter(F.split(F.regexp_extract(u, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.lower(F.substring_index(p, "=", 1)).isin(*drop))
-    query = F.when(F.size(params) > 0, F.concat(F.lit("?"), F.array_join(params, "&"))).otherwise("")
-    path = F.when(path == "", "/").otherwise(path)
-    return F.when(scheme.isin("http", "https") & (host != ""), F.concat(scheme, F.lit("://"), host, path, query))
+    """no fragment, no tracking parameters, the others encoded anew; empty unless http(s)."""
+    u = url_parts(c)
+    key = lambda p: F.lower(F.coalesce(F.try_url_decode(F.substring_index(p, "=", 1)), F.substring_index(p, "=", 1)))
+    tracked = lambda p: sum((F.startswith(key(p), F.lit(d)).cast("int") for d in drop), F.lit(0)) > 0
+    value = lambda p: F.when(F.instr(p, "=") > 0, F.substring(p, F.instr(p, "=") + 1, F.length(p))).otherwise("")
+    pairs = F.filter(F.split(u["query"], "&"), lambda p: (p != "") & ~tracked(p))
+    query = F.array_join(F.transform(pairs, lambda p: F.concat(reencoded(F.substring_index(p, "=", 1)), F.lit("="), reencoded(value(p)))), "&")
+    path = F.when((u["netloc"] != "") & (u["path"] != "") & ~u["path"].startswith("/"), F.concat(F.lit("/"), u["path"])).otherwise(u["path"])
+    whole = F.concat(u["scheme"], F.lit(":"), F.when((u["netloc"] != "") | path.startswith("//"), F.concat(F.lit("//"), u["netloc"])).otherwise(""), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    return F.when(u["scheme"].isin("http", "https"), whole).otherwise("")
 
 
 def url_host(c: Column | str) -> Column:
-    return F.lower(F.regexp_extract(text_or_empty(c), "^[A-Za-z]+://([^/?#]*)", 1))
+    """The host in lower case, without user and port."""
+    return F.substring_index(F.substring_index(F.lower(url_parts(c)["netloc"]), "@", -1), ":", 1)
 
 
-def allowed_url(c: Column | str, domains: Sequence[str], prefixes: Sequence[str] = ()) -> Column:
-    """a domain or its subdomain, and one of the path prefixes if there are any."""
-    host, path = url_host(c), F.regexp_extract(text_or_empty(c), "^[A-Za-z]+://[^/?#]*([^?#]*)", 1)
-    ok = F.lit(False)
-    for d in domains:
-        ok = ok | (host == d.lower()) | host.endswith("." + d.lower())
+def allowed_url(c: Column | str, domains: Sequence[str] = (), prefixes: Sequence[str] = ()) -> Column:
+    """a domain or its subdomain, and a path that is, or lies under, one of the prefixes if there are any. No
+    domains allow all."""
+    if not domains:
+        return F.lit(True)
+    host, path = url_host(c), url_parts(c)["path"]
+    ok = sum((((host == d) | host.endswith("." + d)).cast("int") for d in domains), F.lit(0)) > 0
     if prefixes:
-        under = F.lit(False)
-        for p in prefixes:
-            under = under | path.startswith(p)
-        ok = ok & under
+        ok = ok & (sum((((path == p) | path.startswith(p.rstrip("/") + "/")).cast("int") for p in prefixes), F.lit(0)) > 0)
     return ok
 
 
+def skipped_url(c: Column | str, suffixes: Sequence[str] = (), parts: Sequence[str] = SKIPPED_PATHS) -> Column:
+    """URLs that a crawl leaves out: not http(s), a path that ends with one of the suffixes or holds one of the parts."""
+    u = url_parts(c)
+    path = F.lower(u["path"])
+    return ~u["scheme"].isin("http", "https") | (sum((path.endswith(x).cast("int") for x in suffixes), F.lit(0)) + sum((path.contains(x).cast("int") for x in parts), F.lit(0)) > 0)
+
+
 @F.pandas_udf(StringType())
-def decode_bytes(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """F32: the charset that the page names, then UTF-8, then Windows-1251, then Latin-1."""
+def _decoded(data: pd.Series, named: pd.Series) -> pd.Series:
     import re
 
-    def one(data: bytes | None) -> str | None:
-        if data is None:
+    def one(raw: bytes | None, charset: str | None) -> str | None:
+        if raw is None:
             return None
-        named = re.search(rb"charset\s*=\s*[\"']?([A-Za-z0-9_-]+)", bytes(data[:4096]))
-        for charset in ([named[1].decode("ascii")] if named else []) + ["utf-8", "cp1251"]:
+        meta = re.search(rb"charset\s*=\s*['\"]?([A-Za-z0-9_.-]+)", bytes(raw[:4096]), re.IGNORECASE)
+        for encoding in (meta[1].decode("ascii") if meta else None, "utf-8", charset, "windows-1251", "latin-1"):
             try:
-                return bytes(data).decode(charset)
+                if encoding:
+                    return bytes(raw).decode(encoding)
             except (UnicodeDecodeError, LookupError):
                 continue
-        return bytes(data).decode("latin-1")
+        return bytes(raw).decode("utf-8", errors="replace")
+
+    return pd.Series([one(d, n) for d, n in zip(data, named, strict=True)], dtype=object)
 
-    for s in parts:
-        yield s.map(one)
+
+def decode_bytes(data: Column | str, charset: Column | str | None = None) -> Column:
+    """F32: the charset that the page names (in any case), UTF-8, that of the response, Windows-1251, Latin-1; then the
+    repair of F33."""
+    return repair_mojibake(_decoded(as_column(data), as_column(charset) if charset is not None else F.lit(None).cast("string")))
+
+
+def mark_count(c: Column | str, marks: Sequence[str]) -> Column:
+    return F.regexp_count(text_or_empty(c), F.lit("|".join(marks)))
 
 
 def mojibake_score(c: Column | str) -> Column:
     """marks of wrongly decoded text."""
-    return F.regexp_count(text_or_empty(c), F.lit("|".join(MOJIBAKE)))
+    return mark_count(c, CRAWL_MOJIBAKE)
 
 
-def repair_mojibake(c: Column | str) -> Column:
-    """reread as UTF-8 what was read as Latin-1, if that leaves fewer marks."""
-    t = text_or_empty(c)
+def repair_mojibake(c: Column | str, least: int = 4) -> Column:
+    """from `least` marks on, reread as UTF-8 what was read as Latin-1, if that leaves fewer marks, or as many and
+    more Cyrillic. Null stays null."""
+    t = as_column(c)
     fixed = F.try_validate_utf8(F.encode(F.when(t.rlike("^[\\x00-\\u00ff]*$"), t), "ISO-8859-1").cast("string"))
-    return F.when(fixed.isNotNull() & (mojibake_score(fixed) < mojibake_score(t)), fixed).otherwise(t)
+    rank = lambda x: F.struct(mojibake_score(x), -char_count(x, CYRILLIC))
+    return F.when((mojibake_score(t) >= least) & fixed.isNotNull() & (rank(fixed) < rank(t)), fixed).otherwise(t)
 
 
-def looks_corrupted(c: Column | str, least: int = 3) -> Column:
-    """F34."""
-    return (mojibake_score(c) >= least) | text_or_empty(c).contains("�")
+def looks_corrupted(c: Column | str, least: int = 4) -> Column:
+    """that many marks, or one pair that a misread quotation mark or dash leaves."""
+    pairs = "|".join(f"â{x}" for x in AFTER_A)
+    return (mark_count(c, TEXT_MOJIBAKE) >= least) | text_or_empty(c).rlike(pairs)
 
 
 def looks_blocked(body: Column | str, title: Column | str, marks: Sequence[str] = BLOCKED_PAGE) -> Column:
     """F35."""
     head = F.lower(F.concat_ws(" ", text_or_empty(title), F.left(text_or_empty(body), F.lit(4000))))
-    hit = F.lit(False)
-    for m in marks:
-        hit = hit | head.contains(m)
-    return hit
+    return sum((head.contains(m).cast("int") for m in marks), F.lit(0)) > 0
 
 
 def sentences(c: Column | str) -> Column:
@@ -367,58 +412,81 @@ def sentence_ends(c: Column | str) -> Column:
     return F.aggregate(parts, F.array().cast("array<int>"), step)
 
 
-def nearest_end(c: Column | str, target: Column) -> Column:
-    """The sentence end nearest to `target`, the earlier one of two; the target itself where there is none."""
-    ends = sentence_ends(c)
-    best = F.array_min(F.transform(ends, lambda e: F.struct(F.abs(e - target).alias("d"), e.alias("e"))))
-    return F.coalesce(best["e"], target)
+def inserted(carrier: Column, insertion: Column, place: Column) -> Column:
+    """struct(text, start, stop): the insertion after `place` characters, between single spaces."""
+    before, after = F.trim(F.left(carrier, place)), F.trim(F.substring(carrier, place + 1, F.length(carrier)))
+    start = F.when(before == "", 0).otherwise(F.length(before) + 1)
+    return F.struct(normalize(F.concat_ws(" ", before, insertion, after)).alias("text"), start.alias("start"), (start + F.length(insertion)).alias("stop"))
 
 
-def insert_at(carrier: Column | str, insertion: Column | str, place: Column) -> Column:
-    """struct(text, start, stop): the insertion as a paragraph of its own after `place` characters."""
-    c, i = text_or_empty(carrier), text_or_empty(insertion)
-    before, after = F.rtrim(F.left(c, place)), F.ltrim(F.substring(c, place + 1, F.length(c)))
-    gap = F.lit("\n\n")
-    lead = F.when(before == "", F.lit("")).otherwise(F.concat(before, gap))
-    text = F.concat(lead, i, F.when(after == "", F.lit("")).otherwise(F.concat(gap, after)))
-    return F.struct(text.alias("text"), F.length(lead).alias("start"), (F.length(lead) + F.length(i)).alias("stop"))
+def draw(lo: Column, hi: Column, *key: Column | str) -> Column:
+    """A seeded whole number from `lo` to `hi`, both included."""
+    return (lo + F.pmod(stable_int(F.concat_ws(":", *(as_column(k).cast("string") for k in key))), F.greatest(hi - lo, F.lit(0)) + 1)).cast("int")
 
 
 def embed(carrier: Column | str, insertion: Column | str, position: str = "middle", seed: int = 42) -> Column:
-    """at the prefix, the suffix, the sentence end nearest to the middle, or deep (35-75 %, seeded)."""
-    n = F.length(text_or_empty(carrier))
-    place = {"prefix": F.lit(0), "suffix": n, "middle": nearest_end(carrier, (n / 2).cast("int"))}.get(position)
-    if place is None:
-        share = 0.35 + 0.40 * unit(F.concat_ws(":", F.lit(seed), text_or_empty(carrier), text_or_empty(insertion)))
-        place = nearest_end(carrier, (n * share).cast("int"))
-    return insert_at(carrier, insertion, place)
+    """struct(text, start, stop) of normalised texts: at the prefix, the suffix, the sentence end nearest to the
+    middle (moved by up to 80 characters, seeded), or deep: a seeded sentence end, or place, in the 35-75 %."""
+    c, i = normalize(carrier), normalize(insertion)
+    n, ends = F.length(c), sentence_ends(c)
+    key = (F.lit(seed), F.lit(position), c, i)
+    if position == "prefix":
+        return F.struct(F.concat_ws(" ", i, c).alias("text"), F.lit(0).alias("start"), F.length(i).alias("stop"))
+    if position == "suffix":
+        return F.struct(F.concat_ws(" ", c, i).alias("text"), (n + 1).alias("start"), (n + 1 + F.length(i)).alias("stop"))
+    if position == "middle":
+        target = F.floor(n / 2).cast("int") - draw(F.lit(-80), F.lit(80), *key)
+        best = F.array_min(F.transform(ends, lambda e: F.struct(F.abs(e - target).alias("d"), e.alias("e"))))["e"]
+        return inserted(c, i, F.coalesce(best, F.floor(n / 2).cast("int")))
+    lo, hi = F.floor(n * 0.35).cast("int"), F.floor(n * 0.75).cast("int")
+    deep = F.filter(ends, lambda e: (e >= lo) & (e <= hi))
+    least = F.greatest(lo, F.lit(1))
+    place = F.when(F.size(deep) > 0, F.try_element_at(deep, draw(F.lit(1), F.size(deep), *key))).otherwise(draw(least, F.greatest(lo + 1, hi), *key))
+    return inserted(c, i, place)
 
 
 #: Fixed value: token positions of an insertion and their weights in per cent.
-TOKEN_POSITIONS = (("middle", 65), ("start", 7), ("early", 7), ("late", 7), ("end", 7), ("boundary", 7))
+TOKEN_POSITIONS = (("random", 65), ("beginning", 7), ("early", 7), ("middle", 7), ("late", 7), ("end", 7))
 
 
 def token_position(key: Column, positions: Sequence[tuple[str, int]] = TOKEN_POSITIONS) -> Column:
     return weighted_choice(key, positions)
 
 
-def insert_tokens(tokens: Column | str, insertion: Column | str, position: Column, stride: int = 128) -> Column:
-    """struct(tokens, start, stop) with the insertion among the tokens."""
+def insert_tokens(tokens: Column | str, insertion: Column | str, position: Column, key: Column) -> Column:
+    """struct(tokens, start, stop) with the insertion among the tokens at a seeded place of the position's range:
+    the first or last 64 tokens, the first or last third, a tenth about the middle, or anywhere. Null where either is
+    empty."""
     t, i = as_column(tokens), as_column(insertion)
     n = F.size(t)
-    at = (
-        F.when(position == "start", 0).when(position == "early", (n * 0.2).cast("int")).when(position == "middle", (n * 0.5).cast("int"))
-        .when(position == "late", (n * 0.8).cast("int")).when(position == "boundary", F.least(F.lit(stride), n)).otherwise(n)
-    )
-    return F.struct(F.concat(F.slice(t, F.lit(1), at), i, F.slice(t, at + 1, n)).alias("tokens"), at.alias("start"), (at + F.size(i)).alias("stop"))
+    third, mid, reach = F.floor(n / 3).cast("int"), F.floor(n / 2).cast("int"), F.greatest(F.floor(n / 10).cast("int"), F.lit(1))
+    lo = F.when(position == "late", F.floor(2 * n / 3).cast("int")).when(position == "end", F.greatest(n - 64, F.lit(0))).when(position == "middle", F.greatest(mid - reach, F.lit(0))).otherwise(0)
+    hi = F.when(position == "beginning", F.least(F.lit(64), n)).when(position == "early", third).when(position == "middle", F.least(mid + reach, n)).otherwise(n)
+    at = draw(lo, hi, key, position)
+    value = F.struct(F.concat(F.slice(t, F.lit(1), at), i, F.slice(t, at + 1, n)).alias("tokens"), at.alias("start"), (at + F.size(i)).alias("stop"))
+    return F.when((n > 0) & (F.size(i) > 0), value)
 
 
-def crop_around(c: Column | str, start: Column, stop: Column, budget: int) -> Column:
-    """at most `budget` characters with the span about in the middle; a longer span stays whole."""
-    t = text_or_empty(c)
-    room = F.greatest(F.lit(budget) - (stop - start), F.lit(0))
-    left = F.greatest(F.least(start - (room / 2).cast("int"), F.length(t) - F.greatest(F.lit(budget), stop - start)), F.lit(0))
-    return F.struct(F.substring(t, left + 1, F.greatest(F.lit(budget), stop - left)).alias("text"), left.alias("left"))
+def _crop(t: Column, first: Column, size: Column) -> Column:
+    """`size` characters from `first` on, moved left where the text ends before."""
+    stop = F.least(F.length(t), first + size)
+    return normalize(F.substring(t, F.greatest(stop - size, F.lit(0)) + 1, F.least(size, F.length(t))))
+
+
+def crop_around(c: Column | str, start: Column, stop: Column, budget: int | Column) -> Column:
+    """the normalised text cut to `budget` characters, or the span and 160 if that is more, with the span about in
+    the middle; a text that fits stays whole."""
+    t, span = normalize(c), F.greatest(stop - start, F.lit(0))
+    size = F.greatest(F.lit(budget) if isinstance(budget, int) else budget, span + 160)
+    return F.when(F.length(t) <= size, t).otherwise(_crop(t, F.greatest(start - F.floor((size - span) / 2).cast("int"), F.lit(0)), size))
+
+
+def crop_with_context(c: Column | str, start: Column, stop: Column, budget: int, context: int, seed: int = 42) -> Column:
+    """as `crop_around`, but with at least `context` characters before the span, and a seeded share of what is spare."""
+    t, span = normalize(c), F.greatest(stop - start, F.lit(0))
+    size = F.least(F.greatest(F.lit(budget), span + 2 * context), F.length(t))
+    spare = F.greatest(size - span - 2 * context, F.lit(0))
+    return F.when(F.length(t) <= size, t).otherwise(_crop(t, F.greatest(start - context - draw(F.lit(0), spare, F.lit(seed), t), F.lit(0)), size))
 
 
 def crop_random(c: Column | str, budget: int, seed: int = 42) -> Column:
@@ -429,14 +497,17 @@ def crop_random(c: Column | str, budget: int, seed: int = 42) -> Column:
     return F.substring(t, start + 1, F.lit(budget))
 
 
-def fragment(c: Column | str, triggers: Sequence[str], most: int = 3, reach: int = 160) -> Column:
-    """the first sentences with a trigger, else the surroundings of the first trigger, else empty."""
-    t = text_or_empty(c)
+def fragment(c: Column | str, triggers: Sequence[str], most: int = 3) -> Column:
+    """the first sentences with a trigger, 900 characters at most; else what surrounds the first trigger, from 220
+    characters before to 680 after its start; else the first 700 characters."""
+    t = normalize(c)
     has = lambda s: F.exists(F.array(*map(F.lit, triggers)), lambda w: F.contains(F.lower(s), w))
-    with_trigger = F.slice(F.filter(sentences(t), has), 1, most)
+    parts = F.filter(F.transform(F.split(t, r"(?<=[.!?。])(?U)\s+"), lambda x: F.trim(x)), lambda x: x != "")
+    with_trigger = F.slice(F.filter(parts, has), 1, most)
     places = F.filter(F.array(*(F.instr(F.lower(t), w) for w in triggers)), lambda p: p > 0)
-    around = F.substring(t, F.greatest(F.array_min(places) - reach, F.lit(1)), F.lit(2 * reach))
-    return F.when(F.size(with_trigger) > 0, F.array_join(with_trigger, " ")).when(F.size(places) > 0, F.trim(around)).otherwise("")
+    first = F.array_min(places) - 1
+    around = F.substring(t, F.greatest(first - 220, F.lit(0)) + 1, first + 680 - F.greatest(first - 220, F.lit(0)))
+    return F.when(F.size(with_trigger) > 0, F.left(F.array_join(with_trigger, " "), F.lit(900))).when(F.size(places) > 0, around).otherwise(F.left(t, F.lit(700)))
 
 
 def vary(c: Column | str, replacements: Sequence[tuple[str, str]], variant: Column, wrappers: Sequence[tuple[int, str, str]] = ()) -> Column:

@@ -12,9 +12,10 @@ from ..functions.text import as_column, hash_form, mask_template, text_hash
 
 
 def dedupe(df: DataFrame, key: Column | str, *order: Column | str) -> DataFrame:
-    """The first row of each key in the order given (input order, or priority then input order)."""
+    """The first row of each key in the order given (input order, or priority then input order). A frequent key
+    is cut down to one row where rows are read, before any shuffle."""
     w = W.partitionBy("_k").orderBy(*order)
-    return df.withColumn("_k", as_column(key)).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_k", "_r")
+    return df.withColumn("_k", as_column(key)).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 1).drop("_k", "_r")
 
 
 def dedupe_conflicts(df: DataFrame, key: Column | str, label: str, *order: Column | str, policy: str = "drop") -> DataFrame:
@@ -35,16 +36,22 @@ def cap(df: DataFrame, keys: Sequence[str], most: int | Column, *order: Column |
     return df.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_r") <= most).drop("_r")
 
 
-def repeat_counts(df: DataFrame, text_col: str = "text", prefix: int = 80, suffix: int = 100) -> DataFrame:
-    """On each row, how many rows have its text, normalised text, prefix and suffix. Each kind is counted by
-    its hash and joined, so that one frequent prefix is summed before it is shuffled."""
+#: A repeated value is met in so many places, so that a frequent one does not gather in one task.
+PLACES = 16
+
+
+def repeat_counts(df: DataFrame, text_col: str = "text", prefix: int = 80, suffix: int = 100, id_col: str = "doc_id") -> DataFrame:
+    """On each row, how many rows have its text, normalised text, prefix and suffix. Ids and hashes alone are
+    shuffled: each kind's values are summed where they are read, met again by hash, and joined to the rows by id."""
     n = hash_form(text_col)
-    kinds = {"exact_count": F.col(text_col), "normalized_count": n, "prefix_count": F.left(n, F.lit(prefix)), "suffix_count": F.right(n, F.lit(suffix))}
-    out = df.select("*", *(F.sha2(F.coalesce(c, F.lit("")), 256).alias(f"_{k}") for k, c in kinds.items()))
-    for k in kinds:
-        counts = out.groupBy(f"_{k}").agg(F.count("*").alias(k))
-        out = out.join(counts, f"_{k}")
-    return out.drop(*(f"_{k}" for k in kinds))
+    kinds = {"exact_count": F.coalesce(F.col(text_col), F.lit("")), "normalized_count": n, "prefix_count": F.left(n, F.lit(prefix)), "suffix_count": F.right(n, F.lit(suffix))}
+    hashed = df.select("*", F.struct(F.col(id_col).alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("h")).alias("_key"))
+    pairs = F.array(*(F.struct(F.lit(i).alias("kind"), F.sha2(c, 256).alias("h")) for i, c in enumerate(kinds.values())))
+    long = hashed.select("_key", F.explode(pairs).alias("p")).select("_key", "p.kind", "p.h", F.pmod(F.xxhash64("_key"), F.lit(PLACES)).cast("int").alias("place"))
+    counts = long.groupBy("kind", "h").agg(F.count("*").alias("n")).where("n > 1").withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(PLACES - 1))))
+    met = long.join(counts, ["kind", "h", "place"], "left")
+    wide = met.groupBy("_key").agg(*(F.coalesce(F.max(F.when(F.col("kind") == i, F.col("n"))), F.lit(1)).alias(k) for i, k in enumerate(kinds)))
+    return hashed.join(wide, "_key").select(*df.columns, *kinds)
 
 
 def duplicate_report(df: DataFrame, label: str, text_col: str = "text") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Gates and audits: assertions over aggregates."""
+"""Gates and audits: assertions over aggregates."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import safe_div
+from ..functions.text import normalize, safe_div, text_hash
 from .reports import label_ratios
 
 #: Comparisons of gates.
@@ -58,6 +58,72 @@ def reviewed_allowed(control: Column, reviewed: Column, context: Column) -> Colu
     return ~control | (reviewed & context)
 
 
+def first_of(df: DataFrame, key: Column, eligible: Column, order: Sequence[str]) -> DataFrame:
+    """`df` with `_first`: whether an eligible row is the first eligible one of its key."""
+    t = df.withColumn("_e", eligible).withColumn("_k", F.when(F.col("_e"), key))
+    least = t.where("_e").groupBy("_k").agg(F.min(F.struct(*order)).alias("_o"))
+    return t.join(least.withColumnRenamed("_k", "_lk"), F.col("_k") == F.col("_lk"), "left").withColumn("_first", F.coalesce(F.struct(*order) == F.col("_o"), F.lit(False))).drop("_e", "_k", "_lk", "_o")
+
+
+#: Spellings of the classes in mined rows.
+BENIGN_LABELS, ATTACK_LABELS = ("0", "benign", "safe", "not_prompt_injection", "non_injection"), ("1", "attack", "malicious", "prompt_injection", "injection")
+
+
+def mined_benign(df: DataFrame, control: str, context: str, pools: Sequence[str], threshold: float, order: Sequence[str], text: str = "text", canonical: bool = False) -> DataFrame:
+    """Mined benign rows (label, score, source_pool, reviewed, text) with `reason`, null for usable ones, and
+    `near_boundary`: whether the text has the control pattern. Such rows need a review and a fitting context. Of repeated
+    texts the first usable one counts. `canonical` (P7): an empty label will do, texts are told apart before pools are
+    looked at, and near-boundary rows stay."""
+    label, t = F.lower(F.trim(F.coalesce(F.col("label").cast("string"), F.lit("")))), normalize(text)
+    pool = F.coalesce(F.col("source_pool"), F.lit(""))
+    bad_label = ~label.isin(*BENIGN_LABELS, *([""] if canonical else []))
+    early = [("not_benign_label", bad_label), ("below_score_threshold", F.coalesce(F.col("score"), F.lit(0.0)) < threshold), ("missing_text", t == "")]
+    pooled = [("missing_source_pool", pool == ""), ("disallowed_source_pool", ~pool.isin(*pools))] if canonical else [("missing_or_disallowed_source_pool", ~pool.isin(*pools))]
+    before = early if canonical else early + pooled
+    near = t.rlike("(?iu)" + control)
+    marked = first_of(df, text_hash(text, 64), reasons(*before).isNull(), order)
+    late = pooled if canonical else [("near_boundary_without_review", near & ~F.coalesce(F.col("reviewed").cast("boolean"), F.lit(False))), ("near_boundary_without_context", near & ~t.rlike("(?iu)" + context))]
+    return marked.withColumn("near_boundary", near).withColumn("reason", reasons(*before, ("duplicate_text_hash", ~F.col("_first")), *late)).drop("_first")
+
+
+def derived_anchor(text: Column, attack: Column, anchors: Sequence[str], control: str) -> Column:
+    """The longest of the anchors that stands in the texts, ties by place in the list; else what the control pattern
+    matches; else empty."""
+    both = F.concat_ws(" ", text, attack)
+    known = [F.when(F.contains(F.lower(both), F.lit(a.lower())), F.lit(a)) for a in sorted(anchors, key=len, reverse=True)]
+    found = normalize(F.regexp_extract(both, "(?iu)(" + control + ")", 0))
+    return F.coalesce(*known, found)
+
+
+def visible_misses(df: DataFrame, control: str, filler: str, pools: Sequence[str], order: Sequence[str], text: str = "text", anchors: Sequence[str] | None = None) -> DataFrame:
+    """Missed attacks (label, source_pool, anchor, attack_text, visible, text) with `anchor` and `reason`, null for usable ones. With
+    `anchors` (P7) a missing anchor is derived, and an empty label will do."""
+    label, t = F.lower(F.trim(F.coalesce(F.col("label").cast("string"), F.lit("")))), normalize(text)
+    pool, given = F.coalesce(F.col("source_pool"), F.lit("")), normalize("anchor")
+    if anchors is not None:
+        given = F.when(given != "", given).otherwise(derived_anchor(t, normalize("attack_text"), anchors, control))
+    named = df.withColumn("anchor", given)
+    a = F.col("anchor")
+    signal, seen = ("anchor_without_model_control_signal", ~a.rlike("(?iu)" + control)), ("anchor_not_visible_in_window", ~F.contains(F.lower(t), F.lower(a)))
+    there = [("missing_attack_anchor_text", a == ""), ("filler_attack_anchor_text", a.rlike("(?iu)" + filler))]
+    if anchors is None:
+        checks = [("not_attack_label", ~label.isin(*ATTACK_LABELS)), ("missing_window_text", t == ""), ("missing_or_disallowed_source_pool", ~pool.isin(*pools)), *there, signal, seen]
+    else:
+        checks = [("not_attack_label", ~label.isin(*ATTACK_LABELS, "")), ("missing_window_text", t == ""), *there, seen, signal, ("missing_source_pool", pool == ""), ("disallowed_source_pool", ~pool.isin(*pools))]
+    checks += [("missing_review_or_visible_flag", ~F.coalesce(F.col("visible").cast("boolean"), F.lit(False)))]
+    marked = first_of(named, text_hash(text, 64), reasons(*checks).isNull(), order)
+    return marked.withColumn("reason", reasons(*checks, ("duplicate_text_hash", ~F.col("_first")))).drop("_first")
+
+
+def validation(marked: DataFrame, usable: Mapping[str, tuple[Column, int]]) -> DataFrame:
+    """(name, rows, least, passed) of each reason and of each kind of usable rows against its least number."""
+    ok = F.col("reason").isNull()
+    cells = F.array(*(F.struct(F.lit(n).alias("name"), F.count_if(ok & c).alias("rows"), F.lit(least).cast("long").alias("least")) for n, (c, least) in usable.items()))
+    kinds = marked.agg(cells.alias("c")).select(F.explode("c").alias("c")).select("c.*")
+    rejected = marked.where(~ok).groupBy(F.col("reason").alias("name")).agg(F.count("*").alias("rows")).withColumn("least", F.lit(None).cast("long"))
+    return kinds.unionByName(rejected).withColumn("passed", F.when(F.col("least").isNotNull(), F.col("rows") >= F.col("least")))
+
+
 def good_anchor(text: Column, anchor: Column, control: str, filler: Sequence[str] = ()) -> Column:
     """Stands in the text, is no filler, and shows control."""
     return (anchor != "") & F.contains(F.lower(text), F.lower(anchor)) & ~F.lower(F.trim(anchor)).isin(*filler, "") & F.lower(anchor).rlike(control)
@@ -184,7 +250,8 @@ def split_issues(df: DataFrame, label: str, source: str, bucket: str, critical:
 def package_issues(spark, root: str, required: Sequence[str], datasets: Mapping[str, Sequence[str]]) -> list[str]:
     """Files missing, and datasets without rows or columns they must have."""
     out = []
-    files = {r["path"].rstrip("/").rsplit("/", 1)[-1] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path").collect()}
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.regexp_extract("path", "([^/]+)/*$", 1).alias("f"))
+    files = {r["f"] for r in names.where(F.col("f").isin(*required)).distinct().collect()}
     out += [f"missing {f}" for f in required if f not in files]
     for name, columns in datasets.items():
         df = spark.read.parquet(f"{root}/{name}")
@@ -193,8 +260,8 @@ def package_issues(spark, root: str, required: Sequence[str], datasets: Mapping[
 
 
 def metadata_auc(df: DataFrame, fields: Sequence[str], label: str, key: str, most: int = 50_000, seed: int = 42) -> float:
-    """Area under the curve of a model that sees only nuisance columns, on a bounded seeded sample; near 0.5
-    if they do not give the label away."""
+    """Area under the curve of a model that sees only nuisance columns; near 0.5 if they do not give the label away.
+    It is fitted on a seeded sample of at most `most` of the training rows, and evaluated on all validation rows."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -203,8 +270,9 @@ def metadata_auc(df: DataFrame, fields: Sequence[str], label: str, key: str, mos
     from .sampling import seeded_sample
     from .splits import random_split
 
-    t = seeded_sample(df.select(key, F.col(label).cast("double").alias("label"), *(F.coalesce(F.col(f).cast("string"), F.lit("none")).alias(f) for f in fields)), key, seed, most=most)
+    t = df.select(key, F.col(label).cast("double").alias("label"), *(F.coalesce(F.col(f).cast("string"), F.lit("none")).alias(f) for f in fields))
     t = random_split(t, key, 0.3, seed)
+    taught = seeded_sample(t.where("split = 'train'"), key, seed, most=most)
     stages = [StringIndexer(inputCols=list(fields), outputCols=[f"{f}_i" for f in fields], handleInvalid="keep"), OneHotEncoder(inputCols=[f"{f}_i" for f in fields], outputCols=[f"{f}_v" for f in fields]), VectorAssembler(inputCols=[f"{f}_v" for f in fields], outputCol="features"), LogisticRegression(maxIter=20, regParam=0.01)]
-    model = Pipeline(stages=stages).fit(t.where("split = 'train'"))
+    model = Pipeline(stages=stages).fit(taught)
     return BinaryClassificationEvaluator().evaluate(model.transform(t.where("split = 'validation'")))

@@ -1,9 +1,10 @@
-"""Joins of documents, results and models."""
+"""Joins of documents, results and models."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,6 +56,23 @@ def mismatches(models: dict[str, DataFrame], key: str) -> DataFrame:
     return lacks.groupBy(F.col("p.model").alias("model"), F.col("p.other").alias("other")).count()
 
 
+def regressions(candidate: DataFrame, baseline: DataFrame, threshold: float, fields: Sequence[str] = ("language", "category"), seq: str | None = None) -> DataFrame:
+    """Attacks that the candidate misses, joined to the baseline's row of the same corpus and composite key
+    (document id, else payload hash, else window hash): scores, their difference, bands, and the candidate's `fields`.
+    Rows: corpus, document_id, attack_text_hash, best_window_text_hash, label, score. Of repeated keys the last row by
+    `seq` counts. Misses without a baseline row have a null baseline_score."""
+    from ..functions.features import score_band
+    from ..functions.text import row_key
+
+    key = row_key(F.col("document_id"), F.col("attack_text_hash"), F.col("best_window_text_hash"))
+    keyed = lambda d: last_per_key(d.withColumn("_k", F.coalesce(key["kind"], F.lit("window_text_hash"))).withColumn("_v", F.coalesce(key["value"], F.lit(""))), ["corpus", "_k", "_v"], seq) if seq else d.withColumn("_k", F.coalesce(key["kind"], F.lit("window_text_hash"))).withColumn("_v", F.coalesce(key["value"], F.lit("")))
+    missed = keyed(candidate).where((F.col("label") == 1) & (F.col("score") < threshold))
+    before = keyed(baseline).select("corpus", "_k", "_v", F.col("score").alias("baseline_score"))
+    j = missed.join(before, ["corpus", "_k", "_v"], "left")
+    named = [F.coalesce(F.nullif(F.col(f).cast("string"), F.lit("")), F.lit("unknown")).alias(f) for f in fields]
+    return j.select("corpus", "document_id", F.col("score").alias("candidate_score"), "baseline_score", (F.col("score") - F.col("baseline_score")).alias("score_delta"), score_band("score", "regression").alias("candidate_score_band"), score_band("baseline_score", "regression").alias("baseline_score_band"), *named)
+
+
 def with_windows(docs: DataFrame, windows: DataFrame, key: str, order: str, fields: Sequence[str]) -> DataFrame:
     """Documents with the ordered array of their windows."""
     lists = windows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, *fields))).alias("windows"))
@@ -81,23 +99,40 @@ def reconcile(a: DataFrame, b: DataFrame, key: str, value: str, tolerance: float
     return j.agg(F.count_if(F.col("inb").isNull()).alias("missing"), F.count_if(F.col("ina").isNull()).alias("extra"), F.count_if(both & off).alias("mismatching"), F.count_if(both & ~off).alias("matching"))
 
 
-def containing(texts: DataFrame, phrases: DataFrame, text_col: str, phrase_col: str) -> DataFrame:
-    """(text row, phrase row) of phrases that stand in a text, a phrase bank being at most a few thousand
-    rows: each text is compared with an array of them, so that nothing is crossed or shuffled. Larger banks
-    (over 100,000 characters) meet the texts through a word inside the phrase instead."""
+#: Characters of phrases that one pass over the texts looks for; a larger bank takes several passes.
+BANK_CHARS = 20_000_000
+
+
+def containing(texts: DataFrame, phrases: DataFrame, text_col: str, phrase_col: str, chars: int = BANK_CHARS) -> DataFrame:
+    """(text row, phrase row) of phrases that stand in a text, each pair of rows once. An automaton over a part of the
+    bank of bounded size finds its phrases where the texts are read, so nothing is crossed or shuffled; every bank is
+    searched in the same way, one part after another. Phrases that are null or empty stand in no text."""
     bank = phrases.where(F.length(phrase_col) > 0)
-    size = bank.agg(F.sum(F.length(phrase_col)).alias("n")).first()["n"] or 0
-    if size <= 100_000:
-        rows = bank.collect()
-        values = F.array(*(F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, bank.schema, strict=True))) for r in rows)) if rows else None
-        if values is None:
-            return texts.crossJoin(bank.limit(0))
-        hit = F.explode(F.filter(values, lambda p: F.contains(F.col(text_col), p[phrase_col])))
-        return texts.select("*", hit.alias("_p")).select(*texts.columns, *(F.col(f"_p.{c}").alias(c) for c in bank.columns))
-    # a word inside the phrase is a whole word of the text; a phrase without one is met by every text
-    inner = F.regexp_extract(F.col(phrase_col), r"(?U)\W(\w+)\W", 1)
-    keyed = texts.withColumn("_w", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(F.col(text_col), F.lit(r"(?U)(\w+)"))))))
-    return keyed.join(bank.withColumn("_w", inner), "_w").where(F.contains(F.col(text_col), F.col(phrase_col))).drop("_w").distinct()
+    size = bank.agg(F.sum(F.length(phrase_col).cast("long")).alias("n")).first()["n"] or 0
+    parts = -(-size // chars)
+    out = texts.join(bank.limit(0), F.lit(False), "inner")
+    for i in range(parts):
+        part = bank.where(F.pmod(F.xxhash64(phrase_col), F.lit(parts)) == i)
+        found = texts.select("*", F.explode(_found_in([r[0] for r in part.select(phrase_col).distinct().collect()])(F.col(text_col))).alias("_p"))
+        out = out.unionByName(found.join(F.broadcast(part.withColumn("_p", F.col(phrase_col))), "_p").drop("_p"))
+    return out
+
+
+def _found_in(phrases: Sequence[str]):
+    """A function of texts: which of the phrases stand in each."""
+
+    @F.pandas_udf("array<string>")
+    def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for p in phrases:
+            automaton.add_word(p, p)
+        automaton.make_automaton()
+        for s in parts:
+            yield s.map(lambda t: sorted({p for _, p in automaton.iter(t)}) if t else [])
+
+    return found
 
 
 def deal(left: DataFrame, right: DataFrame, seed: int, left_id: str, right_id: str) -> DataFrame:

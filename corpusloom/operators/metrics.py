@@ -58,11 +58,14 @@ def wilson(successes: Column, total: Column, z: float = Z95) -> Column:
     return F.when(total > 0, F.struct(low.alias("low"), high.alias("high"))).otherwise(F.struct(F.lit(0.0).alias("low"), F.lit(0.0).alias("high")))
 
 
-def wilson_upper(successes: Column, total: Column, level: float = 0.95) -> Column:
-    """One-sided upper bound by confidence level; 1 of nothing."""
-    from statistics import NormalDist
+#: Normal quantiles by the least confidence level that they serve.
+LEVELS = ((0.99, 2.5758293035489004), (0.95, Z95), (0.0, 1.6448536269514722))
+
 
-    return F.when(total > 0, wilson(successes, total, NormalDist().inv_cdf(level))["high"]).otherwise(1.0)
+def wilson_upper(successes: Column, total: Column, level: float = 0.95) -> Column:
+    """The interval's upper end by confidence level; 1 of nothing."""
+    z = next(z for least, z in LEVELS if level >= least)
+    return F.when(total > 0, wilson(successes, total, z)["high"]).otherwise(1.0)
 
 
 def _by_score(results: DataFrame, label: str, score: str) -> DataFrame:

@@ -120,23 +120,33 @@ def direct_anchor(text: Column | str, config: RouterConfig) -> Column:
     return anchored(text, config.direct_patterns, config.negation_pattern)
 
 
-def route(text: Column | str, category: Column, trusted: Column, language: Column, config: RouterConfig) -> Column:
-    """U4: struct(category, semantic_family, language, confidence, reason, rule_ids)."""
+def _once(value: Column, use) -> Column:
+    """`use(value)`, with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def route(text: Column | str, category: Column, trusted: Column, language: Column, config: RouterConfig, anchor: Column | None = None) -> Column:
+    """U4: struct(category, semantic_family, language, confidence, reason, rule_ids). `anchor` saves the direct patterns
+    where they were looked for already."""
     t = text_or_empty(text)
     signals = {"security_signal_v1": any_pattern(t, config.security_patterns), "wrapper_structure_v1": any_pattern(t, config.wrapper_patterns), "policy_or_meta_security_mention_v1": any_pattern(t, config.meta_patterns)}
     raised = F.array_compact(F.array(*(F.when(c, n) for n, c in signals.items())))
+    by_source = truthy(trusted, "policy") & F.coalesce(category.isin(*config.trusted_categories), F.lit(False))
+    seen = F.struct((direct_anchor(t, config) if anchor is None else anchor).alias("anchor"), raised.alias("raised"))
 
     def result(cat: str, family: str, confidence: str, reason: str, rules: Column) -> Column:
         return F.struct(F.lit(cat).alias("category"), F.lit(family).alias("semantic_family"), language.alias("language"), F.lit(confidence).alias("confidence"), F.lit(reason).alias("reason"), rules.alias("rule_ids"))
 
-    by_source = truthy(trusted, "policy") & F.coalesce(category.isin(*config.trusted_categories), F.lit(False))
-    return (
-        F.when(direct_anchor(t, config), result(ANCHOR_CATEGORY, ANCHOR_FAMILY, "high", "direct_attack_anchor_present", F.array(F.lit("direct_attack_anchor_v1"))))
-        .when(by_source, result(WRAPPER_CATEGORY, WRAPPER_FAMILY, "high", "trusted_source_metadata_security_wrapper", F.array(F.lit("trusted_security_wrapper_source_tag_v1"))))
-        .when(F.size(raised) == 3, result(WRAPPER_CATEGORY, WRAPPER_FAMILY, "high", "deterministic_security_wrapper_structure", raised))
-        .when(F.size(raised) > 0, result("unknown", "unknown", "low", "insufficient_non_keyword_structure_for_high_confidence_slice", raised))
-        .otherwise(result("unknown", "unknown", "low", "no_router_match", F.array().cast("array<string>")))
-    )
+    def decided(s: Column) -> Column:
+        return (
+            F.when(s["anchor"], result(ANCHOR_CATEGORY, ANCHOR_FAMILY, "high", "direct_attack_anchor_present", F.array(F.lit("direct_attack_anchor_v1"))))
+            .when(by_source, result(WRAPPER_CATEGORY, WRAPPER_FAMILY, "high", "trusted_source_metadata_security_wrapper", F.array(F.lit("trusted_security_wrapper_source_tag_v1"))))
+            .when(F.size(s["raised"]) == 3, result(WRAPPER_CATEGORY, WRAPPER_FAMILY, "high", "deterministic_security_wrapper_structure", s["raised"]))
+            .when(F.size(s["raised"]) > 0, result("unknown", "unknown", "low", "insufficient_non_keyword_structure_for_high_confidence_slice", s["raised"]))
+            .otherwise(result("unknown", "unknown", "low", "no_router_match", F.array().cast("array<string>")))
+        )
+
+    return _once(seen, decided)
 
 
 def match_slice(router: Column, config: PolicyConfig) -> Column:
@@ -201,7 +211,8 @@ def decide_windows(windows: DataFrame, config: PolicyConfig, text: str = "window
     reason and flags."""
     config.validate()
     s1, rv = F.col(stage1), F.col(reviewer)
-    w = windows.withColumn("anchor", direct_anchor(text, config.router)).withColumn("router", route(text, F.col(category), F.col(trusted), F.col(language), config.router))
+    looked = _once(direct_anchor(text, config.router), lambda a: F.struct(a.alias("anchor"), route(text, F.col(category), F.col(trusted), F.col(language), config.router, a).alias("router")))
+    w = windows.select("*", F.explode(F.array(looked)).alias("_l")).withColumn("anchor", F.col("_l.anchor")).withColumn("router", F.col("_l.router"))
     w = w.withColumn("_slice", match_slice(F.col("router"), config)).withColumn("_protected", family_action(F.col("router"), config))
     w = w.withColumn("reviewer_eligible", eligible(F.col("anchor"), s1, F.col("router"), F.col("_slice"), config)["eligible"])
     auto = F.coalesce(F.col("_slice.auto_allow"), F.lit(False)) & F.lit(bool(config.reviewer_calibration_id))
@@ -271,11 +282,12 @@ def certify(results: DataFrame, training: DataFrame, config: PolicyConfig, slice
     return {**m, "leaked_documents": leaks, "blockers": sorted(blockers), "status": "certified" if not blockers else "rejected" if hard else "needs_more_evidence"}
 
 
-def teacher_mask(student: Column, teacher: Column, label: Column, confident: float = 0.9, mode: str = "agree") -> Column:
-    """Rows a teacher may teach: confident, and in agreement with the label ('agree') or the student."""
+def teacher_mask(teacher: Column, label: Column, confident: float = 0.9, mode: str = "agree") -> Column:
+    """Rows that a teacher's probability may teach: confident ones that agree with the label ('agree'), those of them
+    that are benign ('benign_only'), or all confident ones ('all_confident')."""
     sure = F.greatest(teacher, 1 - teacher) >= confident
     says = (teacher >= 0.5).cast("int")
-    return sure & (says == label) if mode == "agree" else sure & (says == (student >= 0.5).cast("int")) if mode == "student" else sure
+    return {"benign_only": sure & (says == 0) & (label == 0), "all_confident": sure}.get(mode, sure & (says == label))
 
 
 def positive_class(names: Mapping[int, str]) -> int:

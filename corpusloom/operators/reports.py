@@ -1,9 +1,11 @@
-"""Reports over labelled corpora."""
+"""Reports over labelled corpora."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -58,12 +60,13 @@ def entropy(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def divergence(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """One row: the Jensen-Shannon divergence (bits) of two distributions of `key`."""
+    """One row: the Jensen-Shannon divergence (bits) of two distributions of `key`; 0 where one of them is empty."""
     share = lambda d, n: d.groupBy(F.col(key).cast("string").alias("k")).agg(F.count("*").alias("c")).select("k", (F.col("c") / F.sum("c").over(W.partitionBy())).alias(n))
     j = share(left, "p").join(share(right, "q"), "k", "full").select(F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("q", F.lit(0.0)).alias("q"))
     m = (F.col("p") + F.col("q")) / 2
     term = lambda x: F.when(F.col(x) > 0, F.col(x) * F.log2(F.col(x) / m)).otherwise(0.0)
-    return j.agg(F.coalesce(0.5 * F.sum(term("p")) + 0.5 * F.sum(term("q")), F.lit(0.0)).alias("jsd"))
+    both = (F.max("p") > 0) & (F.max("q") > 0)
+    return j.agg(F.when(both, 0.5 * F.sum(term("p")) + 0.5 * F.sum(term("q"))).otherwise(0.0).alias("jsd"))
 
 
 def document_windows(windows: DataFrame, id_col: str, score: str, threshold: float) -> DataFrame:
@@ -108,14 +111,27 @@ def marker_odds(df: DataFrame, selected: Column, markers: Sequence[str], text_co
     return e.select("c.marker", F.col("c.s").alias("selected"), F.col("c.b").alias("baseline"), odds_ratio(F.col("c.s"), F.col("ns"), F.col("c.b"), F.col("nb")).alias("odds_ratio"))
 
 
+def _grams(lowest: int, highest: int):
+    @F.pandas_udf("array<struct<ngram:string,k:long>>")
+    def counted(tokens: pd.Series) -> pd.Series:
+        """Each n-gram of a row and how often it comes."""
+
+        def one(w: list[str]) -> list[dict]:
+            found = Counter(" ".join(w[i : i + n]) for n in range(lowest, highest + 1) for i in range(len(w) - n + 1))
+            return [{"ngram": g, "k": k} for g, k in found.items()]
+
+        return tokens.map(one)
+
+    return counted
+
+
 def ngram_odds(df: DataFrame, selected: Column, lowest: int = 1, highest: int = 3, least: int = 5, text_col: str = "text") -> DataFrame:
     """N-grams of words with at least `least` selected rows: occurrences, rows, rows of the others, odds
-    ratio. N-grams are counted within each row first, so that a shuffle carries a row's n-gram once."""
+    ratio. N-grams are counted inside each row, so that a shuffle carries them once, summed where rows are read."""
     tokens = F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(r"(?U)(\w+)"))
     t = df.select(selected.alias("sel"), tokens.alias("w"))
-    grams = F.flatten(F.transform(F.sequence(F.lit(lowest), F.lit(highest)), lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array().cast("array<string>"))))
     totals = t.agg(F.count_if("sel").alias("ns"), F.count_if(~F.col("sel")).alias("nb"))
-    rows = t.withColumn("_id", F.monotonically_increasing_id()).select("_id", "sel", F.explode(grams).alias("ngram")).groupBy("_id", "sel", "ngram").agg(F.count("*").alias("k"))
+    rows = t.select("sel", _grams(lowest, highest)("w").alias("c")).select("sel", F.explode("c").alias("g")).select("sel", "g.ngram", "g.k")
     g = rows.groupBy("ngram").agg(F.sum(F.when(F.col("sel"), F.col("k")).otherwise(0)).alias("occurrences"), F.count_if("sel").alias("rows"), F.count_if(~F.col("sel")).alias("baseline_rows")).where(F.col("rows") >= least)
     return g.crossJoin(F.broadcast(totals)).select("ngram", "occurrences", "rows", "baseline_rows", odds_ratio(F.col("rows"), F.col("ns"), F.col("baseline_rows"), F.col("nb")).alias("odds_ratio"))
 
@@ -202,3 +218,19 @@ def natural_key(c: Column | str) -> Column:
     """Letters, then the first number as a number."""
     s = as_column(c).cast("string")
     return F.struct(F.regexp_extract(s, "^([^0-9]*)", 1).alias("head"), F.coalesce(F.regexp_extract(s, "([0-9]+)", 1).try_cast("long"), F.lit(-1)).alias("number"), s.alias("all"))
+
+
+#: Words in the bucket of a benign row, or in the generation of an attack row, by falling priority.
+BENIGN_PRIORITY = (("hard", 5), ("near_boundary", 4), ("prod_real", 3), ("neighbor", 2))
+ATTACK_PRIORITY = (("embedded", 4), ("wrapper", 3), ("v10", 2))
+SCORED_FROM = 4
+
+
+def priority(name: Column | str, score: Column | None = None, table: Sequence[tuple[str, int]] = BENIGN_PRIORITY) -> Column:
+    """struct(rank, score), to order by: the first word of the table that the name has, else 1; the score counts only
+    among the ranks from `SCORED_FROM` on, and not for attacks."""
+    s, rank = text_or_empty(name), None
+    for word, n in table:
+        rank = F.when(s.contains(word), n) if rank is None else rank.when(s.contains(word), n)
+    rank = rank.otherwise(1)
+    return F.struct(rank.alias("rank"), F.when(rank >= SCORED_FROM, F.coalesce(score, F.lit(0.0))).otherwise(0.0).alias("score") if score is not None else F.lit(0.0).alias("score"))

@@ -21,6 +21,30 @@ def seeded_sample(df: DataFrame, key: str, seed: int = 42, fraction: float | Non
     return df.orderBy(k).limit(most) if most is not None else df
 
 
+#: Ranges that an order is cut into, so that many tasks number the rows of one group.
+RANGES = 4096
+
+
+def ranked(df: DataFrame, name: str, bucket: Column, order: Sequence[Column | str], by: Sequence[str] = ()) -> DataFrame:
+    """`df` with `name`, the number of a row from 1 within its group in the given order. `bucket` is a whole number that
+    never falls in that order: rows are numbered in their range, and ranges start where those before end."""
+    t = df.withColumn("_b", bucket)
+    starts = t.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
+    before = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    starts = starts.select(*(F.struct(F.col(c)).alias(f"_g{i}") for i, c in enumerate(by)), F.col("_b").alias("_sb"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    t = t.withColumn("_i", F.row_number().over(W.partitionBy(*by, "_b").orderBy(*order)))
+    same = F.col("_b") == F.col("_sb")
+    for i, c in enumerate(by):
+        same = same & (F.struct(F.col(c)) == F.col(f"_g{i}"))
+    return t.join(starts, same).select(*df.columns, (F.col("_start") + F.col("_i")).alias(name))
+
+
+def seeded_rank(df: DataFrame, name: str, key: str, by: Sequence[str] = (), seed: int = 42) -> DataFrame:
+    """`ranked` by seeded hash, whose first digits are the range."""
+    k = random_key(seed, key)
+    return ranked(df, name, F.conv(F.substring(k, 1, 3), 16, 10).cast("int"), [k], by)
+
+
 def sample_per_group(df: DataFrame, group: Sequence[str], key: str, most: int | Column, seed: int = 42) -> DataFrame:
     """A uniform choice of each group: its first rows by seeded hash. Spark cuts groups down to
     `most` rows before the shuffle where `most` is a constant."""
@@ -97,9 +121,8 @@ def take_quota(df: DataFrame, quotas: DataFrame, keys: Sequence[str], key: str,
 def quota_with_refill(df: DataFrame, quotas: DataFrame, keys: Sequence[str], key: str, total: int, seed: int = 42) -> DataFrame:
     """Q9, Q10, Q18: quotas first; what some groups lack is filled from the rest, rows in seeded order. `phase` is
     1 or 2."""
-    q = df.join(quotas.select(*keys, "quota"), list(keys), "left").withColumn("_k", random_key(seed, key))
-    inside = F.row_number().over(W.partitionBy(*keys).orderBy("_k")) <= F.coalesce("quota", F.lit(0))
-    q = q.withColumn("phase", F.when(inside, 1).otherwise(2))
+    q = seeded_rank(df, "_r", key, keys, seed).join(quotas.select(*keys, "quota"), list(keys), "left").withColumn("_k", random_key(seed, key))
+    q = q.withColumn("phase", F.when(F.col("_r") <= F.coalesce("quota", F.lit(0)), 1).otherwise(2)).drop("_r")
     first = q.where("phase = 1")
     missing = max(0, total - first.count())
     rest = q.where("phase = 2").orderBy("_k").limit(missing)
@@ -109,9 +132,9 @@ def quota_with_refill(df: DataFrame, quotas: DataFrame, keys: Sequence[str], key
 def capped(df: DataFrame, caps: Mapping[str, int], key: str, seed: int = 42) -> DataFrame:
     """Q12, Q13 at scale: a row stays if its rank by seeded hash is within the cap of every key. Stricter than the
     sequential fold: a row over one cap does not free its place under another."""
-    out, k = df, random_key(seed, key)
-    for i, (column, most) in enumerate(caps.items()):
-        out = out.withColumn(f"_r{i}", F.row_number().over(W.partitionBy(column).orderBy(k)))
+    out = df
+    for i, column in enumerate(caps):
+        out = seeded_rank(out, f"_r{i}", key, [column], seed)
     ok = F.lit(True)
     for i, most in enumerate(caps.values()):
         ok = ok & (F.col(f"_r{i}") <= most)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import random_key
 from .identity import connected_groups
+from .sampling import RANGES, ranked, seeded_rank
 
 
 def hash_share(seed: int, key: str) -> Column:
@@ -33,9 +34,12 @@ def stratified_split(df: DataFrame, key: str, strata: Sequence[str], share: floa
     strata = list(strata)
     while len(strata) > 1 and df.groupBy(*strata).count().where("count < 2").limit(1).count():
         strata.pop()
-    w = W.partitionBy(*strata)
-    n, r = F.count("*").over(w), F.row_number().over(w.orderBy(random_key(seed, key)))
-    return df.withColumn("split", F.when(r <= F.bround(n * F.lit(share)), "validation").otherwise("train"))
+    sizes = df.groupBy(*strata).agg(F.count("*").alias("_n")).select(*(F.struct(F.col(c)).alias(f"_s{i}") for i, c in enumerate(strata)), "_n")
+    same = F.lit(True)
+    for i, c in enumerate(strata):
+        same = same & (F.struct(F.col(c)) == F.col(f"_s{i}"))
+    t = seeded_rank(df, "_r", key, strata, seed).join(sizes, same)
+    return t.select(*df.columns, F.when(F.col("_r") <= F.bround(F.col("_n") * F.lit(share)), "validation").otherwise("train").alias("split"))
 
 
 def hinted_split(df: DataFrame, key: str, hint: str, strata: Sequence[str], share: float, seed: int = 42) -> DataFrame:
@@ -49,8 +53,7 @@ def hinted_split(df: DataFrame, key: str, hint: str, strata: Sequence[str], shar
 
 def exact_split(df: DataFrame, key: str, label: str, counts: Mapping[str, Mapping[int, int]], seed: int = 42) -> DataFrame:
     """So many rows of each label in each split; rows beyond are left out."""
-    r = F.row_number().over(W.partitionBy(label).orderBy(random_key(seed, key)))
-    out, when = df.withColumn("_r", r), None
+    out, when = seeded_rank(df, "_r", key, [label], seed), None
     for lab in sorted({x for c in counts.values() for x in c}):
         upto = 0
         for split, per in counts.items():
@@ -63,10 +66,12 @@ def exact_split(df: DataFrame, key: str, label: str, counts: Mapping[str, Mappin
 def strata_totals(df: DataFrame, key: str, strata: Sequence[str], totals: Mapping[str, int], seed: int = 42) -> DataFrame:
     """Three-way split with exact totals, strata by share: rows stand in one order in which each stratum is
     spread evenly, and the totals cut that order."""
-    w = W.partitionBy(*strata)
-    even = (F.row_number().over(w.orderBy(random_key(seed, key))) - 0.5) / F.count("*").over(w)
-    place = F.row_number().over(W.orderBy(even, random_key(seed, key)))
-    narrow, upto, when = df.select(key, place.alias("_p")), 0, None
+    sizes = df.groupBy(*strata).agg(F.count("*").alias("_n")).select(*(F.struct(F.col(c)).alias(f"_s{i}") for i, c in enumerate(strata)), "_n")
+    same = F.lit(True)
+    for i, c in enumerate(strata):
+        same = same & (F.struct(F.col(c)) == F.col(f"_s{i}"))
+    even = seeded_rank(df.select(key, *strata), "_r", key, strata, seed).join(sizes, same).select(key, ((F.col("_r") - 0.5) / F.col("_n")).alias("_even"))
+    narrow, upto, when = ranked(even, "_p", F.floor(F.col("_even") * RANGES).cast("int"), ["_even", random_key(seed, key)]), 0, None
     for split, n in totals.items():
         upto += n
         when = F.when(F.col("_p") <= upto, split) if when is None else when.when(F.col("_p") <= upto, split)
@@ -140,14 +145,13 @@ def cover_split(df: DataFrame, group: str, component: str, validation: int, seed
 
 
 def ordered_cut(df: DataFrame, key: str, share: float = 0.75, seed: int | None = None) -> DataFrame:
-    """The first share of the list (by key, or by seeded hash) to train, the rest to validation; a list of
-    under four is shared by both."""
+    """The first share of the list (by key, for short lists; or by seeded hash, for any) to train, the rest to
+    validation; a list of under four is shared by both."""
     n = df.count()
-    order = random_key(seed, key) if seed is not None else F.col(key)
-    place = F.row_number().over(W.orderBy(order))
     if n < 4:
         return df.withColumn("split", F.lit("both"))
-    return df.withColumn("split", F.when(place <= round(n * share), "train").otherwise("validation"))
+    t = seeded_rank(df, "_r", key, (), seed) if seed is not None else df.withColumn("_r", F.row_number().over(W.orderBy(key)))
+    return t.select(*df.columns, F.when(F.col("_r") <= round(n * share), "train").otherwise("validation").alias("split"))
 
 
 def concatenate(parts: Sequence[DataFrame | None]) -> DataFrame | None:

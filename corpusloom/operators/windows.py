@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import as_column, random_key, text_or_empty, words
+from ..functions.text import as_column, normalize, random_key, text_or_empty, words
 
 #: Tokens of a window and between window starts.
 LENGTH, STRIDE = 254, 128
@@ -61,13 +61,24 @@ def sample_windows(windows: DataFrame, per_document: int, seed: int = 42, id_col
     return windows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_document).drop("_r")
 
 
-def structured_indices(count: Column | str, most: int, seed: int = 42, key: Column | None = None, grid: Sequence[float] = (0.0, 1.0, 0.5, 0.25, 0.75, 0.2, 0.4, 0.6, 0.8)) -> Column:
-    """First, last, middle, quartiles and quintiles of the windows, then seeded others, at most `most`."""
+def structured_indices(count: Column | str, most: int, seed: int = 42, key: Column | None = None, random_only: bool = False, thirds: bool = False) -> Column:
+    """First, last and middle window, from 4 on the quartiles, from 10 on the quintiles (and thirds, if asked for), then
+    seeded others up to `most`; where there are more than `most`, a seeded choice of them. In order."""
     n = as_column(count).cast("int")
-    fixed = F.array(*(F.round((n - 1) * g).cast("int") for g in grid))
+    at = lambda a, b: F.floor(n * a / b).cast("int")
+    none = F.array().cast("array<int>")
+    fixed = none
+    if not random_only:
+        fixed = F.array(F.lit(0), n - 1, at(1, 2))
+        fixed = F.concat(fixed, F.when(n >= 4, F.array(at(1, 4), at(3, 4))).otherwise(none), F.when(n >= 10, F.array(*(at(i, 5) for i in range(1, 5)))).otherwise(none))
+        fixed = F.concat(fixed, F.array(at(1, 3), at(2, 3))) if thirds else fixed
+    fixed = F.array_distinct(fixed)
     key = key if key is not None else F.lit("")
-    rest = F.transform(F.array_sort(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(random_key(seed, key, i).alias("h"), i.alias("i")))), lambda s: s["i"])
-    return F.when(n <= 0, F.array().cast("array<int>")).otherwise(F.array_sort(F.slice(F.array_distinct(F.concat(fixed, rest)), 1, most)))
+    seeded = lambda a: F.transform(F.array_sort(F.transform(a, lambda i: F.struct(random_key(seed, key, i).alias("h"), i.alias("i")))), lambda s: s["i"])
+    lacks = F.greatest(F.least(F.lit(most), n) - F.size(fixed), F.lit(0))
+    rest = F.when(lacks > 0, F.slice(seeded(F.array_except(F.sequence(F.lit(0), n - 1), fixed)), F.lit(1), lacks)).otherwise(none)
+    chosen = F.when(F.size(fixed) > most, F.slice(seeded(fixed), 1, most)).otherwise(F.concat(fixed, rest))
+    return F.when(n <= 0, none).otherwise(F.array_sort(chosen))
 
 
 def best_window(scored: DataFrame, id_col: str = "doc_id", score_col: str = "score", keep: Sequence[str] = ()) -> DataFrame:
@@ -81,12 +92,33 @@ def overlap(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
     return F.greatest(F.lit(0), F.least(a1, b1) - F.greatest(a0, b0))
 
 
-def visibility(shared: Column, total: Column, window_text: Column, text: Column, min_tokens: int = 8, min_chars: int = 24) -> Column:
-    """struct(visibility, ratio) of a payload in a window."""
+def shows_text(window: Column | str, payload: Column | str, min_chars: int = 24, atoms: Sequence[str] = ()) -> Column:
+    """The window has the payload, or up to ten of its words in a row with `min_chars` characters, or an atom that the
+    payload has too. Case and white space do not count."""
+    w, p = F.lower(normalize(window)), F.lower(normalize(payload))
+    tokens = F.split(p, " ")
+    ten = F.transform(F.sequence(F.lit(1), F.size(tokens)), lambda i: F.array_join(F.slice(tokens, i, 10), " "))
+
+    def shown(phrase: Column) -> Column:
+        # its first words that reach `min_chars`; a longer run is there only if these are
+        end = F.locate(" ", phrase, min_chars + 1)
+        return (F.length(phrase) >= min_chars) & F.contains(w, F.when(end > 0, F.substring(phrase, F.lit(1), end - 1)).otherwise(phrase))
+
+    atom = sum(((F.contains(p, F.lit(a.lower())) & F.contains(w, F.lit(a.lower()))).cast("int") for a in atoms), F.lit(0)) > 0
+    return (w != "") & (p != "") & (F.contains(w, p) | F.exists(ten, shown) | atom)
+
+
+def visibility(shared: Column, total: Column, window_text: Column, text: Column, min_tokens: int = 8, min_chars: int = 24, atoms: Sequence[str] = ()) -> Column:
+    """struct(visibility, ratio) of a payload in a window: 'none' without shared tokens; from 85 % of them on 'full' if
+    the text shows it; of a short payload only all of it counts; else 'partial_material' with `min_tokens` and the text.
+    What the text does not show is 'partial_ambiguous'."""
     ratio = F.coalesce(F.try_divide(shared, total), F.lit(0.0))
-    whole = F.contains(F.lower(window_text), F.lower(text)) | ((shared >= total) & (total > 0))
-    material = (shared >= min_tokens) & (F.length(text) >= min_chars) & (ratio >= 0.5)
-    return F.struct(F.when(shared <= 0, "none").when(whole, "full").when(material, "partial_material").otherwise("partial_ambiguous").alias("visibility"), ratio.alias("ratio"))
+    seen = shows_text(window_text, text, min_chars, atoms)
+    kind = (
+        F.when((total <= 0) | (shared <= 0), "none").when((shared >= total) | (ratio >= 0.85), F.when(seen, "full").otherwise("partial_ambiguous"))
+        .when((total > min_tokens) & (shared >= min_tokens) & seen, "partial_material").otherwise("partial_ambiguous")
+    )
+    return F.struct(kind.alias("visibility"), F.when(total > 0, ratio).otherwise(0.0).alias("ratio"))
 
 
 def fragment_visible(window: Column | str, payload: Column | str, shingle: int = 4, span: int = 24, step: int = 12) -> Column:
@@ -149,7 +181,7 @@ def inject(carriers: DataFrame, payloads: DataFrame, seed: int = 42, id_col: str
 
     dealt = deal(carriers.select(id_col, "text"), payloads.select("payload_id", "payload"), seed, id_col, "payload_id")
     t = dealt.withColumn("place", token_position(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"), F.col("payload_id").cast("string"))))
-    t = t.withColumn("i", insert_tokens(words("text"), words("payload"), F.col("place"), stride))
+    t = t.withColumn("i", insert_tokens(words("text"), words("payload"), F.col("place"), F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))).where("i is not null")
     made = t.select(id_col, "payload_id", "place", "payload", F.col("i.tokens").alias("tokens"), F.col("i.start").alias("span_start"), F.col("i.stop").alias("span_stop"))
     hit = labelled_windows(made, id_col, length, stride).join(made.select(id_col, "payload_id", "place"), id_col)
     plain = explode_windows(carriers.select(id_col, "text"), "text", length, stride).withColumn("label", F.lit(0)).withColumn("visibility", F.lit("none"))

@@ -77,9 +77,9 @@ def augmented(carriers: DataFrame, phrases: DataFrame, position: str, label: int
     split hint is that of the phrase, so that no phrase stands on both sides."""
     dealt = J.deal(carriers.select("doc_id", "text"), S.ordered_cut(phrases, "phrase_id", 0.75, seed), seed, "doc_id", "phrase_id")
     made = dealt.withColumn("e", T.embed("text", "phrase", position, seed)).select("doc_id", "phrase_id", F.col("split").alias("split_hint"), "e.*")
-    crop = T.crop_around("text", F.col("start"), F.col("stop"), budget)
-    made = made.withColumn("c", crop)
-    return made.select("doc_id", "phrase_id", "split_hint", F.col("c.text").alias("text"), (F.col("start") - F.col("c.left")).alias("span_start"), (F.col("stop") - F.col("c.left")).alias("span_stop"), F.lit(label).alias("label"), F.lit(bucket).alias("bucket"))
+    made = made.withColumn("c", T.crop_around("text", F.col("start"), F.col("stop"), budget)).withColumn("p", F.substring("text", F.col("start") + 1, F.col("stop") - F.col("start")))
+    at = F.instr("c", F.col("p")) - 1
+    return made.select("doc_id", "phrase_id", "split_hint", F.col("c").alias("text"), at.alias("span_start"), (at + F.length("p")).alias("span_stop"), F.lit(label).alias("label"), F.lit(bucket).alias("bucket"))
 
 
 def exact_build(rows: DataFrame, source_targets: Mapping[str, int], counts: Mapping[str, Mapping[int, int]], seed: int = 42) -> Build:
@@ -111,8 +111,8 @@ def correction(results: DataFrame, corpus: DataFrame, threshold: float, terms: S
     frag = missed.withColumn("fragment", T.fragment("text", terms)).where("fragment <> ''").select("doc_id", "score", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("variant"), "fragment")
     frag = frag.withColumn("phrase", T.vary("fragment", [], F.col("variant"), [(2, "", "."), (3, "(", ")")])).withColumn("phrase_id", F.xxhash64("doc_id", "variant"))
     pos = J.deal(frag, carriers.select(F.col("doc_id").alias("carrier_id"), F.col("text").alias("carrier")), seed, "phrase_id", "carrier_id")
-    pos = pos.select("doc_id", T.embed("carrier", "phrase", "deep", seed)["text"].alias("text"), F.lit(1).alias("label"), B.score_band("score", "boundary").alias("band"))
-    neg = alarms.select("doc_id", "text", F.lit(0).alias("label"), B.score_band("score", "boundary").alias("band"))
+    pos = pos.select("doc_id", T.embed("carrier", "phrase", "deep", seed)["text"].alias("text"), F.lit(1).alias("label"), B.score_band("score", "critical").alias("band"))
+    neg = alarms.select("doc_id", "text", F.lit(0).alias("label"), B.score_band("score", "critical").alias("band"))
     t = pos.unionByName(neg).withColumn("id", F.xxhash64("doc_id", "text")).withColumn("family", F.col("doc_id").cast("string"))
     t = N.dedupe(t, T.text_hash("text", 64), "id")
     target = max(1, round(t.count() * share))

@@ -51,6 +51,23 @@ def hform(c: str = "text") -> str:
     return f"lower({norm(c)})"
 
 
+def lsig(c: str = "text") -> str:
+    return f"sha256(CASE WHEN length({hform(c)}) <= 200 THEN {hform(c)} ELSE concat(left({hform(c)}, 200), ' ... ', right({hform(c)}, 200)) END)"
+
+
+def unescaped(c: str) -> str:
+    """The character references that the pages have."""
+    return f"regexp_replace(replace(replace(replace(coalesce({c}, ''), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')"
+
+
+def visible_sql(c: str) -> str:
+    body = c
+    for tag in ("script", "style", "noscript", "svg"):
+        body = f"regexp_replace({body}, '(?is)<{tag}\\b.*?</{tag}>', ' ', 'g')"
+    body = f"regexp_replace({body}, '(?i)<(br|p|li|tr|td|th|h[1-6])\\b[^>]*>', ' ', 'g')"
+    return norm(f"regexp_replace({body}, '<[^>]+>', ' ', 'g')")
+
+
 def rkey(*keys: str, seed: int = 42) -> str:
     return f"sha256(concat_ws(':', '{seed}', {', '.join(keys)}))"
 
@@ -127,7 +144,7 @@ def corpus_eval(spark, d):
 
 # --- functions
 @query(f"""SELECT doc_id, {norm()} AS normalized, substr(sha256({hform()}), 1, 16) AS text_hash, substr(sha256({hform()}), 1, 24) AS text_hash_24, sha256(concat_ws(chr(10), source, {hform()})) AS candidate_id,
-{rkey("doc_id")} AS random_key, {sint("doc_id")} AS stable_int, sha256(concat(left({hform()}, 200), ' ... ', right({hform()}, 200))) AS long_signature FROM documents""")
+{rkey("doc_id")} AS random_key, {sint("doc_id")} AS stable_int, {lsig()} AS long_signature FROM documents""")
 def text_hashes(spark, d):
     t = read(spark, d, "documents")
     return t.select("doc_id", T.normalize("text").alias("normalized"), T.text_hash("text").alias("text_hash"), T.text_hash("text", 24).alias("text_hash_24"), T.candidate_id("source", "text").alias("candidate_id"), T.random_key(42, "doc_id").alias("random_key"), T.stable_int("doc_id").alias("stable_int"), T.long_signature("text").alias("long_signature"))
@@ -160,25 +177,29 @@ def char_entropy(spark, d):
     return read(spark, d, "documents").select("doc_id", F.round(T.char_entropy("text"), 6).alias("entropy"))
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<noscript\b[^>]*>.*?</noscript\s*>|<svg\b[^>]*>.*?</svg\s*>', ' ', 'g'),
-'(?i)</?(p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|section|article|header|footer)\b[^>]*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '""" + SP + r"""', ' ', 'g')) AS page_text,
-trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '""" + SP + r"""', ' ', 'g')) AS title FROM pages""")
+@query(f"""SELECT page_id, {visible_sql(unescaped("html"))} AS page_text, {visible_sql(unescaped("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"))} AS title FROM pages""")
 def html_text(spark, d):
-    return read(spark, d, "pages").select("page_id", T.html_text("html", entities=False).alias("page_text"), T.html_title("html").alias("title"))
+    return read(spark, d, "pages").select("page_id", T.html_text("html").alias("page_text"), T.html_title("html").alias("title"))
 
 
-@query()
+@query(r"""WITH l AS (SELECT page_id, url, list_transform(regexp_extract_all(html, '(?i)href\s*=\s*["'']([^"'']+)["'']', 1), lambda x: trim(""" + unescaped("x") + r""")) AS l FROM pages),
+k AS (SELECT page_id, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) AS root, list_filter(l, lambda x: x <> '' AND NOT regexp_matches(x, '^(#|mailto:|tel:|javascript:)')) AS l FROM l)
+SELECT page_id, list_transform(l, lambda x: CASE WHEN regexp_matches(x, '^[A-Za-z]+:') THEN x ELSE root || x END) AS links FROM k""")
 def html_links(spark, d):
-    return read(spark, d, "pages").select("page_id", T.html_links("url", "html").alias("links"), T.html_text("html").alias("page_text"))
+    """Links of the pages are absolute, or begin with a slash."""
+    return read(spark, d, "pages").select("page_id", T.html_links("url", "html").alias("links"))
 
 
-@query(r"""WITH u AS (SELECT page_id, regexp_replace(trim(url), '#.*$', '') AS u FROM pages),
-p AS (SELECT page_id, lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) AS scheme, lower(regexp_extract(u, '^[A-Za-z]+://([^/?]*)', 1)) AS host, regexp_extract(u, '^[A-Za-z]+://[^/?]*([^?]*)', 1) AS path,
-list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda x: x <> '' AND lower(split_part(x, '=', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_term','utm_content','gclid','fbclid','yclid')) AS q FROM u)
-SELECT page_id, CASE WHEN scheme IN ('http', 'https') AND host <> '' THEN scheme || '://' || host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END END AS canonical,
-(host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en') AS allowed FROM p""")
+URL_SQL = r"""u AS (SELECT page_id, url, regexp_replace(ltrim(url), '#.*$', '') AS u FROM pages),
+p AS (SELECT *, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.\-]*):', 1)) AS scheme, regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?]*)', 1) AS netloc, regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?]*([^?]*)', 1) AS path, list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda x: x <> '') AS q FROM u),
+h AS (SELECT *, split_part(list_last(string_split(lower(netloc), '@')), ':', 1) AS host FROM p)"""
+
+
+@query(rf"""WITH {URL_SQL}, e AS (SELECT *, list_transform(list_filter(q, lambda x: NOT regexp_matches(lower(url_decode(split_part(x, '=', 1))), '^(utm_|fbclid|gclid|yclid)')), lambda x: replace(url_encode(url_decode(replace(split_part(x, '=', 1), '+', ' '))), '%20', '+') || '=' || replace(url_encode(url_decode(replace(CASE WHEN contains(x, '=') THEN x[instr(x, '=') + 1 :] ELSE '' END, '+', ' '))), '%20', '+')) AS k FROM h)
+SELECT page_id, CASE WHEN scheme IN ('http', 'https') THEN scheme || '://' || netloc || path || CASE WHEN len(k) > 0 THEN '?' || array_to_string(k, '&') ELSE '' END ELSE '' END AS canonical, host,
+(host = 'example.org' OR ends_with(host, '.example.org')) AND (path = '/en' OR starts_with(path, '/en/')) AS allowed, scheme NOT IN ('http', 'https') OR ends_with(lower(path), '.html') OR regexp_matches(lower(path), '/login|/signin|/auth|/register|/cart') AS skipped FROM e""")
 def url_canonical(spark, d):
-    return read(spark, d, "pages").select("page_id", T.canonical_url("url").alias("canonical"), T.allowed_url("url", ["example.org"], ["/en"]).alias("allowed"))
+    return read(spark, d, "pages").select("page_id", T.canonical_url("url").alias("canonical"), T.url_host("url").alias("host"), T.allowed_url("url", ["example.org"], ["/en"]).alias("allowed"), T.skipped_url("url", [".html"]).alias("skipped"))
 
 
 @query("""SELECT conv_id, trim(text) AS first_turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS r FROM conversations WHERE lower(role) IN ('user', 'human', 'prompter') AND trim(text) <> '') WHERE r = 1""")
@@ -202,13 +223,12 @@ def nfkc_normalise(spark, d):
     return read(spark, d, "documents").select("doc_id", T.normalize_compatible("text").alias("normalized"))
 
 
-@query(f"""SELECT doc_id, {norm()} AS t, length({norm()}) AS n FROM documents WHERE length({norm()}) <= 60""")
+@query(f"""SELECT doc_id, CASE WHEN length({norm()}) <= 60 THEN {norm()} ELSE rtrim(left({norm()}, 60)) || ' ...' END AS t, length({norm()}) AS n FROM documents""")
 def short_previews(spark, d):
-    t = read(spark, d, "documents").select("doc_id", T.preview("text", 60).alias("t"), F.length(T.normalize("text")).alias("n"))
-    return t.where("n <= 60")
+    return read(spark, d, "documents").select("doc_id", T.preview("text", 60, "compact").alias("t"), F.length(T.normalize("text")).alias("n"))
 
 
-@query(f"""SELECT doc_id, CASE WHEN length({norm()}) <= 60 THEN {norm()} ELSE rtrim(left({norm()}, 57)) || '...' END AS preview, length({norm()}) AS n FROM documents""")
+@query(f"""SELECT doc_id, CASE WHEN length({norm()}) <= 60 THEN {norm()} ELSE left({norm()}, 57) || '...' END AS preview, length({norm()}) AS n FROM documents""")
 def previews(spark, d):
     return read(spark, d, "documents").select("doc_id", T.preview("text", 60).alias("preview"), F.length(T.normalize("text")).alias("n"))
 
@@ -238,25 +258,36 @@ def quality_score(spark, d):
     return read(spark, d, "documents").select("doc_id", F.round(B.quality_score("text"), 8).alias("quality"))
 
 
-@query(r"""WITH t AS (SELECT doc_id, text, lang, length(regexp_replace(text, '[^А-Яа-яЁё]', '', 'g')) AS cyr, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS lat FROM documents)
-SELECT doc_id, array_to_string(list_filter([CASE WHEN trim(text) = '' THEN 'empty' END, CASE WHEN trim(text) <> '' AND length(trim(text)) < 20 THEN 'too_short' END, CASE WHEN regexp_matches(text, 'Ð|Ñ|Â|â€™|â€œ|â€|\x{FFFD}') THEN 'mojibake' END,
-CASE WHEN regexp_matches(text, '[\x{200B}\x{200C}\x{200D}\x{FEFF}\x{2060}]') THEN 'zero_width' END, CASE WHEN regexp_matches(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]') THEN 'control_chars' END, CASE WHEN regexp_matches(text, '[ \t]{8,}|\n{5,}') THEN 'whitespace_run' END,
-CASE WHEN cyr / greatest(cyr + lat, 1) > 0.2 AND lat / greatest(cyr + lat, 1) > 0.2 THEN 'mixed_script' END, CASE WHEN lang = 'en' AND cyr + lat > 0 AND lat / greatest(cyr + lat, 1) < 0.5 THEN 'language_mismatch_en' END], lambda x: x IS NOT NULL), ',') AS flags FROM t""")
+SCRIPTS = r"""length(regexp_replace(text, '[^\x{0400}-\x{052F}]', '', 'g')) AS cyr, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS lat, length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters"""
+
+
+@query(rf"""WITH t AS (SELECT doc_id, text, lang, trim(regexp_replace(text, '^{SP}|{SP}$', '', 'g')) AS bare, {SCRIPTS} FROM documents)
+SELECT doc_id, array_to_string(list_filter([CASE WHEN bare = '' THEN 'empty_text' END, CASE WHEN bare <> '' AND length(bare) < 8 THEN 'very_short_text' END, CASE WHEN regexp_matches(text, 'Ð|Ñ|Â|â€™|â€œ|â€|\x{{FFFD}}') THEN 'possible_mojibake' END,
+CASE WHEN regexp_matches(text, '[\x{{200B}}\x{{200C}}\x{{200D}}\x{{FEFF}}\x{{2060}}]') THEN 'zero_width_char' END, CASE WHEN regexp_matches(text, '[\x00-\x08\x0b\x0c\x0e-\x1f\x{{7f}}-\x{{9f}}]') THEN 'control_char' END, CASE WHEN regexp_matches(text, '[\s\x0b\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]{{20,}}') THEN 'long_whitespace_run' END,
+CASE WHEN least(cyr, lat) > 0 AND least(cyr, lat) / greatest(cyr, lat) >= 0.2 THEN 'mixed_cyrillic_latin' END, CASE WHEN lang = 'ru' AND letters >= 20 AND cyr / letters < 0.3 THEN 'language_ru_low_cyrillic' END, CASE WHEN lang = 'en' AND letters >= 20 AND lat / letters < 0.5 THEN 'language_en_low_latin' END], lambda x: x IS NOT NULL), ',') AS flags FROM t""")
 def quality_flags(spark, d):
     return read(spark, d, "documents").select("doc_id", F.array_join(B.quality_flags("text", "lang"), ",").alias("flags"))
 
 
-@query(f"""SELECT doc_id, {steps_sql("n_chars", B.LENGTH_BINS)} AS length_bin, {steps_sql("len(string_split(" + norm() + ", ' '))", B.SIZE_BUCKETS)} AS size_bucket, {band_sql(unit("doc_id"), "eleven")} AS band, {band_sql(unit("doc_id"), "mined")} AS mined_band FROM documents""")
+@query(f"""WITH t AS (SELECT *, {unit("doc_id")} AS s, len(string_split({norm()}, ' ')) AS n FROM documents) SELECT doc_id, {steps_sql("n_chars", B.LENGTH_BINS)} AS length_bin, {steps_sql("n", B.SIZE_BUCKETS)} AS size_bucket, {steps_sql("n", ((1, "1"), (2, "2"), (3, "3"), (None, "4+")))} AS window_bin, {steps_sql("doc_id % 60", B.SMALL_COUNTS)} AS count_bucket,
+""" + ", ".join(f"{band_sql('s', x)} AS {x}_band" for x in B.SCORE_BANDS) + """, CASE WHEN s < 0.82 THEN 220 WHEN s < 0.95 THEN 180 WHEN s < 0.99 THEN 120 WHEN s < 0.999 THEN 70 ELSE 20 END AS weight,
+CASE WHEN s <= 0.01 THEN '<=1%' WHEN s <= 0.05 THEN '1-5%' WHEN s <= 0.1 THEN '5-10%' WHEN s <= 0.25 THEN '10-25%' WHEN s <= 0.5 THEN '25-50%' WHEN s < 1 THEN '50-<100%' ELSE '100%' END AS share_bucket,
+CASE WHEN s < 0.5 THEN 'miss_below_0.5' WHEN s < 0.9 THEN 'miss_below_0.9' ELSE 'not_missed' END AS miss, CASE WHEN s >= 0.9 THEN 'fp_at_0.9' WHEN s >= 0.5 THEN 'fp_at_0.5' ELSE 'not_fp' END AS alarm FROM t""")
 def buckets(spark, d):
-    t = read(spark, d, "documents").withColumn("s", T.unit("doc_id"))
-    return t.select("doc_id", B.length_bin("n_chars").alias("length_bin"), B.size_bucket(F.size(F.split(T.normalize("text"), " "))).alias("size_bucket"), B.score_band("s").alias("band"), B.score_band("s", "mined").alias("mined_band"))
+    t = read(spark, d, "documents").withColumn("s", T.unit("doc_id")).withColumn("n", F.size(F.split(T.normalize("text"), " ")))
+    bands = [B.score_band("s", x).alias(f"{x}_band") for x in B.SCORE_BANDS]
+    named = [B.length_bin("n_chars").alias("length_bin"), B.size_bucket("n").alias("size_bucket"), B.window_count_bin("n").alias("window_bin"), B.stepped(F.col("doc_id") % 60, B.SMALL_COUNTS).alias("count_bucket")]
+    return t.select("doc_id", *named, *bands, B.score_weight("s").alias("weight"), B.share_bucket("s").alias("share_bucket"), B.boundary_band("s", [0.5, 0.9], True).alias("miss"), B.boundary_band("s", [0.5, 0.9], False).alias("alarm"))
+
+
+ARTIFACT_SQL = ", ".join(f"CASE WHEN regexp_matches(text, '(?is){p.replace(chr(39), chr(39) * 2)}') THEN '{n}' END" for n, p in B.ARTIFACTS.items())
 
 
-@query(r"""WITH t AS (SELECT doc_id, text, greatest(length(text), 1) AS n FROM documents)
-SELECT doc_id, length(regexp_replace(text, '[^0-9]', '', 'g')) / n AS digit_share, length(regexp_replace(text, '[^{}\[\]<>=:/\\_#|`]', '', 'g')) / n AS symbol_density, len(regexp_extract_all(text, 'https?://[^\s]+')) AS urls FROM t""")
+@query(r"""WITH t AS (SELECT doc_id, text, greatest(length(text), 1) AS n FROM documents), u AS (SELECT doc_id, length(regexp_replace(text, '[^0-9]', '', 'g')) / n AS digit_share, length(regexp_replace(text, '[^{}\[\]();=<>|`]', '', 'g')) / n AS symbol_density, len(regexp_extract_all(text, '(?i)https?://[^\s]+')) AS urls,
+list_filter([""" + ARTIFACT_SQL + """], lambda x: x IS NOT NULL) AS h FROM t) SELECT doc_id, CAST(len(h) > 0 OR digit_share > 0.2 OR symbol_density > 0.12 AS INT) AS score, array_to_string(h, ';') AS hits, digit_share, symbol_density, urls FROM u""")
 def artifact_features(spark, d):
     t = read(spark, d, "documents").select("doc_id", B.artifacts("text").alias("a"))
-    return t.select("doc_id", "a.*")
+    return t.select("doc_id", "a.*").withColumn("hits", F.array_join("hits", ";"))
 
 
 # --- windows
@@ -364,23 +395,22 @@ def template_clusters(spark, d):
     return N.template_clusters(read(spark, d, "documents"), sets=["source"])
 
 
-@query(f"""WITH i AS (SELECT DISTINCT sha256({hform()}) AS h FROM benchmark), s AS (SELECT DISTINCT sha256(concat(left({hform()}, 200), ' ... ', right({hform()}, 200))) AS h FROM benchmark), e AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS h FROM benchmark)
-SELECT doc_id, CASE WHEN sha256({hform()}) IN (SELECT h FROM i) THEN 'text_hash' WHEN CAST(doc_id AS VARCHAR) IN (SELECT h FROM e) THEN 'document_id' WHEN sha256(concat(left({hform()}, 200), ' ... ', right({hform()}, 200))) IN (SELECT h FROM s) THEN 'long_signature' END AS reason FROM documents""")
+@query(f"""WITH i AS (SELECT DISTINCT sha256({hform()}) AS h FROM benchmark), s AS (SELECT DISTINCT {lsig()} AS h FROM benchmark), e AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS h FROM benchmark)
+SELECT doc_id, CASE WHEN sha256({hform()}) IN (SELECT h FROM i) THEN 'text_hash' WHEN CAST(doc_id AS VARCHAR) IN (SELECT h FROM e) THEN 'document_id' WHEN {lsig()} IN (SELECT h FROM s) THEN 'long_signature' END AS reason FROM documents""")
 def exclusion_reasons(spark, d):
     index = X.exclusion_index({"benchmark": read(spark, d, "benchmark")}, "item_id")
     return X.exclusion_reasons(read(spark, d, "documents"), index).select("doc_id", "reason")
 
 
-@query(f"""WITH i AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS h FROM benchmark) SELECT CASE WHEN CAST(doc_id AS VARCHAR) IN (SELECT h FROM i) THEN 'document_id' ELSE 'kept' END AS reason, count(*) AS rows FROM documents
-WHERE sha256({hform()}) NOT IN (SELECT sha256({hform()}) FROM benchmark) GROUP BY 1""")
+@query(f"""WITH i AS (SELECT DISTINCT sha256({hform()}) AS h FROM benchmark), e AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS h FROM benchmark) SELECT CASE WHEN sha256({hform()}) IN (SELECT h FROM i) THEN 'text_hash' WHEN CAST(doc_id AS VARCHAR) IN (SELECT h FROM e) THEN 'document_id' ELSE 'kept' END AS reason, count(*) AS rows FROM documents GROUP BY 1""")
 def exclusion_reason_counts(spark, d):
     index = X.exclusion_index({"benchmark": read(spark, d, "benchmark")}, "item_id")
-    t = X.exclusion_reasons(read(spark, d, "documents"), index, priority=("text_hash", "document_id")).where("reason is null or reason <> 'text_hash'")
+    t = X.exclusion_reasons(read(spark, d, "documents"), index, priority=("text_hash", "document_id"))
     return t.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("rows"))
 
 
-@query(f"""WITH i AS (SELECT DISTINCT sha256({hform()}) AS h FROM benchmark), s AS (SELECT DISTINCT sha256(concat(left({hform()}, 200), ' ... ', right({hform()}, 200))) AS h FROM benchmark), e AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS h FROM benchmark)
-SELECT CASE WHEN sha256({hform()}) IN (SELECT h FROM i) THEN 'text_hash' WHEN CAST(doc_id AS VARCHAR) IN (SELECT h FROM e) THEN 'document_id' WHEN sha256(concat(left({hform()}, 200), ' ... ', right({hform()}, 200))) IN (SELECT h FROM s) THEN 'long_signature' ELSE 'kept' END AS reason, count(*) AS rows FROM documents GROUP BY 1""")
+@query(f"""WITH i AS (SELECT DISTINCT sha256({hform()}) AS h FROM benchmark), s AS (SELECT DISTINCT {lsig()} AS h FROM benchmark), e AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS h FROM benchmark)
+SELECT CASE WHEN sha256({hform()}) IN (SELECT h FROM i) THEN 'text_hash' WHEN CAST(doc_id AS VARCHAR) IN (SELECT h FROM e) THEN 'document_id' WHEN {lsig()} IN (SELECT h FROM s) THEN 'long_signature' ELSE 'kept' END AS reason, count(*) AS rows FROM documents GROUP BY 1""")
 def exclusion_all_reason_counts(spark, d):
     index = X.exclusion_index({"benchmark": read(spark, d, "benchmark")}, "item_id")
     t = X.exclusion_reasons(read(spark, d, "documents"), index)
@@ -390,7 +420,7 @@ def exclusion_all_reason_counts(spark, d):
 SPLIT = f"CASE WHEN CAST('0x' || substr({rkey('doc_id')}, 1, 13) AS BIGINT) / pow(16.0, 13) < 0.2 THEN 'validation' ELSE 'train' END"
 
 
-@query(f"""WITH s AS (SELECT doc_id, {SPLIT} AS split, sha256({hform()}) AS th, sha256(concat(left({hform()}, 200), ' ... ', right({hform()}, 200))) AS ls FROM documents),
+@query(f"""WITH s AS (SELECT doc_id, {SPLIT} AS split, sha256({hform()}) AS th, {lsig()} AS ls FROM documents),
 t AS (SELECT * FROM s WHERE split = 'train'), v AS (SELECT * FROM s WHERE split = 'validation')
 SELECT 'text_hash' AS kind, 'error' AS severity, count(*) AS rows, count(DISTINCT th) AS values FROM t WHERE th IN (SELECT th FROM v) UNION ALL SELECT 'long_signature', 'warning', count(*), count(DISTINCT ls) FROM t WHERE ls IN (SELECT ls FROM v)""")
 def leakage_check(spark, d):
@@ -419,12 +449,13 @@ def compaction_last_wins(spark, d):
     return compact(t, "conv_id", "seq").select("conv_id", "turn", F.col("text").alias("last_text"))
 
 
-@query(f"""WITH t AS (SELECT doc_id, ['s' || source, 'p' || left({hform()}, 40)] AS k FROM documents WHERE doc_id % 2 = 1), l AS (SELECT DISTINCT unnest(['s' || source, 'p' || left({hform()}, 40)]) AS v FROM documents WHERE doc_id % 2 = 0 AND source <> 'src0')
-SELECT doc_id, string_agg(DISTINCT CASE left(v, 1) WHEN 's' THEN 'source' ELSE 'prefix' END, ',' ORDER BY CASE left(v, 1) WHEN 's' THEN 'source' ELSE 'prefix' END) AS kinds FROM (SELECT doc_id, unnest(k) AS v FROM t) JOIN l USING (v) GROUP BY doc_id""")
+@query(f"""WITH t AS (SELECT doc_id, ['q' || substr(sha256(coalesce(text, '')), 1, 2), 'p' || left({hform()}, 40)] AS k FROM documents), l AS (SELECT DISTINCT unnest(['q' || substr(sha256(coalesce(text, '')), 1, 2), 'p' || left({hform()}, 40)]) AS v FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)
+SELECT doc_id, string_agg(DISTINCT CASE left(v, 1) WHEN 'q' THEN 'shard' ELSE 'prefix' END, ',' ORDER BY CASE left(v, 1) WHEN 'q' THEN 'shard' ELSE 'prefix' END) AS kinds FROM (SELECT doc_id, unnest(k) AS v FROM t) JOIN l USING (v) WHERE v <> 'p' GROUP BY doc_id""")
 def any_key_match(spark, d):
-    t = read(spark, d, "documents").select("doc_id", "source", F.left(T.hash_form("text"), F.lit(40)).alias("prefix"))
-    pools = t.where("doc_id % 2 = 1"), t.where("doc_id % 2 = 0 and source <> 'src0'")
-    return J.any_key_match(*pools, "doc_id", ["source", "prefix"]).select("doc_id", F.array_join("kinds", ",").alias("kinds"))
+    """All documents against the toxic ones, by a short hash or the first characters."""
+    t = read(spark, d, "documents").select("doc_id", F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 2).alias("shard"), F.left(T.hash_form("text"), F.lit(40)).alias("prefix"))
+    toxic = t.join(read(spark, d, "labels").where("toxic = 1").select("doc_id"), "doc_id", "left_semi")
+    return J.any_key_match(t, toxic, "doc_id", ["shard", "prefix"]).select("doc_id", F.array_join("kinds", ",").alias("kinds"))
 
 
 @query(f"""WITH t AS (SELECT doc_id, unnest([{{'kind': 'document_id', 'v': CAST(doc_id AS VARCHAR)}}, {{'kind': 'prefix', 'v': left({hform()}, 40)}}, {{'kind': 'text_hash', 'v': sha256({hform()})}}], recursive := true) FROM documents),
@@ -499,11 +530,13 @@ def three_model_pattern(spark, d):
     return j.groupBy("label", A.detection_pattern(*((k, F.col(f"{k}_score") >= 0.5) for k in m)).alias("pattern")).agg(F.count("*").alias("documents"))
 
 
-@query(f"""WITH {BEST}, a AS (SELECT doc_id, best_score AS x FROM best WHERE doc_id % 7 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN best_score + 0.001 ELSE best_score END AS y FROM best WHERE doc_id % 11 <> 0),
+@query(f"""WITH {BEST}, a AS (SELECT doc_id, best_score AS x FROM best), b AS (SELECT doc_id, best_score + 0.001 * quality AS y FROM best JOIN labels USING (doc_id)),
 j AS (SELECT a.doc_id AS i, b.doc_id AS k, x, y FROM a FULL JOIN b USING (doc_id)) SELECT count(*) FILTER (k IS NULL) AS missing, count(*) FILTER (i IS NULL) AS extra, count(*) FILTER (i IS NOT NULL AND k IS NOT NULL AND abs(x - y) > 1e-8) AS mismatching, count(*) FILTER (i IS NOT NULL AND k IS NOT NULL AND abs(x - y) <= 1e-8) AS matching FROM j""")
 def reconcile_full_outer(spark, d):
+    """Best scores of all documents against those of the labelled ones, moved by the quality label."""
     b = best_windows(spark, d)
-    return J.reconcile(b.where("doc_id % 7 <> 0"), b.where("doc_id % 11 <> 0").withColumn("best_score", F.when(F.col("doc_id") % 5 == 0, F.col("best_score") + 0.001).otherwise(F.col("best_score"))), "doc_id", "best_score")
+    moved = b.join(read(spark, d, "labels"), "doc_id").withColumn("best_score", F.col("best_score") + 0.001 * F.col("quality"))
+    return J.reconcile(b, moved, "doc_id", "best_score")
 
 
 @query(f"""WITH a AS (WITH {BEST} SELECT doc_id, best_score AS x FROM best), b AS (WITH {BEST.replace(windows_sql(), windows_sql(127, 64))} SELECT doc_id, best_score AS y FROM best JOIN labels USING (doc_id)),

@@ -160,12 +160,12 @@ def crawl(pages: DataFrame, seeds: Sequence[str], depth: int, allowed: Callable,
     from ..operators.identity import save_point
 
     spark = pages.sparkSession
-    known = spark.createDataFrame([(s, 0) for s in seeds], "url string, depth int").select(canonical_url("url").alias("url"), "depth").where("url is not null").distinct()
-    fetched = pages.select(canonical_url(url_col).alias("url"), html_col).where("url is not null")
+    known = spark.createDataFrame([(s, 0) for s in seeds], "url string, depth int").select(canonical_url("url").alias("url"), "depth").where("url <> ''").distinct()
+    fetched = pages.select(canonical_url(url_col).alias("url"), html_col).where("url <> ''")
     frontier = known
     for level in range(1, depth + 1):
         links = fetched.join(frontier.select("url"), "url").select(F.explode(html_links("url", html_col)).alias("l"))
-        frontier = save_point(links.select(canonical_url("l").alias("url")).where("url is not null").where(allowed(F.col("url"))).distinct().join(known, "url", "left_anti").withColumn("depth", F.lit(level)))
+        frontier = save_point(links.select(canonical_url("l").alias("url")).where("url <> ''").where(allowed(F.col("url"))).distinct().join(known, "url", "left_anti").withColumn("depth", F.lit(level)))
         known = known.unionByName(frontier)
     return known
 

@@ -32,8 +32,15 @@ def write_report(spark: SparkSession, path: str, payload: Mapping[str, Any]) ->
 
 
 def report_of(sections: Mapping[str, DataFrame], most: int = 10_000) -> dict[str, list[dict[str, Any]]]:
-    """Sections of aggregates, each at most `most` rows, for K2 and K4."""
-    return {k: [r.asDict(recursive=True) for r in df.limit(most).collect()] for k, df in sections.items()}
+    """Sections of aggregates for K2 and K4. A section of more than `most` rows is no report but a table to be written,
+    so it fails."""
+    out = {}
+    for name, df in sections.items():
+        rows = df.limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"section {name} has more than {most} rows: write it as a table")
+        out[name] = [r.asDict(recursive=True) for r in rows]
+    return out
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "errorifexists") -> None:

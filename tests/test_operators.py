@@ -55,12 +55,23 @@ def test_best_window_takes_the_first_of_equals(spark):
 
 def test_structured_indices(spark):
     rows = spark.createDataFrame([(0,), (1,), (3,), (50,)], "n int").select(V.structured_indices("n", 7)).collect()
-    assert rows[0][0] == [] and rows[1][0] == [0] and rows[2][0] == [0, 1, 2] and len(rows[3][0]) == 7 and {0, 49} <= set(rows[3][0])
+    assert rows[0][0] == [] and rows[1][0] == [0] and rows[2][0] == [0, 1, 2] and len(rows[3][0]) == 7 and set(rows[3][0]) <= {0, 49, 25, 12, 37, 10, 20, 30, 40}
+    wide = spark.createDataFrame([(5,), (8,), (50,)], "n int").select(V.structured_indices("n", 12), V.structured_indices("n", 2, random_only=True), V.structured_indices("n", 40, thirds=True)).collect()
+    assert wide[0][0] == [0, 1, 2, 3, 4] and wide[1][0] == list(range(8)) and {0, 10, 12, 20, 25, 30, 37, 40, 49} <= set(wide[2][0]) and len(wide[2][0]) == 12
+    assert len(wide[2][1]) == 2 and {16, 33} <= set(wide[2][2]) and len(wide[2][2]) == 40
 
 
 def test_visibility(spark):
-    df = spark.createDataFrame([(0, 10, "x", "payload"), (10, 10, "x", "payload"), (5, 40, "has PAYLOAD in it", "payload"), (20, 30, "x", "y" * 30), (3, 30, "x", "y" * 30)], "s int, t int, w string, p string")
-    assert [r[0].visibility for r in df.select(V.visibility(F.col("s"), F.col("t"), F.col("w"), F.col("p"))).collect()] == ["none", "full", "full", "partial_material", "partial_ambiguous"]
+    """Only what the text shows counts; a short payload must be there whole."""
+    phrase = " ".join(f"token{i:02}" for i in range(20))
+    rows = [
+        (0, 20, phrase, phrase, "none"), (20, 20, f"x {phrase.upper()}  y", phrase, "full"), (17, 20, phrase[24:], phrase, "full"), (17, 20, "hidden", phrase, "partial_ambiguous"), (10, 20, phrase[:80], phrase, "partial_material"),
+        (10, 20, "token00 token05 token10", phrase, "partial_ambiguous"), (7, 20, phrase[:56], phrase, "partial_ambiguous"), (4, 6, "a bb ccc dddd", "a bb ccc dddd eeeee ffffff", "partial_ambiguous"), (3, 0, "x", "", "none"),
+    ]
+    df = spark.createDataFrame(rows, "s int, t int, w string, p string, want string")
+    got = df.select(V.visibility(F.col("s"), F.col("t"), F.col("w"), F.col("p")), "want").collect()
+    assert [r[0].visibility for r in got] == [r.want for r in got] and got[2][0].ratio == 0.85
+    assert df.limit(1).select(V.shows_text(F.lit("the KEY word"), F.lit("any key here"), 24, ["key"])).first()[0]
     df = spark.createDataFrame([("a b c d e f", "x a b c d y"), ("a b c", "a b d"), ("q", ""), ("foo bar baz", "bar baz")], "w string, p string")
     assert [r[0] for r in df.select(V.fragment_visible("w", "p")).collect()] == [True, False, False, True]
     assert [r[0] for r in df.select(V.lexical_overlap("w", "p")).collect()] == [4 / 6, 2 / 3, 0.0, 1.0]
@@ -120,8 +131,10 @@ def test_joins(spark):
     bank = spark.createDataFrame([("p", "abc"), ("q", "ef"), ("r", "bc d")], "n string, p string")
     want = [(1, "p"), (1, "q"), (1, "r"), (2, "q")]
     assert sorted((r.id, r.n) for r in J.containing(texts, bank, "t", "p").collect()) == want
-    big = bank.union(spark.createDataFrame([("z", "z" * 100_001)], "n string, p string"))
-    assert sorted((r.id, r.n) for r in J.containing(texts, big, "t", "p").collect()) == want
+    twice, odd = texts.union(texts.where("id = 2")), bank.union(bank.where("n = 'q'")).union(spark.createDataFrame([("e", ""), ("z", None)], "n string, p string"))
+    want = sorted([(1, "p"), (1, "q"), (1, "q"), (1, "r"), (2, "q"), (2, "q"), (2, "q"), (2, "q")])
+    assert all(sorted((r.id, r.n) for r in J.containing(twice, odd, "t", "p", chars).collect()) == want for chars in (10**6, 3))
+    assert J.containing(texts, bank.limit(0), "t", "p").count() == 0
     assert J.deal(texts, bank, 1, "id", "n").count() == 3 and J.deal(texts, bank.limit(0), 1, "id", "n").count() == 0
 
 
@@ -222,6 +235,8 @@ def test_metrics_against_plain_python(spark):
     assert A.ranking_metrics(df.limit(0)).first().roc_auc == 0.0
     w = spark.createDataFrame([(0, 0), (5, 10), (10, 10)], "k int, n int").select(A.wilson(F.col("k"), F.col("n")), A.wilson_upper(F.col("k"), F.col("n"))).collect()
     assert tuple(w[0][0]) == (0.0, 0.0) and w[0][1] == 1.0 and math.isclose(w[1][0].low, 0.2365930905, abs_tol=1e-8) and math.isclose(w[1][0].high, 0.7634069095, abs_tol=1e-8) and math.isclose(w[2][0].high, 1.0)
+    upper = spark.createDataFrame([(2, 300)], "k int, n int").select(*(A.wilson_upper(F.col("k"), F.col("n"), x) for x in (0.95, 0.99, 0.9))).first()
+    assert all(math.isclose(a, b, abs_tol=5e-5) for a, b in zip(upper, (0.0240, 0.0334, 0.0199), strict=True))
     b = A.threshold_for_recall(df, 2.0).first()
     assert not b.reached
 
@@ -347,3 +362,34 @@ def test_streams(spark, tmp_path):
         q = df.writeStream.format("memory").queryName(f"m_{name}").outputMode("append").option("checkpointLocation", str(tmp_path / f"ck_{name}")).trigger(availableNow=True).start()
         q.awaitTermination()
         assert spark.table(f"m_{name}").count() > 0
+
+
+def test_regressions(spark):
+    cols = "corpus string, document_id string, attack_text_hash string, best_window_text_hash string, label int, score double, language string, category string, seq int"
+    new = [("c", "1", None, "w", 1, 0.2, "en", None, 1), ("c", "2", None, "w", 1, 0.9, "en", "x", 1), ("c", "", "h", "w", 1, 0.1, "", "x", 1), ("c", None, None, "w9", 1, 0.3, "ru", "x", 1), ("d", "1", None, "w", 1, 0.2, "en", "x", 1), ("c", "5", None, "w", 0, 0.1, "en", "x", 1)]
+    old = [("c", "1", None, "w", 1, 0.5, "en", "x", 1), ("c", "1", None, "w", 1, 0.995, "en", "x", 2), ("c", None, "h", "other", 1, 0.8, "en", "x", 1), ("c", None, "", "w9", 1, 0.4, "en", "x", 1)]
+    got = {(r.corpus, r.document_id): (r.baseline_score, r.baseline_score_band, r.language, r.category) for r in J.regressions(spark.createDataFrame(new, cols), spark.createDataFrame(old, cols), 0.5, seq="seq").collect()}
+    assert got == {("c", "1"): (0.995, "0.99-0.999", "en", "unknown"), ("c", ""): (0.8, "0.50-0.82", "unknown", "x"), ("c", None): (0.4, "0.10-0.50", "ru", "x"), ("d", "1"): (None, None, "en", "x")}
+
+
+def test_priorities(spark):
+    df = spark.createDataFrame([("prod_fp_hard_benign", 0.5), ("near_boundary", 0.7), ("prod_real", 0.9), ("neighbor", 0.9), (None, 0.9), ("hard", None)], "b string, s double")
+    assert [tuple(r[0]) for r in df.select(R.priority("b", F.col("s"))).collect()] == [(5, 0.5), (4, 0.7), (3, 0.0), (2, 0.0), (1, 0.0), (5, 0.0)]
+    assert [tuple(r[0]) for r in df.select(R.priority(F.lit("embedded_wrapper"), None, R.ATTACK_PRIORITY)).limit(1).collect()] == [(4, 0.0)]
+
+
+def test_report_sections_are_whole(spark):
+    assert len(sinks.report_of({"a": spark.range(5)}, 5)["a"]) == 5
+    with pytest.raises(ValueError):
+        sinks.report_of({"a": spark.range(6)}, 5)
+
+
+def test_repeat_counts_of_rows_with_one_id(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "A"), (3, "a"), (3, "a"), (None, "a"), (4, None)], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.text or "", r.exact_count, r.normalized_count) for r in N.repeat_counts(df).collect())
+    assert got == sorted([(1, "a", 4, 5), (1, "b", 1, 1), (2, "A", 1, 5), (3, "a", 4, 5), (3, "a", 4, 5), (0, "a", 4, 5), (4, "", 1, 1)])
+
+
+def test_divergence_of_nothing(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "k string")
+    assert R.divergence(df, df.limit(0), "k").first().jsd == 0.0 and R.divergence(df.where("k = 'a'"), df.where("k = 'b'"), "k").first().jsd == 1.0

@@ -166,3 +166,9 @@ def test_certification(spark):
     assert few["status"] == "needs_more_evidence" and few["blockers"] == ["too_few_attacks", "too_few_documents"]
     assert "missing_version_fields" in U.certify(results(spark, cfg).drop("reviewer_model_id"), train, cfg, "s", "en")["blockers"]
     assert "production_flag" in U.certify(results(spark, config(reviewer_calibration_id="c")), train, config(reviewer_calibration_id="c"), "s", "en")["blockers"]
+
+
+def test_teacher_mask(spark):
+    df = spark.createDataFrame([(0.95, 1), (0.95, 0), (0.02, 0), (0.6, 1), (0.02, 1)], "t double, y int")
+    got = [tuple(r) for r in df.select(*(U.teacher_mask(F.col("t"), F.col("y"), 0.9, m) for m in ("agree", "benign_only", "all_confident"))).collect()]
+    assert got == [(True, False, True), (False, False, True), (True, True, True), (False, False, False), (False, False, True)]
