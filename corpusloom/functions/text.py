@@ -407,7 +407,8 @@ def sentences(c: Column | str) -> Column:
 
 def sentence_ends(c: Column | str) -> Column:
     """offset (characters from 0) behind each sentence and the white space that follows it."""
-    parts = F.regexp_extract_all(text_or_empty(c), F.lit(r"(?sU)(.*?[.!?]\s+)"))
+    # each match begins where the last one ended, so that a text without an end is read once
+    parts = F.regexp_extract_all(text_or_empty(c), F.lit(r"(?sU)\G(.*?[.!?]\s+)"))
     step = lambda a, x: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + F.length(x)))
     return F.aggregate(parts, F.array().cast("array<int>"), step)
 

@@ -832,3 +832,5 @@ def revenue_grouping_sets(spark, d):
     revenue = F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2)
     return j.groupingSets([[F.col("n_name"), F.col("r_name")], [F.col("r_name")], []], F.col("n_name"), F.col("r_name")).agg(F.count("*").alias("orders"), revenue.alias("revenue"))
 
+
+from . import queries_more  # noqa: E402, F401  (registers its queries)
