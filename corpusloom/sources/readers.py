@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -30,11 +31,14 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: StructTyp
 
 
 def jsonl_errors(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, text) of lines that are no JSON object. Line numbers are those of Python's reader, so whole
-    files are numbered where they are read."""
-    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    lines = text.select("file", F.posexplode(F.split("value", "\n")).alias("i", "text")).where(F.trim("text") != "")
-    return lines.where(F.try_parse_json("text").isNull() | ~F.trim("text").startswith("{")).select("file", (F.col("i") + 1).alias("line"), "text")
+    """(file, line, text) of lines that are no JSON object. A line's number is its place in its piece of the file and
+    the lines of the pieces before, so that only numbers are shuffled and a file of any size is read in pieces."""
+    read = spark.read.option("lineSep", "\n").text(path)
+    lines = read.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).withColumn("id", F.monotonically_increasing_id())
+    pieces = lines.groupBy("file", "at").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    bad = lines.where((F.trim("value") != "") & (F.try_parse_json("value").isNull() | ~F.trim("value").startswith("{")))
+    return bad.join(pieces.select("file", "at", "first", before.alias("before")), ["file", "at"]).select("file", (F.col("before") + F.col("id") - F.col("first") + 1).cast("int").alias("line"), F.col("value").alias("text"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
