@@ -271,7 +271,7 @@ def mined_benign_validation(spark, d):
     return G.validation(mined_rows(spark, d), {"plain": (~F.col("near_boundary"), 100), "near_boundary": (F.col("near_boundary"), 1)})
 
 
-@query(f"""WITH t AS (SELECT doc_id, toxic, quality, source, {norm()} AS t, sha256({hform()}) AS h, CASE WHEN doc_id % 2 = 0 THEN left({norm()}, 12) ELSE '' END AS given FROM documents JOIN labels USING (doc_id)),
+@query(f"""WITH t AS (SELECT doc_id, toxic, quality, source, {norm()} AS t, sha256({hform()}) AS h, CASE WHEN doc_id % 2 = 0 THEN trim(left({norm()}, 12)) ELSE '' END AS given FROM documents JOIN labels USING (doc_id)),
 a AS (SELECT *, CASE WHEN given <> '' THEN given WHEN contains(lower(t), 'public license') THEN 'public license' WHEN contains(lower(t), 'license') THEN 'license' ELSE '' END AS anchor FROM t),
 e AS (SELECT *, CASE WHEN toxic <> 1 THEN 'not_attack_label' WHEN t = '' THEN 'missing_window_text' WHEN anchor = '' THEN 'missing_attack_anchor_text' WHEN regexp_matches(anchor, '(?i)^the ') THEN 'filler_attack_anchor_text' WHEN NOT contains(lower(t), lower(anchor)) THEN 'anchor_not_visible_in_window' WHEN NOT regexp_matches(anchor, '(?i)license') THEN 'anchor_without_model_control_signal'
 WHEN source = 'src9' THEN 'disallowed_source_pool' WHEN quality <> 1 THEN 'missing_review_or_visible_flag' END AS early FROM a), f AS (SELECT *, early IS NULL AND doc_id = min(doc_id) FILTER (early IS NULL) OVER (PARTITION BY h) AS first FROM e)
