@@ -122,22 +122,26 @@ def visibility(shared: Column, total: Column, window_text: Column, text: Column,
 
 
 def fragment_visible(window: Column | str, payload: Column | str, shingle: int = 4, span: int = 24, step: int = 12) -> Column:
-    """The payload, one of its word shingles, or one of its compact character spans stands in the window."""
-    w = F.lower(F.regexp_replace(text_or_empty(window), r"(?U)\s+", " "))
-    tokens = words(F.lower(text_or_empty(payload)))
-    p = F.array_join(tokens, " ")
+    """The window has the payload, or so many of its words of three characters or more in a row, or one of its
+    character spans without white space."""
+    w, p = F.lower(normalize(window)), F.lower(normalize(payload))
+    tokens = F.regexp_extract_all(p, F.lit(r"(?U)(\w{3,})"))
     shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size(tokens) - shingle + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, shingle), " "))
     compact, packed = F.regexp_replace(w, " ", ""), F.regexp_replace(p, " ", "")
     spans = F.transform(F.sequence(F.lit(0), F.greatest(F.length(packed) - span, F.lit(0)), F.lit(step)), lambda i: F.substring(packed, i + 1, F.lit(span)))
     hit = F.contains(w, p) | ((F.size(tokens) >= shingle) & F.exists(shingles, lambda s: F.contains(w, s))) | ((F.length(packed) >= span) & F.exists(spans, lambda s: F.contains(compact, s)))
-    return (p != "") & hit
+    return (w != "") & (p != "") & hit
+
+
+#: Fixed value: the tokens that lexical overlap counts.
+OVERLAP_TOKEN = "[A-Za-zА-Яа-яЁё0-9]+"
 
 
 def lexical_overlap(text: Column | str, reference: Column | str) -> Column:
-    """Share of the reference's distinct words that the text has."""
-    t = F.regexp_extract_all(F.lower(text_or_empty(text)), F.lit(r"(?U)(\w+)"))
-    r = F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(reference)), F.lit(r"(?U)(\w+)")))
-    return F.when(F.size(r) == 0, 0.0).otherwise(F.size(F.array_intersect(r, t)) / F.size(r))
+    """Share of the reference's words, repeated ones each, that the text has."""
+    tokens = lambda c: F.regexp_extract_all(F.lower(normalize(c)), F.lit(f"({OVERLAP_TOKEN})"))
+    t, r = F.array_distinct(tokens(text)), tokens(reference)
+    return F.when(F.size(r) == 0, 0.0).otherwise(F.size(F.filter(r, lambda x: F.array_contains(t, x))) / F.size(r))
 
 
 def likely_windows(windows: DataFrame, likely: Column, id_col: str = "doc_id") -> DataFrame:

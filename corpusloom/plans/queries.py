@@ -349,14 +349,27 @@ def phrase_containment(spark, d):
     return J.containing(docs, bank, "t", "p").select("doc_id", "item_id")
 
 
-@query()
+DEAL_SQL = f"""b AS (SELECT item_id, text AS payload, row_number() OVER (ORDER BY {rkey("item_id")}) - 1 AS n FROM benchmark),
+deal AS (SELECT d.doc_id, d.text, b.item_id, b.payload FROM documents d JOIN b ON b.n = CAST('0x' || substr({rkey("d.doc_id")}, 1, 15) AS BIGINT) % (SELECT count(*) FROM b))"""
+SHOWN = "(contains(w, p) OR len(list_filter(list_transform(range(1, len(pw) + 1), lambda i: array_to_string(pw[i : i + 9], ' ')), lambda x: length(x) >= 24 AND contains(w, CASE WHEN instr(x[25:], ' ') > 0 THEN left(x, 23 + CAST(instr(x[25:], ' ') AS INT)) ELSE x END))) > 0)"
+
+
+@query(rf"""WITH {DEAL_SQL}, t AS (SELECT doc_id, item_id, {hform("text")} AS w, {hform("payload")} AS p, regexp_extract_all({hform("payload")}, '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]{{3,}}') AS k, replace({hform("text")}, ' ', '') AS cw, replace({hform("payload")}, ' ', '') AS cp, list_distinct(regexp_extract_all(lower(payload), '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+')) AS r, regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+') AS v FROM deal)
+SELECT doc_id, item_id, w <> '' AND p <> '' AND (contains(w, p) OR (len(k) >= 4 AND len(list_filter(range(1, len(k) - 2), lambda i: contains(w, array_to_string(k[i : i + 3], ' ')))) > 0) OR (length(cp) >= 24 AND len(list_filter(range(0, length(cp) - 23, 12), lambda i: contains(cw, cp[i + 1 : i + 24]))) > 0)) AS visible, CASE WHEN len(r) = 0 THEN 0.0 ELSE round(len(list_filter(r, lambda x: list_contains(v, x))) / len(r), 8) END AS lexical FROM t""")
 def fragment_visibility(spark, d):
     docs, bench = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark")
     dealt = J.deal(docs, bench.select("item_id", F.col("text").alias("payload")), 42, "doc_id", "item_id")
     return dealt.select("doc_id", "item_id", V.fragment_visible("text", "payload").alias("visible"), F.round(V.lexical_overlap("text", "payload"), 8).alias("lexical"))
 
 
-@query()
+@query(f"""WITH {windows_sql()}, {DEAL_SQL}, i0 AS (SELECT doc_id, item_id, tok, n AS m, string_split({norm("payload")}, ' ') AS ins, {unit("concat_ws(':', 42, doc_id, item_id)")} AS u FROM deal JOIN w1 USING (doc_id) WHERE n > 0 AND {norm("payload")} <> ''),
+i1 AS (SELECT *, CASE WHEN u < 0.65 THEN 'random' WHEN u < 0.72 THEN 'beginning' WHEN u < 0.79 THEN 'early' WHEN u < 0.86 THEN 'middle' WHEN u < 0.93 THEN 'late' ELSE 'end' END AS place FROM i0),
+i2 AS (SELECT *, CASE place WHEN 'late' THEN 2 * m // 3 WHEN 'end' THEN greatest(m - 64, 0) WHEN 'middle' THEN greatest(m // 2 - greatest(m // 10, 1), 0) ELSE 0 END AS lo, CASE place WHEN 'beginning' THEN least(64, m) WHEN 'early' THEN m // 3 WHEN 'middle' THEN least(m // 2 + greatest(m // 10, 1), m) ELSE m END AS hi FROM i1),
+i3 AS (SELECT *, lo + {sint("concat_ws(':', 42, doc_id, place)")} % (hi - lo + 1) AS s0 FROM i2), i4 AS (SELECT doc_id, item_id, place, ins, s0, s0 + len(ins) AS s1, list_concat(tok[1:s0], ins, tok[s0 + 1 :]) AS all_ FROM i3),
+i5 AS (SELECT *, unnest(range(1 + greatest(0, CAST(ceil((len(all_) - 254) / 128.0) AS INT)))) AS k FROM i4), i6 AS (SELECT *, k * 128 AS a, least(k * 128 + 254, len(all_)) AS b, lower(array_to_string(all_[k * 128 + 1 : k * 128 + 254], ' ')) AS w, list_transform(ins, lambda x: lower(x)) AS pw, lower(array_to_string(ins, ' ')) AS p FROM i5),
+i7 AS (SELECT *, greatest(0, least(b, s1) - greatest(a, s0)) AS shared, s1 - s0 AS total, {SHOWN} AS seen FROM i6), i8 AS (SELECT *, CASE WHEN shared <= 0 THEN 'none' WHEN shared / total >= 0.85 THEN CASE WHEN seen THEN 'full' ELSE 'hidden' END WHEN total > 8 AND shared >= 8 AND seen THEN 'partial_material' ELSE 'hidden' END AS visibility FROM i7)
+SELECT doc_id, CAST(k AS INT) AS window_index, CAST(a AS INT) AS token_start, CAST(b AS INT) AS token_end, CAST(visibility <> 'none' AS INT) AS label, visibility, item_id AS payload_id, place, CASE WHEN visibility <> 'none' THEN 'embedded_attack' ELSE 'same_document_contrast' END AS component FROM i8 WHERE visibility <> 'hidden'
+UNION ALL SELECT doc_id, window_index, token_start, token_end, 0, 'none', NULL, NULL, 'original_contrast' FROM win""")
 def injected_windows(spark, d):
     payloads = read(spark, d, "benchmark").select(F.col("item_id").alias("payload_id"), F.col("text").alias("payload"))
     return V.inject(read(spark, d, "documents"), payloads).drop("window_text")
@@ -688,7 +701,10 @@ def multi_cap_sample(spark, d):
     return Q.capped(read(spark, d, "documents"), {"source": 20, "lang": 60}, "doc_id").select("doc_id", "source", "lang")
 
 
-@query()
+@query(f"""WITH RECURSIVE o AS (SELECT doc_id, source, lang, dense_rank() OVER (ORDER BY source) AS si, dense_rank() OVER (ORDER BY lang) AS li, row_number() OVER (ORDER BY {rkey("doc_id")}) AS n FROM documents),
+f AS (SELECT 0::BIGINT AS n, list_transform(range((SELECT max(si) FROM o)), lambda x: 0) AS cs, list_transform(range((SELECT max(li) FROM o)), lambda x: 0) AS cl, 0 AS taken, false AS ok UNION ALL
+SELECT n, list_transform(cs, lambda x, i: x + (good AND i = si)::INT), list_transform(cl, lambda x, i: x + (good AND i = li)::INT), taken + good::INT, good FROM (SELECT o.n, si, li, cs, cl, taken, taken < 200 AND cs[si] < 20 AND cl[li] < 60 AS good FROM f JOIN o ON o.n = f.n + 1))
+SELECT doc_id, source, lang FROM o JOIN f USING (n) WHERE ok""")
 def cap_fold(spark, d):
     return Q.cap_fold(read(spark, d, "documents").select("doc_id", "source", "lang"), {"source": 20, "lang": 60}, 200, "doc_id")
 
@@ -721,13 +737,19 @@ def strata_totals_split(spark, d):
     return S.strata_totals(read(spark, d, "documents").select("doc_id", "lang"), "doc_id", ["lang"], {"train": 100, "validation": 30, "test": 30}).select("doc_id", "split")
 
 
-@query()
+@query(f"""WITH RECURSIVE k AS (SELECT doc_id, unnest(['t' || sha256({hform()}), 'p' || left({hform()}, 80)]) AS v FROM documents), hub AS (SELECT v, min(doc_id) AS h FROM k GROUP BY v HAVING count(*) > 1),
+e AS (SELECT DISTINCT doc_id AS a, h AS b FROM k JOIN hub USING (v) WHERE doc_id <> h), b AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT b.b, r.c FROM r JOIN b ON b.a = r.a WHERE r.c < b.b), g AS (SELECT a AS doc_id, min(c) AS "group" FROM r GROUP BY a), z AS (SELECT "group", count(*) AS rows, row_number() OVER (ORDER BY {rkey('"group"')}) AS n FROM g GROUP BY "group"),
+f AS (SELECT 0::BIGINT AS n, 0::BIGINT AS have, false AS ok UNION ALL SELECT z.n, have + CASE WHEN have < 100 AND have + rows <= 110 THEN rows ELSE 0 END, have < 100 AND have + rows <= 110 FROM f JOIN z ON z.n = f.n + 1)
+SELECT doc_id, "group", CASE WHEN ok THEN 'validation' ELSE 'train' END AS split FROM g JOIN z USING ("group") JOIN f USING (n)""")
 def group_split(spark, d):
     t = read(spark, d, "documents").select("doc_id", T.text_hash("text", 64).alias("t"), F.left(T.hash_form("text"), F.lit(80)).alias("p"))
     return S.grouped_split(t, "doc_id", ["t", "p"], 100).select("doc_id", "group", "split")
 
 
-@query()
+@query(f"""WITH t AS (SELECT doc_id, lang, {hform()} AS h, list_slice(list_sort(list_distinct(regexp_extract_all({hform()}, '[\\p{{L}}\\p{{N}}\\p{{M}}_]{{4,}}'))), 1, 80) AS words FROM documents), b AS (SELECT doc_id, lang, substr(sha256(CASE WHEN len(words) > 0 THEN array_to_string(words, ' ') ELSE h END), 1, 16) AS bag FROM t),
+m AS (SELECT bag, lang, sum(count(*)) OVER (PARTITION BY bag) AS rows, row_number() OVER (PARTITION BY bag ORDER BY count(*) DESC, lang) AS r FROM b GROUP BY bag, lang), g AS (SELECT bag, (sum(rows) OVER (PARTITION BY lang ORDER BY {rkey("bag")}) - rows / 2) / sum(rows) OVER (PARTITION BY lang) AS middle FROM m WHERE r = 1)
+SELECT doc_id, bag, CASE WHEN middle <= 0.7 THEN 'train' WHEN middle <= 0.7::DOUBLE + 0.15::DOUBLE THEN 'internal' ELSE 'locked' END AS pool FROM b JOIN g USING (bag)""")
 def atomic_source_split(spark, d):
     t = read(spark, d, "documents").withColumn("bag", T.bag_cluster_id("text")).select("doc_id", "bag", "lang")
     return S.atomic_split(t, "bag", ["lang"], {"train": 0.7, "internal": 0.15, "locked": 0.15}).select("doc_id", "bag", "pool")

@@ -72,9 +72,9 @@ def test_visibility(spark):
     got = df.select(V.visibility(F.col("s"), F.col("t"), F.col("w"), F.col("p")), "want").collect()
     assert [r[0].visibility for r in got] == [r.want for r in got] and got[2][0].ratio == 0.85
     assert df.limit(1).select(V.shows_text(F.lit("the KEY word"), F.lit("any key here"), 24, ["key"])).first()[0]
-    df = spark.createDataFrame([("a b c d e f", "x a b c d y"), ("a b c", "a b d"), ("q", ""), ("foo bar baz", "bar baz")], "w string, p string")
-    assert [r[0] for r in df.select(V.fragment_visible("w", "p")).collect()] == [True, False, False, True]
-    assert [r[0] for r in df.select(V.lexical_overlap("w", "p")).collect()] == [4 / 6, 2 / 3, 0.0, 1.0]
+    df = spark.createDataFrame([("a b c d e f", "x a b c d y"), ("a b c", "a b d"), ("q", ""), ("foo bar baz", "bar baz"), ("say one, two three four", "zzz two three four it one"), ("x " + "ab" * 20, "ab " * 40), ("say two three four five", "zz two three four five yy")], "w string, p string")
+    assert [r[0] for r in df.select(V.fragment_visible("w", "p")).collect()] == [False, False, False, True, False, True, True]
+    assert [r[0] for r in df.select(V.lexical_overlap("w", "p")).collect()] == [4 / 6, 2 / 3, 0.0, 1.0, 4 / 6, 0.0, 4 / 6]
 
 
 def test_injection_makes_matched_contrast(spark):
