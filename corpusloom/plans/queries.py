@@ -354,7 +354,7 @@ deal AS (SELECT d.doc_id, d.text, b.item_id, b.payload FROM documents d JOIN b O
 SHOWN = "(contains(w, p) OR len(list_filter(list_transform(range(1, len(pw) + 1), lambda i: array_to_string(pw[i : i + 9], ' ')), lambda x: length(x) >= 24 AND contains(w, CASE WHEN instr(x[25:], ' ') > 0 THEN left(x, 23 + CAST(instr(x[25:], ' ') AS INT)) ELSE x END))) > 0)"
 
 
-@query(rf"""WITH {DEAL_SQL}, t AS (SELECT doc_id, item_id, {hform("text")} AS w, {hform("payload")} AS p, regexp_extract_all({hform("payload")}, '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]{{3,}}') AS k, replace({hform("text")}, ' ', '') AS cw, replace({hform("payload")}, ' ', '') AS cp, list_distinct(regexp_extract_all(lower(payload), '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+')) AS r, regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+') AS v FROM deal)
+@query(rf"""WITH {DEAL_SQL}, t AS (SELECT doc_id, item_id, {hform("text")} AS w, {hform("payload")} AS p, regexp_extract_all({hform("payload")}, '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]{{3,}}') AS k, replace({hform("text")}, ' ', '') AS cw, replace({hform("payload")}, ' ', '') AS cp, regexp_extract_all({hform("payload")}, '[A-Za-zА-Яа-яЁё0-9]+') AS r, regexp_extract_all({hform("text")}, '[A-Za-zА-Яа-яЁё0-9]+') AS v FROM deal)
 SELECT doc_id, item_id, w <> '' AND p <> '' AND (contains(w, p) OR (len(k) >= 4 AND len(list_filter(range(1, len(k) - 2), lambda i: contains(w, array_to_string(k[i : i + 3], ' ')))) > 0) OR (length(cp) >= 24 AND len(list_filter(range(0, length(cp) - 23, 12), lambda i: contains(cw, cp[i + 1 : i + 24]))) > 0)) AS visible, CASE WHEN len(r) = 0 THEN 0.0 ELSE round(len(list_filter(r, lambda x: list_contains(v, x))) / len(r), 8) END AS lexical FROM t""")
 def fragment_visibility(spark, d):
     docs, bench = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark")
