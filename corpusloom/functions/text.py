@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -39,6 +39,11 @@ def text_or_empty(c: Column | str) -> Column:
     return F.coalesce(as_column(c).cast("string"), F.lit(""))
 
 
+def once(use: Callable[..., Column], **values: Column) -> Column:
+    """`use(**values)`, with each value computed once, however often it is used and also inside the functions of arrays."""
+    return F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), lambda x: use(**{k: x[k] for k in values}))[0]
+
+
 def char_count(t: Column, chars: str) -> Column:
     """How many characters of a class a text has, without an array of them."""
     return F.length(t) - F.length(F.regexp_replace(t, f"{chars}+", ""))
@@ -428,21 +433,25 @@ def draw(lo: Column, hi: Column, *key: Column | str) -> Column:
 def embed(carrier: Column | str, insertion: Column | str, position: str = "middle", seed: int = 42) -> Column:
     """struct(text, start, stop) of normalised texts: at the prefix, the suffix, the sentence end nearest to the
     middle (moved by up to 80 characters, seeded), or deep: a seeded sentence end, or place, in the 35-75 %."""
+    if position not in ("prefix", "suffix"):
+        return once(lambda c, i, ends: _embed_inside(c, i, ends, position, seed), c=normalize(carrier), i=normalize(insertion), ends=sentence_ends(normalize(carrier)))
     c, i = normalize(carrier), normalize(insertion)
-    n, ends = F.length(c), sentence_ends(c)
-    key = (F.lit(seed), F.lit(position), c, i)
     if position == "prefix":
         return F.struct(F.concat_ws(" ", i, c).alias("text"), F.lit(0).alias("start"), F.length(i).alias("stop"))
-    if position == "suffix":
-        return F.struct(F.concat_ws(" ", c, i).alias("text"), (n + 1).alias("start"), (n + 1 + F.length(i)).alias("stop"))
+    n = F.length(c)
+    return F.struct(F.concat_ws(" ", c, i).alias("text"), (n + 1).alias("start"), (n + 1 + F.length(i)).alias("stop"))
+
+
+def _embed_inside(c: Column, i: Column, ends: Column, position: str, seed: int) -> Column:
+    n, key = F.length(c), (F.lit(seed), F.lit(position), c, i)
+    half = F.floor(n / 2).cast("int")
     if position == "middle":
-        target = F.floor(n / 2).cast("int") - draw(F.lit(-80), F.lit(80), *key)
-        best = F.array_min(F.transform(ends, lambda e: F.struct(F.abs(e - target).alias("d"), e.alias("e"))))["e"]
-        return inserted(c, i, F.coalesce(best, F.floor(n / 2).cast("int")))
+        nearest = lambda target, ends: F.array_min(F.transform(ends, lambda e: F.struct(F.abs(e - target).alias("d"), e.alias("e"))))["e"]
+        best = once(nearest, target=half - draw(F.lit(-80), F.lit(80), *key), ends=ends)
+        return inserted(c, i, F.coalesce(best, half))
     lo, hi = F.floor(n * 0.35).cast("int"), F.floor(n * 0.75).cast("int")
-    deep = F.filter(ends, lambda e: (e >= lo) & (e <= hi))
-    least = F.greatest(lo, F.lit(1))
-    place = F.when(F.size(deep) > 0, F.try_element_at(deep, draw(F.lit(1), F.size(deep), *key))).otherwise(draw(least, F.greatest(lo + 1, hi), *key))
+    deep = once(lambda ends, lo, hi: F.filter(ends, lambda e: (e >= lo) & (e <= hi)), ends=ends, lo=lo, hi=hi)
+    place = F.when(F.size(deep) > 0, F.try_element_at(deep, draw(F.lit(1), F.size(deep), *key))).otherwise(draw(F.greatest(lo, F.lit(1)), F.greatest(lo + 1, hi), *key))
     return inserted(c, i, place)
 
 

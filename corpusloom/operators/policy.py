@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import anchored, any_pattern
-from ..functions.text import text_or_empty, truthy
+from ..functions.text import once, text_or_empty, truthy
 
 ALLOW, REVIEW, BLOCK = "ALLOW", "REVIEW", "BLOCK"
 DIAGNOSTIC, SHADOW, ENFORCED = "diagnostic", "shadow", "enforced"
@@ -120,11 +120,6 @@ def direct_anchor(text: Column | str, config: RouterConfig) -> Column:
     return anchored(text, config.direct_patterns, config.negation_pattern)
 
 
-def _once(value: Column, use) -> Column:
-    """`use(value)`, with the value computed once however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
 def route(text: Column | str, category: Column, trusted: Column, language: Column, config: RouterConfig, anchor: Column | None = None) -> Column:
     """U4: struct(category, semantic_family, language, confidence, reason, rule_ids). `anchor` saves the direct patterns
     where they were looked for already."""
@@ -146,7 +141,7 @@ def route(text: Column | str, category: Column, trusted: Column, language: Colum
             .otherwise(result("unknown", "unknown", "low", "no_router_match", F.array().cast("array<string>")))
         )
 
-    return _once(seen, decided)
+    return once(decided, s=seen)
 
 
 def match_slice(router: Column, config: PolicyConfig) -> Column:
@@ -211,7 +206,7 @@ def decide_windows(windows: DataFrame, config: PolicyConfig, text: str = "window
     reason and flags."""
     config.validate()
     s1, rv = F.col(stage1), F.col(reviewer)
-    looked = _once(direct_anchor(text, config.router), lambda a: F.struct(a.alias("anchor"), route(text, F.col(category), F.col(trusted), F.col(language), config.router, a).alias("router")))
+    looked = once(lambda a: F.struct(a.alias("anchor"), route(text, F.col(category), F.col(trusted), F.col(language), config.router, a).alias("router")), a=direct_anchor(text, config.router))
     w = windows.select("*", F.explode(F.array(looked)).alias("_l")).withColumn("anchor", F.col("_l.anchor")).withColumn("router", F.col("_l.router"))
     w = w.withColumn("_slice", match_slice(F.col("router"), config)).withColumn("_protected", family_action(F.col("router"), config))
     w = w.withColumn("reviewer_eligible", eligible(F.col("anchor"), s1, F.col("router"), F.col("_slice"), config)["eligible"])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import as_column, normalize, random_key, text_or_empty, words
+from ..functions.text import as_column, normalize, once, random_key, words
 
 #: Tokens of a window and between window starts.
 LENGTH, STRIDE = 254, 128
@@ -95,17 +95,19 @@ def overlap(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
 def shows_text(window: Column | str, payload: Column | str, min_chars: int = 24, atoms: Sequence[str] = ()) -> Column:
     """The window has the payload, or up to ten of its words in a row with `min_chars` characters, or an atom that the
     payload has too. Case and white space do not count."""
-    w, p = F.lower(normalize(window)), F.lower(normalize(payload))
-    tokens = F.split(p, " ")
-    ten = F.transform(F.sequence(F.lit(1), F.size(tokens)), lambda i: F.array_join(F.slice(tokens, i, 10), " "))
 
-    def shown(phrase: Column) -> Column:
-        # its first words that reach `min_chars`; a longer run is there only if these are
-        end = F.locate(" ", phrase, min_chars + 1)
-        return (F.length(phrase) >= min_chars) & F.contains(w, F.when(end > 0, F.substring(phrase, F.lit(1), end - 1)).otherwise(phrase))
+    def seen(w: Column, p: Column, ten: Column) -> Column:
+        def shown(phrase: Column) -> Column:
+            # its first words that reach `min_chars`; a longer run is there only if these are
+            end = F.locate(" ", phrase, min_chars + 1)
+            return (F.length(phrase) >= min_chars) & F.contains(w, F.when(end > 0, F.substring(phrase, F.lit(1), end - 1)).otherwise(phrase))
+
+        atom = sum(((F.contains(p, F.lit(a.lower())) & F.contains(w, F.lit(a.lower()))).cast("int") for a in atoms), F.lit(0)) > 0
+        return (w != "") & (p != "") & (F.contains(w, p) | F.exists(ten, shown) | atom)
 
-    atom = sum(((F.contains(p, F.lit(a.lower())) & F.contains(w, F.lit(a.lower()))).cast("int") for a in atoms), F.lit(0)) > 0
-    return (w != "") & (p != "") & (F.contains(w, p) | F.exists(ten, shown) | atom)
+    p = F.lower(normalize(payload))
+    runs = lambda t: F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.array_join(F.slice(t, i, 10), " "))
+    return once(seen, w=F.lower(normalize(window)), p=p, ten=once(runs, t=F.split(p, " ")))
 
 
 def visibility(shared: Column, total: Column, window_text: Column, text: Column, min_tokens: int = 8, min_chars: int = 24, atoms: Sequence[str] = ()) -> Column:
@@ -124,13 +126,15 @@ def visibility(shared: Column, total: Column, window_text: Column, text: Column,
 def fragment_visible(window: Column | str, payload: Column | str, shingle: int = 4, span: int = 24, step: int = 12) -> Column:
     """The window has the payload, or so many of its words of three characters or more in a row, or one of its
     character spans without white space."""
+
+    def seen(w: Column, p: Column, tokens: Column, compact: Column, packed: Column) -> Column:
+        shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size(tokens) - shingle + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, shingle), " "))
+        spans = F.transform(F.sequence(F.lit(0), F.greatest(F.length(packed) - span, F.lit(0)), F.lit(step)), lambda i: F.substring(packed, i + 1, F.lit(span)))
+        hit = F.contains(w, p) | ((F.size(tokens) >= shingle) & F.exists(shingles, lambda s: F.contains(w, s))) | ((F.length(packed) >= span) & F.exists(spans, lambda s: F.contains(compact, s)))
+        return (w != "") & (p != "") & hit
+
     w, p = F.lower(normalize(window)), F.lower(normalize(payload))
-    tokens = F.regexp_extract_all(p, F.lit(r"(?U)(\w{3,})"))
-    shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size(tokens) - shingle + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, shingle), " "))
-    compact, packed = F.regexp_replace(w, " ", ""), F.regexp_replace(p, " ", "")
-    spans = F.transform(F.sequence(F.lit(0), F.greatest(F.length(packed) - span, F.lit(0)), F.lit(step)), lambda i: F.substring(packed, i + 1, F.lit(span)))
-    hit = F.contains(w, p) | ((F.size(tokens) >= shingle) & F.exists(shingles, lambda s: F.contains(w, s))) | ((F.length(packed) >= span) & F.exists(spans, lambda s: F.contains(compact, s)))
-    return (w != "") & (p != "") & hit
+    return once(seen, w=w, p=p, tokens=F.regexp_extract_all(p, F.lit(r"(?U)(\w{3,})")), compact=F.regexp_replace(w, " ", ""), packed=F.regexp_replace(p, " ", ""))
 
 
 #: Fixed value: the tokens that lexical overlap counts.
@@ -140,8 +144,8 @@ OVERLAP_TOKEN = "[A-Za-zА-Яа-яЁё0-9]+"
 def lexical_overlap(text: Column | str, reference: Column | str) -> Column:
     """Share of the reference's words, repeated ones each, that the text has."""
     tokens = lambda c: F.regexp_extract_all(F.lower(normalize(c)), F.lit(f"({OVERLAP_TOKEN})"))
-    t, r = F.array_distinct(tokens(text)), tokens(reference)
-    return F.when(F.size(r) == 0, 0.0).otherwise(F.size(F.filter(r, lambda x: F.array_contains(t, x))) / F.size(r))
+    share = lambda t, r: F.when(F.size(r) == 0, 0.0).otherwise(F.size(F.filter(r, lambda x: F.array_contains(t, x))) / F.size(r))
+    return once(share, t=F.array_distinct(tokens(text)), r=tokens(reference))
 
 
 def likely_windows(windows: DataFrame, likely: Column, id_col: str = "doc_id") -> DataFrame:
