@@ -217,8 +217,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     if more.count():
         labels = components(links.union(more))
 
-    joined = classes.join(labels, classes["id"] == labels["node"], "left").select("key", F.coalesce("component", "id").alias("component_id"))
-    out = signed.select("doc_id", F.col("n").alias("n_shingles"), "key").join(cut(joined), "key", "left")
+    joined = cut(classes.join(labels, classes["id"] == labels["node"], "left").select("key", F.coalesce("component", "id").alias("component_id")))
+    discard(chosen, members, best, links, placed, more)  # what follows reads `signed` and `joined` alone
+    out = signed.select("doc_id", F.col("n").alias("n_shingles"), "key").join(joined, "key", "left")
     own_id = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", own_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
