@@ -256,25 +256,82 @@ def decide_documents(windows: DataFrame, config: PolicyConfig, id_col: str = "do
     return g.select(id_col, "windows", proposed.alias("document_proposed_action"), effective.alias("document_effective_action"), "categories", "semantic_families", rules.alias("rule_ids"), "has_anchor", F.array_contains("categories", WRAPPER_CATEGORY).alias("has_security_wrapper"), F.col("p.category").alias("primary_category"), F.col("p.family").alias("primary_family"), F.col("p.language").alias("primary_language"), why.alias("primary_reason"))
 
 
-def certify(results: DataFrame, training: DataFrame, config: PolicyConfig, slice_: str, language: str, key: str = "text_hash", min_documents: int = 300, min_attacks: int = 100, max_attack_allow: float = 0.01, level: float = 0.95) -> dict[str, Any]:
-    """A verdict on automatic ALLOW for one slice, from evaluated documents (slice, language, label,
-    potential_allow, versions): blockers, counts, and the upper bound of the rate of attacks allowed."""
+#: Kinds of identity that a certified slice must not share with the reviewer's training rows, and the columns that tell them.
+LEAK_KEYS = {
+    "text_hash": ("text_hash",), "normalized_text_hash": ("normalized_text_hash",), "source_document_id": ("source_document_id", "original_document_id", "document_id"),
+    "template_family_id": ("template_family_id", "source_pattern_id", "attack_generation_recipe_id", "benign_generation_recipe_id"),
+}
+
+
+def shared_identities(rows: DataFrame, training: DataFrame) -> dict[str, int]:
+    """How many values of each kind of identity both sides have."""
+
+    def values(df: DataFrame) -> DataFrame:
+        there = [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, cs in LEAK_KEYS.items() for c in cs if c in df.columns]
+        found = F.explode(F.array(*there)) if there else F.explode(F.array().cast("array<struct<kind:string,value:string>>"))
+        return df.select(found.alias("k")).select("k.*").where("value <> ''").distinct()
+
+    counts = {r["kind"]: r["count"] for r in values(rows).join(values(training), ["kind", "value"], "left_semi").groupBy("kind").count().collect()}
+    return {k: counts.get(k, 0) for k in LEAK_KEYS}
+
+
+def certify(results: DataFrame, config: PolicyConfig, slice_: str, hypothesis: str, contrast: DataFrame | None = None, training: DataFrame | None = None, manual: Mapping[str, Any] | None = None, max_added: int = 0, min_contrast: int = 600, min_reviewed: tuple[int, int] = (50, 50), level: float = 0.95, production: bool = False) -> dict[str, Any]:
+    """A report on automatic ALLOW for one slice, from evaluated rows (category or certified_slice_id, label,
+    stage1_positive, proposed_action, potential_allow, versions, identities), attacks to contrast with, the reviewer's training rows
+    and a summary of the manual review (benign and attack samples reviewed; `min_reviewed` of each).
+
+    Counted in one pass: attacks that the policy allows though stage one saw them, those that stage one missed,
+    false alarms before and hard blocks after, and rows bound to other versions. The rate of the first has an upper bound
+    over the contrasts. Status: 'reject' with more of them than `max_added`; 'production_auto_allow_certified' with
+    nothing in the way; 'diagnostic_candidate' where only production is in the way and rows might be allowed;
+    'review_only' where the slice has rows; else 'reject'."""
     from .metrics import wilson_upper
 
-    rows = results.where((F.col("slice") == slice_) & (F.col("language") == language))
+    in_slice = [F.coalesce(F.col(c) == slice_, F.lit(False)) for c in ("category", "certified_slice_id") if c in results.columns]
+    rows = results.where(sum((c.cast("int") for c in in_slice), F.lit(0)) > 0)
     bound = {"router_version": config.router.router_version, "router_config_hash": config.router.hash, "policy_engine_version": config.engine_version, "policy_config_hash": config.hash, "reviewer_model_id": config.reviewer_model_id}
-    wrong = [F.count_if(~F.col(k).eqNullSafe(F.lit(v))).alias(f"wrong_{k}") for k, v in bound.items() if k in results.columns]
-    attack, allowed = F.col("label") == 1, F.col("potential_allow")
-    m = rows.agg(F.count("*").alias("documents"), F.count_if(attack).alias("attacks"), F.count_if(attack & allowed).alias("attacks_allowed"), F.count_if(~attack & allowed).alias("benign_allowed"), *wrong)
-    m = m.withColumn("attack_allow_upper", wilson_upper(F.col("attacks_allowed"), F.col("attacks"), level)).first().asDict()
-    leaks = rows.join(training.select(key).distinct(), key, "left_semi").count()
-    blockers = [f"{k[6:]}_mismatch" for k, v in m.items() if k.startswith("wrong_") and v]
-    blockers += ["missing_version_fields"] * any(k not in results.columns for k in bound)
-    blockers += ["training_leakage"] * bool(leaks) + ["too_few_documents"] * (m["documents"] < min_documents) + ["too_few_attacks"] * (m["attacks"] < min_attacks)
-    blockers += ["attack_allow_bound"] * (m["attack_allow_upper"] > max_attack_allow) + ["production_flag"] * (config.mode == DIAGNOSTIC) + ["no_calibration"] * (not config.reviewer_calibration_id)
-    blockers += ["evaluation_derived_reviewer"] * ("oracle" in config.reviewer_model_id.lower())
-    hard = set(blockers) - {"too_few_documents", "too_few_attacks", "production_flag"}
-    return {**m, "leaked_documents": leaks, "blockers": sorted(blockers), "status": "certified" if not blockers else "rejected" if hard else "needs_more_evidence"}
+    if config.reviewer_calibration_id:
+        bound["reviewer_calibration_id"] = config.reviewer_calibration_id
+    wrong = {k: F.count_if(~F.col(k).eqNullSafe(F.lit(v))) if k in results.columns else F.count("*") for k, v in bound.items()}
+    attack, seen, allowed = F.col("label") == 1, F.coalesce(F.col("stage1_positive"), F.lit(False)), F.coalesce(F.col("proposed_action") == ALLOW, F.lit(False))
+    might = F.coalesce(F.col("potential_allow"), F.lit(False))
+    cells = {
+        "rows": F.count("*"), "attack_rows": F.count_if(attack), "attack_allow_policy_added": F.count_if(attack & seen & allowed), "attack_allow_baseline_miss": F.count_if(attack & ~seen & allowed), "potential_allow_rows": F.count_if(might),
+        "potential_allow_attacks": F.count_if(might & attack), "false_alarms": F.count_if(~attack & seen), "hard_blocks": F.count_if(~attack & F.coalesce(F.col("proposed_action") == BLOCK, F.lit(False))),
+    }
+    m = rows.agg(*(c.alias(n) for n, c in cells.items()), *(c.alias(f"wrong_{k}") for k, c in wrong.items())).first().asDict()
+    contrasts = contrast.count() if contrast is not None else 0
+    contrasts = contrasts or m["attack_rows"]
+    of = max(contrasts, m["attack_rows"])
+    added = m["attack_allow_policy_added"]
+    spark = results.sparkSession
+    upper = spark.range(1).select(wilson_upper(F.lit(added), F.lit(of), level)).first()[0]
+    mismatches = {k: m.pop(f"wrong_{k}") for k in wrong}
+    keys = [c for cs in LEAK_KEYS.values() for c in cs]
+    held = rows.select(*(c for c in keys if c in rows.columns))
+    if contrast is not None:
+        held = held.unionByName(contrast.select(*(c for c in keys if c in contrast.columns)), allowMissingColumns=True)
+    leaks = shared_identities(held, training) if training is not None else None
+    blockers = ["predeclared_hypothesis_missing"] * (not hypothesis.strip()) + ["certification_input_version_mismatch"] * any(mismatches.values()) + ["slice_local_attack_contrast_underfilled"] * (contrasts < min_contrast)
+    blockers += ["attack_allow_policy_added_exceeds_budget"] * (added > max_added) + ["certification_holdout_leakage_check_missing"] * (leaks is None) + ["certification_holdout_leakage_detected"] * any((leaks or {}).values())
+    if manual is None:
+        blockers.append("manual_review_summary_missing")
+    else:
+        blockers += [f"manual_{k}_sample_underfilled" for k, least in zip(("benign", "attack"), min_reviewed, strict=True) if int(manual.get(f"{k}_samples_reviewed") or 0) < least]
+    stops = blockers + ["oracle_reviewer_is_diagnostic_only"] * ("oracle" in config.reviewer_model_id.lower()) + ["reviewer_calibration_id_missing"] * (not config.reviewer_calibration_id) + ["production_auto_allow_certification_flag_missing"] * (not production)
+    if added > max_added:
+        status = "reject"
+    elif not stops:
+        status = "production_auto_allow_certified"
+    elif m["potential_allow_rows"] and not blockers:
+        status = "diagnostic_candidate"
+    elif m["rows"]:
+        status = "review_only"
+    else:
+        status = "reject"
+        blockers.append("slice_not_found_in_results")
+    reduction = (m["false_alarms"] - m["hard_blocks"]) / m["false_alarms"] if m["false_alarms"] else 0.0
+    return {**m, "status": status, "failures": sorted(set(blockers)), "production_blockers": sorted(set(stops)), "contrast_count": of, "attack_allow_upper": upper, "hard_block_fp_reduction": reduction, "version_mismatches": mismatches, "leaks": leaks}
 
 
 def teacher_mask(teacher: Column, label: Column, confident: float = 0.9, mode: str = "agree") -> Column:

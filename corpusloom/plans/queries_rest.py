@@ -212,15 +212,17 @@ def reviewer_eligibility(spark, d):
     return policy_windows(spark, d).select("doc_id", "window_index", F.col("reviewer_eligible").alias("eligible"))
 
 
-@query(f"""WITH {DOC}, c AS (SELECT count(*) AS documents, count(*) FILTER (label = 1) AS attacks, count(*) FILTER (label = 1 AND score < 0.05) AS k FROM dl WHERE lang = 'en'), p AS (SELECT *, k / attacks AS p, 1.959963984540054 AS z FROM c),
-x AS (SELECT count(*) AS leaks FROM dl WHERE lang = 'en' AND sha256({hform()}) IN (SELECT sha256({hform()}) FROM benchmark))
-SELECT documents, attacks, k AS attacks_allowed, leaks AS leaked_documents, round(least(1, (p + z*z/(2*attacks) + z * sqrt((p*(1-p) + z*z/(4*attacks)) / attacks)) / (1 + z*z/attacks)), 10) AS upper FROM p, x""")
+@query(f"""WITH {DOC}, t AS (SELECT *, score >= 0.05 AS seen, score < 0.05 OR {unit("concat_ws(':', 'b', doc_id)")} < 0.3 AS allowed FROM dl WHERE lang = 'en'), c AS (SELECT count(*) AS rows, count(*) FILTER (label = 1) AS n, count(*) FILTER (label = 1 AND seen AND allowed) AS k, count(*) FILTER (label = 1 AND NOT seen AND allowed) AS missed, count(*) FILTER (label = 0 AND seen) AS alarms FROM t),
+p AS (SELECT *, k / n AS p, 1.959963984540054 AS z FROM c), x AS (SELECT count(DISTINCT sha256({hform()})) AS leaks FROM t WHERE sha256({hform()}) IN (SELECT sha256({hform()}) FROM benchmark))
+SELECT CASE WHEN k > 0 THEN 'reject' ELSE 'review_only' END AS status, rows, n AS attacks, k AS added, missed, alarms, leaks, round(least(1, (p + z*z/(2*n) + z * sqrt((p*(1-p) + z*z/(4*n)) / n)) / (1 + z*z/n)), 10) AS upper FROM p, x""")
 def slice_certification(spark, d):
     bound = {"router_version": ROUTER.router_version, "router_config_hash": ROUTER.hash, "policy_engine_version": POLICY.engine_version, "policy_config_hash": POLICY.hash, "reviewer_model_id": POLICY.reviewer_model_id}
-    t = labelled(spark, d).select(F.lit("s1").alias("slice"), F.col("lang").alias("language"), "label", (F.col("score") < 0.05).alias("potential_allow"), T.text_hash("text", 64).alias("text_hash"), *(F.lit(v).alias(k) for k, v in bound.items()))
+    action = F.when((F.col("score") < 0.05) | (T.unit(F.concat_ws(":", F.lit("b"), "doc_id")) < 0.3), "ALLOW").otherwise("REVIEW")
+    t = labelled(spark, d).select(F.when(F.col("lang") == "en", "s1").alias("category"), "label", (F.col("score") >= 0.05).alias("stage1_positive"), action.alias("proposed_action"), (action == "ALLOW").alias("potential_allow"), T.text_hash("text", 64).alias("text_hash"), *(F.lit(v).alias(k) for k, v in bound.items()))
     locked = read(spark, d, "benchmark").select(T.text_hash("text", 64).alias("text_hash"))
-    c = U.certify(t, locked, POLICY, "s1", "en")
-    return spark.createDataFrame([(c["documents"], c["attacks"], c["attacks_allowed"], c["leaked_documents"], round(c["attack_allow_upper"], 10))], "documents long, attacks long, attacks_allowed long, leaked_documents long, upper double")
+    c = U.certify(t, POLICY, "s1", "wrappers are benign", training=locked)
+    row = c["status"], c["rows"], c["attack_rows"], c["attack_allow_policy_added"], c["attack_allow_baseline_miss"], c["false_alarms"], c["leaks"]["text_hash"], round(c["attack_allow_upper"], 10)
+    return spark.createDataFrame([row], "status string, rows long, attacks long, added long, missed long, alarms long, leaks long, upper double")
 
 
 # --- builds: rows are checked by tests of purity and counts

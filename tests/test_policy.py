@@ -147,25 +147,38 @@ def test_cascade(spark):
     assert got == [(0, "stage1_negative"), (1, "reviewer_missing"), (1, "reviewer_positive"), (0, "reviewer_negative"), (1, "hard_anchor_veto")]
 
 
-def results(spark, cfg, n=400, attacks=200, allowed=0, **change):
-    v = {"router_version": cfg.router.router_version, "router_config_hash": cfg.router.hash, "policy_engine_version": cfg.engine_version, "policy_config_hash": cfg.hash, "reviewer_model_id": cfg.reviewer_model_id} | change
-    rows = [("s", "en", int(i < attacks), i < allowed or i >= attacks, f"h{i}", *v.values()) for i in range(n)]
-    return spark.createDataFrame(rows, ["slice", "language", "label", "potential_allow", "text_hash", *v])
+def results(spark, cfg, n=400, attacks=200, added=0, missed=0, **change):
+    """`n` rows of the slice, `attacks` of them attacks, of which the policy allows `added` and stage one missed `missed`."""
+    v = {"router_version": cfg.router.router_version, "router_config_hash": cfg.router.hash, "policy_engine_version": cfg.engine_version, "policy_config_hash": cfg.hash, "reviewer_model_id": cfg.reviewer_model_id, "reviewer_calibration_id": cfg.reviewer_calibration_id} | change
+    rows = [("s", int(i < attacks), not added <= i < added + missed, "ALLOW" if i < added + missed or i >= attacks + 50 else "BLOCK" if i < attacks else "REVIEW", i >= attacks + 50, f"h{i}", f"d{i}", *v.values()) for i in range(n)]
+    rows.append(("other", 1, True, "ALLOW", True, "hx", "dx", *v.values()))
+    return spark.createDataFrame(rows, ", ".join(["category string", "label int", "stage1_positive boolean", "proposed_action string", "potential_allow boolean", "text_hash string", "document_id string", *(f"{k} string" for k in v)]))
 
 
 def test_certification(spark):
     cfg = config(mode=U.ENFORCED, reviewer_calibration_id="cal")
-    train = spark.createDataFrame([("x",)], "text_hash string")
-    ok = U.certify(results(spark, cfg, 700, 400), train, cfg, "s", "en", max_attack_allow=0.02)
-    assert ok["status"] == "certified" and ok["attacks_allowed"] == 0 and 0 < ok["attack_allow_upper"] < 0.02
-    assert "attack_allow_bound" in U.certify(results(spark, cfg, allowed=20), train, cfg, "s", "en")["blockers"]
-    assert "router_version_mismatch" in U.certify(results(spark, cfg, router_version="0"), train, cfg, "s", "en")["blockers"]
-    leak = U.certify(results(spark, cfg), spark.createDataFrame([("h3",)], "text_hash string"), cfg, "s", "en")
-    assert leak["status"] == "rejected" and "training_leakage" in leak["blockers"] and leak["leaked_documents"] == 1
-    few = U.certify(results(spark, cfg, 50, 20), train, cfg, "s", "en", max_attack_allow=1.0)
-    assert few["status"] == "needs_more_evidence" and few["blockers"] == ["too_few_attacks", "too_few_documents"]
-    assert "missing_version_fields" in U.certify(results(spark, cfg).drop("reviewer_model_id"), train, cfg, "s", "en")["blockers"]
-    assert "production_flag" in U.certify(results(spark, config(reviewer_calibration_id="c")), train, config(reviewer_calibration_id="c"), "s", "en")["blockers"]
+    train = spark.createDataFrame([("x", "y")], "text_hash string, source_document_id string")
+    full = {"contrast": results(spark, cfg, 700, 700).where("category = 's'").select("document_id"), "training": train, "manual": {"benign_samples_reviewed": 50, "attack_samples_reviewed": 60}}
+    run = lambda rows, c=cfg, hypothesis="wrappers are benign", **more: U.certify(rows, c, "s", hypothesis, **{**full, **more})
+    ok = run(results(spark, cfg), production=True)
+    assert ok["status"] == "production_auto_allow_certified" and ok["rows"] == 400 and ok["attack_rows"] == 200 and ok["contrast_count"] == 700 and ok["failures"] == []
+    assert ok["false_alarms"] == 200 and ok["hard_block_fp_reduction"] == 1.0 and 0.005 < ok["attack_allow_upper"] < 0.006
+    assert (c := run(results(spark, cfg)))["status"] == "diagnostic_candidate" and c["production_blockers"] == ["production_auto_allow_certification_flag_missing"]
+    bad = run(results(spark, cfg, added=2, missed=3), production=True)
+    assert bad["status"] == "reject" and bad["failures"] == ["attack_allow_policy_added_exceeds_budget"] and (bad["attack_allow_policy_added"], bad["attack_allow_baseline_miss"]) == (2, 3)
+    assert run(results(spark, cfg, added=2), max_added=2, production=True)["status"] == "production_auto_allow_certified"
+    old = run(results(spark, cfg, router_version="0"), production=True)
+    assert old["status"] == "review_only" and old["version_mismatches"]["router_version"] == 400 and old["failures"] == ["certification_input_version_mismatch"]
+    assert run(results(spark, cfg).drop("reviewer_model_id"))["version_mismatches"]["reviewer_model_id"] == 400
+    leak = run(results(spark, cfg), training=spark.createDataFrame([("h3", "d4"), ("h5", "d4")], "text_hash string, original_document_id string"))
+    assert leak["leaks"] == {"text_hash": 2, "normalized_text_hash": 0, "source_document_id": 1, "template_family_id": 0} and "certification_holdout_leakage_detected" in leak["failures"]
+    thin = run(results(spark, cfg, 50, 20), contrast=None, training=None, manual={"benign_samples_reviewed": 50}, hypothesis=" ")
+    assert thin["failures"] == sorted(["slice_local_attack_contrast_underfilled", "certification_holdout_leakage_check_missing", "manual_attack_sample_underfilled", "predeclared_hypothesis_missing"]) and thin["contrast_count"] == 20
+    assert "manual_review_summary_missing" in run(results(spark, cfg), manual=None)["failures"]
+    none = U.certify(results(spark, cfg).where("category = 'other'"), cfg, "s", "h", **full)
+    assert none["status"] == "reject" and "slice_not_found_in_results" in none["failures"] and none["attack_allow_upper"] < 0.006
+    plain = config(mode=U.ENFORCED)
+    assert "reviewer_calibration_id_missing" in run(results(spark, plain), plain, production=True)["production_blockers"]
 
 
 def test_teacher_mask(spark):
