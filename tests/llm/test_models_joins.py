@@ -1,6 +1,6 @@
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -138,6 +138,44 @@ def test_kneser_ney_sums_to_one():
         assert math.isclose(sum(prob(models, prefix + c, len(prefix)) for c in [*alphabet, "", "ß"]), 1.0, abs_tol=1e-9)
 
 
+def plain_kneser_ney(words, order, letters, word):
+    """Nats of a word, from dictionaries of strings alone."""
+    edge = language_id._EDGE
+    padded = {edge * (order - 1) + w + edge: n for w, n in words.items()}
+    levels = [None] * order
+    levels[-1] = Counter()
+    for p, times in padded.items():
+        for e in range(order - 1, len(p)):
+            levels[-1][p[e - order + 1 : e + 1]] += times
+    for n in range(order - 1):  # n-grams of n + 1 characters: by how many characters they are preceded
+        levels[n] = Counter(g[1:] for g in {p[e - n - 1 : e + 1] for p in padded for e in range(order - 1, len(p))})
+    tested, cost = edge * (order - 1) + word + edge, 0.0
+    for e in range(order - 1, len(tested)):
+        p = 1.0 / letters
+        for n, level in enumerate(levels):
+            once, twice = sum(c == 1 for c in level.values()), sum(c == 2 for c in level.values())
+            discount = once / (once + 2 * twice) if once and twice else 0.5
+            gram = tested[e - n : e + 1]
+            inside = {g: c for g, c in level.items() if g[:-1] == gram[:-1]}
+            if inside:
+                total = sum(inside.values())
+                p = (inside.get(gram, discount) - discount) / total + discount * len(inside) / total * p
+        cost -= math.log(p)
+    return cost
+
+
+def test_kneser_ney_against_plain_counts():
+    rng = random.Random(4)
+    words = {lang: Counter("".join(rng.choice(a) for _ in range(rng.randrange(1, 7))) for _ in range(150)) for lang, a in (("a", "abcde"), ("b", "cdefgé"))}
+    models = language_id.Models(words, 3)
+    tested = ["abc", "cdé", "zz", "eeeee", *list(words["a"])[:10]]
+    cost, n = models.costs(tested)
+    for i, w in enumerate(tested):
+        assert n[i] == len(w) + 1
+        for c, lang in enumerate(models.langs):
+            assert math.isclose(cost[i, c], plain_kneser_ney(words[lang], 3, models.letters, w), rel_tol=1e-9)
+
+
 def prob(models, word, at):
     """P of the character (or closing edge) at place `at` in language a."""
     grams, _ = language_id.gram_hashes([word], models.order)

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -99,6 +100,24 @@ def test_differencing_example():
     assert sorted(sums) == [14, 16] and sorted(sum(x for x, p in zip((8, 7, 6, 5, 4), parts) if p[0] == s) for s in (0, 1)) == [14, 16]
 
 
+@pytest.mark.parametrize("shards", [2, 5, 16])
+def test_differencing_against_lists(shards):
+    """The same rule on plain lists: the two partial partitions of largest spread, largest part with smallest."""
+    rng = random.Random(shards)
+    sizes = [rng.randrange(1, 10**9) for _ in range(200)]
+    left = [[x, *[0] * (shards - 1)] for x in sizes]
+    while len(left) > 1:
+        left.sort(key=lambda p: p[-1] - p[0])
+        a, b, *left = left
+        left.append(sorted((x + y for x, y in zip(a, b[::-1])), reverse=True))
+    parts, sums = sharding.difference([[x, *[0] * (shards - 1)] for x in sizes], shards)
+    assert sorted(sums, reverse=True) == left[0]
+    got = [0] * shards
+    for x, part in zip(sizes, parts):
+        got[part[0]] += x
+    assert got == sums and max(sums) - min(sums) < max(sizes) / 100
+
+
 def quotas(spark, sizes, block):
     totals = spark.createDataFrame([(f"s{i:02}", n) for i, n in enumerate(sizes)], "source string, source_size long")
     return mixing.apportion(mixing.source_targets(totals), block).collect()
