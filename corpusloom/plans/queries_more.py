@@ -475,6 +475,14 @@ def payload_bank_audit(spark, d):
 
 
 # --- sources and sinks: what is written is read back
+def few(df, column: str, most: int = 1000) -> list:
+    """Sorted values of a short list, which becomes configuration; a long one is an error."""
+    got = sorted(r[column] for r in df.limit(most + 1).collect())
+    if len(got) > most:
+        raise ValueError(f"more than {most} values of {column}")
+    return got
+
+
 def folder(spark) -> str:
     """A new name in the folder that driver and executors share."""
     return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
@@ -528,7 +536,7 @@ def component_samples(spark, d):
 def loaded_sources(spark, d):
     """One source a language, loaded by its spec from JSON lines."""
     t, root = read(spark, d, "documents").select("text", "lang"), folder(spark)
-    langs = sorted(r[0] for r in t.select("lang").distinct().limit(100).collect())
+    langs = few(t.select("lang").distinct(), "lang")
     t.write.partitionBy("lang").json(root)
     specs = [readers.SourceSpec(x, f"{root}/lang={x}", "text string") for x in langs]
     return readers.load_sources(spark, specs).groupBy(F.col("source_name").alias("lang")).agg(F.count("*").alias("rows"))

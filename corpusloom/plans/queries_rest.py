@@ -18,7 +18,7 @@ from ..sources import readers, sinks
 from ..streaming import streams
 from . import builders as D
 from .queries import DOC, POLICY, POLICY_SQL, ROUTER, SP, hform, labelled, lsig, norm, policy_windows, query, read, rkey, scored, unit
-from .queries_more import ALL_PHRASES, FAMILIES, contained, folder, joined
+from .queries_more import ALL_PHRASES, FAMILIES, contained, few, folder, joined
 
 
 # --- sources and sinks
@@ -180,7 +180,8 @@ def zipped_lists(spark, d):
 @query("""WITH c AS (SELECT lang AS key, count(*) AS n FROM documents GROUP BY lang), w AS (SELECT *, sum(n) OVER () AS whole FROM c), r AS (SELECT key, n, CAST(round_even(n * 101.0::DOUBLE / whole, 0) AS BIGINT) AS r, CAST(floor(n * 101 / whole) AS BIGINT) AS f FROM w)
 SELECT key, r + CASE WHEN key = 'en' THEN 101 - (SELECT CAST(sum(r) AS BIGINT) FROM r) ELSE 0 END AS drift, f + CASE WHEN row_number() OVER (ORDER BY key) <= 101 - (SELECT sum(f) FROM r) THEN 1 ELSE 0 END AS leading FROM r""")
 def rounded_quotas(spark, d):
-    w = {r["lang"]: r["rows"] for r in R.counts(read(spark, d, "documents"), "lang").orderBy("lang").limit(1000).collect()}
+    counts = R.counts(read(spark, d, "documents"), "lang").select(F.struct("lang", "rows").alias("c"))
+    w = {lang: rows for lang, rows in few(counts, "c")}
     drift, leading = Q.drift_quota(w, 101, "en"), Q.leading_quota(w, 101)
     return spark.createDataFrame([(k, drift[k], leading[k]) for k in w], "key string, drift long, leading long")
 
