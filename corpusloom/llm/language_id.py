@@ -16,8 +16,8 @@ from ._common import claim, clean_text, remembers
 
 #: Characters of the longest n-gram; about how many labelled documents of a language are learned from, and how many of its distinct words, the most frequent, at most.
 ORDER, TAUGHT, MOST_WORDS = 4, 800, 150_000
-#: Bytes of the models' tables, which are broadcast; more is an error that asks for a smaller sample.
-MOST_BYTES = 512 << 20
+#: Bytes of the models' tables, which are broadcast, and languages; more is an error.
+MOST_BYTES, MOST_LANGUAGES = 512 << 20, 2_000
 #: One in so many of those documents is held out to calibrate rejection: a document is rejected if its best cross-entropy lies so many spreads above the language's median. A spread is the distance from the median that 1 % of the held-out documents, of all languages, exceed.
 CALIBRATES, SPREADS, TAIL = 5, 5.0, 0.99
 #: Sharpness of the score over cross-entropies in nats a character.
@@ -210,8 +210,12 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def labelled_sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """About `per_language` documents of each language, by hash of the id; whole texts."""
-    share = labelled.groupBy(F.col("lang").alias("_lang")).agg((F.lit(float(per_language)) / F.count("*")).alias("_share"))
+    """About `per_language` documents of each language, by hash of the id; whole texts. Languages are few: a model is
+    learned of each, so more than `MOST_LANGUAGES` are an error."""
+    counts = labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: these are no language labels")
+    share = F.broadcast(labelled.sparkSession.createDataFrame([(r["lang"], per_language / r["count"]) for r in counts], "_lang string, _share double"))
     taken = labelled.join(share, F.col("lang") == F.col("_lang"))
     return taken.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)).drop("_lang", "_share")
 
