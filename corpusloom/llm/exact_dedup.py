@@ -33,20 +33,29 @@ def _sorted(rows: DataFrame, *ties: Column) -> DataFrame:
 
 
 class Runs:
-    """Full comparison of each text with the one before it in the partition. Different texts under one digest would
-    lie mixed, so they stop the job."""
+    """Full comparison of each text with the one before it in the partition, of which only the place is held: where the
+    digests differ, so do the texts. Different texts under one digest would lie mixed, so they stop the job."""
 
     def __init__(self) -> None:
         self.pid, self.seq, self.run = TaskContext.get().partitionId(), 0, 0
         self.sha: str | None = None
-        self.text: str | None = None
+        self.column: pa.Array | None = None
+        self.at, self.known = 0, None
 
-    def starts(self, sha: str, text: str) -> bool:
-        """Whether a run of equal texts starts here; `pos` and `run` are the numbers of the row and its run."""
+    @property
+    def text(self) -> str:
+        """The normalised text of the last row."""
+        return self.column[self.at].as_py().translate(_GONE)
+
+    def starts(self, sha: str, column: pa.Array, at: int) -> bool:
+        """Whether a run of equal texts starts with the row; `pos` and `run` are the numbers of the row and its run."""
         same = sha == self.sha
-        if same and text != self.text:
-            raise ValueError("two different texts share one SHA-256 digest")
-        self.sha, self.text = sha, text
+        before = (self.known or self.text) if same else None
+        self.sha, self.column, self.at, self.known = sha, column, at, None
+        if same:
+            self.known = self.text
+            if before != self.known:
+                raise ValueError("two different texts share one SHA-256 digest")
         self.pos = (self.pid << 40) + self.seq
         self.seq += 1
         if not same:
@@ -65,10 +74,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         out = held
-        for doc_id, sha, n, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "sha", "n", "norm")), strict=True):
+        for at, (doc_id, sha, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "sha", "n")), strict=True)):
             first = runs.seq == 0
-            runs.starts(sha, text)
-            out.append([doc_id, sha, n, runs.pos, runs.run, runs.pid, FIRST if first else 0, text if first else None])
+            runs.starts(sha, batch.column("norm"), at)
+            out.append([doc_id, sha, n, runs.pos, runs.run, runs.pid, FIRST if first else 0, runs.text if first else None])
         held = out[-1:]
         if len(out) > 1:
             yield send(out[:-1])
@@ -146,13 +155,13 @@ def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         kind, at_start = batch.column("row").type, runs.seq == 0
-        mask = [runs.starts(sha, text.translate(_GONE)) for sha, text in zip(batch.column("sha").to_pylist(), batch.column("body").to_pylist(), strict=True)]
+        mask = [runs.starts(sha, batch.column("body"), at) for at, sha in enumerate(batch.column("sha").to_pylist())]
         rows = batch.column("row").filter(pa.array(mask, pa.bool_()))
         place, edge = [0] * len(rows), [None] * len(rows)
         if at_start and len(rows):
             place[0], edge[0] = FIRST, (batch.column("body")[0].as_py()).translate(_GONE)
         yield send(rows, place, edge)
-    if runs.text is not None:
+    if runs.column is not None:
         yield send(pa.nulls(1, kind), [LAST], [runs.text])
 
 
