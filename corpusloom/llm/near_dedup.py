@@ -19,7 +19,7 @@ BANDS = HASHES // ROWS
 AGREE = 0.65
 SIGNS = tuple(f"s{i}" for i in range(HASHES // 8))
 #: Members of an open bucket that stand on either side of a block.
-BLOCK = 1024
+BLOCK = 512
 _WORDS = 150_000
 
 _rng = np.random.default_rng(20240229)
@@ -177,7 +177,7 @@ def alike(left: str, right: str, percent: int) -> Column:
     return sizes & (sum((differing(c) for c in SIGNS), F.lit(0)) <= int((1 - AGREE) * HASHES))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of `docs`.
 
     Documents whose sets of `k`-word shingles (of the lower-cased whole text) have `percent` % of their union in
@@ -213,7 +213,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     placed = cut(placed)
     per = placed.groupBy("h", "comp").agg(F.count("*").alias("c"))
     open_ = per.groupBy("h").agg(F.max_by("comp", "c").alias("main"), F.max("c").alias("most"), F.sum("c").alias("all"), F.count("*").alias("comps")).where("comps > 1")
-    more = cut(across_components(placed.join(cut(open_), "h"), rows, chosen, k, percent))
+    more = cut(across_components(placed.join(cut(open_), "h"), rows, chosen, k, percent, block))
     if more.count():
         labels = components(links.union(more))
 
@@ -296,13 +296,13 @@ def _block_links(percent: int):
     return run
 
 
-def across_components(inside: DataFrame, rows: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFrame:
+def across_components(inside: DataFrame, rows: DataFrame, chosen: DataFrame, k: int, percent: int, block: int = BLOCK) -> DataFrame:
     """All links between different components within open buckets. `inside` has h, id, comp and the bucket's main
     component, its size and that of the bucket. Large buckets are cut into blocks of minor members against blocks of
     all members. A block first gets its members' signatures alone; full sets go only to blocks, and there to members,
     where signatures leave a candidate, each once, and only links leave a block."""
-    few = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
-    many = F.ceil(F.col("all") / BLOCK).cast("int")
+    few = F.ceil((F.col("all") - F.col("most")) / block).cast("int")
+    many = F.ceil(F.col("all") / block).cast("int")
     keyed = inside.select("*", few.alias("few"), many.alias("many"), F.pmod(F.xxhash64("id"), few).cast("int").alias("mi"), F.pmod(F.xxhash64("id", "h"), many).cast("int").alias("mj"))
     other = keyed.select("h", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"), F.col("mj").alias("j"), F.lit(False).alias("asks"), "id", "comp", "main")
     minor = keyed.where("comp <> main and few * many > 1").select("h", F.col("mi").alias("i"), F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("j"), F.lit(True).alias("asks"), "id", "comp", "main")

@@ -63,8 +63,10 @@ def test_near_duplicates_against_all_pairs(docs, k):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (len(s), want[i], want[i] == i) for i, s in sets.items()}
 
 
-def test_near_duplicates_chains_and_bridges(spark):
-    """Families of gradual variants: links that only run through members, never through the smallest."""
+@pytest.mark.parametrize("block", [3, near_dedup.BLOCK])
+def test_near_duplicates_chains_and_bridges(spark, block):
+    """Families of gradual variants: links that only run through members, never through the smallest; buckets in one or
+    many blocks."""
     rng, rows = random.Random(3), []
     for family in range(12):
         words = [f"f{family}w{rng.randrange(10**6)}" for _ in range(120)]
@@ -75,7 +77,7 @@ def test_near_duplicates_chains_and_bridges(spark):
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_components(word_sets(rows, 2))
-    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df, 2).collect()} == want
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df, 2, block=block).collect()} == want
 
 
 def test_near_duplicates_odd_rows(odd, none):
