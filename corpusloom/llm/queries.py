@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, knn_join, language_id, line_dedup, mixing, near_dedup, packing, sharding, token_counts, url_filter
+from . import ann_search, exact_dedup, knn_join, language_id, line_dedup, mixing, near_dedup, packing, sharding, token_counts, url_filter, vector_codes, whitening
 from ._common import table
 
 
@@ -66,6 +66,39 @@ def op10(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11(spark, d):
+    return ann_search.nearest(table(spark, d, "embeddings"))
+
+
+def op12(spark, d):
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
+def op13(spark, d):
+    return vector_codes.compress(table(spark, d, "embeddings"))
+
+
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Lloyd rounds as a chain of common table expressions: b are codebooks, a assignments, by all distances."""
+    sql = [
+        """v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS q FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "p AS MATERIALIZED (SELECT vec_id, part, list_slice(q, part * len(q) // 4 + 1, (part + 1) * len(q) // 4) AS x FROM v, (SELECT unnest(range(4)) AS part))",
+        "b0 AS MATERIALIZED (SELECT part, entry, x FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM p) WHERE entry < 256)",
+    ]
+    for r in range(rounds + 1):
+        sql.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, p.part, any_value(p.x) AS x, min({{'d': list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, b.x) + list_inner_product(b.x, b.x), 'entry': entry}}) AS m
+      FROM p JOIN b{r} b ON p.part = b.part GROUP BY vec_id, p.part)""")
+        if r < rounds:
+            sql.append(f"u{r} AS (SELECT part, m.entry AS entry, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM a{r})")
+            sql.append(f"n{r} AS (SELECT part, entry, list(c ORDER BY i) AS x FROM (SELECT part, entry, i, CAST(floor(sum(c)::DOUBLE / count(*)) AS BIGINT) AS c FROM u{r} GROUP BY part, entry, i) GROUP BY part, entry)")
+            sql.append(f"b{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(n.x, b.x) AS x FROM b{r} b LEFT JOIN n{r} n USING (part, entry))")
+    sql.append(f"e AS (SELECT vec_id, string_agg(printf('%02x', m.entry), '' ORDER BY part) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)")
+    sql.append("l AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM e JOIN v USING (vec_id) GROUP BY label)")
+    sql.append(f"h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})")
+    return "WITH " + ",\n".join(sql) + "\nSELECT e.vec_id, code, error, label_error, codebooks_sha256 FROM e JOIN v USING (vec_id) JOIN l ON l.label IS NOT DISTINCT FROM v.label, h"
+
+
 QUERIES = {
     "op1_url_filter": op1,
     "op2_token_counts": op2,
@@ -77,9 +110,13 @@ QUERIES = {
     "op8_content_sort_dedup": op8,
     "op9_kneser_ney_langid": op9,
     "op10_ffd_packing": op10,
+    "op11_cross_polytope_ann": op11,
+    "op12_jacobi_whitening": op12,
+    "op13_exponion_codes": op13,
 }
 
 ORACLES = {
+    "op13_exponion_codes": _codes_sql(),
     "op6_sainte_lague_mix": r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, CAST('0x' || substr(sha256(concat_ws(':', 'mix', coalesce(CAST(doc_id AS VARCHAR), 'null'), coalesce(text, ''))), 1, 15) AS BIGINT) AS h FROM documents),
 t AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
