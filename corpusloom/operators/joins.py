@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import as_column, random_key
+from .ordering import numbered
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
@@ -141,9 +142,9 @@ def deal(left: DataFrame, right: DataFrame, seed: int, left_id: str, right_id: s
     if not many:
         return left.join(right.limit(0), F.lit(False), "inner")
     # the left number need only spread evenly, so it is a hash and nothing is ordered globally
-    numbered = right.withColumn("_n", F.row_number().over(W.orderBy(random_key(seed, right_id))) - 1)
+    places = numbered(right, "_n", random_key(seed, right_id), F.col(right_id)).withColumn("_n", F.col("_n") - 1)
     spread = F.pmod(F.conv(F.substring(random_key(seed, left_id), 1, 15), 16, 10).cast("long"), F.lit(many)).cast("int")
-    return left.withColumn("_n", spread).join(numbered, "_n").drop("_n")
+    return left.withColumn("_n", spread).join(places, "_n").drop("_n")
 
 
 def semi(left: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
@@ -157,6 +158,5 @@ def anti(left: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame
 
 
 def zip_rows(a: DataFrame, b: DataFrame, order_a: Column | str, order_b: Column | str) -> DataFrame:
-    """Rows of two short lists side by side."""
-    number = lambda o: F.row_number().over(W.orderBy(as_column(o)))
-    return a.withColumn("_n", number(order_a)).join(b.withColumn("_n", number(order_b)), "_n").drop("_n")
+    """Rows of two lists side by side, by their numbers in their orders."""
+    return numbered(a, "_n", as_column(order_a)).join(numbered(b, "_n", as_column(order_b)), "_n").drop("_n")

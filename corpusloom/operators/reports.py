@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.features import hits, length_bin
 from ..functions.text import as_column, safe_div, text_or_empty
+from .ordering import running
+from .storage import save_point
 
 
 def counts(df: DataFrame, *keys: str, order: bool = False) -> DataFrame:
@@ -27,10 +29,14 @@ def summarise(df: DataFrame, keys: Sequence[str], label: str | None = None) -> D
 
 def rank_percentile(df: DataFrame, value: str, shares: Sequence[float], rule: str = "round", by: Sequence[str] = ()) -> DataFrame:
     """A3: (share, value) by index into the sorted values: 'round' of (n-1)p (half to even), 'ceil' np - 1, or
-    'floor' of (n-1)p. Values are counted before they are ordered, so an order is over distinct values."""
+    'floor' of (n-1)p. Values are counted before they are ordered, and ordered in ranges, so that no task orders all of them."""
     per = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v")).agg(F.count("*").alias("c"))
-    up = W.partitionBy(*by).orderBy("v").rowsBetween(W.unboundedPreceding, 0) if by else W.orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    per = per.select("*", F.sum("c").over(up).alias("upto"), F.sum("c").over(W.partitionBy(*by)).alias("n"))
+    per = save_point(running(per, "_p", F.col("c"), *by, "v"))  # over all groups, one after another
+    whole = per.groupBy(*(F.col(b).alias(f"_g{i}") for i, b in enumerate(by))).agg(F.min("_p").alias("_first"), F.sum("c").alias("n"))
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"_g{i}"))
+    per = per.join(whole, same).withColumn("upto", F.col("_p") + F.col("c") - F.col("_first")) if by else per.crossJoin(whole).withColumn("upto", F.col("_p") + F.col("c"))
     index = {"round": lambda p: F.rint((F.col("n") - 1) * p), "ceil": lambda p: F.greatest(F.ceil(F.col("n") * p) - 1, F.lit(0)), "floor": lambda p: F.floor((F.col("n") - 1) * p)}[rule]
     cells = [F.min(F.when(F.col("upto") > index(F.lit(float(p))), F.col("v"))).alias(f"p{i}") for i, p in enumerate(shares)]
     g = per.groupBy(*by).agg(*cells)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,14 +11,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import random_key
+from .ordering import SMALL, Pass, first_rows, greedy, in_ranges, running, walked
 
 
 def seeded_sample(df: DataFrame, key: str, seed: int = 42, fraction: float | None = None, most: int | None = None) -> DataFrame:
-    """Rows in the order of a seeded hash: a share of them by its range, or the first `most`."""
+    """A share of the rows by the range of their seeded hash, or the first `most` in its order; either is a filter."""
     k = random_key(seed, key)
     if fraction is not None:
         df = df.where(F.conv(F.substring(k, 1, 13), 16, 10).cast("double") < F.lit(fraction * 16.0**13))
-    return df.orderBy(k).limit(most) if most is not None else df
+    return first_rows(df, k, most) if most is not None else df
 
 
 #: Ranges that an order is cut into, so that many tasks number the rows of one group.
@@ -124,8 +125,7 @@ def quota_with_refill(df: DataFrame, quotas: DataFrame, keys: Sequence[str], key
     q = seeded_rank(df, "_r", key, keys, seed).join(quotas.select(*keys, "quota"), list(keys), "left").withColumn("_k", random_key(seed, key))
     q = q.withColumn("phase", F.when(F.col("_r") <= F.coalesce("quota", F.lit(0)), 1).otherwise(2)).drop("_r")
     first = q.where("phase = 1")
-    missing = max(0, total - first.count())
-    rest = q.where("phase = 2").orderBy("_k").limit(missing)
+    rest = first_rows(q.where("phase = 2"), F.col("_k"), total - first.count())
     return first.unionByName(rest).drop("quota", "_k")
 
 
@@ -141,41 +141,35 @@ def capped(df: DataFrame, caps: Mapping[str, int], key: str, seed: int = 42) ->
     return out.where(ok).drop(*(f"_r{i}" for i in range(len(caps))))
 
 
-def ordered_fold(df: DataFrame, columns: Sequence[str], order: Sequence[Column], accept: Callable[[], Callable[..., bool]], id_col: str) -> DataFrame:
-    """Exact sequential selection. Only the id and the key columns are sorted into one task, which
-    keeps counters, not rows, and streams; the chosen ids are joined back. `accept()` makes the decider."""
-    narrow = df.select(id_col, *columns, F.row_number().over(W.orderBy(*order)).alias("_o"))
+def cap_fold(df: DataFrame, caps: Mapping[str, int | Mapping[object, int]], total: int | None, key: str, seed: int = 42, priority: Sequence[str] = (), small: int = SMALL) -> DataFrame:
+    """Q11, Q12, exact: rows in order of priority, then seeded hash; each is taken if no cap of its keys is reached, and
+    `total` in all. `key` must be unique."""
+    chosen = greedy(df, key, [Pass(caps, total)], [*map(F.col, priority), random_key(seed, key)], small=small)
+    return df.join(chosen, key, "left_semi")
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decide = accept()
-        for pdf in parts:
-            keep = [decide(*row) for row in pdf[list(columns)].itertuples(index=False, name=None)]
-            yield pdf.loc[keep, [id_col]]
 
-    kind = df.schema[id_col].dataType.simpleString()
-    chosen = narrow.orderBy("_o").coalesce(1).mapInPandas(run, f"{id_col} {kind}")
-    return df.join(chosen, id_col, "left_semi")
+def targeted_sample(df: DataFrame, group: str, targets: Mapping[object, int], source: str, source_cap: int, total: int, key: str, seed: int = 42, small: int = SMALL) -> DataFrame:
+    """Q11 whole: first by the groups' targets under the cap of a source; then, while rows are lacking, by the source's
+    cap alone. `pass` is 1 or 2."""
+    passes = [Pass({group: targets, source: source_cap}, total), Pass({source: source_cap}, total)]
+    return df.join(greedy(df, key, passes, [random_key(seed, key)], small=small), key)
 
 
-def cap_fold(df: DataFrame, caps: Mapping[str, int], total: int, key: str, seed: int = 42, priority: Sequence[str] = ()) -> DataFrame:
-    """Q11, Q12, exact: rows in order of priority, then seeded hash; each is taken if no cap of its keys is reached."""
-    limits = list(caps.values())
-
-    def accept() -> Callable[..., bool]:
-        seen: list[dict] = [{} for _ in limits]
-        taken = [0]
-
-        def decide(*values: object) -> bool:
-            if taken[0] >= total or any(s.get(v, 0) >= m for s, v, m in zip(seen, values, limits, strict=True)):
-                return False
-            for s, v in zip(seen, values, strict=True):
-                s[v] = s.get(v, 0) + 1
-            taken[0] += 1
-            return True
-
-        return decide
-
-    return ordered_fold(df, list(caps), [*map(F.col, priority), random_key(seed, key)], accept, key)
+def capped_build(df: DataFrame, component: str, targets: Mapping[str, int], caps: Mapping[str, int | Mapping[object, int]], total: int, key: str, language: str | None = None, least: Mapping[object, int] | None = None, exempt: Sequence[str] = (), seed: int = 42, small: int = SMALL) -> DataFrame:
+    """Q12 whole: components in the order of `targets`, each up to its target (others last and whole), under all `caps`; then what is left, in a
+    new seeded order, first of languages below their `least` rows, then of any, up to `total`. Rows with a null or
+    empty value of an `exempt` key are not capped by it. `pass` is 1 to 3."""
+    place = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for pair in zip(targets, range(len(targets)), strict=True) for x in pair)), F.col(component)), F.lit(len(targets)))
+    df = df.withColumn("_component", F.when(F.col(component).isin(list(targets)), F.col(component)))
+    first = Pass({"_component": targets, **caps}, None, [place, random_key(seed, key)])
+    again = [random_key(seed + 1, key)]
+    low = []
+    if language and least:
+        most = caps.get(language)
+        room = {k: n if most is None else min(n, most if isinstance(most, int) else most.get(k, 0)) for k, n in least.items()}
+        low = [Pass({**caps, language: room}, total, again)]
+    passes = [first, *low, Pass(caps, total, again)]
+    return df.join(greedy(df, key, passes, again, [*exempt, "_component"], small), key).drop("_component")
 
 
 def band_mix(df: DataFrame, band: str, shares: Mapping[str, float], total: int, caps: Mapping[str, int], key: str, seed: int = 42) -> DataFrame:
@@ -202,22 +196,22 @@ def bundle_counts(a: int, b: int, got_a: int, got_b: int, want_a: int, want_b: i
 
 def carrier_bundles(df: DataFrame, carrier: str, label: str, targets: tuple[int, int], key: str, seed: int = 42, least_benign: int = 2) -> DataFrame:
     """Q14: whole bundles of a carrier, in seeded order, each cut to the counts (attack, benign) that bring the
-    running ratio nearest to the targets' ratio, with at least two benign rows where it has them."""
+    running ratio nearest to the targets' ratio, with at least two benign rows where it has them. Carriers are walked
+    block by block, until both targets are reached."""
     sizes = df.groupBy(carrier).agg(F.count_if(F.col(label) == 1).alias("a"), F.count_if(F.col(label) == 0).alias("b"))
     want_a, want_b = targets
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got_a = got_b = 0
-        for pdf in parts:
-            out = []
-            for c, a, b in pdf[[carrier, "a", "b"]].itertuples(index=False, name=None):
-                best = bundle_counts(a, b, got_a, got_b, want_a, want_b, least_benign)
-                got_a, got_b = got_a + best[0], got_b + best[1]
-                out.append((c, *best))
-            yield pd.DataFrame(out, columns=[carrier, "take_a", "take_b"])
+    def step(got: tuple[int, int], rows: pd.DataFrame) -> tuple[tuple[int, int], pd.DataFrame]:
+        out = []
+        for c, a, b in rows[[carrier, "a", "b"]].itertuples(index=False, name=None):
+            best = bundle_counts(a, b, *got, want_a, want_b, least_benign)
+            got = got[0] + best[0], got[1] + best[1]
+            out.append((c, *best))
+        return got, pd.DataFrame(out, columns=[carrier, "take_a", "take_b"])
 
+    order = [random_key(seed, carrier), F.col(carrier)]
     kind = df.schema[carrier].dataType.simpleString()
-    plan = sizes.orderBy(random_key(seed, carrier)).coalesce(1).mapInPandas(run, f"{carrier} {kind}, take_a long, take_b long")
+    plan, _ = walked(in_ranges(sizes, *order), order, step, (0, 0), f"{carrier} {kind}, take_a long, take_b long", over=lambda got: got == (want_a, want_b))
     t = df.join(plan, carrier).withColumn("_r", F.row_number().over(W.partitionBy(carrier, label).orderBy(random_key(seed, key))))
     return t.where(F.col("_r") <= F.when(F.col(label) == 1, F.col("take_a")).otherwise(F.col("take_b"))).drop("_r", "take_a", "take_b")
 
@@ -240,6 +234,8 @@ def half_and_half(df: DataFrame, label: str, total: int, key: str, seed: int = 4
 
 def take_until(df: DataFrame, units: str, target: int, by: Sequence[str], *order: Column | str) -> DataFrame:
     """Rows until their units reach the target; the row that passes it is still taken."""
+    if not by:
+        return running(df, "_u", F.col(units), *order).where(F.col("_u") < target).drop("_u")
     w = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     return df.withColumn("_u", F.coalesce(F.sum(units).over(w), F.lit(0))).where(F.col("_u") < target).drop("_u")
 
@@ -247,28 +243,29 @@ def take_until(df: DataFrame, units: str, target: int, by: Sequence[str], *order
 def hard_examples(windows: DataFrame, target: int, per_document: int = 2, per_source: int | None = None, unsafe: str | None = None, unsafe_cap: int = 0, gap: int = 128, id_col: str = "doc_id", source: str = "source_name", seed: int = 42) -> DataFrame:
     """T5, exact: windows (id, window_index, token_start, score, source), documents in seeded order, each one's by
     falling score: one is taken if its document, its source and, where the column `unsafe` is true, all unsafe
-    sources have room, and if it starts `gap` tokens or more from those taken of the document; `target` at most."""
+    sources have room, and if it starts `gap` tokens or more from those taken of the document; `target` at most. The
+    walk goes block by block and ends at the target; its state is a count for each source."""
     most = target if per_source is None else per_source
 
-    def accept() -> Callable[..., bool]:
-        sources: dict = {}
-        doc, starts, n, n_unsafe = None, [], 0, 0
-
-        def decide(d: object, s: object, start: int, risky: bool) -> bool:
-            nonlocal doc, starts, n, n_unsafe
+    def step(state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+        sources, doc, starts, n, n_unsafe = state
+        keep = []
+        for d, s, start, risky in rows[[id_col, source, "token_start", "_risky"]].itertuples(index=False, name=None):
             if d != doc:
                 doc, starts = d, []
-            if n >= target or len(starts) >= per_document or sources.get(s, 0) >= most or (risky and n_unsafe >= unsafe_cap) or any(abs(start - x) < gap for x in starts):
-                return False
-            starts.append(start)
-            sources[s], n, n_unsafe = sources.get(s, 0) + 1, n + 1, n_unsafe + bool(risky)
-            return True
-
-        return decide
+            ok = n < target and len(starts) < per_document and sources.get(s, 0) < most and not (risky and n_unsafe >= unsafe_cap) and all(abs(start - x) >= gap for x in starts)
+            if ok:
+                starts = [*starts, start]
+                sources[s], n, n_unsafe = sources.get(s, 0) + 1, n + 1, n_unsafe + bool(risky)
+            keep.append(ok)
+        return (sources, doc, starts, n, n_unsafe), rows.loc[keep, ["_id"]]
 
     risky = F.coalesce(F.col(unsafe).cast("boolean"), F.lit(False)) if unsafe else F.lit(False)
     t = windows.withColumn("_risky", risky).withColumn("_id", F.concat_ws(":", F.col(id_col).cast("string"), F.col("window_index").cast("string")))
-    return ordered_fold(t, [id_col, source, "token_start", "_risky"], [random_key(seed, id_col), F.col(id_col), F.desc("score"), F.col("window_index")], accept, "_id").drop("_id", "_risky")
+    order = [random_key(seed, id_col), F.col(id_col), F.desc("score"), F.col("window_index")]
+    narrow = in_ranges(t.select(id_col, source, "token_start", "_risky", "_id", "score", "window_index"), *order)
+    chosen, _ = walked(narrow, order, step, ({}, None, [], 0, 0), "_id string", over=lambda state: state[3] >= target)
+    return t.join(chosen, "_id", "left_semi").drop("_id", "_risky")
 
 
 def scan_until(df: DataFrame, accept: Column, most: int, scan: int, *order: Column | str, distinct: str | None = None) -> DataFrame:

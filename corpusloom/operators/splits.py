@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import random_key
 from .identity import connected_groups
+from .ordering import cut_value, in_ranges, numbered, running, walked
 from .sampling import RANGES, ranked, seeded_rank
 
 
@@ -24,8 +25,9 @@ def random_split(df: DataFrame, key: str, validation: float | int, seed: int = 4
     """A count takes the first rows of the seeded order; a share takes the hash's range, without any order."""
     if isinstance(validation, float):
         return df.withColumn("split", F.when(hash_share(seed, key) < validation, "validation").otherwise("train"))
-    chosen = df.select(key).orderBy(random_key(seed, key)).limit(validation).withColumn("_v", F.lit(True))
-    return df.join(chosen, key, "left").withColumn("split", F.when(F.col("_v"), "validation").otherwise("train")).drop("_v")
+    cut = cut_value(df.select(random_key(seed, key).alias("_k")), validation) if validation > 0 else ("", 0, 0)
+    last = F.lit(True) if cut is None else random_key(seed, key) <= cut[0]  # rows of one key stay together
+    return df.withColumn("split", F.when(last, "validation").otherwise("train"))
 
 
 def stratified_split(df: DataFrame, key: str, strata: Sequence[str], share: float, seed: int = 42) -> DataFrame:
@@ -107,29 +109,41 @@ def atomic_split(df: DataFrame, group: str, strata: Sequence[str], shares: Mappi
     return df.join(g.select(group, "pool"), group)
 
 
-def _fold_groups(sizes: DataFrame, group: str, order: Sequence[Column], target: int, slack: float) -> DataFrame:
-    """First fit: a group goes to validation while that stays within `slack` times the target. Groups' sizes, not
-    rows, stream through one task."""
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        have = 0
-        for pdf in parts:
-            out = []
-            for n in pdf["rows"]:
-                fits = have < target and have + n <= slack * target
-                have += n if fits else 0
-                out.append("validation" if fits else "train")
-            yield pd.DataFrame({group: pdf[group], "split": out})
-
+def _first_fit(sizes: DataFrame, group: str, order: Sequence[Column], target: int, slack: float) -> DataFrame:
+    """First fit: a group goes to validation while that stays within `slack` times the target. Sums of ranges of the
+    order decide whole ranges: one that fits below the target goes in whole, one whose smallest group is too large
+    stays out whole. Only those in between are walked, group by group."""
+    limit, have, whole = slack * target, 0, []
+    t = in_ranges(sizes.select(group, "rows"), *order)
     kind = sizes.schema[group].dataType.simpleString()
-    return sizes.orderBy(*order).coalesce(1).mapInPandas(run, f"{group} {kind}, split string")
+    taken = t.select(group).where(F.lit(False))
+
+    def step(have: int, rows: pd.DataFrame) -> tuple[int, pd.DataFrame]:
+        keep = []
+        for n in rows["rows"]:
+            fits = have < target and have + n <= limit
+            have += int(n) if fits else 0
+            keep.append(fits)
+        return have, rows.loc[keep, [group]]
+
+    for r in t.groupBy("_b").agg(F.sum("rows").alias("n"), F.min("rows").alias("least")).orderBy("_b").collect():
+        if have >= target:
+            break
+        if have + r["n"] < target:
+            whole.append(r["_b"])
+            have += r["n"]
+        elif have + r["least"] <= limit:
+            part, have = walked(t, order, step, have, f"{group} {kind}", blocks=[r["_b"]])
+            taken = taken.unionByName(part)
+    taken = taken.unionByName(t.where(F.col("_b").isin(whole)).select(group)).withColumn("_v", F.lit(True))
+    return sizes.join(taken, group, "left").select(group, F.when(F.col("_v"), "validation").otherwise("train").alias("split"))
 
 
 def grouped_split(df: DataFrame, id_col: str, keys: Sequence[str], validation: int, seed: int = 42, slack: float = 1.1) -> DataFrame:
     """Connected groups of rows never straddle; seeded first fit up to 110 % of the target."""
     g = df.join(connected_groups(df, id_col, keys), id_col)
     sizes = g.groupBy("group").agg(F.count("*").alias("rows"))
-    return g.join(_fold_groups(sizes, "group", [random_key(seed, "group")], validation, slack), "group")
+    return g.join(_first_fit(sizes, "group", [random_key(seed, "group"), F.col("group")], validation, slack), "group")
 
 
 def cover_split(df: DataFrame, group: str, component: str, validation: int, seed: int = 42) -> DataFrame:
@@ -139,18 +153,18 @@ def cover_split(df: DataFrame, group: str, component: str, validation: int, seed
     per = df.select(group, component).distinct().join(sizes, group)
     cover = per.withColumn("_r", F.row_number().over(W.partitionBy(component).orderBy("rows", random_key(seed, group)))).where("_r = 1").select(group).distinct().withColumn("_c", F.lit(0))
     ordered = sizes.join(cover, group, "left").withColumn("_c", F.coalesce("_c", F.lit(1)))
-    before = F.sum("rows").over(W.orderBy("_c", "rows", random_key(seed, group)).rowsBetween(W.unboundedPreceding, -1))
-    plan = ordered.select(group, F.when((F.col("_c") == 0) | (F.coalesce(before, F.lit(0)) < validation), "validation").otherwise("train").alias("split"))
+    ordered = running(ordered, "_before", F.col("rows"), "_c", "rows", random_key(seed, group), F.col(group))
+    plan = ordered.select(group, F.when((F.col("_c") == 0) | (F.col("_before") < validation), "validation").otherwise("train").alias("split"))
     return df.join(plan, group)
 
 
 def ordered_cut(df: DataFrame, key: str, share: float = 0.75, seed: int | None = None) -> DataFrame:
-    """The first share of the list (by key, for short lists; or by seeded hash, for any) to train, the rest to
-    validation; a list of under four is shared by both."""
+    """The first share of the list (by key, or by seeded hash) to train, the rest to validation; a list of under four
+    is shared by both."""
     n = df.count()
     if n < 4:
         return df.withColumn("split", F.lit("both"))
-    t = seeded_rank(df, "_r", key, (), seed) if seed is not None else df.withColumn("_r", F.row_number().over(W.orderBy(key)))
+    t = seeded_rank(df, "_r", key, (), seed) if seed is not None else numbered(df, "_r", key)
     return t.select(*df.columns, F.when(F.col("_r") <= round(n * share), "train").otherwise("validation").alias("split"))
 
 

@@ -15,6 +15,7 @@ from corpusloom.operators import gates as G
 from corpusloom.operators import identity as X
 from corpusloom.operators import joins as J
 from corpusloom.operators import metrics as A
+from corpusloom.operators import ordering as O
 from corpusloom.operators import reports as R
 from corpusloom.operators import sampling as Q
 from corpusloom.operators import splits as S
@@ -393,3 +394,112 @@ def test_repeat_counts_of_rows_with_one_id(spark):
 def test_divergence_of_nothing(spark):
     df = spark.createDataFrame([("a",), ("b",)], "k string")
     assert R.divergence(df, df.limit(0), "k").first().jsd == 0.0 and R.divergence(df.where("k = 'a'"), df.where("k = 'b'"), "k").first().jsd == 1.0
+
+
+def fold(rows, passes, exempt=()):
+    """A walk through (id, keys) for each of the passes (order, caps, total): {id: pass}."""
+    chosen, seen = {}, {}
+    for number, (order, caps, total) in enumerate(passes, 1):
+        for i in order:
+            if i in chosen or (total is not None and len(chosen) >= total):
+                continue
+            keys = [(c, rows[i][c]) for c in rows[i]]
+            limit = lambda c, v, caps=caps: caps[c] if isinstance(caps[c], int) else caps[c].get(v, 0)
+            if all(c not in caps or (c in exempt and v in (None, "")) or seen.get((c, v), 0) < limit(c, v) for c, v in keys):
+                chosen[i] = number
+                for k in keys:
+                    seen[k] = seen.get(k, 0) + 1
+    return chosen
+
+
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_greedy_choice_is_the_walk(spark, small):
+    """Passes, limits of single values, exempt and null keys, a hot value; in rounds and in one task."""
+    rng = random.Random(4)
+    rows = {i: {"a": rng.choice(["hot", "hot", "x", "y", None]), "b": rng.choice(["1", "2", "3", "4", "", None]), "c": f"c{rng.randrange(40)}"} for i in range(400)}
+    df = spark.createDataFrame([(i, r["a"], r["b"], r["c"]) for i, r in rows.items()], "id long, a string, b string, c string")
+    order = [r.id for r in df.orderBy(random_key(42, "id")).collect()]
+    again = [r.id for r in df.orderBy(random_key(43, "id")).collect()]
+    passes = [O.Pass({"a": {"hot": 30, "x": 25, None: 7}, "b": 20, "c": 3}), O.Pass({"b": 40, "c": 4}, 130, [random_key(43, "id")])]
+    got = {r.id: r["pass"] for r in O.greedy(df, "id", [O.Pass({"a": {"hot": 30, "x": 25}, "b": 20, "c": 3}), passes[1]], [random_key(42, "id")], ["b"], small).collect()}
+    assert got == fold(rows, [(order, {"a": {"hot": 30, "x": 25}, "b": 20, "c": 3}, None), (again, {"b": 40, "c": 4}, 130)], ["b"])
+    assert {2} < set(got.values()) == {1, 2} and len(got) == 130
+    if not small:  # rounds are slow on a small table; the other forms differ in their passes only
+        return
+    one = {r.id for r in Q.cap_fold(df, {"a": 50, "c": 2}, 60, "id", small=small).collect()}
+    assert one == set(fold(rows, [(order, {"a": 50, "c": 2}, 60)]))
+    q11 = {r.id: r["pass"] for r in Q.targeted_sample(df, "a", {"hot": 9, "y": 9}, "c", 2, 50, "id", small=small).collect()}
+    assert q11 == fold(rows, [(order, {"a": {"hot": 9, "y": 9}, "c": 2}, 50), (order, {"c": 2}, 50)]) and len(q11) == 50
+    targets, caps = {"y": 20, "hot": 30}, {"b": {"1": 20, "2": 30, "3": 9, "4": 9}, "c": 4}
+    first = sorted(rows, key=lambda i: ({"y": 0, "hot": 1}.get(rows[i]["a"], 2), order.index(i)))
+    part = {i: {**r, "a": r["a"] if r["a"] in targets else None} for i, r in rows.items()}
+    want = fold(part, [(first, {"a": targets, **caps}, None), (again, {**caps, "b": {"1": 15, "3": 9}}, 120), (again, caps, 120)], ["a"])
+    q12 = {r.id: r["pass"] for r in Q.capped_build(df, "a", targets, caps, 120, "id", "b", {"1": 15, "3": 30}, seed=42, small=small).collect()}
+    assert q12 == want
+
+
+def test_first_rows_of_any_order(spark, monkeypatch):
+    """Cells refined to the last digit, repeated keys, and no ordered limit in the plan."""
+    monkeypatch.setattr(O, "FEW_KEYS", 3)
+    df = spark.createDataFrame([(i % 500, i) for i in range(700)], "id long, i long")
+    keys = sorted(r.k for r in df.select(random_key(42, "id").alias("k")).collect())
+    for n in (0, 1, 7, 350, 699, 700, 900):
+        t = O.first_rows(df, random_key(42, "id"), n)
+        assert sorted(r.k for r in t.select(random_key(42, "id").alias("k")).collect()) == keys[:n]
+    plan = Q.seeded_sample(df.dropDuplicates(["id"]), "id", most=350)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "SinglePartition" not in plan
+    assert S.random_split(df, "i", 30).where("split = 'validation'").count() == 30
+
+
+def test_numbers_and_running_sums_over_ranges(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.randrange(9), rng.randrange(100)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, a int, n long")
+    by = sorted(rows, key=lambda r: (-r[1], r[0]))
+    got = {r.id: (r.k, r.s) for r in O.running(O.numbered(df, "k", F.desc("a"), "id"), "s", F.col("n"), F.desc("a"), "id").collect()}
+    total, want = 0, {}
+    for k, (i, _, n) in enumerate(by, 1):
+        want[i], total = (k, total), total + n
+    assert got == want
+    assert sorted(map(tuple, Q.take_until(df, "n", 4000, [], "id").select("id").collect())) == [(i,) for i, _, _ in rows if sum(r[2] for r in rows[:i]) < 4000]
+
+
+def test_first_fit_in_blocks_is_the_walk(spark):
+    rng = random.Random(9)
+    for target, sizes in ((100, (1, 30)), (400, (1, 200)), (37, (30, 60)), (5000, (1, 9))):
+        rows = {i: rng.randint(*sizes) for i in range(300)}
+        df = spark.createDataFrame(list(rows.items()), "g long, rows long")
+        have, want = 0, set()
+        for r in df.orderBy(random_key(42, "g")).collect():
+            if have < target and have + r.rows <= 1.1 * target:
+                have, want = have + r.rows, want | {r.g}
+        got = {r.g for r in S._first_fit(df, "g", [random_key(42, "g"), F.col("g")], target, 1.1).where("split = 'validation'").collect()}
+        assert got == want
+
+
+def test_bundles_are_the_walk(spark):
+    rng = random.Random(10)
+    rows = [(i, rng.randrange(25), rng.random() < 0.4) for i in range(300)]
+    df = spark.createDataFrame([(i, c, int(y)) for i, c, y in rows], "id long, c long, label int")
+    got_a = got_b = 0
+    want = {}
+    for r in df.select("c").distinct().orderBy(random_key(42, "c")).collect():
+        a, b = sum(y for _, c, y in rows if c == r.c), sum(not y for _, c, y in rows if c == r.c)
+        x, y = Q.bundle_counts(a, b, got_a, got_b, 60, 80)
+        got_a, got_b, want[r.c] = got_a + x, got_b + y, (x, y)
+    got = Q.carrier_bundles(df, "c", "label", (60, 80), "id").groupBy("c").agg(F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b")).collect()
+    assert {r.c: (r.a, r.b) for r in got} == {c: n for c, n in want.items() if n != (0, 0)} and (got_a, got_b) == (60, 80)
+
+
+def test_percentiles_over_ranges(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, rng.randrange(50)])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    for by in ([], ["g"]):
+        for rule, at in (("round", lambda n, p: round((n - 1) * p)), ("ceil", lambda n, p: max(math.ceil(n * p) - 1, 0)), ("floor", lambda n, p: math.floor((n - 1) * p))):
+            groups = {}
+            for g, v in rows:
+                if v is not None:
+                    groups.setdefault(g if by else 0, []).append(v)
+            got = {(r.g if by else 0, r.share): r.value for r in R.rank_percentile(df, "v", (0.5, 0.9), rule, by).collect()}
+            assert got == {(g, p): sorted(v)[at(len(v), p)] for g, v in groups.items() for p in (0.5, 0.9)}
