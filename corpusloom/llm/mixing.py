@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ._common import WORD, bucket_of, cut
 
-#: Tokens of a block; a source's words miss its target by about one block.
+#: Tokens of a block.
 BLOCK = 16
 #: A document is taken at most so many times.
 REPEATS = 3
@@ -101,7 +101,7 @@ def mix_places(docs: DataFrame, seed: str = "mix", block: int = BLOCK, repeats:
     ring = F.col("source_size")
     blocks = F.greatest(F.floor(ring / F.lit(block)), F.lit(1)).cast("long")
     lo = F.pmod(seeded(seed, "/", F.col("source")), blocks) * block
-    q = quotas.select(F.struct("source").alias("source"), "source_size", "target", "upto", lo.alias("lo"), F.least(F.col("quota") * block, F.lit(repeats) * ring).alias("words"))
+    q = quotas.select(F.struct("source").alias("source"), "source_size", "target", "upto", lo.alias("lo"), words_of("quota", "target", "source_size", block, repeats).alias("words"))
     return placed.join(q, "source").select("doc_id", "size", F.col("source.source").alias("source"), "source_size", "target", "h", "at", "lo", "words", "upto")
 
 
@@ -115,9 +115,17 @@ def parts_taken(repeats: int = REPEATS) -> Column:
     return F.filter(met, lambda x: x["b"] > x["a"])
 
 
+def words_of(quota: str, target: str, source_size: str, block: int, repeats: int) -> Column:
+    """Words of a source's quota: its last block is cut or stretched, by less than a block, to what the target leaves, so
+    that a source smaller than a block comes near its target too."""
+    q, near = F.col(quota), F.floor(F.col(target) + 0.5).cast("long")
+    return F.least(F.greatest(F.least(near, (q + 1) * block - 1), (q - 1) * block + 1, F.lit(0)), F.lit(repeats) * F.col(source_size))
+
+
 def shard_of(place: Column, block: int) -> Column:
-    """The shard, from 0, that takes the word at a place of the repeated ring."""
-    return F.size(F.filter("upto", lambda blocks: blocks * block <= place - F.col("lo")))
+    """The shard, from 0, that takes the word at a place of the repeated ring; the last one has what its last block is
+    stretched by."""
+    return F.least(F.size(F.filter("upto", lambda blocks: blocks * block <= place - F.col("lo"))), F.size("upto") - 1)
 
 
 def mix_sources(docs: DataFrame, block: int = BLOCK, repeats: int = REPEATS, **options) -> DataFrame:

@@ -132,10 +132,10 @@ s0 AS (SELECT shard, source, target, miss, first, most, unnest(CASE WHEN miss >
 s1 AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY CASE WHEN miss > 0 THEN -(target / (2 * seat + 1)) ELSE target / (2 * seat + 1) END, source NULLS LAST, seat) AS place FROM s0 WHERE (miss > 0 AND seat < most) OR (miss < 0 AND seat < first)),
 m AS (SELECT shard, source, CAST(sum(sign(miss)) AS BIGINT) AS extra FROM s1 WHERE place <= abs(miss) GROUP BY shard, source),
 q0 AS (SELECT a3.source, source_size, target, greatest(source_size // 16, 1) AS blocks, list(least(first + coalesce(extra, 0), most) ORDER BY a3.shard) AS upto FROM a3 LEFT JOIN m ON a3.source IS NOT DISTINCT FROM m.source AND a3.shard = m.shard GROUP BY ALL),
-q AS (SELECT *, least(upto[16] * 16, 3 * source_size) AS words, CAST('0x' || substr(sha256(concat_ws('/', 'mix', coalesce(source, 'null'))), 1, 15) AS BIGINT) % blocks * 16 AS lo FROM q0),
+q AS (SELECT *, least(greatest(least(CAST(floor(target + 0.5) AS BIGINT), (upto[16] + 1) * 16 - 1), (upto[16] - 1) * 16 + 1, 0), 3 * source_size) AS words, CAST('0x' || substr(sha256(concat_ws('/', 'mix', coalesce(source, 'null'))), 1, 15) AS BIGINT) % blocks * 16 AS lo FROM q0),
 p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM d),
 j AS (SELECT p.doc_id, p.size, q.source_size, q.target, pos, lo, words, upto, list_sum([greatest(0, least(lo + words, pos + k * source_size + size) - greatest(lo, pos + k * source_size)) for k in range(0, 4)]) AS taken FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source)
-SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken, CASE WHEN taken > 0 THEN CAST(len([x for x in upto if x * 16 <= CASE WHEN pos + size > lo THEN greatest(pos, lo) ELSE pos + source_size END - lo]) AS INT) END AS first_shard FROM j""",
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken, CASE WHEN taken > 0 THEN CAST(least(len([x for x in upto if x * 16 <= CASE WHEN pos + size > lo THEN greatest(pos, lo) ELSE pos + source_size END - lo]), 15) AS INT) END AS first_shard FROM j""",
     "op7_minhash": r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] END) AS g FROM w),

@@ -161,6 +161,16 @@ def test_targets_reshare_what_small_sources_cannot_give(spark):
     assert got == {"a": 700.0, "b": 270.0, "c": 30.0, None: 0.0}
 
 
+def test_mix_of_sources_smaller_than_a_block(spark):
+    """Each source comes within a word of its target: a table of three words is taken whole, seven words thrice."""
+    for sizes in ({"a": [3]}, {"a": [7], "b": [400, 90]}, {"a": [1], "b": [2], "c": [5, 4], "d": [60]}):
+        docs = spark.createDataFrame([(i, " ".join(["w"] * n), s) for s, all_ in sizes.items() for i, n in enumerate(all_, ord(s) * 10)], "doc_id long, text string, source string")
+        rows = mixing.mix_sources(docs).join(docs.select("doc_id", "source"), "doc_id").collect()
+        for s in sizes:
+            assert abs(sum(r.taken for r in rows if r.source == s) - next(r.target for r in rows if r.source == s)) <= 0.5
+        assert all(r.taken <= 3 * r.size and r.first_shard in (None, *range(16)) for r in rows)
+
+
 def test_mix_takes_near_targets(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = mixing.mix_sources(docs).collect()
