@@ -72,8 +72,8 @@ def run_keys(places: list[int], counts: list[int], digests: list[bytes], min_wor
 
 
 def segments(doc: bytes, text: str, min_words: int, size: int = SEGMENT) -> Iterator[tuple]:
-    """(key, places, counts, digests, hashes of lines, digests of runs) of each segment. Segments overlap by what a shortest run can
-    need, so that each run lies whole in the segment where it starts."""
+    """(key, places, counts, digests, hashes of lines) of each segment. Segments overlap by what a shortest run can need,
+    so that each run lies whole in the segment where it starts."""
     places, counts, digests = [], [], []
     for place, line in enumerate(split_lines(text)):
         words = line.split()
@@ -84,15 +84,16 @@ def segments(doc: bytes, text: str, min_words: int, size: int = SEGMENT) -> Iter
     for number, at in enumerate(range(0, len(places), size)):
         part = slice(at, at + size + min_words + 1)
         p, c, d = places[part], counts[part], digests[part]
-        runs = run_keys(p, c, d, min_words)
-        if runs:
-            own = {xxhash.xxh3_128_digest(key) for (i, _), key in runs.items() if i < size}
-            lines = {int.from_bytes(x[:8], "little", signed=True) for x in d[:size]}
-            yield doc + number.to_bytes(4, "big"), np.array(p, "<i4").tobytes(), np.array(c, "<i4").tobytes(), b"".join(d), sorted(lines), sorted(own)
+        if sum(c) >= min_words:
+            yield doc + number.to_bytes(4, "big"), np.array(p, "<i4").tobytes(), np.array(c, "<i4").tobytes(), b"".join(d), sorted(map(line_hash, set(d)))
+
+
+def line_hash(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
 
 
 def _segmented(min_words: int, size: int):
-    schema = pa.schema([("key", pa.binary()), ("places", pa.binary()), ("counts", pa.binary()), ("digests", pa.binary()), ("lines", pa.list_(pa.int64())), ("runs", pa.list_(pa.binary()))])
+    schema = pa.schema([("key", pa.binary()), ("places", pa.binary()), ("counts", pa.binary()), ("digests", pa.binary()), ("lines", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -105,6 +106,30 @@ def _segmented(min_words: int, size: int):
     return run
 
 
+def unpacked(places: bytes, counts: bytes, digests: bytes) -> tuple:
+    return np.frombuffer(places, "<i4").tolist(), np.frombuffer(counts, "<i4").tolist(), [digests[i : i + 16] for i in range(0, len(digests), 16)]
+
+
+def frequent_runs(places: list[int], counts: list[int], digests: list[bytes], often: set[int], min_words: int, size: int) -> set[bytes]:
+    """Digests of the shortest runs that start among the first `size` lines and have frequent lines only."""
+    rare = np.cumsum([0, *(line_hash(d) not in often for d in digests)])
+    return {xxhash.xxh3_128_digest(key) for (i, j), key in run_keys(places, counts, digests, min_words).items() if i < size and rare[i] == rare[j + 1]}
+
+
+def _frequent(min_words: int, size: int):
+    schema = pa.schema([("h", pa.binary()), ("key", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch, out = whole.slice(at, 500), []
+                for key, often, *side in zip(*(batch.column(c).to_pylist() for c in ("key", "often", "places", "counts", "digests")), strict=True):
+                    out += [(h, key) for h in frequent_runs(*unpacked(*side), set(often), min_words, size)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    return run
+
+
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (h, key) come sorted. Each segment is paired with the nearest earlier document's segment that holds the
     same run. Where that may lie in the partition before, `b` is null; the last row tells what the partition ends with."""
@@ -145,49 +170,74 @@ def patience(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _anchors(a: list[bytes], b: list[bytes], a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
+    """(place in a, place in b) of the lines that stand once in a[a0:a1] and once in b[b0:b1]."""
+    once_a: dict[bytes, int] = {}
+    once_b: dict[bytes, int] = {}
+    for once, side, lo, hi in ((once_a, a, a0, a1), (once_b, b, b0, b1)):
+        for i in range(lo, hi):
+            once[side[i]] = -1 if side[i] in once else i
+    return [(i, once_b[x]) for x, i in once_a.items() if i >= 0 and once_b.get(x, -1) >= 0]
+
+
 def patience_diff(a: list[bytes], b: list[bytes], far_a: list[int], far_b: list[int]) -> list[tuple[int, int, int]]:
-    """Blocks (place in a, place in b, lines) of an alignment: lines that stand once on either side are its anchors,
-    blocks grow from them over equal lines at equal distances, and what lies between blocks is aligned again."""
-    out, work = [], [(0, len(a), 0, len(b))]
+    """Blocks (place in a, place in b, lines) that alignments of a and b find.
+
+    Lines that stand once on either side are the anchors; the longest chain of them that rises on both sides is
+    aligned. A block is what grows from an anchor up and down over equal lines at equal distances. Between blocks of
+    the chain lines that stand once there are anchors in turn. Anchors off the chain, of blocks in another order, are
+    aligned by themselves afterwards, until none is left."""
+    out: list[tuple[int, int, int]] = []
+    done: dict[int, list[tuple[int, int]]] = {}  # by diagonal: the blocks on it, as spans of a
+
+    def grown(i: int, j: int) -> tuple[int, int, int]:
+        up, down = 0, 1
+        while i - up > 0 and j - up > 0 and a[i - up - 1] == b[j - up - 1] and far_a[i - up] == far_b[j - up]:
+            up += 1
+        while i + down < len(a) and j + down < len(b) and a[i + down] == b[j + down] and far_a[i + down] == far_b[j + down]:
+            down += 1
+        return i - up, j - up, up + down
+
+    def covered(i: int, j: int) -> bool:
+        return any(lo <= i < hi for lo, hi in done.get(i - j, ()))
+
+    def aligned(anchors: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        blocks = []
+        for i, j in patience(anchors):
+            if not covered(i, j):
+                blocks.append(block := grown(i, j))
+                done.setdefault(i - j, []).append((block[0], block[0] + block[2]))
+        return blocks
+
+    left = _anchors(a, b, 0, len(a), 0, len(b))
+    work = [(0, len(a), 0, len(b), left)]
     while work:
-        a0, a1, b0, b1 = work.pop()
-        if a0 >= a1 or b0 >= b1:
-            continue
-        once_a: dict[bytes, int] = {}
-        once_b: dict[bytes, int] = {}
-        for once, side, lo, hi in ((once_a, a, a0, a1), (once_b, b, b0, b1)):
-            for i in range(lo, hi):
-                once[side[i]] = -1 if side[i] in once else i
-        anchors = patience([(i, once_b[x]) for x, i in once_a.items() if i >= 0 and once_b.get(x, -1) >= 0])
-        pa_, pb_ = a0, b0
-        for i, j in anchors:
-            if i < pa_ or j < pb_:
-                continue
-            up, down = 0, 1
-            while i - up > pa_ and j - up > pb_ and a[i - up - 1] == b[j - up - 1] and far_a[i - up] == far_b[j - up]:
-                up += 1
-            while i + down < a1 and j + down < b1 and a[i + down] == b[j + down] and far_a[i + down] == far_b[j + down]:
-                down += 1
-            out.append((i - up, j - up, up + down))
-            work.append((pa_, i - up, pb_, j - up))
-            pa_, pb_ = i + down, j + down
-        if anchors:
-            work.append((pa_, a1, pb_, b1))
+        a0, a1, b0, b1, anchors = work.pop()
+        blocks = aligned(anchors)
+        out += blocks
+        for i, j, n in [*blocks, (a1, b1, 0)] if blocks else ():
+            if a0 < i and b0 < j:
+                work.append((a0, i, b0, j, _anchors(a, b, a0, i, b0, j)))
+            a0, b0 = max(a0, i + n), max(b0, j + n)
+    while left := [x for x in left if not covered(*x)]:
+        out += aligned(left)
     return out
 
 
 def common_spans(a: tuple, b: tuple, min_words: int) -> list[tuple[int, int]]:
     """Spans [start, stop) of lines of the later document a, (places, counts, digests), in blocks of `min_words` words
-    that b has too: those of the patience diff, then those that stand in another order, or of which all lines are
-    repeated, matched by their shortest runs."""
+    that b has too: those that alignments find, and, as no anchor leads to them, the shortest runs of lines of which each
+    stands more than once in a or in b."""
     places, counts, digests = a
     far = lambda p: [x - y for x, y in zip(p, [0, *p])]  # noqa: B905, E731
-    spans, of = [], [-1] * len(places)
+    spans, words = [], np.cumsum([0, *counts])
     for i, _, n in patience_diff(digests, b[2], far(places), far(b[0])):
-        if sum(counts[i : i + n]) >= min_words:
+        if words[i + n] - words[i] >= min_words:
             spans.append((places[i], places[i + n - 1] + 1))
-            of[i : i + n] = [len(spans)] * n
-    rest = {r: key for r, key in run_keys(places, counts, digests, min_words).items() if of[r[0]] < 0 or of[r[0]] != of[r[1]]}
+    anchor = np.zeros(len(places) + 1, int)
+    anchor[[i + 1 for i, _ in _anchors(digests, b[2], 0, len(digests), 0, len(b[2]))]] = 1
+    anchor = np.cumsum(anchor)
+    rest = {(i, j): key for (i, j), key in run_keys(places, counts, digests, min_words).items() if anchor[i] == anchor[j + 1]}
     if rest:
         there = set(run_keys(*b, min_words).values())
         spans += [(places[i], places[j] + 1) for (i, j), key in rest.items() if key in there]
@@ -197,16 +247,13 @@ def common_spans(a: tuple, b: tuple, min_words: int) -> list[tuple[int, int]]:
 def _aligned(min_words: int):
     schema = pa.schema([("doc_id", pa.int64()), ("th", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())])
 
-    def side(places: bytes, counts: bytes, digests: bytes) -> tuple:
-        return np.frombuffer(places, "<i4").tolist(), np.frombuffer(counts, "<i4").tolist(), [digests[i : i + 16] for i in range(0, len(digests), 16)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch, out = whole.slice(at, 500), []
                 for key, *x in zip(*(batch.column(c).to_pylist() for c in ("a", "places", "counts", "digests", "places2", "counts2", "digests2")), strict=True):
                     doc_id, th = int.from_bytes(key[:8], "big") - 2**63, key[8:-4]
-                    out += [(doc_id, th, *span) for span in common_spans(side(*x[:3]), side(*x[3:]), min_words)]
+                    out += [(doc_id, th, *span) for span in common_spans(unpacked(*x[:3]), unpacked(*x[3:]), min_words)]
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
     return run
@@ -229,20 +276,22 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(now, schema, strict=True)], schema=schema)
 
 
-def overlapping(parts: DataFrame, rare: int = RARE) -> DataFrame:
+def overlapping(parts: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE, segment: int = SEGMENT) -> DataFrame:
     """(a, b): pairs of segments, a of a later document than b, that are to be aligned.
 
-    A rare line pairs all segments that hold it. For the rest, frequent lines, each shortest run of lines pairs every
-    segment with the one before it, in the order of documents, that holds the run: whatever any earlier document
-    shares with it, its partners of its runs share too. So a run of any frequency costs its occurrences, and no
-    segment is the partner of many."""
+    A rare line pairs all segments that hold it, so every run with a rare line has its pairs. A run of frequent lines
+    only pairs each segment with the one before it, in the order of documents, that holds the run: whatever any
+    earlier document shares with it, its partners of its runs share too. So a run of any frequency costs its
+    occurrences, and no segment is the partner of many."""
     held = parts.select(F.explode("lines").alias("h"), "key")
     first = F.row_number().over(W.partitionBy("h").orderBy("key"))
     few = held.withColumn("r", first).where(F.col("r") <= rare + 1).groupBy("h").agg(F.sort_array(F.collect_list("key")).alias("keys")).where(F.size("keys").between(2, rare))
     few = few.select("keys", F.posexplode("keys").alias("i", "b")).select("b", F.explode(F.slice("keys", F.col("i") + 2, F.size("keys"))).alias("a"))
     few = few.where(F.substring("a", 1, _KEY - 4) != F.substring("b", 1, _KEY - 4)).select("a", "b")
-    runs = parts.select(F.explode("runs").alias("h"), "key")
-    ordered = runs.repartitionByRange("h", F.substring("key", 1, _KEY - 4)).sortWithinPartitions("h", "key")
+    frequent = held.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > rare).select("h")
+    often = held.join(frequent, "h", "left_semi").groupBy("key").agg(F.collect_list("h").alias("often"))
+    runs = parts.drop("lines").join(often, "key").mapInArrow(_frequent(min_words, segment), "h binary, key binary")
+    ordered = cut(runs).repartitionByRange("h", F.substring("key", 1, _KEY - 4)).sortWithinPartitions("h", "key")
     chain = cut(ordered.mapInArrow(_chained, "a binary, b binary, h binary, pid int"))
     # runs that began in an earlier partition: the last holder there
     back = W.partitionBy("h").orderBy("pid", F.col("a").isNull()).rowsBetween(W.unboundedPreceding, 0)
@@ -256,9 +305,9 @@ def aligned_blocks(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     come in the order of doc_id, then of the text's digest; rows equal in both are one document."""
     text = clean_text(text_col)
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("th", F.unhex(F.md5("text")))
-    parts = rows.mapInArrow(_segmented(min_words, segment), "key binary, places binary, counts binary, digests binary, lines array<long>, runs array<binary>")
+    parts = rows.mapInArrow(_segmented(min_words, segment), "key binary, places binary, counts binary, digests binary, lines array<long>")
     parts = cut(parts.dropDuplicates(["key"]))
-    pairs = overlapping(parts, rare)
+    pairs = overlapping(parts, min_words, rare, segment)
     sides = pairs.join(parts.select(F.col("key").alias("a"), "places", "counts", "digests"), "a")
     sides = sides.join(parts.select(F.col("key").alias("b"), *(F.col(c).alias(f"{c}2") for c in ("places", "counts", "digests"))), "b").drop("b")
     found = sides.mapInArrow(_aligned(min_words), "doc_id long, th binary, start int, stop int")
@@ -280,9 +329,13 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text")).withColumn("th", F.unhex(F.md5("text")))
     out = rows.alias("d").join(spans.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans"), (F.col("d.doc_id") == F.col("_id")) & (F.col("d.th") == F.col("_th")), "left")
     lines = F.split(F.col("text"), "\n")
-    hit = lambda i: F.exists(F.col("spans"), lambda s: (s["start"] <= i) & (i < s["stop"]))
-    left = F.filter(lines, lambda _, i: ~hit(i))
+    # lines before, between and behind the spans, which are sorted and apart
+    there = F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>"))
+    starts, stops = F.concat(F.transform(there, lambda x: x["start"]), F.array(F.size(lines))), F.concat(F.array(F.lit(0)), F.transform(there, lambda x: x["stop"]))
+    gaps = F.zip_with(stops, starts, lambda lo, hi: F.slice(lines, lo + 1, hi - lo))
+    out = out.withColumn("_left", F.flatten(gaps))  # apart from the new `text`, which the functions inside could take for theirs
+    left = F.col("_left")
     n = F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.size(lines), F.lit(0)))
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     removed = F.when(F.col("spans").isNull() | F.col("text").isNull(), 0).otherwise(F.size(lines) - F.size(left))
-    return out.select("doc_id", text.alias("text"), n.alias("n_lines"), removed.alias("removed_lines"), F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")).alias("spans"))
+    return out.select("doc_id", text.alias("text"), n.alias("n_lines"), removed.alias("removed_lines"), there.alias("spans"))

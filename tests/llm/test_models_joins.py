@@ -430,3 +430,45 @@ def test_patience_diff_anchors_grow_and_recur():
 def test_line_dedup_reads_invalid_bytes(spark):
     df = spark.sql("select 1L doc_id, cast(unhex('61FF62') as string) text union all select 2L, 'x'")
     assert line_dedup.dedup_lines(df).count() == 2
+
+
+def side_of(text, min_words=10):
+    parts = list(line_dedup.segments(b"", text, min_words, 10**6))
+    return line_dedup.unpacked(*parts[0][1:4]) if parts else None
+
+
+def random_pair(rng):
+    """Two texts of blocks that both hold, in any order, of lines that stand once or again and again."""
+    pool = ["", "a", "b b", "c " * 5, "d " * 11]
+    blocks = [[rng.choice(pool) if rng.random() < 0.4 else f"u{rng.randrange(10**6)} " * rng.randrange(1, 8) for _ in range(rng.randrange(1, 5))] for _ in range(rng.randrange(1, 6))]
+    texts = []
+    for _ in range(2):
+        some = rng.sample(blocks, rng.randrange(1, len(blocks) + 1)) + [[f"own{rng.randrange(10**6)}"] for _ in range(rng.randrange(4))]
+        rng.shuffle(some)
+        texts.append("\n".join(x for b in some for x in b))
+    return texts
+
+
+def spans_of(texts):
+    a, b = side_of(texts[1]), side_of(texts[0])
+    return {i for s in line_dedup.common_spans(a, b, 10) for i in range(*s)} if a and b else set()
+
+
+def test_alignment_equals_brute_force_and_decides(monkeypatch):
+    """Whole pairs against brute force; without the diff most blocks stay."""
+    rng = random.Random(12)
+    pairs = [random_pair(rng) for _ in range(1500)]
+    want = [brute_shared_lines(dict(enumerate(p)), 10)[1] for p in pairs]
+    assert [spans_of(p) for p in pairs] == want and sum(map(bool, want)) > 500
+    monkeypatch.setattr(line_dedup, "patience_diff", lambda *_: [])
+    assert sum(spans_of(p) != w for p, w in zip(pairs, want, strict=True)) > 300
+
+
+def test_rare_lines_choose_the_partners(spark):
+    """A run with a rare line pairs documents by that line only: no run of it is chained."""
+    rows = [(1, lines_of("a", "b")), (2, lines_of("c")), (3, lines_of("x", "a", "b", "y"))] + [(10 + i, lines_of("f", "g") + f"\nown{i}") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert got[3] == lines_of("x", "y") and got[10] == rows[3][1] and got[17] == "own7"
+    often = {line_dedup.line_hash(d) for d in side_of(lines_of("f", "g"))[2]}
+    assert line_dedup.frequent_runs(*side_of(lines_of("f", "g")), often, 10, 256) and not line_dedup.frequent_runs(*side_of(lines_of("a", "b")), often, 10, 256)
