@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from ..functions.text import as_column, random_key
 from .ordering import numbered
+from .storage import save_point
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
@@ -100,40 +104,81 @@ def reconcile(a: DataFrame, b: DataFrame, key: str, value: str, tolerance: float
     return j.agg(F.count_if(F.col("inb").isNull()).alias("missing"), F.count_if(F.col("ina").isNull()).alias("extra"), F.count_if(both & off).alias("mismatching"), F.count_if(both & ~off).alias("matching"))
 
 
-#: Characters of phrases that one pass over the texts looks for; a larger bank takes several passes.
-BANK_CHARS = 20_000_000
+#: Bytes of a gram; bits of the filter that the texts' grams pass, at most (a megabyte is 23).
+GRAM, MOST_BITS = 8, 26
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def containing(texts: DataFrame, phrases: DataFrame, text_col: str, phrase_col: str, chars: int = BANK_CHARS) -> DataFrame:
-    """(text row, phrase row) of phrases that stand in a text, each pair of rows once. An automaton over a part of the
-    bank of bounded size finds its phrases where the texts are read, so nothing is crossed or shuffled; every bank is
-    searched in the same way, one part after another. Phrases that are null or empty stand in no text."""
-    bank = phrases.where(F.length(phrase_col) > 0)
-    size = bank.agg(F.sum(F.length(phrase_col).cast("long")).alias("n")).first()["n"] or 0
-    parts = -(-size // chars)
-    out = texts.join(bank.limit(0), F.lit(False), "inner")
-    for i in range(parts):
-        part = bank.where(F.pmod(F.xxhash64(phrase_col), F.lit(parts)) == i)
-        found = texts.select("*", F.explode(_found_in([r[0] for r in part.select(phrase_col).distinct().collect()])(F.col(text_col))).alias("_p"))
-        out = out.unionByName(found.join(F.broadcast(part.withColumn("_p", F.col(phrase_col))), "_p").drop("_p"))
+def _grams(data: bytes | None, n: int) -> np.ndarray:
+    """The grams of n bytes of a text, as numbers."""
+    b = np.frombuffer(data or b"", np.uint8).astype(np.uint64)
+    out = np.zeros(max(0, len(b) - n + 1), np.uint64)
+    for k in range(n if len(out) else 0):
+        out = (out << np.uint64(8)) | b[k : len(b) - n + 1 + k]
     return out
 
 
-def _found_in(phrases: Sequence[str]):
-    """A function of texts: which of the phrases stand in each."""
+def _slot(grams: np.ndarray, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((grams * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _phrase_grams(phrases: pd.Series) -> pd.Series:
+    return phrases.map(lambda p: np.unique(_grams(p, min(len(p), GRAM))).view(np.int64))
+
+
+def _slots(bits: int):
+    @F.pandas_udf(LongType())
+    def slot(grams: pd.Series) -> pd.Series:
+        return pd.Series(_slot(grams.to_numpy(np.int64).view(np.uint64), bits))
+
+    return slot
+
 
-    @F.pandas_udf("array<string>")
-    def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
+def _passing(sent: Broadcast, bits: int, lengths: Sequence[int]):
+    """The distinct grams of a text, of each length, that the filter lets pass."""
 
-        automaton = ahocorasick.Automaton()
-        for p in phrases:
-            automaton.add_word(p, p)
-        automaton.make_automaton()
-        for s in parts:
-            yield s.map(lambda t: sorted({p for _, p in automaton.iter(t)}) if t else [])
+    @F.pandas_udf(ArrayType(LongType()))
+    def passing(texts: pd.Series) -> pd.Series:
+        words = sent.value
 
-    return found
+        def of(data: bytes | None) -> np.ndarray:
+            found = [np.zeros(0, np.uint64)]
+            for n in lengths:
+                grams = _grams(data, n)
+                slot = _slot(grams, bits)
+                found.append(grams[(words[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1])
+            return np.unique(np.concatenate(found)).view(np.int64)
+
+        return texts.map(of)
+
+    return passing
+
+
+def containing(texts: DataFrame, phrases: DataFrame, text_col: str, phrase_col: str, most_bits: int = MOST_BITS) -> DataFrame:
+    """(text row, phrase row) of phrases that stand in a text, each pair of rows once. Phrases that are null or empty
+    stand in no text.
+
+    An inverted index by the rarest gram: of a phrase's grams of eight bytes (or itself, if shorter) the one that fewest
+    phrases of the bank have is its key. Texts are scanned once; their grams pass a filter of the keys, of fixed
+    greatest size, and meet the phrases in an equi-join on the gram, which is then checked by the whole phrase. Spark
+    sends the phrases to the texts where they are small, and else both by gram; no bank is collected."""
+    spark = texts.sparkSession
+    bank = phrases.where(F.length(phrase_col) > 0)
+    different = bank.select(F.col(phrase_col).cast("string").alias("_p")).distinct()
+    grams = save_point(different.select("_p", F.explode(_phrase_grams(F.col("_p").cast("binary"))).alias("_gram")))
+    shared = grams.groupBy("_gram").agg(F.count("*").alias("_n"))
+    keys = save_point(grams.join(shared, "_gram").groupBy("_p").agg(F.min(F.struct("_n", "_gram")).alias("_k")).select("_p", F.col("_k._gram").alias("_gram")))
+    size = keys.agg(F.count_distinct("_gram").alias("n"), F.collect_set(F.least(F.octet_length("_p"), F.lit(GRAM))).alias("lengths")).first()
+    bits = min(most_bits, max(12, (32 * size["n"]).bit_length()))
+    words = keys.select(_slots(bits)("_gram").alias("s")).select(F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).collect()
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[[r["w"] for r in words]] = np.array([r["bits"] for r in words], np.int64).view(np.uint64)
+    keyed = _passing(spark.sparkContext.broadcast(table), bits, sorted(size["lengths"]))
+    found = texts.withColumn("_gram", F.explode(keyed(F.col(text_col).cast("binary"))))
+    met = found.join(keys, "_gram").where(F.contains(F.col(text_col), F.col("_p"))).drop("_gram")
+    return met.join(bank.withColumn("_p", F.col(phrase_col).cast("string")), "_p").drop("_p")
 
 
 def deal(left: DataFrame, right: DataFrame, seed: int, left_id: str, right_id: str) -> DataFrame:
