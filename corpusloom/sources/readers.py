@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 
@@ -93,7 +93,7 @@ def read_dataset(spark: SparkSession, path: str, required: Sequence[str] = ("tex
 
 
 def read_zstd_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Zstd-compressed JSON lines; each file is decompressed in pieces by one task."""
+    """Zstd-compressed JSON lines; each file by one task. See `zstd_lines` for files of many frames."""
     import pyarrow as pa
 
     raw = spark.read.format("binaryFile").load(path).select("content")
@@ -123,9 +123,18 @@ class _Page(InputPartition):
         self.number = number
 
 
+def _called(path: str) -> Callable:
+    import importlib
+
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 class PagedSource(DataSource):
-    """A paged source as a Spark data source. `fetch` is the import path of a function (page number ->
-    list of tuples, empty at the end); `pages` is how many pages to ask for."""
+    """A paged source as a Spark data source, in batch or as a stream. Options: `fetch`, the import path of a
+    function (page number, and `base` where that is given -> list of tuples, empty at the end); `pages`, how many pages
+    to ask for; as a stream also `head`, the import path of a function (`base` -> how many pages there are now), and
+    `scan`, how many rows to read at most, with `page_rows`, the rows of a full page."""
 
     @classmethod
     def name(cls) -> str:
@@ -137,6 +146,9 @@ class PagedSource(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return _PagedReader(self.options)
 
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        return _PagedStream(self.options)
+
 
 class _PagedReader(DataSourceReader):
     def __init__(self, options: Mapping[str, str]):
@@ -146,15 +158,71 @@ class _PagedReader(DataSourceReader):
         return [_Page(i) for i in range(int(self.options.get("pages", 1)))]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
-        import importlib
+        base = self.options.get("base")
+        rows = _called(self.options["fetch"])(*((partition.number,) if base is None else (partition.number, base)))
+        most = int(self.options.get("scan", 0))
+        yield from rows[: max(0, most - partition.number * int(self.options["page_rows"]))] if most else rows
+
+
+class _PagedStream(DataSourceStreamReader):
+    """The offset is the number of pages read. Which rows a page has under the scan cap follows from its number, so a batch
+    that runs again reads the same rows."""
+
+    def __init__(self, options: Mapping[str, str]):
+        self.options = dict(options)
+
+    def initialOffset(self) -> dict:
+        return {"page": 0}
+
+    def latestOffset(self) -> dict:
+        there = int(_called(self.options["head"])(self.options.get("base")))
+        if most := int(self.options.get("scan", 0)):
+            there = min(there, -(-most // int(self.options["page_rows"])))
+        return {"page": min(there, int(self.options.get("pages", there)))}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [_Page(i) for i in range(start["page"], end["page"])]
+
+    def read(self, partition: _Page) -> Iterator[tuple]:
+        return _PagedReader(self.options).read(partition)
+
+    def commit(self, end: dict) -> None:
+        pass  # pages stay where they are
 
-        module, _, name = self.options["fetch"].partition(":")
-        yield from getattr(importlib.import_module(module), name)(partition.number)
 
+def _paged(reader, options: Mapping[str, object], schema: str):
+    for k, v in options.items():
+        reader = reader.option(k, str(v))
+    return reader.format("paged").option("schema", schema).load()
 
-def read_paged(spark: SparkSession, fetch: str, pages: int, schema: str) -> DataFrame:
+
+def read_paged(spark: SparkSession, fetch: str, pages: int, schema: str, **options: object) -> DataFrame:
     spark.dataSource.register(PagedSource)
-    return spark.read.format("paged").option("fetch", fetch).option("pages", str(pages)).option("schema", schema).load()
+    return _paged(spark.read, {"fetch": fetch, "pages": pages, **options}, schema)
+
+
+def stream_paged(spark: SparkSession, fetch: str, head: str, schema: str, **options: object) -> DataFrame:
+    """An unbounded paged source; see `PagedSource`. A query goes on from its checkpoint at the page after the last."""
+    spark.dataSource.register(PagedSource)
+    return _paged(spark.readStream, {"fetch": fetch, "head": head, **options}, schema)
+
+
+def page_files(base: str | None) -> int:
+    """How many pages a folder of pages has: files `page-<number>.jsonl`."""
+    from .files import files_under
+
+    return len(files_under(base or "", ".jsonl"))
+
+
+def page_file(number: int, base: str) -> list[tuple]:
+    """The rows of a page of such a folder, values in the order of the keys."""
+    import json
+
+    from .files import file_system
+
+    system, folder = file_system(base)
+    with system.open_input_stream(f"{folder}/page-{number}.jsonl") as f:
+        return [tuple(v for _, v in sorted(json.loads(line).items())) for line in f.read().splitlines() if line.strip()]
 
 
 def crawl(pages: DataFrame, seeds: Sequence[str], depth: int, allowed: Callable, url_col: str = "url", html_col: str = "html") -> DataFrame:

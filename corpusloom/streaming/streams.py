@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -54,3 +56,25 @@ def running_top_k(stream: DataFrame, target: str, checkpoint: str, k: int, key:
 def append_once(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """K10 over a stream: what is there is processed, and a later run goes on from the checkpoint."""
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def polite(stream: DataFrame, domain: str, url: str, arrived: str, delay: float) -> DataFrame:
+    """(domain, url, arrived, fetch_at) of a frontier stream, times in seconds: when each address may be asked for, so
+    that requests to one domain are `delay` apart: in order of arrival within a batch, then batch after batch. A domain's
+    state is one number, when it is free again."""
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    def schedule(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        free = state.get[0] if state.exists else -float("inf")
+        for part in parts:
+            part, times = part.sort_values(["at", "url"]), []
+            for at in part["at"]:
+                times.append(max(at, free))
+                free = times[-1] + delay
+            yield pd.DataFrame({"domain": key[0], "url": part["url"], "arrived": part["at"], "fetch_at": times})
+        state.update((free,))
+
+    rows = stream.select(F.col(domain).alias("domain"), F.col(url).alias("url"), F.col(arrived).cast("double").alias("at"))
+    out = "domain string, url string, arrived double, fetch_at double"
+    return rows.groupBy("domain").applyInPandasWithState(schedule, out, "free double", "append", GroupStateTimeout.NoTimeout)
