@@ -855,4 +855,4 @@ def revenue_grouping_sets(spark, d):
     return j.groupingSets([[F.col("n_name"), F.col("r_name")], [F.col("r_name")], []], F.col("n_name"), F.col("r_name")).agg(F.count("*").alias("orders"), revenue.alias("revenue"))
 
 
-from . import queries_more, queries_rest  # noqa: E402, F401  (they register their queries)
+from . import queries_flow, queries_more, queries_rest  # noqa: E402, F401  (they register their queries)

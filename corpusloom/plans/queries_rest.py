@@ -47,14 +47,12 @@ def folders_of_text_files(spark, d):
     return readers.read_text_files(spark, path).select(F.regexp_extract("path", "item_id=([0-9]+)/", 1).cast("long").alias("item_id"), "text")
 
 
-def page_of(number: int) -> list[tuple]:
-    """A page of a source that is asked page by page; the fifth is empty."""
-    return [] if number >= 4 else [(f"{number}-{i}", f"text {i} of page {number}") for i in range(number + 1)]
-
-
-@query("SELECT n || '-' || i AS document_id, 'text ' || i || ' of page ' || n AS text FROM (SELECT n, unnest(range(n + 1)) AS i FROM (SELECT unnest(range(4)) AS n))")
+@query("SELECT item_id, text FROM benchmark")
 def paged_source(spark, d):
-    return readers.read_paged(spark, f"{__name__}:page_of", 5, "document_id string, text string")
+    """Asked page by page; those behind the last are missing, so only as many as there are."""
+    base = folder(spark)
+    sinks.write_pages(read(spark, d, "benchmark").select("item_id", "text"), base, "item_id", 10)
+    return readers.read_paged(spark, "corpusloom.sources.readers:page_file", readers.page_files(base), "item_id long, text string", base=base)
 
 
 @query("SELECT lang, count(*) AS rows FROM documents GROUP BY lang")

@@ -113,3 +113,23 @@ def verify_manifest(spark: SparkSession, path: str, expected: DataFrame) -> Data
     j = expected.select("file", F.col("sha256").alias("want")).join(manifest(spark, path).select("file", "sha256"), "file", "full")
     status = F.when(F.col("sha256").isNull(), "missing").when(F.col("want").isNull(), "extra").when(F.col("want") != F.col("sha256"), "changed")
     return j.select("file", status.alias("status")).where("status is not null")
+
+
+def write_pages(df: DataFrame, base: str, order: str, rows: int) -> None:
+    """A folder of pages `page-<number>.jsonl`, of so many rows each in the order, as a paged source (S8, S12) reads them."""
+    import pandas as pd
+
+    from ..operators.ordering import numbered
+    from .files import file_system
+
+    def page(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        system, folder = file_system(base)
+        lines = [line for _, line in sorted(zip(pdf["_n"], pdf["line"], strict=True))]
+        with system.open_output_stream(f"{folder}/page-{key[0]}.jsonl") as f:
+            f.write("".join(f"{line}\n" for line in lines).encode())
+        return pd.DataFrame({"rows": [len(lines)]})
+
+    system, folder = file_system(base)
+    system.create_dir(folder)
+    lines = numbered(df, "_n", order).select("_n", F.floor((F.col("_n") - 1) / rows).alias("page"), F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("line"))
+    lines.groupBy("page").applyInPandas(page, "rows int").agg(F.sum("rows")).collect()
