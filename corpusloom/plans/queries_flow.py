@@ -273,3 +273,17 @@ def built_parent_correction(spark, d):
     t = labelled(spark, d).select(F.col("doc_id").cast("string").alias("id"), "text", F.col("label").cast("int").alias("label"), F.when(F.col("label") == 1, "attack").otherwise("benign").alias("component"), F.left(T.hash_form("text"), F.lit(80)).alias("head"))
     half = F.xxhash64("id") % 2 == 0
     return D.parent_correction(t.where(half), t.where(~half), {"attack": 1, "benign": 3}, 200, ["head"], 40).rows.select("id", "component", "label", "group", "split")
+
+
+@query()
+def built_flagship(spark, d):
+    """Rows of the whole flagship build: benchmark passages as payloads, high windows as mined rows, windows on licenses as misses."""
+    w = scored(spark, d).join(read(spark, d, "documents").select("doc_id", F.col("source").alias("source_pool")), "doc_id")
+    mined = w.select("doc_id", F.col("window_text").alias("text"), F.lit("benign").alias("label"), "score", "source_pool", (F.col("doc_id") % 2 == 0).alias("reviewed"))
+    misses = w.where(F.contains("window_text", F.lit("icense"))).select("doc_id", F.col("window_text").alias("text"), F.lit("attack").alias("label"), "source_pool", F.lit("license").alias("anchor"), F.col("window_text").alias("attack_text"), F.lit(True).alias("visible"))
+    payloads = read(spark, d, "benchmark").select(F.col("item_id").alias("payload_id"), F.col("text").alias("payload"))
+    pools = few(read(spark, d, "documents").select("source").where("source is not null").distinct(), "source")
+    index = D.X.exclusion_index({"benchmark": read(spark, d, "benchmark")}, "item_id")
+    targets = {"reviewed_near_boundary": 20, "mined_benign": 60, "missed_attack": 30, "embedded_attack": 90, "standalone_attack": 10, "same_document_contrast": 40, "random_benign": 60, "original_contrast": 90}
+    b = D.flagship(read(spark, d, "documents"), payloads, mined, misses, index, targets, 80, {"doc_id": 8, "payload_id": 12, "source_name": 120}, r"\blicense\b", "version|copyright|the", "^thank you$", pools)
+    return b.rows.select("id", "component", "label", "doc_id", "payload_id", "split", "pass", F.sha2("text", 256).alias("text_sha256"))
