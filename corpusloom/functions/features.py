@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import CYRILLIC, LATIN, as_column, char_count, hash_form, mark_count, normalize, normalize_compatible, safe_double, text_or_empty, words
+from .text import CYRILLIC, LATIN, WORD_CHARS, as_column, char_count, hash_form, mark_count, normalize, normalize_compatible, safe_double, text_or_empty, words
 
 # Edges and names of buckets.
 LENGTH_BINS = ((128, "0000-0128"), (256, "0129-0256"), (512, "0257-0512"), (1024, "0513-1024"), (2048, "1025-2048"), (None, "2049+"))
@@ -172,10 +172,10 @@ def quality_parts(text: Column | str) -> Column:
     """What B15 counts, each once: struct(n, alpha, odd, tokens, kinds, markup)."""
     t = normalize(text)
     low = F.lower(t)
-    tokens = F.regexp_extract_all(low, F.lit(r"(?U)(\w{2,})"))
+    tokens = F.regexp_extract_all(low, F.lit(f"({WORD_CHARS}{{2,}})"))
     return F.struct(
         F.length(t).alias("n"), char_count(t, r"\p{L}").alias("alpha"), char_count(t, r"[\p{C}\p{Zl}\p{Zp}[\p{Zs}&&[^ ]]]").alias("odd"),
-        F.size(tokens).alias("tokens"), F.size(F.array_distinct(tokens)).alias("kinds"), F.regexp_count(low, F.lit(r"(?U)</?\w+|\{{2,}|\}{2,}|&[a-z]+;")).alias("markup"),
+        F.size(tokens).alias("tokens"), F.size(F.array_distinct(tokens)).alias("kinds"), F.regexp_count(low, F.lit(f"</?{WORD_CHARS}+" + r"|\{{2,}|\}{2,}|&[a-z]+;")).alias("markup"),
     )
 
 
@@ -184,13 +184,13 @@ def quality_of(parts: Column) -> Column:
     n, many = F.greatest(parts["n"], F.lit(1)), F.greatest(parts["tokens"], F.lit(1))
     unique = parts["kinds"] / many
     score = 0.45 * (parts["alpha"] / n) + 0.35 * (1 - parts["odd"] / n) + 0.20 * F.least(F.lit(1.0), unique * 4)
-    score = score - F.least(F.lit(0.35), parts["markup"] / many * 3) - F.when((unique < 0.08) & (parts["tokens"] > 120), 0.25).otherwise(0.0)
-    return F.when(parts["n"] == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
+    score = score - F.least(F.lit(0.35), parts["markup"] / many * 3) - 0.25 * ((unique < 0.08) & (parts["tokens"] > 120)).cast("double")
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)) * (parts["n"] > 0).cast("double")
 
 
 def quality_score(text: Column | str) -> Column:
-    """B15. The parts pass through an array of one, so that each is counted once."""
-    return F.transform(F.array(quality_parts(text)), quality_of)[0]
+    """B15. Nothing in it is conditional, so Spark computes each part once in compiled code."""
+    return quality_of(quality_parts(text))
 
 
 def script_letters(t: Column) -> tuple[Column, Column, Column]:

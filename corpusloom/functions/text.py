@@ -28,7 +28,9 @@ TRACKING = ("utm_", "fbclid", "gclid", "yclid")
 SKIPPED_PATHS = ("/login", "/signin", "/auth", "/register", "/cart")
 BLOCKED_PAGE = ("are you not a robot", "captcha", "access denied", "доступ ограничен", "проверка безопасности", "подтвердите, что вы не робот")
 
-SPACES = r"(?U)\s+"
+SPACES = r"[ \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+#: What `\w` is with (?U), as a class that tries ASCII first: several times faster.
+WORD_CHARS = r"[a-zA-Z0-9_\p{IsAlphabetic}\p{M}\p{Nd}\p{Pc}\u200c\u200d]"
 
 
 def as_column(c: Column | str) -> Column:
@@ -131,7 +133,7 @@ def long_signature(c: Column | str, n: int = 200) -> Column:
 def bag_cluster_id(c: Column | str, words: int = 80) -> Column:
     """hash of the first distinct words of four letters or more, in order."""
     t = F.lower(normalize(c))
-    bag = F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(t, F.lit(r"(?U)([\w]{4,})")))), 1, words)
+    bag = F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(t, F.lit(f"({WORD_CHARS}{{4,}})")))), 1, words)
     return stable_hash(F.when(F.size(bag) > 0, F.array_join(bag, " ")).otherwise(t))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import as_column, hash_form, mask_template, text_hash
+from ..functions.text import as_column, hash_form, mask_template, once, text_hash
+from .storage import save_point
 
 
 def dedupe(df: DataFrame, key: Column | str, *order: Column | str) -> DataFrame:
@@ -43,11 +44,13 @@ PLACES = 16
 def repeat_counts(df: DataFrame, text_col: str = "text", prefix: int = 80, suffix: int = 100, id_col: str = "doc_id") -> DataFrame:
     """On each row, how many rows have its text, normalised text, prefix and suffix. Ids and hashes alone are
     shuffled: each kind's values are summed where they are read, met again by hash, and joined to the rows by id."""
-    n = hash_form(text_col)
-    kinds = {"exact_count": F.coalesce(F.col(text_col), F.lit("")), "normalized_count": n, "prefix_count": F.left(n, F.lit(prefix)), "suffix_count": F.right(n, F.lit(suffix))}
-    hashed = df.select("*", F.struct(F.col(id_col).alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("h")).alias("_key"))
-    pairs = F.array(*(F.struct(F.lit(i).alias("kind"), F.sha2(c, 256).alias("h")) for i, c in enumerate(kinds.values())))
-    long = hashed.select("_key", F.explode(pairs).alias("p")).select("_key", "p.kind", "p.h", F.pmod(F.xxhash64("_key"), F.lit(PLACES)).cast("int").alias("place"))
+    kinds, text = ("exact_count", "normalized_count", "prefix_count", "suffix_count"), F.coalesce(F.col(text_col), F.lit(""))
+    digests = once(lambda t, n: F.array(*(F.sha2(c, 256) for c in (t, n, F.left(n, F.lit(prefix)), F.right(n, F.lit(suffix))))), t=text, n=hash_form(text_col))
+    hashed = df.withColumn("_key", F.struct(F.col(id_col).alias("id"), F.sha2(text, 256).alias("h")))
+    # each kind's digest is a column of a written table, so that texts are normalised once and not for each kind
+    digested = save_point(hashed.select("_key", digests.alias("d")))
+    pairs = F.posexplode("d").alias("kind", "h")
+    long = digested.select("_key", pairs).select("_key", "kind", "h", F.pmod(F.xxhash64("_key"), F.lit(PLACES)).cast("int").alias("place"))
     counts = long.groupBy("kind", "h").agg(F.count("*").alias("n")).where("n > 1").withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(PLACES - 1))))
     met = long.join(counts, ["kind", "h", "place"], "left")
     wide = met.groupBy("_key").agg(*(F.coalesce(F.max(F.when(F.col("kind") == i, F.col("n"))), F.lit(1)).alias(k) for i, k in enumerate(kinds)))

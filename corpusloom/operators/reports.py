@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.features import hits, length_bin
-from ..functions.text import as_column, safe_div, text_or_empty
+from ..functions.text import WORD_CHARS, as_column, safe_div, text_or_empty
 from .ordering import running
 from .storage import save_point
 
@@ -118,7 +118,7 @@ def marker_odds(df: DataFrame, selected: Column, markers: Sequence[str], text_co
 def ngram_odds(df: DataFrame, selected: Column, lowest: int = 1, highest: int = 3, least: int = 5, text_col: str = "text") -> DataFrame:
     """N-grams of words with at least `least` selected rows: occurrences, rows, rows of the others, odds
     ratio. N-grams are counted within each row first, so that a shuffle carries a row's n-gram once."""
-    tokens = F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(r"(?U)(\w+)"))
+    tokens = F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(f"({WORD_CHARS}+)"))
     t = df.select(selected.alias("sel"), tokens.alias("w"))
     grams = F.flatten(F.transform(F.sequence(F.lit(lowest), F.lit(highest)), lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array().cast("array<string>"))))
     totals = t.agg(F.count_if("sel").alias("ns"), F.count_if(~F.col("sel")).alias("nb"))
