@@ -25,11 +25,12 @@ def dedupe_conflicts(df: DataFrame, key: Column | str, label: str, *order: Colum
     k = df.withColumn("_k", as_column(key))
     if policy == "ignore":
         return dedupe(k, F.struct("_k", label), *order).drop("_k")
-    out = k.withColumn("_r", F.row_number().over(W.partitionBy("_k").orderBy(*order)))
+    # the first row of a key, and its labels' range, are both cut down where rows are read
+    out = k.withColumn("_r", F.row_number().over(W.partitionBy("_k").orderBy(*order))).where("_r = 1").drop("_r")
     if policy == "drop":
-        same = F.min(label).over(W.partitionBy("_k")).eqNullSafe(F.max(label).over(W.partitionBy("_k")))
-        out = out.withColumn("_s", same).where("_s").drop("_s")
-    return out.where("_r = 1").drop("_k", "_r")
+        labels = k.groupBy("_k").agg(F.min(label).alias("_a"), F.max(label).alias("_z")).where(F.col("_a").eqNullSafe(F.col("_z")))
+        out = out.join(labels.select(F.col("_k").alias("_same")), F.col("_k").eqNullSafe(F.col("_same")), "left_semi")
+    return out.drop("_k")
 
 
 def cap(df: DataFrame, keys: Sequence[str], most: int | Column, *order: Column | str) -> DataFrame:

@@ -114,9 +114,10 @@ def nested_quota(outer: Mapping[str, int], inner: Mapping[str, float]) -> dict[t
 
 
 def take_quota(df: DataFrame, quotas: DataFrame, keys: Sequence[str], key: str, seed: int = 42) -> DataFrame:
-    """The first rows by seeded hash of each group, as many as `quotas` (keys, quota) says."""
-    q = df.join(F.broadcast(quotas.select(*keys, "quota")) if quotas.isLocal() else quotas.select(*keys, "quota"), list(keys))
-    return sample_per_group(q, keys, key, F.col("quota"), seed).drop("quota")
+    """The first rows by seeded hash of each group, as many as `quotas` (keys, quota) says. Groups are numbered in ranges of
+    the hash, so a huge one is many tasks'."""
+    q = seeded_rank(df, "_r", key, keys, seed).join(quotas.select(*keys, "quota"), list(keys))
+    return q.where(F.col("_r") <= F.col("quota")).drop("_r", "quota")
 
 
 def quota_with_refill(df: DataFrame, quotas: DataFrame, keys: Sequence[str], key: str, total: int, seed: int = 42) -> DataFrame:

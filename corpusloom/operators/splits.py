@@ -14,6 +14,7 @@ from ..functions.text import random_key
 from .identity import connected_groups
 from .ordering import cut_value, in_ranges, numbered, running, walked
 from .sampling import RANGES, ranked, seeded_rank
+from .storage import save_point
 
 
 def hash_share(seed: int, key: str) -> Column:
@@ -94,8 +95,13 @@ def atomic_split(df: DataFrame, group: str, strata: Sequence[str], shares: Mappi
     """Whole groups to pools by stratum of their majority attributes; a group goes to the pool in whose share
     the middle of its rows falls, in seeded order; protected values go to their pool."""
     g = group_majority(df, group, strata)
-    w = W.partitionBy(*strata).orderBy(random_key(seed, group))
-    middle = (F.sum("rows").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col("rows") / 2) / F.sum("rows").over(W.partitionBy(*strata))
+    g = save_point(running(g, "_p", F.col("rows"), *strata, random_key(seed, group), F.col(group)))  # over all strata, one after another
+    whole = g.groupBy(*(F.col(s).alias(f"_g{i}") for i, s in enumerate(strata))).agg(F.min("_p").alias("_first"), F.sum("rows").alias("_all"))
+    same = F.lit(True)
+    for i, s in enumerate(strata):
+        same = same & F.col(s).eqNullSafe(F.col(f"_g{i}"))
+    g = g.join(whole, same)
+    middle = (F.col("_p") - F.col("_first") + F.col("rows") - F.col("rows") / 2) / F.col("_all")
     upto, when = 0.0, None
     names = list(shares)
     for name in names[:-1]:

@@ -103,13 +103,13 @@ def windowed_correction(docs: DataFrame, scored: DataFrame, threshold: float, pe
     return Build(t, {"components": R.counts(t, "component", "label")})
 
 
-def correction(results: DataFrame, corpus: DataFrame, threshold: float, terms: Sequence[str], carriers: DataFrame, copies: int = 3, share: float = 0.1, seed: int = 42) -> Build:
+def correction(results: DataFrame, corpus: DataFrame, threshold: float, terms: Sequence[str], carriers: DataFrame, copies: int = 3, share: float = 0.1, seed: int = 42, replacements: Sequence[tuple[str, str]] = ()) -> Build:
     """Missed positives mined from results (doc_id, label, score), their fragments varied and set into
     carriers as positives; false alarms as negatives; split by the document that each row is from."""
     missed = J.lookup(G.mined(results, "label", "score", threshold, "fn"), corpus.select("doc_id", "text"), "doc_id")
     alarms = J.lookup(G.mined(results, "label", "score", threshold, "fp"), corpus.select("doc_id", "text"), "doc_id")
     frag = missed.withColumn("fragment", T.fragment("text", terms)).where("fragment <> ''").select("doc_id", "score", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("variant"), "fragment")
-    frag = frag.withColumn("phrase", T.vary("fragment", [], F.col("variant"), [(2, "", "."), (3, "(", ")")])).withColumn("phrase_id", F.xxhash64("doc_id", "variant"))
+    frag = frag.withColumn("phrase", T.vary("fragment", replacements, F.col("variant"), [(2, "", "."), (3, "(", ")")])).withColumn("phrase_id", F.xxhash64("doc_id", "variant"))
     pos = J.deal(frag, carriers.select(F.col("doc_id").alias("carrier_id"), F.col("text").alias("carrier")), seed, "phrase_id", "carrier_id")
     pos = pos.select("doc_id", T.embed("carrier", "phrase", "deep", seed)["text"].alias("text"), F.lit(1).alias("label"), B.score_band("score", "critical").alias("band"))
     neg = alarms.select("doc_id", "text", F.lit(0).alias("label"), B.score_band("score", "critical").alias("band"))
