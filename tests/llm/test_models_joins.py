@@ -124,6 +124,10 @@ def test_rejection_is_calibrated_on_held_out_documents(spark):
     noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(60)) for _ in range(20)] + ["これは日本語の文章です", "Это русский текст для проверки"]
     odd = spark.createDataFrame(list(enumerate(noise)), "doc_id long, text string")
     assert language_id.identify(odd, models, limits).where("rejected").count() == len(noise)
+    others = ["Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti", "Todos os seres humanos nascem livres e iguais em dignidade e em direitos", "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw", "Bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar"]
+    shuffled = ["".join(rng.sample(letters, len(letters))) for r in docs.where("length(text) > 200").limit(40).collect() for letters in ["".join(r.text.split()[:40])]]
+    planted = spark.createDataFrame(list(enumerate(others + shuffled)), "doc_id long, text string")
+    assert language_id.identify(planted, models, limits).where("not rejected").count() <= 1
     import pandas as pd
 
     seen = pd.DataFrame({"lang": ["a"] * 101 + ["b"], "h": [*np.linspace(1, 2, 101), 4.0]})
