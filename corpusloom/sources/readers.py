@@ -208,21 +208,30 @@ def stream_paged(spark: SparkSession, fetch: str, head: str, schema: str, **opti
 
 
 def page_files(base: str | None) -> int:
-    """How many pages a folder of pages has: files `page-<number>.jsonl`."""
+    """How many pages a folder of pages has: files `page-*.jsonl` or `page-*.jsonl.zst`, numbered from 0 by name."""
+    return len(_pages(base or ""))
+
+
+def _pages(base: str) -> list[str]:
     from .files import files_under
 
-    return len(files_under(base or "", ".jsonl"))
+    return [p for p in files_under(base) if p.endswith((".jsonl", ".jsonl.zst"))]
 
 
 def page_file(number: int, base: str) -> list[tuple]:
     """The rows of a page of such a folder, values in the order of the keys."""
     import json
 
+    import zstandard
+
     from .files import file_system
 
-    system, folder = file_system(base)
-    with system.open_input_stream(f"{folder}/page-{number}.jsonl") as f:
-        return [tuple(v for _, v in sorted(json.loads(line).items())) for line in f.read().splitlines() if line.strip()]
+    path = _pages(base)[number]
+    system, name = file_system(path)
+    with system.open_input_stream(name, compression=None) as f:
+        data = f.read()
+    text = zstandard.ZstdDecompressor().decompressobj().decompress(data) if path.endswith(".zst") else data
+    return [tuple(v for _, v in sorted(json.loads(line).items())) for line in text.split(b"\n") if line.strip()]
 
 
 def crawl(pages: DataFrame, seeds: Sequence[str], depth: int, allowed: Callable, url_col: str = "url", html_col: str = "html") -> DataFrame:

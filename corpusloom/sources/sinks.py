@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,20 +116,35 @@ def verify_manifest(spark: SparkSession, path: str, expected: DataFrame) -> Data
 
 
 def write_pages(df: DataFrame, base: str, order: str, rows: int) -> None:
-    """A folder of pages `page-<number>.jsonl`, of so many rows each in the order, as a paged source (S8, S12) reads them."""
-    import pandas as pd
+    """A folder of pages `page-<range>-<number>.jsonl.zst`, of so many rows each in the order (a range's last page may have
+    fewer), as a paged source (S8, S12) reads them. One shuffle; pages are written as their rows come."""
+    import pyarrow as pa
+    from pyspark import TaskContext
 
-    from ..operators.ordering import numbered
     from .files import file_system
 
-    def page(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         system, folder = file_system(base)
-        lines = [line for _, line in sorted(zip(pdf["_n"], pdf["line"], strict=True))]
-        with system.open_output_stream(f"{folder}/page-{key[0]}.jsonl") as f:
-            f.write("".join(f"{line}\n" for line in lines).encode())
-        return pd.DataFrame({"rows": [len(lines)]})
+        part, page, number = TaskContext.get().partitionId(), [], 0
+
+        def flush() -> None:
+            nonlocal page, number
+            with system.open_output_stream(f"{folder}/page-{part:06d}-{number:08d}.jsonl.zst", compression=None) as f:
+                f.write(zstandard.ZstdCompressor().compress("".join(f"{line}\n" for line in page).encode()))
+            page, number = [], number + 1
+
+        for batch in batches:
+            for line in batch.column(0).to_pylist():
+                page.append(line)
+                if len(page) == rows:
+                    flush()
+        if page:
+            flush()
+        yield pa.RecordBatch.from_pydict({"pages": pa.array([number], pa.int32())})
 
     system, folder = file_system(base)
     system.create_dir(folder)
-    lines = numbered(df, "_n", order).select("_n", F.floor((F.col("_n") - 1) / rows).alias("page"), F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("line"))
-    lines.groupBy("page").applyInPandas(page, "rows int").agg(F.sum("rows")).collect()
+    lines = df.select(order, F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("line"))
+    lines.repartitionByRange(order).sortWithinPartitions(order).select("line").mapInArrow(write, "pages int").agg(F.sum("pages")).collect()
