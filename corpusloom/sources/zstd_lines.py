@@ -24,7 +24,9 @@ TASK_BYTES = 32 << 20
 
 def frames(file: BinaryIO) -> Iterator[tuple[int, int]]:
     """(start, end) of the data frames, from headers alone: each block tells its length, so nothing is decompressed."""
-    at = 0
+    file.seek(0, 2)
+    size_of_file, at = file.tell(), 0
+    file.seek(0)
     while len(head := file.read(4)) == 4:
         magic, start = struct.unpack("<I", head)[0], at
         if SKIPPABLE <= magic < SKIPPABLE + 16:
@@ -46,6 +48,8 @@ def frames(file: BinaryIO) -> Iterator[tuple[int, int]]:
             last, kind, size = number & 1, number >> 1 & 3, number >> 3
             at += 3 + (1 if kind == 1 else size)
         at += 4 * (flags >> 2 & 1)
+        if at > size_of_file:
+            raise ValueError(f"the frame at byte {start} is cut off")
         file.seek(at)
         yield start, at
 
