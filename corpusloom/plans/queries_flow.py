@@ -13,6 +13,7 @@ from ..operators import reports as R
 from ..operators import sampling as Q
 from ..operators import splits as S
 from ..operators import windows as V
+from ..operators.storage import save_point
 from ..sources import arrow_dataset, readers, resume, sinks, zstd_lines
 from ..streaming import streams
 from . import builders as D
@@ -53,7 +54,7 @@ def hub_stream(spark, d):
 @query(f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256({hform()}) ORDER BY doc_id) AS r FROM documents WHERE length(text) >= 200) WHERE r = 1")
 def resumed_collection(spark, d):
     """A collection of four steps that is killed in the third and goes on."""
-    t, root = O.numbered(read(spark, d, "documents").select("doc_id", "text"), "seq", "doc_id"), folder(spark)
+    t, root = save_point(O.numbered(read(spark, d, "documents").select("doc_id", "text"), "seq", "doc_id")), folder(spark)
     n, calls = t.count(), []
 
     def build(rows):
