@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,12 +61,14 @@ def remembers(owner: str, clear: Callable[[], None]) -> None:
 
 
 def claim(owner: str) -> None:
-    """Called where a task starts: what other operators left in this worker's memory goes."""
+    """Called where a task starts: what other operators left in this worker's memory goes, back to the system too."""
     if _owner[0] != owner:
         for name, clears in _caches.items():
             if name != owner:
                 for clear in clears:
                     clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _owner[0] = owner
 
 

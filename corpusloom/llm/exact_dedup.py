@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType, VariantType
 
-from ._common import BLANKS, clean_text, cut
+from ._common import BLANKS, claim, clean_text, cut
 
 #: Code points of the normalised text that lead the sort key; with the digest behind them a sampled splitter stays under 250 bytes.
 HEAD = 32
@@ -67,6 +67,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number the runs. The first and the last row of the partition carry their text, for the comparison across
     partitions."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_sha256", pa.string()), ("n_codepoints", pa.int32()), ("pos", pa.int64()), ("run", pa.int64()), ("pid", pa.int32()), ("place", pa.int32()), ("edge", pa.string())])
+    claim("exact_dedup")
     runs, held = Runs(), []
 
     def send(rows: list[list]) -> pa.RecordBatch:
@@ -148,6 +149,7 @@ def _over_borders(seen: DataFrame) -> list[tuple]:
 
 def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first row of each run, whole; then a row that tells what text the partition ends with."""
+    claim("exact_dedup")
     runs, kind = Runs(), None
 
     def send(rows: pa.Array, place: list[int], edge: list[str | None]) -> pa.RecordBatch:

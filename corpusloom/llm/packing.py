@@ -145,6 +145,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     groups = max(1, round(pieces.count() / group_rows))
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
+        claim("packing, placed")  # the tokenizer is not needed any more
         pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
         put = first_fit_decreasing(pdf["length"].tolist(), size)
         base = int(pdf["bucket"].iloc[0]) << 32

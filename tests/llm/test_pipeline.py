@@ -28,3 +28,17 @@ def test_stages_against_brute_force(spark):
             assert docs.where(F.regexp_count("text", F.lit(WORD)) == 0).count() == 0
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, d)
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_a_stage_forgets_what_others_left_from_its_first_task_on(spark):
+    from corpusloom.llm import _common, exact_dedup, language_id, packing
+
+    for first in (language_id._word_counts, exact_dedup._first_rows):
+        _common.claim("packing")
+        packing._tokenizers["x"] = None
+        task = first(iter([]))
+        try:
+            next(task, None)
+        except AttributeError:  # no task runs here
+            pass
+        assert not packing._tokenizers
