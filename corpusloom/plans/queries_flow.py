@@ -76,8 +76,9 @@ SELECT domain, url, arrived, max(arrived - 3.0 * i) OVER (PARTITION BY domain OR
 def polite_crawl(spark, d):
     """Pages arrive at second page_id; requests to a host are three seconds apart."""
     path = folder(spark)
-    read(spark, d, "pages").where("url is not null").select(F.regexp_extract("url", "://([^/?#]+)", 1).alias("domain"), "url", "page_id").write.parquet(f"{path}-in")
-    stream = streams.polite(streams.read_stream(spark, f"{path}-in", "domain string, url string, page_id long"), "domain", "url", "page_id", 3.0)
+    t = read(spark, d, "pages").where("url is not null").select(F.regexp_extract("url", "://([^/?#]+)", 1).alias("domain"), "url", "page_id")
+    streams.in_order(t, f"{path}-in", 200_000, "page_id")
+    stream = streams.polite(streams.read_stream(spark, f"{path}-in", "domain string, url string, page_id long", 1), "domain", "url", "page_id", 3.0)
     streams.append_once(stream, f"{path}-out", f"{path}-checkpoint").awaitTermination()
     return spark.read.schema("domain string, url string, arrived double, fetch_at double").parquet(f"{path}-out")
 

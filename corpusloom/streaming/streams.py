@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import random_key, text_hash
+from ..operators.ordering import in_ranges
 
 
 def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 100) -> DataFrame:
@@ -53,6 +54,21 @@ def running_top_k(stream: DataFrame, target: str, checkpoint: str, k: int, key:
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def in_order(df: DataFrame, path: str, rows: int, *order: str) -> None:
+    """`df` as a folder that a file stream reads in the order given, one file a batch: ranges of the order of about `rows`
+    rows, each one file, written one after another, as a stream takes files by their time. Rows equal in the order share
+    a file."""
+    t = in_ranges(df, *order)
+    blocks: list[list[int]] = []
+    for b, n in sorted((r["_b"], r["count"]) for r in t.groupBy("_b").count().collect()):
+        if blocks and blocks[-1][2] + n <= rows:
+            blocks[-1][1:] = [b, blocks[-1][2] + n]
+        else:
+            blocks.append([b, b, n])
+    for first, last, _ in blocks or [[0, 0, 0]]:
+        t.where(F.col("_b").between(first, last)).drop("_b").coalesce(1).write.mode("append").parquet(path)
+
+
 def append_once(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """K10 over a stream: what is there is processed, and a later run goes on from the checkpoint."""
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -61,18 +77,18 @@ def append_once(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 def polite(stream: DataFrame, domain: str, url: str, arrived: str, delay: float) -> DataFrame:
     """(domain, url, arrived, fetch_at) of a frontier stream, times in seconds: when each address may be asked for, so
     that requests to one domain are `delay` apart: in order of arrival within a batch, then batch after batch. A domain's
-    state is one number, when it is free again."""
+    state is one number, when it is free again; its rows of one batch are sorted in one task, so batches should be bounded
+    (see `in_order`)."""
     import pandas as pd
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def schedule(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        free = state.get[0] if state.exists else -float("inf")
-        for part in parts:
-            part, times = part.sort_values(["at", "url"]), []
-            for at in part["at"]:
-                times.append(max(at, free))
-                free = times[-1] + delay
-            yield pd.DataFrame({"domain": key[0], "url": part["url"], "arrived": part["at"], "fetch_at": times})
+        free, times = state.get[0] if state.exists else -float("inf"), []
+        rows = pd.concat([part[["url", "at"]] for part in parts]).sort_values(["at", "url"])  # parts come in no order
+        for at in rows["at"]:
+            times.append(max(at, free))
+            free = times[-1] + delay
+        yield pd.DataFrame({"domain": key[0], "url": rows["url"], "arrived": rows["at"], "fetch_at": times})
         state.update((free,))
 
     rows = stream.select(F.col(domain).alias("domain"), F.col(url).alias("url"), F.col(arrived).cast("double").alias("at"))

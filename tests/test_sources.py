@@ -155,3 +155,24 @@ def test_requests_of_a_domain_keep_their_distance(spark, tmp_path):
         free[d], t = max(at, free.get(d, at)) + 7, max(at, free.get(d, at))
         want.append((d, u, at, t))
     assert got == sorted(want)
+
+
+def test_a_host_of_many_rows_is_fetched_in_order_of_arrival(spark, tmp_path):
+    """Its rows come to Python in several parts of no order, and in several batches."""
+    rows = [(f"h{i % 50 == 0}", f"u{i % 7}", i) for i in reversed(range(400))]
+    many = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(many)
+    spark.conf.set(many, 20)
+    try:
+        streams.in_order(spark.createDataFrame(rows, "domain string, url string, at long").repartition(5), f"{tmp_path}/in", 150, "at")
+        stream = streams.polite(streams.read_stream(spark, f"{tmp_path}/in", "domain string, url string, at long", 1), "domain", "url", "at", 3.0)
+        streams.append_once(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    finally:
+        spark.conf.set(many, before)
+    want, free = set(), {}
+    for host, url, at in sorted(rows, key=lambda r: r[2]):
+        at_last = max(at, free.get(host, 0))
+        free[host] = at_last + 3
+        want.add((host, url, at, at_last))
+    got = spark.read.schema("domain string, url string, arrived double, fetch_at double").parquet(f"{tmp_path}/out").collect()
+    assert len(got) == 400 and {(*r[:2], int(r[2]), int(r[3])) for r in got} == want
