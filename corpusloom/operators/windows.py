@@ -169,13 +169,13 @@ def apart(windows: DataFrame, min_gap: int, most: int, id_col: str = "doc_id", o
     return windows.groupBy(id_col).applyInPandas(pick, windows.schema)
 
 
-def labelled_windows(docs: DataFrame, id_col: str = "doc_id", length: int = LENGTH, stride: int = STRIDE) -> DataFrame:
+def labelled_windows(docs: DataFrame, id_col: str = "doc_id", length: int = LENGTH, stride: int = STRIDE, keep: Sequence[str] = ()) -> DataFrame:
     """Windows of documents (id, tokens, payload, span_start, span_stop) with the payload's visibility and a
     label; windows in which it cannot be told are left out."""
-    w = explode_windows(docs, "text", length, stride, tokens=F.col("tokens"), keep=[id_col, "payload", "span_start", "span_stop"])
+    w = explode_windows(docs, "text", length, stride, tokens=F.col("tokens"), keep=[id_col, "payload", "span_start", "span_stop", *keep])
     shared = overlap(F.col("token_start"), F.col("token_end"), F.col("span_start"), F.col("span_stop"))
     seen = visibility(shared, F.col("span_stop") - F.col("span_start"), F.col("window_text"), F.col("payload"))
-    w = w.withColumn("v", seen).select("*", F.col("v.visibility").alias("visibility"), F.col("v.ratio").alias("overlap_ratio")).drop("v")
+    w = w.select("*", F.inline(F.array(seen)).alias("visibility", "overlap_ratio"))  # made once; the filter below would make it again
     return w.where("visibility <> 'partial_ambiguous'").withColumn("label", F.col("visibility").isin("full", "partial_material").cast("int"))
 
 
@@ -184,14 +184,15 @@ def inject(carriers: DataFrame, payloads: DataFrame, seed: int = 42, id_col: str
     injected document (visible ones positive) and those of the untouched carrier (negative), by shared carrier id.
 
     Payloads are dealt in cycles over the seeded order of the carriers (J11)."""
-    from ..functions.text import insert_tokens, token_position
+    from ..functions.text import has_words, insert_tokens, token_position
     from .joins import deal
 
     dealt = deal(carriers.select(id_col, "text"), payloads.select("payload_id", "payload"), seed, id_col, "payload_id")
+    dealt = dealt.where(has_words("text") & has_words("payload"))  # a filter on what is made of them would make it twice
     t = dealt.withColumn("place", token_position(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"), F.col("payload_id").cast("string"))))
-    t = t.withColumn("i", insert_tokens(words("text"), words("payload"), F.col("place"), F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))).where("i is not null")
+    t = t.withColumn("i", insert_tokens(words("text"), words("payload"), F.col("place"), F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))))
     made = t.select(id_col, "payload_id", "place", "payload", F.col("i.tokens").alias("tokens"), F.col("i.start").alias("span_start"), F.col("i.stop").alias("span_stop"))
-    hit = labelled_windows(made, id_col, length, stride).join(made.select(id_col, "payload_id", "place"), id_col)
+    hit = labelled_windows(made, id_col, length, stride, ["payload_id", "place"])
     plain = explode_windows(carriers.select(id_col, "text"), "text", length, stride).withColumn("label", F.lit(0)).withColumn("visibility", F.lit("none"))
     cols = [id_col, "window_index", "token_start", "token_end", "window_text", "label", "visibility"]
     return hit.select(*cols, "payload_id", "place", F.when(F.col("label") == 1, "embedded_attack").otherwise("same_document_contrast").alias("component")).unionByName(plain.select(*cols, F.lit(None).cast("long").alias("payload_id"), F.lit(None).cast("string").alias("place"), F.lit("original_contrast").alias("component")))

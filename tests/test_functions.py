@@ -186,3 +186,22 @@ def test_anomalies(spark):
     assert [x.score for x in got] == [9, 2, 4, 0, 6]  # a seventh of "label=1" is a symbol of code
     got = many(spark, F.transform(F.array(parts(11)), lambda p: B.anomaly(p, "t", F.lit(0.9995), F.lit("ru"), {"w": "WORD"}))[0], texts[3])
     assert got[0].bucket == "template_boilerplate_artifact" and got[0].score == 3 * 3 + 1 + 2 + 1
+
+
+def test_white_space_is_what_it_was(spark):
+    """The class that rules most characters out first, against the plain one, over all characters."""
+    plain = r"[ \t-\r\x85\xa0  -     　]+"
+    chars = spark.createDataFrame([(f"a{chr(i)}{chr(i)}b",) for i in range(1, 0x11000) if not 0xD800 <= i < 0xE000] + [(" \t\x85 x　\n y ",), ("",), (None,)], "t string")
+    want = F.trim(F.regexp_replace(F.coalesce("t", F.lit("")), plain, " "))
+    old = F.trim(F.regexp_replace(F.lower(want), plain, " "))
+    assert chars.where((T.normalize("t") != want) | (T.hash_form("t") != old) | (T.has_words("t") != (F.size(T.words("t")) > 0))).count() == 0
+
+
+def test_words_are_cut_once_where_a_phrase_is_inserted(spark):
+    from corpusloom.operators import windows as V
+
+    docs = spark.createDataFrame([(i, f"a{i} b c d") for i in range(9)] + [(9, " \n"), (10, None)], "doc_id long, text string")
+    payloads = spark.createDataFrame([(1, "x y"), (2, "z")], "payload_id long, payload string")
+    made = V.inject(docs, payloads)
+    assert made.groupBy("component").count().collect() and not made.where("doc_id > 8").count()
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 20
