@@ -105,3 +105,13 @@ def test_whole_flagship(spark, docs):
             assert max(counts.values()) <= most
     assert all(r.doc_id % 2 == 0 for r in rows if r.component == "reviewed_near_boundary") and all(r.doc_id % 3 > 0 for r in rows if r.component == "missed_attack")
     assert {r.pool: r["rows"] for r in b.reports["pools"].collect()}.keys() == {"train", "validation", "locked"}
+
+
+def test_documents_of_a_flagship_are_made_once(spark, monkeypatch):
+    """What the pools are made of is read from files, not deduplicated anew for each use."""
+    from corpusloom.plans.queries import QUERIES
+
+    seen, real = [], D.S.atomic_split
+    monkeypatch.setattr(D.S, "atomic_split", lambda df, *a: seen.append(df) or real(df, *a))
+    QUERIES["build_flagship"](spark, SF)
+    assert len(seen) == 1 and "Window" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
