@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -156,17 +157,25 @@ def likely_windows(windows: DataFrame, likely: Column, id_col: str = "doc_id") -
 
 
 def apart(windows: DataFrame, min_gap: int, most: int, id_col: str = "doc_id", order: str = "score") -> DataFrame:
-    """Greedily, by falling score, windows of a document whose starts are `min_gap` tokens apart. A
-    document's windows are few; they are folded one document at a time."""
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, kept = pdf.sort_values([order, "window_index"], ascending=[False, True]), []
-        for i, start in zip(pdf.index, pdf["token_start"], strict=True):
-            if len(kept) < most and all(abs(start - pdf.at[j, "token_start"]) >= min_gap for j in kept):
-                kept.append(i)
-        return pdf.loc[kept]
-
-    return windows.groupBy(id_col).applyInPandas(pick, windows.schema)
+    """Greedily, by falling score, windows of a document whose starts are `min_gap` tokens apart. Documents are
+    sorted, and their windows are read as they come; what is held is the places taken of one document."""
+    score = F.col(order).cast("double")
+    falling = F.when(~F.isnan(score), score).desc_nulls_last()
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, taken = object(), []
+        for batch in batches:
+            keep = []
+            for d, start in zip(batch.column(id_col).to_pylist(), batch.column("token_start").to_pylist(), strict=True):
+                if d != doc:
+                    doc, taken = d, []
+                ok = len(taken) < most and all(abs(start - x) >= min_gap for x in taken)
+                if ok:
+                    taken.append(start)
+                keep.append(ok)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return windows.repartition(id_col).sortWithinPartitions(id_col, falling, "window_index").mapInArrow(pick, windows.schema)
 
 
 def labelled_windows(docs: DataFrame, id_col: str = "doc_id", length: int = LENGTH, stride: int = STRIDE, keep: Sequence[str] = ()) -> DataFrame:
