@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -60,6 +61,16 @@ def remembers(owner: str, clear: Callable[[], None]) -> None:
     _caches.setdefault(owner, []).append(clear)
 
 
+def give_back() -> None:
+    """What this worker has freed goes back to the system: Arrow's pool and the C library's heap keep it otherwise, also while
+    the worker is idle and its executor's JVM needs the room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def claim(owner: str) -> None:
     """Called where a task starts: what other operators left in this worker's memory goes, back to the system too."""
     if _owner[0] != owner:
@@ -67,9 +78,8 @@ def claim(owner: str) -> None:
             if name != owner:
                 for clear in clears:
                     clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
         _owner[0] = owner
+        give_back()
 
 
 def bucket_of(key: Column, count: int) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType, VariantType
 
-from ._common import BLANKS, claim, clean_text, cut
+from ._common import BLANKS, claim, clean_text, cut, give_back
 
 #: Code points of the normalised text that lead the sort key; with the digest behind them a sampled splitter stays under 250 bytes.
 HEAD = 32
@@ -165,6 +165,8 @@ def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield send(rows, place, edge)
     if runs.column is not None:
         yield send(pa.nulls(1, kind), [LAST], [runs.text])
+    del runs
+    give_back()
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import claim, clean_text, remembers
+from ._common import claim, clean_text, give_back, remembers
 
 #: Characters of the longest n-gram; about how many labelled documents of a language are learned from, and how many of its distinct words, the most frequent, at most.
 ORDER, TAUGHT, MOST_WORDS = 4, 800, 150_000
@@ -199,6 +199,12 @@ def scorer_of(models: Models) -> Scorer:
     return _last[0]
 
 
+def forget() -> None:
+    """A worker's scorer goes, and its memory with it."""
+    _last.clear()
+    give_back()
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     claim("language_id")
     for whole in batches:
@@ -311,16 +317,18 @@ def keep_identified(docs: DataFrame, per_language: int = TAUGHT) -> DataFrame:
     models, limits = learn(docs.select("doc_id", "text", "lang"), per_language=per_language)
     handed = docs.sparkSession.sparkContext.broadcast((models, limits))
 
-    @F.pandas_udf("boolean")
-    def good(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def good(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m, lim = handed.value
         scorer = scorer_of(m)
         top = np.array([lim[x] for x in m.langs])
         for s in parts:
             ok = []
-            for at in range(0, len(s), 500):
-                h = scorer.texts(list(s.iloc[at : at + 500])) if m.langs else np.full((len(s.iloc[at : at + 500]), 1), np.nan)
+            for at in range(0, len(s), 500):  # texts are Python's a slice at a time
+                texts = s.slice(at, 500).to_pylist()
+                h = scorer.texts(texts) if m.langs else np.full((len(texts), 1), np.nan)
                 ok += [not np.isnan(r[0]) and bool(r.min() <= top[r.argmin()]) for r in h]
-            yield pd.Series(ok, dtype="bool")
+            yield pa.array(ok, pa.bool_())
+        forget()  # the stages that follow begin in the JVM, beside this worker
 
     return docs.where(good(clean_text("text")))
