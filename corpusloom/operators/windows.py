@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import as_column, normalize, once, random_key, words
+from ..functions.text import WORD_CHARS, as_column, normalize, once, random_key, words
 
 #: Tokens of a window and between window starts.
 LENGTH, STRIDE = 254, 128
@@ -134,8 +134,8 @@ def fragment_visible(window: Column | str, payload: Column | str, shingle: int =
         hit = F.contains(w, p) | ((F.size(tokens) >= shingle) & F.exists(shingles, lambda s: F.contains(w, s))) | ((F.length(packed) >= span) & F.exists(spans, lambda s: F.contains(compact, s)))
         return (w != "") & (p != "") & hit
 
-    w, p = F.lower(normalize(window)), F.lower(normalize(payload))
-    return once(seen, w=w, p=p, tokens=F.regexp_extract_all(p, F.lit(r"(?U)(\w{3,})")), compact=F.regexp_replace(w, " ", ""), packed=F.regexp_replace(p, " ", ""))
+    forms = lambda w, p: once(seen, w=w, p=p, tokens=F.regexp_extract_all(p, F.lit(f"({WORD_CHARS}{{3,}})")), compact=F.translate(w, " ", ""), packed=F.translate(p, " ", ""))
+    return once(forms, w=F.lower(normalize(window)), p=F.lower(normalize(payload)))
 
 
 #: Fixed value: the tokens that lexical overlap counts.
