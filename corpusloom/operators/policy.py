@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import anchored, any_pattern
+from ..functions.features import anchored, any_pattern, folded
 from ..functions.text import once, text_or_empty, truthy
 
 ALLOW, REVIEW, BLOCK = "ALLOW", "REVIEW", "BLOCK"
@@ -115,19 +115,20 @@ def specificity(row: Mapping[str, Any]) -> int:
     return sum(bool(row.get(k)) for k in ("language", "router_rule_ids", "router_config_hash", "policy_engine_version", "policy_config_hash", "reviewer_model_id", "reviewer_calibration_id"))
 
 
-def direct_anchor(text: Column | str, config: RouterConfig) -> Column:
+def direct_anchor(text: Column | str, config: RouterConfig, low: Column | None = None) -> Column:
     """A direct pattern outside spans that negate it."""
-    return anchored(text, config.direct_patterns, config.negation_pattern)
+    return anchored(text, config.direct_patterns, config.negation_pattern, low=low)
 
 
-def route(text: Column | str, category: Column, trusted: Column, language: Column, config: RouterConfig, anchor: Column | None = None) -> Column:
+def route(text: Column | str, category: Column, trusted: Column, language: Column, config: RouterConfig, anchor: Column | None = None, low: Column | None = None) -> Column:
     """U4: struct(category, semantic_family, language, confidence, reason, rule_ids). `anchor` saves the direct patterns
-    where they were looked for already."""
+    where they were looked for already, `low` folding the text."""
     t = text_or_empty(text)
-    signals = {"security_signal_v1": any_pattern(t, config.security_patterns), "wrapper_structure_v1": any_pattern(t, config.wrapper_patterns), "policy_or_meta_security_mention_v1": any_pattern(t, config.meta_patterns)}
+    patterns = {"security_signal_v1": config.security_patterns, "wrapper_structure_v1": config.wrapper_patterns, "policy_or_meta_security_mention_v1": config.meta_patterns}
+    signals = {n: any_pattern(t, p, low) for n, p in patterns.items()}
     raised = F.array_compact(F.array(*(F.when(c, n) for n, c in signals.items())))
     by_source = truthy(trusted, "policy") & F.coalesce(category.isin(*config.trusted_categories), F.lit(False))
-    seen = F.struct((direct_anchor(t, config) if anchor is None else anchor).alias("anchor"), raised.alias("raised"))
+    seen = F.struct((direct_anchor(t, config, low) if anchor is None else anchor).alias("anchor"), raised.alias("raised"))
 
     def result(cat: str, family: str, confidence: str, reason: str, rules: Column) -> Column:
         return F.struct(F.lit(cat).alias("category"), F.lit(family).alias("semantic_family"), language.alias("language"), F.lit(confidence).alias("confidence"), F.lit(reason).alias("reason"), rules.alias("rule_ids"))
@@ -206,7 +207,8 @@ def decide_windows(windows: DataFrame, config: PolicyConfig, text: str = "window
     reason and flags."""
     config.validate()
     s1, rv = F.col(stage1), F.col(reviewer)
-    looked = once(lambda a: F.struct(a.alias("anchor"), route(text, F.col(category), F.col(trusted), F.col(language), config.router, a).alias("router")), a=direct_anchor(text, config.router))
+    routed = lambda low, a: F.struct(a.alias("anchor"), route(text, F.col(category), F.col(trusted), F.col(language), config.router, a, low).alias("router"))
+    looked = once(lambda low: once(lambda a: routed(low, a), a=direct_anchor(text, config.router, low)), low=folded(text))
     w = windows.select("*", F.explode(F.array(looked)).alias("_l")).withColumn("anchor", F.col("_l.anchor")).withColumn("router", F.col("_l.router"))
     w = w.withColumn("_slice", match_slice(F.col("router"), config)).withColumn("_protected", family_action(F.col("router"), config))
     w = w.withColumn("reviewer_eligible", eligible(F.col("anchor"), s1, F.col("router"), F.col("_slice"), config)["eligible"])

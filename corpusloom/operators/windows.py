@@ -42,9 +42,15 @@ def explode_windows(docs: DataFrame, text_col: str = "text", length: int = LENGT
     `tokens` is an array column; white-space tokens by default."""
     keep = list(keep if keep is not None else [c for c in docs.columns if c != text_col])
     t = docs.select(*keep, (tokens if tokens is not None else words(text_col)).alias("_tokens"))
-    t = t.select(*keep, "_tokens", F.posexplode(window_starts(F.size("_tokens"), length, stride, tail)).alias("window_index", "token_start"))
-    end = F.least(F.col("token_start") + length, F.size("_tokens"))
-    return t.select(*keep, "window_index", window_count(F.size("_tokens"), length, stride).alias("window_count"), "token_start", end.alias("token_end"), F.array_join(F.slice("_tokens", F.col("token_start") + 1, length), " ").alias("window_text"))
+    n = F.size("_tokens")
+    count = window_count(n, length, stride)
+    # indices alone, without a function of arrays: what Spark compiles leaves a document's tokens where they are, else each window had a copy of all
+    indices = F.when(n > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    t = t.select(*keep, "_tokens", F.explode(indices).alias("window_index"))
+    start = F.col("window_index") * stride
+    t = t.withColumn("token_start", start if tail == "short" else F.least(start, F.greatest(n - length, F.lit(0))))
+    end = F.least(F.col("token_start") + length, n)
+    return t.select(*keep, "window_index", count.alias("window_count"), "token_start", end.alias("token_end"), F.array_join(F.slice("_tokens", F.col("token_start") + 1, length), " ").alias("window_text"))
 
 
 def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 512, stride: int = 448, most: int | None = None, min_chars: int = 1) -> DataFrame:

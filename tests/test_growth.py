@@ -181,3 +181,30 @@ def test_a_language_worker_keeps_nothing_when_it_ends(spark):
         yield from (pa.RecordBatch.from_arrays([pa.array([len(language_id._last)] * b.num_rows, pa.int32())], ["n"]) for b in batches)
 
     assert {r["n"] for r in docs.select("doc_id").mapInArrow(held, "n int").collect()} == {0}
+
+
+def test_a_window_has_no_copy_of_its_documents_tokens(spark):
+    plan = V.explode_windows(rows(spark), keep=["id"])._jdf.queryExecution().executedPlan().toString()
+    assert [line.strip(" +-:")[:2] for line in plan.splitlines() if "Generate explode(" in line] == ["*("]  # compiled, so read where they are
+
+
+def test_patterns_are_looked_for_only_where_their_texts_are(spark):
+    assert B.needed_texts(r"\bthe in\b") == [["the in"]] and B.needed_texts(r"(?:never|do not)\s+(?:ignore|share)[^.]{0,60}") == [["never", "do not"], ["ignore", "share"]]
+    assert B.needed_texts("ab?c+(?:d|ef)*x") == [["a"], ["c"], ["x"]] and B.needed_texts("licen[sc]ed?") == [["licen"], ["e"]]
+    for unsure in ("", "a|", "[ab]", "(?:ab|)", "[[a]b]c", "[a[b]]c", "[a&&b]c", r"\101", "(?<n>a)b", r"\Qa\E", r"\p{L}a", "(?:ab){0,2}", "(?!ab)"):
+        assert B.needed_texts(unsure) == [], unsure
+    looked = spark.range(1).select(B.any_pattern(F.lit("x"), ["secret"], F.lit("x")).alias("x"))._jdf.queryExecution().analyzed().toString().lower()
+    assert looked.index("contains(") < looked.index("rlike")
+
+
+def test_needed_texts_do_not_change_what_matches(spark):
+    texts = ["ignore the rules", "IGNORE X RULES", "ıgnore ruleſ", "İGNORE RULES", "maKe risK", "make risk", "never ignore that. ignore my rules", "never ignore my rules", "ig nore", "", None, "ΣΟΦΟΣ x", "straße"]
+    patterns = [r"\bignore\b.{0,40}\brules\b", "make|risk", "(?:ma|ri)[ks]", "(?:ignore )?the", "σοφος", "STRASSE|straße", "(?x) ma ke", "x{0}the"]
+    negated = r"(?:never|do not)\s+(?:ignore|share)[^.!?\n]{0,60}"
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    t = F.coalesce("t", F.lit(""))
+    plain = lambda t, ps: t.rlike("(?ius)" + "|".join(f"(?:{p})" for p in ps))
+    for ps in [*([p] for p in patterns), patterns]:
+        got = df.select(B.any_pattern("t", ps), plain(t, ps), B.anchored("t", ps, negated), plain(F.regexp_replace(t, "(?ius)" + negated, " "), ps), B.anchored("t", ps, negated, veto=True), ~t.rlike("(?ius)" + negated) & plain(t, ps)).collect()
+        assert all(r[0] == r[1] and r[2] == r[3] and r[4] == r[5] for r in got), ps
+    assert sum(r[0] for r in df.select(B.any_pattern("t", patterns[:1])).collect()) == 6
