@@ -99,30 +99,37 @@ def overlap(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
     return F.greatest(F.lit(0), F.least(a1, b1) - F.greatest(a0, b0))
 
 
-def shows_text(window: Column | str, payload: Column | str, min_chars: int = 24, atoms: Sequence[str] = ()) -> Column:
-    """The window has the payload, or up to ten of its words in a row with `min_chars` characters, or an atom that the
-    payload has too. Case and white space do not count."""
+def payload_forms(payload: Column | str, min_chars: int = 24) -> Column:
+    """What `shows_text` looks for: struct(text, runs), the payload's form and, of up to ten of its words in a row with
+    `min_chars` characters, the first that reach them: a longer run is there only if these are."""
+
+    def forms(p: Column) -> Column:
+        runs = lambda t: F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.array_join(F.slice(t, i, 10), " "))
+        cut = lambda end, x: F.when(end > 0, F.substring(x, F.lit(1), end - 1)).otherwise(x)
+        long = F.filter(once(runs, t=F.split(p, " ")), lambda x: F.length(x) >= min_chars)
+        return F.struct(p.alias("text"), F.array_distinct(F.transform(long, lambda x: cut(F.locate(" ", x, min_chars + 1), x))).alias("runs"))
+
+    return once(forms, p=F.lower(normalize(payload)))
 
-    def seen(w: Column, p: Column, ten: Column) -> Column:
-        def shown(phrase: Column) -> Column:
-            # its first words that reach `min_chars`; a longer run is there only if these are
-            end = F.locate(" ", phrase, min_chars + 1)
-            return (F.length(phrase) >= min_chars) & F.contains(w, F.when(end > 0, F.substring(phrase, F.lit(1), end - 1)).otherwise(phrase))
 
-        atom = sum(((F.contains(p, F.lit(a.lower())) & F.contains(w, F.lit(a.lower()))).cast("int") for a in atoms), F.lit(0)) > 0
-        return (w != "") & (p != "") & (F.contains(w, p) | F.exists(ten, shown) | atom)
+def shows_text(window: Column | str, payload: Column | str, min_chars: int = 24, atoms: Sequence[str] = (), forms: Column | None = None) -> Column:
+    """The window has the payload, or up to ten of its words in a row with `min_chars` characters, or an atom that the
+    payload has too. Case and white space do not count. `forms` saves making the payload's forms for each window."""
+
+    def seen(w: Column, f: Column) -> Column:
+        atom = sum(((F.contains(f["text"], F.lit(a.lower())) & F.contains(w, F.lit(a.lower()))).cast("int") for a in atoms), F.lit(0)) > 0
+        return (w != "") & (f["text"] != "") & (F.contains(w, f["text"]) | F.exists(f["runs"], lambda x: F.contains(w, x)) | atom)
 
-    p = F.lower(normalize(payload))
-    runs = lambda t: F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.array_join(F.slice(t, i, 10), " "))
-    return once(seen, w=F.lower(normalize(window)), p=p, ten=once(runs, t=F.split(p, " ")))
+    return once(seen, w=F.lower(normalize(window)), f=payload_forms(payload, min_chars) if forms is None else forms)
 
 
-def visibility(shared: Column, total: Column, window_text: Column, text: Column, min_tokens: int = 8, min_chars: int = 24, atoms: Sequence[str] = ()) -> Column:
+def visibility(shared: Column, total: Column, window_text: Column, text: Column, min_tokens: int = 8, min_chars: int = 24, atoms: Sequence[str] = (), forms: Column | None = None) -> Column:
     """struct(visibility, ratio) of a payload in a window: 'none' without shared tokens; from 85 % of them on 'full' if
     the text shows it; of a short payload only all of it counts; else 'partial_material' with `min_tokens` and the text.
-    What the text does not show is 'partial_ambiguous'."""
+    What the text does not show is 'partial_ambiguous'. The window's text is not looked at without shared tokens; `forms`
+    are `payload_forms`."""
     ratio = F.coalesce(F.try_divide(shared, total), F.lit(0.0))
-    seen = shows_text(window_text, text, min_chars, atoms)
+    seen = shows_text(window_text, text, min_chars, atoms, forms)
     kind = (
         F.when((total <= 0) | (shared <= 0), "none").when((shared >= total) | (ratio >= 0.85), F.when(seen, "full").otherwise("partial_ambiguous"))
         .when((total > min_tokens) & (shared >= min_tokens) & seen, "partial_material").otherwise("partial_ambiguous")
@@ -187,10 +194,11 @@ def apart(windows: DataFrame, min_gap: int, most: int, id_col: str = "doc_id", o
 def labelled_windows(docs: DataFrame, id_col: str = "doc_id", length: int = LENGTH, stride: int = STRIDE, keep: Sequence[str] = ()) -> DataFrame:
     """Windows of documents (id, tokens, payload, span_start, span_stop) with the payload's visibility and a
     label; windows in which it cannot be told are left out."""
-    w = explode_windows(docs, "text", length, stride, tokens=F.col("tokens"), keep=[id_col, "payload", "span_start", "span_stop", *keep])
+    forms = docs.withColumn("_forms", payload_forms("payload"))
+    w = explode_windows(forms, "text", length, stride, tokens=F.col("tokens"), keep=[id_col, "payload", "span_start", "span_stop", "_forms", *keep])
     shared = overlap(F.col("token_start"), F.col("token_end"), F.col("span_start"), F.col("span_stop"))
-    seen = visibility(shared, F.col("span_stop") - F.col("span_start"), F.col("window_text"), F.col("payload"))
-    w = w.select("*", F.inline(F.array(seen)).alias("visibility", "overlap_ratio"))  # made once; the filter below would make it again
+    seen = visibility(shared, F.col("span_stop") - F.col("span_start"), F.col("window_text"), F.col("payload"), forms=F.col("_forms"))
+    w = w.select("*", F.inline(F.array(seen)).alias("visibility", "overlap_ratio")).drop("_forms")  # made once; the filter below would make it again
     return w.where("visibility <> 'partial_ambiguous'").withColumn("label", F.col("visibility").isin("full", "partial_material").cast("int"))
 
 

@@ -208,3 +208,18 @@ def test_needed_texts_do_not_change_what_matches(spark):
         got = df.select(B.any_pattern("t", ps), plain(t, ps), B.anchored("t", ps, negated), plain(F.regexp_replace(t, "(?ius)" + negated, " "), ps), B.anchored("t", ps, negated, veto=True), ~t.rlike("(?ius)" + negated) & plain(t, ps)).collect()
         assert all(r[0] == r[1] and r[2] == r[3] and r[4] == r[5] for r in got), ps
     assert sum(r[0] for r in df.select(B.any_pattern("t", patterns[:1])).collect()) == 6
+
+
+def test_window_visibility_moves_no_text(spark):
+    from corpusloom.plans.queries import QUERIES
+
+    plan = QUERIES["window_visibility"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan parquet") == 1
+
+
+def test_forms_of_a_payload_do_not_change_what_is_shown(spark):
+    phrase = "one two three four five six seven eight nine ten eleven twelve"
+    windows = ["x three four five six seven y", "x three four five y", f"A {phrase.upper()}", "", "antidisestablishmentarianism", None]
+    df = spark.createDataFrame([(w, p) for w in windows for p in (phrase, "", "short", "x antidisestablishmentarianism")], "w string, p string")
+    got = df.select(V.shows_text("w", "p"), V.shows_text("w", "p", forms=V.payload_forms("p"))).collect()
+    assert [r[0] for r in got] == [r[1] for r in got] and [i for i, r in enumerate(got) if r[0]] == [0, 8, 19]
