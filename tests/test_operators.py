@@ -1,5 +1,6 @@
 """Windows, joins, splits, selection, metrics, gates, sources, sinks and streams."""
 
+import hashlib
 import json
 import math
 import random
@@ -139,6 +140,17 @@ def test_joins(spark):
     assert J.deal(texts, bank, 1, "id", "n").count() == 3 and J.deal(texts, bank.limit(0), 1, "id", "n").count() == 0
 
 
+def test_deal_goes_in_cycles(spark):
+    """Against the walk through both seeded orders: every right row before any comes again, rows of one id too."""
+    left = [(i // 2 if i < 20 else i, f"t{i}") for i in range(103)]
+    place = lambda i: hashlib.sha256(f"7:{i}".encode()).hexdigest()
+    for size in (1, 7, 200):
+        turns, bank = sorted(left, key=lambda r: (place(r[0]), *r)), sorted(range(size), key=place)
+        want = sorted((*r, bank[n % size]) for n, r in enumerate(turns))
+        got = J.deal(spark.createDataFrame(left, "id long, t string"), spark.range(size).withColumnRenamed("id", "n"), 7, "id", "n")
+        assert sorted((r.id, r.t, r.n) for r in got.collect()) == want
+
+
 def test_quotas(spark):
     counts = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2)], "k string, rows long")
     assert {r.k: r.quota for r in Q.largest_remainder(counts, 3, "k").collect()} == {"a": 1, "b": 1, "c": 1}
