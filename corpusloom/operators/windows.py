@@ -207,18 +207,32 @@ def inject(carriers: DataFrame, payloads: DataFrame, seed: int = 42, id_col: str
     injected document (visible ones positive) and those of the untouched carrier (negative), by shared carrier id.
 
     Payloads are dealt in cycles over the seeded order of the carriers (J11)."""
-    from ..functions.text import has_words, insert_tokens, token_position
     from .joins import deal
 
     dealt = deal(carriers.select(id_col, "text"), payloads.select("payload_id", "payload"), seed, id_col, "payload_id")
+    return inject_dealt(dealt, seed, id_col, length, stride).unionByName(untouched(carriers, id_col, length, stride))
+
+
+_INJECTED = ("window_index", "token_start", "token_end", "window_text", "label", "visibility")
+
+
+def inject_dealt(dealt: DataFrame, seed: int = 42, id_col: str = "doc_id", length: int = LENGTH, stride: int = STRIDE, keep: Sequence[str] = ()) -> DataFrame:
+    """The windows of injected documents, of carriers that have their payload (id, text, payload_id, payload). Columns
+    `keep` go along."""
+    from ..functions.text import has_words, insert_tokens, token_position
+
     dealt = dealt.where(has_words("text") & has_words("payload"))  # a filter on what is made of them would make it twice
     t = dealt.withColumn("place", token_position(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"), F.col("payload_id").cast("string"))))
     t = t.withColumn("i", insert_tokens(words("text"), words("payload"), F.col("place"), F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))))
-    made = t.select(id_col, "payload_id", "place", "payload", F.col("i.tokens").alias("tokens"), F.col("i.start").alias("span_start"), F.col("i.stop").alias("span_stop"))
-    hit = labelled_windows(made, id_col, length, stride, ["payload_id", "place"])
-    plain = explode_windows(carriers.select(id_col, "text"), "text", length, stride).withColumn("label", F.lit(0)).withColumn("visibility", F.lit("none"))
-    cols = [id_col, "window_index", "token_start", "token_end", "window_text", "label", "visibility"]
-    return hit.select(*cols, "payload_id", "place", F.when(F.col("label") == 1, "embedded_attack").otherwise("same_document_contrast").alias("component")).unionByName(plain.select(*cols, F.lit(None).cast("long").alias("payload_id"), F.lit(None).cast("string").alias("place"), F.lit("original_contrast").alias("component")))
+    made = t.select(id_col, "payload_id", "place", "payload", F.col("i.tokens").alias("tokens"), F.col("i.start").alias("span_start"), F.col("i.stop").alias("span_stop"), *keep)
+    hit = labelled_windows(made, id_col, length, stride, ["payload_id", "place", *keep])
+    return hit.select(id_col, *_INJECTED, "payload_id", "place", F.when(F.col("label") == 1, "embedded_attack").otherwise("same_document_contrast").alias("component"), *keep)
+
+
+def untouched(carriers: DataFrame, id_col: str = "doc_id", length: int = LENGTH, stride: int = STRIDE, keep: Sequence[str] = ()) -> DataFrame:
+    """The windows of carriers as they are, with the columns of `inject_dealt`."""
+    plain = explode_windows(carriers.select(id_col, "text", *keep), "text", length, stride).withColumn("label", F.lit(0)).withColumn("visibility", F.lit("none"))
+    return plain.select(id_col, *_INJECTED, F.lit(None).cast("long").alias("payload_id"), F.lit(None).cast("string").alias("place"), F.lit("original_contrast").alias("component"), *keep)
 
 
 def score_windows(windows: DataFrame, score, text_col: str = "window_text", eligible: Column | None = None) -> DataFrame:

@@ -223,3 +223,24 @@ def test_forms_of_a_payload_do_not_change_what_is_shown(spark):
     df = spark.createDataFrame([(w, p) for w in windows for p in (phrase, "", "short", "x antidisestablishmentarianism")], "w string, p string")
     got = df.select(V.shows_text("w", "p"), V.shows_text("w", "p", forms=V.payload_forms("p"))).collect()
     assert [r[0] for r in got] == [r[1] for r in got] and [i for i, r in enumerate(got) if r[0]] == [0, 8, 19]
+
+
+def saved(monkeypatch, make):
+    """The tables that a build writes between its steps, as sets of columns."""
+    seen, real = [], D.X.save_point
+    monkeypatch.setattr(D.X, "save_point", lambda df: seen.append(set(df.columns)) or real(df))
+    return make(), [c for c in seen if c & {"text", "window_text", "attack_text", "payload"}]
+
+
+def bank(spark, n=12):
+    return spark.createDataFrame([(i, " ".join(f"payload{i}word{j}" for j in range(10))) for i in range(n)], "payload_id long, payload string")
+
+
+def test_windows_of_a_build_are_chosen_without_their_texts(spark, monkeypatch):
+    """Only documents, once, and the bank are written with texts; rows have theirs nevertheless."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    b, texts = saved(monkeypatch, lambda: D.clean_windowed(docs, bank(spark), None, {"doc_id": 6}, 40))
+    assert sum("text" in c for c in texts) == 1 and not any("window_text" in c for c in texts)
+    rows = b.rows.withColumn("own", T.text_hash("window_text", 64)).collect()
+    assert rows and all(r["own"] == r["text_key"] for r in rows)
+    assert sum(r["rows"] for r in b.reports["components"].collect()) == len(rows) == len({r["id"] for r in rows})
