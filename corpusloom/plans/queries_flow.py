@@ -280,7 +280,7 @@ def built_parent_correction(spark, d):
 @query()
 def built_flagship(spark, d):
     """Rows of the whole flagship build: benchmark passages as payloads, high windows as mined rows, windows on licenses as misses."""
-    w = scored(spark, d).join(read(spark, d, "documents").select("doc_id", F.col("source").alias("source_pool")), "doc_id")
+    w = scored(spark, d).where("doc_id is not null").withColumnRenamed("source", "source_pool")
     mined = w.select("doc_id", F.col("window_text").alias("text"), F.lit("benign").alias("label"), "score", "source_pool", (F.col("doc_id") % 2 == 0).alias("reviewed"))
     misses = w.where(F.contains("window_text", F.lit("icense"))).select("doc_id", F.col("window_text").alias("text"), F.lit("attack").alias("label"), "source_pool", F.lit("license").alias("anchor"), F.col("window_text").alias("attack_text"), F.lit(True).alias("visible"))
     payloads = read(spark, d, "benchmark").select(F.col("item_id").alias("payload_id"), F.col("text").alias("payload"))

@@ -244,3 +244,25 @@ def test_windows_of_a_build_are_chosen_without_their_texts(spark, monkeypatch):
     rows = b.rows.withColumn("own", T.text_hash("window_text", 64)).collect()
     assert rows and all(r["own"] == r["text_key"] for r in rows)
     assert sum(r["rows"] for r in b.reports["components"].collect()) == len(rows) == len({r["id"] for r in rows})
+
+
+def test_a_flagship_writes_texts_of_documents_and_chosen_rows(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    mined = docs.select("doc_id", F.substring("text", 1, 300).alias("text"), F.lit("benign").alias("label"), F.lit(0.9).alias("score"), F.lit("a").alias("source_pool"), F.lit(True).alias("reviewed"))
+    misses = mined.limit(0).withColumn("anchor", F.lit("x")).withColumn("attack_text", F.lit("x")).withColumn("visible", F.lit(True))
+    targets = {"mined_benign": 20, "embedded_attack": 30, "same_document_contrast": 10, "original_contrast": 20, "random_benign": 20, "standalone_attack": 4}
+    b, texts = saved(monkeypatch, lambda: D.flagship(docs, bank(spark), mined, misses, None, targets, 20, {"doc_id": 9}, r"\bnever\b", "policy", "^thanks$", ["a"]))
+    assert sum("text" in c for c in texts) == 3  # the documents, and the rows chosen for either side
+    own = T.text_hash("text", 64)
+    rows = b.rows.withColumn("own", own).collect()
+    assert rows and all(r["own"] == r["text_key"] for r in rows) and {r["component"] for r in rows} == set(targets)
+
+
+def test_checks_of_mined_rows_move_no_text(spark):
+    import re
+
+    t = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars > 0").select("doc_id", "text", F.lit("s").alias("source_pool"), (F.col("doc_id") >= 0).alias("reviewed"), F.lit(0.9).alias("score"), F.lit("words").alias("anchor"), F.col("text").alias("attack_text"), F.lit(True).alias("visible"))
+    for marked in (G.mined_benign(t.withColumn("label", F.lit("benign")), "some", "text", ["s"], 0.5, ["doc_id"]), G.visible_misses(t.withColumn("label", F.lit("attack")), "words", "^x$", ["s"], ["doc_id"])):
+        side = plan(marked.select("doc_id", "reason")).split("Join LeftOuter")[1].splitlines()[1]
+        assert side.strip().startswith(":- Project [doc_id#") and not re.search(r"[\[ ]text#\d+[,\]]", side)
+        assert marked.where("reason is null").count() + marked.where("reason is not null").count() == t.count()
